@@ -42,24 +42,37 @@ def _wikidata(value: Column) -> Column:
     )
 
 
+def _clean(pids: Column) -> Column:
+    return F.array_distinct(F.filter(pids, lambda x: x.isNotNull()))
+
+
 def _explode_pids(df: DataFrame, pids: Column) -> DataFrame:
     oaid = strip_prefix(F.col("id"), K.OPENALEX_URI)
-    clean = F.array_distinct(F.filter(pids, lambda x: x.isNotNull()))
-    return df.where(F.col("id").isNotNull()).select(F.explode(clean).alias("supported_id"), oaid.alias("openalex_id"))
+    return df.where(F.col("id").isNotNull()).select(F.explode(_clean(pids)).alias("supported_id"),
+                                                    oaid.alias("openalex_id"))
 
 
-def work_pids(works: DataFrame) -> DataFrame:
-    """DOI, PMID, PMCID of Works, URL prefix stripped, scheme prefix added."""
+def work_pid_array(works: DataFrame) -> Column:
+    """Distinct DOI, PMID, PMCID of a Work, URL prefix stripped, scheme prefix added."""
     t = _ids_type(works)
-    pids = F.array(
+    return _clean(F.array(
         _prefixed(_field(t, "doi"), "doi", K.DOI_URI),
         _prefixed(_field(t, "pmid"), "pmid", K.PUBMED_URI),
         _prefixed(_field(t, "pmcid"), "pmcid", K.PMC_URI),
-    )
-    return _explode_pids(works, pids)
+    ))
+
+
+def work_pids(works: DataFrame) -> DataFrame:
+    """One row per distinct Work PID: (supported_id, openalex_id)."""
+    return _explode_pids(works, work_pid_array(works))
 
 
 def source_pids(sources: DataFrame) -> DataFrame:
+    """One row per distinct Source PID: (supported_id, openalex_id)."""
+    return _explode_pids(sources, source_pid_array(sources))
+
+
+def source_pid_array(sources: DataFrame) -> Column:
     """Every ISSN of a Source, its Wikidata id (http/https URL form only), and the ISSN-L
     only when the ISSN list is missing or empty."""
     t = _ids_type(sources)
@@ -73,7 +86,7 @@ def source_pids(sources: DataFrame) -> DataFrame:
             F.when((F.size(issn) == 0) & non_blank(issn_l), F.concat(F.lit("issn:"), issn_l)),
         ),
     )
-    return _explode_pids(sources, pids)
+    return _clean(pids)
 
 
 def author_pids(authors: DataFrame) -> DataFrame:
