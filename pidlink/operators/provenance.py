@@ -80,7 +80,7 @@ def extra_records(br_nodes: DataFrame, omids: DataFrame) -> DataFrame:
         lookup.alias("_lookup"),
         F.concat(F.lit("omid:"), strip_prefix(F.col("@id"), K.META_URI)).alias("omid"),
         type_label(F.col("@type")).alias("type"),
-        (F.size(F.coalesce(F.col(K.DATACITE_HAS_IDENTIFIER), F.array())) == 0).alias("omid_only"),
+        (F.size(F.coalesce(F.col(f"`{K.DATACITE_HAS_IDENTIFIER}`"), F.array())) == 0).alias("omid_only"),
     )
     return (
         nodes.join(omids.select(F.col("omid").alias("_lookup")), "_lookup", "left_anti")
