@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.split() splits on any Unicode blank and drops empty tokens.
-WHITESPACE = r"(?U)\s+"
+# Python's str.split() splits on any Unicode blank (including the four separators
+# U+001C..U+001F, which Java's Unicode \s lacks) and drops empty tokens.
+WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def col_(c: str | Column) -> Column:

@@ -110,16 +110,25 @@ def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, prim
                 F.lit(None).cast("boolean").alias("minor_type"), F.lit("A").alias("code"))
     )
     events = per_pos.drop("_vals").unionByName(seen_twice)
-    ev = F.when(F.col("code").isNotNull(), F.struct("pos", _rank(F.col("code")).alias("rank"), "code"))
+    # earliest event as one long (position, then check order): a hash aggregate, no sort
+    ev = F.when(F.col("code").isNotNull(), F.col("pos").cast("long") * 4 + _rank(F.col("code")))
+    # "all DOIs share one prefix" = min and max of two independent prefix hashes agree
+    h1 = F.xxhash64(F.col("doi_prefix"))
+    h2 = F.hash(F.col("doi_prefix"))
+    has_p = F.col("doi_prefix").isNotNull()
     summary = events.groupBy(*ROW_KEY, "_n", "n_ids").agg(
         F.min(ev).alias("first_event"),
         F.max(F.when(F.col("pos") == F.col("n_ids") - 1, F.col("has_doi"))).alias("last_has_doi"),
-        F.count_distinct("doi_prefix").alias("n_prefixes"),
+        F.min(F.when(has_p, h1)).alias("_h1min"), F.max(F.when(has_p, h1)).alias("_h1max"),
+        F.min(F.when(has_p, h2)).alias("_h2min"), F.max(F.when(has_p, h2)).alias("_h2max"),
         F.max("minor_type").alias("any_minor"),
     )
-    same_issuer = F.coalesce(F.col("last_has_doi"), F.lit(False)) & (F.col("n_prefixes") == 1)
+    one_prefix = (F.col("_h1min") == F.col("_h1max")) & (F.col("_h2min") == F.col("_h2max"))
+    same_issuer = F.coalesce(F.col("last_has_doi"), F.lit(False)) & F.coalesce(one_prefix, F.lit(False))
+    codes = F.array(*[F.lit(c) for c in ("A", "D", "B", "E")])
     category = (
-        F.when(F.col("first_event").isNotNull(), F.col("first_event.code"))
+        F.when(F.col("first_event").isNotNull(),
+               F.element_at(codes, (F.col("first_event") % 4).cast("int") + 1))
         .when(same_issuer & F.coalesce(F.col("any_minor"), F.lit(False)), "F")
         .when(same_issuer & (F.col("n_ids") == 2), "C")
         .otherwise(NON_CLASSIFIED)

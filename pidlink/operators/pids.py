@@ -145,21 +145,28 @@ def scheme_table(pid_table: DataFrame, id_type: str, entity_type: str) -> DataFr
     )
 
 
+def _tagged(pid_table: DataFrame, entity_type: str, id_types: list[str]) -> DataFrame:
+    """One pass over an entity's PID table, tagged with its lookup table name."""
+    sch = scheme(F.col("supported_id"))
+    name = F.lit(None).cast("string")
+    for t in reversed(id_types):
+        name = F.when(sch == t, F.lit(index_table_name(entity_type, t))).otherwise(name)
+    return pid_table.select(name.alias("table_name"), sch.alias("scheme"), "supported_id", "openalex_id").where(
+        sch.isin(*id_types))
+
+
 def pid_index(work_pid_table: DataFrame, source_pid_table: DataFrame) -> DataFrame:
     """The lookup index of the mapping: (table_name, scheme, supported_id, openalex_id).
 
     Only the five Work/Source tables enter it, so a PID of another entity type (e.g. an
     institution's Wikidata id) can never be matched. Duplicates are kept: a PID shared by
-    several OpenAlex records maps to all of them.
+    several OpenAlex records maps to all of them. Each dump's PID table is read once.
     """
-    parts = []
+    by_entity: dict[str, list[str]] = {}
     for entity, id_type in K.INDEX_TABLES:
-        src = work_pid_table if entity == "work" else source_pid_table
-        parts.append(scheme_table(src, id_type, entity))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table_name", scheme(F.col("supported_id")).alias("scheme"), "supported_id", "openalex_id")
+        by_entity.setdefault(entity, []).append(id_type)
+    return _tagged(work_pid_table, "work", by_entity["work"]).unionByName(
+        _tagged(source_pid_table, "source", by_entity["source"]))
 
 
 def write_pid_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -19,7 +19,9 @@ CONF_MIN_ROWS = "pidlink.skew.minRows"
 CONF_MAX_KEYS = "pidlink.skew.maxKeys"
 CONF_ROWS_PER_BUCKET = "pidlink.skew.rowsPerBucket"
 
-DEFAULT_MIN_ROWS = 2_000_000
+# 0 = rely on AQE's run-time skew-join split (no extra pass); set the conf to a row count
+# to pre-detect hot keys and salt them explicitly.
+DEFAULT_MIN_ROWS = 0
 DEFAULT_MAX_KEYS = 10_000
 DEFAULT_ROWS_PER_BUCKET = 500_000
 

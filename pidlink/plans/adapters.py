@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.fixtures import fixture, register_base_tables
+from pidlink.fixtures import base_table, fixture
 from pidlink.functions import constants as K
 
 
@@ -121,8 +121,7 @@ def _order_work_id() -> Column:
 def biblio_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work records with ``biblio`` (volume k % 50, issue k % 12, two page numbers); every
     eleventh order has none."""
-    register_base_tables(spark, sf_dir)
-    o = spark.table("orders")
+    o = base_table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     biblio = _obj(volume=(k % 50).cast("string"), issue=(k % 12).cast("string"),
                   first_page=(k % 97 + 1).cast("string"), last_page=(k % 97 + 12).cast("string"))
@@ -131,8 +130,7 @@ def biblio_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def open_access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work records with ``open_access`` (flag and status from the order status)."""
-    register_base_tables(spark, sf_dir)
-    o = spark.table("orders")
+    o = base_table(spark, sf_dir, "orders")
     st = F.col("o_orderstatus")
     oa = _obj(is_oa=st == "F", oa_status=F.when(st == "F", "gold").when(st == "O", "closed").otherwise("hybrid"),
               oa_url=_null_str(), any_repository_has_fulltext=st == "P")
@@ -142,8 +140,7 @@ def open_access_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_list_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work records with ``concepts`` and ``mesh`` lists built from the order's lines
     (part keys; every tenth part has a concept without id)."""
-    register_base_tables(spark, sf_dir)
-    li = spark.table("lineitem")
+    li = base_table(spark, sf_dir, "lineitem")
     p = F.col("l_partkey")
     concept = _obj(id=F.when(p % 10 != 0, F.concat(F.lit(K.OPENALEX_URI + "C"), p.cast("string"))),
                    score=F.col("l_discount").cast("double"))

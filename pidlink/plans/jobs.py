@@ -18,6 +18,7 @@ from pidlink.operators import flatten as FL
 from pidlink.operators import mapping as M
 from pidlink.operators import pids as P
 from pidlink.operators import provenance as PV
+from pidlink.session import cut_lineage
 
 
 # ------------------------------------------------------------------ E1 mapping
@@ -25,12 +26,20 @@ from pidlink.operators import provenance as PV
 
 @dataclass
 class MappingResult:
+    meta: DataFrame
+    all_rows: bool
     primary_entities: DataFrame
-    venues: DataFrame
-    responsible_agents: DataFrame
     index: DataFrame
     result: DataFrame  # omid, type, openalex_ids, n_openalex, outcome
 
+    @property
+    def venues(self) -> DataFrame:
+        return X.venues(self.meta, self.all_rows)
+
+    @property
+    def responsible_agents(self) -> DataFrame:
+        return X.responsible_agents(self.meta, self.all_rows)
+
     def mapped(self) -> DataFrame:
         return M.mapped(self.result)
 
@@ -40,6 +49,11 @@ class MappingResult:
     def unmapped(self) -> DataFrame:
         return M.unmapped(self.result)
 
+    def materialized(self) -> "MappingResult":
+        """The same result with the mapping table checkpointed (shared by several consumers)."""
+        return MappingResult(self.meta, self.all_rows, self.primary_entities, self.index,
+                             cut_lineage(self.result))
+
 
 def build_index(works: DataFrame, sources: DataFrame) -> DataFrame:
     return P.pid_index(P.work_pids(works), P.source_pids(sources))
@@ -48,10 +62,10 @@ def build_index(works: DataFrame, sources: DataFrame) -> DataFrame:
 def mapping_job(meta: DataFrame, works: DataFrame, sources: DataFrame, *, all_rows: bool = True,
                 index: DataFrame | None = None) -> MappingResult:
     """Meta rows x OpenAlex Works/Sources -> reduced Meta tables, PID index, mapping."""
-    tables = X.meta_tables(meta, all_rows=all_rows)
+    entities = X.primary_entities(meta, all_rows=all_rows)
     idx = index if index is not None else build_index(works, sources)
-    result = M.map_records(tables["primary_ents"], idx, type_field=True, all_rows=all_rows)
-    return MappingResult(tables["primary_ents"], tables["venues"], tables["resp_ags"], idx, result)
+    result = M.map_records(entities, idx, type_field=True, all_rows=all_rows)
+    return MappingResult(meta, all_rows, entities, idx, result)
 
 
 def map_venues(venues: DataFrame, index: DataFrame) -> DataFrame:
@@ -71,11 +85,17 @@ class AnalysisTables:
 
 
 def analysis_tables(multi_mapped: DataFrame, works: DataFrame, sources: DataFrame,
-                    order: dict[str, list[str]] | None = None) -> AnalysisTables:
+                    order: dict[str, list[str]] | None = None, materialize: bool = True) -> AnalysisTables:
     """Select the multi-mapped Works (semi join), flatten Works and all Sources, load them
-    keyed (keep-last). Only the tables the categories read are built."""
+    keyed (keep-last). Only the tables the categories read are built.
+
+    The selected Works feed three tables, so they are written once (checkpoint) like the
+    full-metadata files of the source workflow, instead of being re-selected per table.
+    """
     keys = FL.mm_oaids(multi_mapped)
     mm_works = FL.select_records(works, keys.where(F.col("entity") == "works"))
+    if materialize:
+        mm_works = cut_lineage(mm_works)
     w = {"works_ids": FL.works_ids(mm_works), "works": FL.works_table(mm_works),
          "works_primary_locations": FL.works_primary_locations(mm_works)}
     s = FL.flatten_sources(sources)
@@ -93,8 +113,13 @@ class Categories:
         return C.category_counts(self.works, self.sources)
 
 
-def categorisation_job(multi_mapped: DataFrame, works: DataFrame, sources: DataFrame) -> Categories:
-    t = analysis_tables(multi_mapped, works, sources)
+def categorisation_job(multi_mapped: DataFrame, works: DataFrame, sources: DataFrame,
+                       materialize: bool = True) -> Categories:
+    """``multi_mapped`` is read by the id selection and by both classifiers: it is
+    checkpointed once unless the caller passes an already stored table."""
+    if materialize:
+        multi_mapped = cut_lineage(multi_mapped)
+    t = analysis_tables(multi_mapped, works, sources, materialize=materialize)
     return Categories(
         C.categorize_works(multi_mapped, t.works_ids, t.works, t.works_primary_locations),
         C.categorize_sources(multi_mapped, t.sources_ids),

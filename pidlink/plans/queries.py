@@ -47,7 +47,7 @@ def _categories(spark: SparkSession, sf: str) -> J.Categories:
 
 
 def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
-    m = _mapping(spark, sf)
+    m = _mapping(spark, sf).materialized()
     return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), m.primary_entities, m.unmapped())
 
 
