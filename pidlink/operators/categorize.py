@@ -190,6 +190,5 @@ def nested_counts_json(counts: DataFrame) -> DataFrame:
     """One row, one column ``json``: {entity: {type: {category: n}}} (a bounded, tiny table)."""
     by_type = counts.groupBy("entity", "type").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("m"))
-    by_entity = by_type.groupBy("entity").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "m")))).alias("m"))
+    by_entity = by_type.groupBy("entity").agg(F.map_from_entries(F.collect_list(F.struct("type", "m"))).alias("m"))
     return by_entity.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("entity", "m")))).alias("json"))

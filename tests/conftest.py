@@ -1,0 +1,42 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+GOLDEN = os.path.join(ROOT, "tests", "golden")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pidlink.session import build_session
+
+    ckpt = tempfile.mkdtemp(prefix="pidlink-test-ckpt-")
+    s = build_session("local[4]", app="pidlink-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmpdir_path():
+    return tempfile.mkdtemp(prefix="pidlink-test-")
+
+
+def golden(name: str) -> str:
+    return os.path.join(GOLDEN, name)
+
+
+def read_golden(spark, name: str):
+    from pidlink.sources.readers import CSV_OPTIONS
+
+    return spark.read.options(**CSV_OPTIONS).csv(golden(name))
+
+
+def rows(df, cols=None):
+    """Multiset of rows as sorted tuples."""
+    cols = cols or df.columns
+    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

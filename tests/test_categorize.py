@@ -1,0 +1,112 @@
+"""Categories: Spark set computation vs a plain row-by-row reading of the rules."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from pidlink.functions import constants as K
+from pidlink.operators import categorize as C
+
+VERSION = re.compile(K.VERSION_PATTERN)
+URI = K.OPENALEX_URI
+
+
+def python_category(oaids, ids, wtype, version):
+    """Walk the list once; the first check that fires decides."""
+    seen, prefixes, types = set(), set(), []
+    for pos, oa in enumerate(oaids):
+        w = URI + oa
+        vals = ids.get(w, {})
+        if any(v in seen for v in vals.values() if v):
+            return "A"
+        seen.update(vals.values())
+        doi = vals.get("doi")
+        last = pos == len(oaids) - 1
+        if doi:
+            d = doi.lower().removeprefix(K.DOI_URI)
+            p = d.split("/")[0]
+            if VERSION.findall(d):
+                return "D"
+            if p in K.PREPRINT_DOI_PREFIXES and version.get(w) in K.REPOSITORY_VERSIONS:
+                return "B"
+            if any(d.removeprefix(p).startswith(c) for c in K.PREPRINT_STRING_CLUES):
+                return "E"
+            prefixes.add(p)
+            types.append(wtype.get(w))
+            if last:
+                if len(prefixes) == 1:
+                    if any(t in K.MINOR_WORK_TYPES for t in types):
+                        return "F"
+                    return "C" if len(oaids) == 2 else "non classified"
+                return "non classified"
+        if last:
+            return "non classified"
+
+
+def random_case(rng, n_rows=400, n_works=120):
+    dois = ["10.1101/2020.01.01.1", "10.5281/zenodo.55", "10.1016/j.x.1", "10.1016/j.x.2", "10.1234/abc.v2",
+            "10.9999/arxiv.123", "10.6084/m9.figshare.1.v1", "10.3000/x/12", "10.1016/j.y.3", "10.2000/xv3"]
+    ids, wtype, version = {}, {}, {}
+    for i in range(n_works):
+        w = f"{URI}W{i}"
+        if rng.random() < 0.1:
+            continue  # no works_ids row
+        ids[w] = {"openalex": w,
+                  "doi": rng.choice([None, "", f"https://doi.org/{rng.choice(dois)}", rng.choice(dois).upper()]),
+                  "pmid": rng.choice([None, None, f"p{rng.randint(0, 30)}"]),
+                  "pmcid": rng.choice([None, None, None, f"c{rng.randint(0, 30)}"])}
+        wtype[w] = rng.choice(["article", "erratum", "letter", "other", None, "review"])
+        version[w] = rng.choice(["submittedVersion", "acceptedVersion", "publishedVersion", None])
+    mm = []
+    for r in range(n_rows):
+        k = rng.randint(2, 5)
+        oaids = sorted({f"W{rng.randrange(n_works)}" for _ in range(k)})
+        if len(oaids) < 2:
+            continue
+        mm.append((f"omid:br/{r}", " ".join(oaids), rng.choice(["journal article", "", "book"])))
+    return mm, ids, wtype, version
+
+
+def spark_tables(spark, ids, wtype, version):
+    wid = spark.createDataFrame([(w, v["openalex"], v["doi"], None, v["pmid"], v["pmcid"]) for w, v in ids.items()],
+                                "work_id string, openalex string, doi string, mag string, pmid string, pmcid string")
+    wt = spark.createDataFrame(list(wtype.items()), "id string, type string")
+    pl = spark.createDataFrame([(w, "S0", v) for w, v in version.items()], "work_id string, source_id string, version string")
+    return wid, wt, pl
+
+
+def test_works_categories_match_row_by_row(spark):
+    rng = random.Random(7)
+    mm, ids, wtype, version = random_case(rng)
+    mm.append(("omid:br/dup", mm[0][1], mm[0][2]))
+    mm.append(mm[1])  # an exact duplicate row stays a duplicate
+    wid, wt, pl = spark_tables(spark, ids, wtype, version)
+    mmdf = spark.createDataFrame(mm, "omid string, openalex_id string, type string")
+    got = sorted((r.omid, r.openalex_id, r.category) for r in C.categorize_works(mmdf, wid, wt, pl).collect())
+    exp = sorted((o, l, python_category(l.split(), ids, wtype, version)) for o, l, _ in mm)
+    assert got == exp
+    assert len({c for _, _, c in exp}) >= 5
+
+
+def test_sources_shared_issn(spark):
+    mm = spark.createDataFrame([("a", "S1 S2", "journal"), ("b", "S2 S3", "journal"), ("c", "S1 W1", "")],
+                               "omid string, openalex_id string, type string")
+    sid = spark.createDataFrame([(URI + "S1", '["1","2"]'), (URI + "S2", '["2"]'), (URI + "S3", "null")],
+                                "source_id string, issn string")
+    got = {r.omid: r.category for r in C.categorize_sources(mm, sid).collect()}
+    assert got == {"a": "A", "b": "non classified", "c": "non classified"}
+
+
+def test_counts_pivot_and_json(spark):
+    w = spark.createDataFrame([("a", "W1 W2", "t", "A"), ("b", "W1 W3", "t", "C"), ("c", "W4 W5", "", "A")],
+                              "omid string, openalex_id string, type string, category string")
+    s = spark.createDataFrame([("d", "S1 S2", "t", "A")], "omid string, openalex_id string, type string, category string")
+    counts = C.category_counts(w, s)
+    assert sorted(tuple(r) for r in counts.collect()) == [
+        ("sources", "t", "A", 1), ("works", "", "A", 1), ("works", "t", "A", 1), ("works", "t", "C", 1)]
+    piv = {(r.entity, r.type): (r.A, r.C, r.non_classified) for r in C.category_pivot(counts).collect()}
+    assert piv[("works", "t")] == (1, 1, 0)
+    import json
+    doc = json.loads(C.nested_counts_json(counts).collect()[0][0])
+    assert doc["works"]["t"] == {"A": 1, "C": 1}

@@ -1,0 +1,92 @@
+import json
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from pidlink.operators import flatten as FL
+from pidlink.sources import schemas as SC
+
+WORK = {
+    "id": "https://openalex.org/W1", "doi": "https://doi.org/10.1/a", "title": "T", "type": "article",
+    "publication_year": 2020, "unknown_key": {"x": 1},
+    "abstract_inverted_index": {"Hello": [0], "world": [1]},
+    "ids": {"openalex": "https://openalex.org/W1", "doi": "https://doi.org/10.1/a", "mag": "7"},
+    "primary_location": {"source": {"id": "https://openalex.org/S1"}, "version": "publishedVersion", "is_oa": True},
+    "best_oa_location": {"source": None, "version": "submittedVersion"},
+    "locations": [{"source": {"id": "https://openalex.org/S1"}}, {"source": None}, {"source": {"id": "https://openalex.org/S2"}}],
+    "authorships": [
+        {"author_position": "first", "author": {"id": "A1"}, "institutions": [{"id": None}, {"id": "I1"}]},
+        {"author_position": "middle", "author": {"id": "A2"}, "institutions": []},
+        {"author_position": "middle", "author": {"id": "A3"}, "institutions": None},
+        {"author_position": "last", "author": {}, "institutions": [{"id": "I9"}]},
+    ],
+    "biblio": {"volume": "1", "issue": "2", "first_page": "3", "last_page": "4"},
+    "concepts": [{"id": "C1", "score": 0.5}, {"id": None, "score": 0.1}],
+    "mesh": [{"descriptor_ui": "D1", "is_major_topic": True}],
+    "open_access": {"is_oa": True, "oa_status": "gold"},
+    "referenced_works": ["W7", "", "W8"], "related_works": [],
+}
+WORK2 = {"id": "https://openalex.org/W2", "biblio": {}, "ids": {}, "concepts": [], "mesh": [],
+         "referenced_works": [], "related_works": []}
+
+
+def works(spark, recs):
+    rdd = spark.sparkContext.parallelize([json.dumps(r) for r in recs] + ["{not json"])
+    return spark.read.schema(SC.work_schema()).option("mode", "DROPMALFORMED").json(rdd).where(F.col("id").isNotNull())
+
+
+def test_flatten_works_tables(spark):
+    t = FL.flatten_works(works(spark, [WORK, WORK2]))
+    assert t["works"].count() == 2
+    w1 = t["works"].where(F.col("id").endswith("W1")).collect()[0]
+    assert json.loads(w1["abstract_inverted_index"]) == {"Hello": [0], "world": [1]}
+    assert rows(t["works_primary_locations"], ["work_id", "source_id", "version"]) == [
+        ("https://openalex.org/W1", "https://openalex.org/S1", "publishedVersion")]
+    assert t["works_best_oa_locations"].count() == 0
+    assert rows(t["works_locations"], ["source_id"]) == [("https://openalex.org/S1",), ("https://openalex.org/S2",)]
+    assert rows(t["works_authorships"], ["author_id", "institution_id"]) == [("A1", "I1"), ("A2", None), ("A3", None)]
+    assert t["works_biblio"].count() == 1
+    assert rows(t["works_concepts"], ["concept_id", "score"]) == [("C1", 0.5)]
+    assert rows(t["works_ids"], ["work_id", "mag"]) == [("https://openalex.org/W1", "7")]
+    assert t["works_mesh"].count() == 1 and t["works_open_access"].count() == 1
+    assert rows(t["works_referenced_works"], ["referenced_work_id"]) == [("W7",), ("W8",)]
+    assert t["works_related_works"].count() == 0
+
+
+def test_flatten_sources_first_record_wins(spark):
+    recs = [
+        {"id": "S1", "issn": ["1", "2"], "display_name": "first", "ids": {"openalex": "S1", "issn": ["1", "2"]},
+         "counts_by_year": [{"year": 2020, "works_count": 3}, {"year": 2021, "works_count": 4}]},
+        {"id": "S1", "display_name": "second"},
+        {"id": "S2", "display_name": "no ids"},
+    ]
+    rdd = spark.sparkContext.parallelize([json.dumps(r) for r in recs], 1)
+    src = spark.read.schema(SC.source_schema()).json(rdd).withColumn("_ord", F.monotonically_increasing_id())
+    t = FL.flatten_sources(src, order_col="_ord")
+    assert rows(t["sources"], ["id", "display_name", "issn"]) == [("S1", "first", '["1","2"]'), ("S2", "no ids", "null")]
+    assert rows(t["sources_ids"], ["source_id", "issn"]) == [("S1", '["1","2"]')]
+    assert rows(t["sources_counts_by_year"], ["source_id", "year", "works_count"]) == [("S1", 2020, 3), ("S1", 2021, 4)]
+
+
+def test_keep_last_with_hot_key(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(
+        F.col("id").cast("string")).alias("k"), F.col("id").alias("ord"), (F.col("id") * 10).alias("v"))
+    out = {r.k: r.v for r in FL.keep_last(df, ["k"], ["ord"]).collect()}
+    assert out["hot"] == 49980 and len(out) == 2501
+    first = {r.k: r.v for r in FL.keep_first(df, ["k"], ["ord"]).collect()}
+    assert first["hot"] == 0
+
+
+def test_load_tables_keyed(spark):
+    a = spark.createDataFrame([("W1", "first", "A1", 1), ("W1", "middle", "A2", 2), ("W1", "middle", "A3", 3)],
+                              "work_id string, author_position string, author_id string, o long")
+    out = FL.load_tables({"works_authorships": a}, {"works_authorships": ["o"]})["works_authorships"]
+    assert rows(out, ["author_position", "author_id"]) == [("first", "A1"), ("middle", "A3")]
+
+
+def test_mm_ids_and_semi_join(spark):
+    mm = spark.createDataFrame([("o1", "W1 W2", "t"), ("o2", "S1 W2", "t")], "omid string, openalex_id string, type string")
+    ids = FL.mm_oaids(mm)
+    assert rows(ids) == [("S1", "sources"), ("W1", "works"), ("W2", "works")]
+    recs = spark.createDataFrame([("https://openalex.org/W1",), ("https://openalex.org/W3",)], "id string")
+    assert rows(FL.select_records(recs, ids.where("entity = 'works'"))) == [("https://openalex.org/W1",)]

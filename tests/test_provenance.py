@@ -1,0 +1,67 @@
+from conftest import rows
+
+from pidlink.functions import constants as K
+from pidlink.operators import provenance as PV
+from pidlink.sources import schemas as SC
+
+META = K.META_URI
+
+
+def snap(src=None, br=None):
+    return {"@id": "s", K.PROV_PRIMARY_SOURCE: [{"@id": s} for s in src] if src else None,
+            K.PROV_SPECIALIZATION_OF: [{"@id": br}] if br else None}
+
+
+def graphs(spark):
+    data = [
+        ("g1", [snap(["crossref"]), snap(None, META + "br/1")]),
+        ("g2", [snap(["datacite", "crossref"], META + "br/1")]),  # second graph of br/1: union
+        ("g3", [snap(None, META + "br/2")]),  # no source -> dropped
+        ("g4", [snap(["crossref"])]),  # no described resource -> dropped
+        ("g5", [snap(["zenodo"], META + "br/3"), snap(["x"], META + "br/99")]),  # first described one wins
+    ]
+    return spark.createDataFrame([{"@id": g, "@graph": s} for g, s in data], SC.prov_graph_schema())
+
+
+def test_provenance_table(spark):
+    p = PV.provenance_table(graphs(spark))
+    got = {r.br_uri: list(r.sources) for r in p.collect()}
+    assert got == {META + "br/1": ["crossref", "datacite"], META + "br/3": ["x", "zenodo"]}
+    assert PV.dropped_graphs(graphs(spark)).count() == 2
+
+
+def nodes(spark):
+    data = [
+        {"@id": META + "br/10", "@type": [K.FABIO_EXPRESSION, "http://purl.org/spar/fabio/JournalArticle"],
+         K.DATACITE_HAS_IDENTIFIER: []},
+        {"@id": META + "br/11", "@type": [K.FABIO_EXPRESSION], K.DATACITE_HAS_IDENTIFIER: [{"@id": "x"}]},
+        {"@id": META + "br/12", "@type": ["http://example.org/Other"], K.DATACITE_HAS_IDENTIFIER: None},
+        {"@id": META + "br/1", "@type": [K.FABIO_EXPRESSION], K.DATACITE_HAS_IDENTIFIER: None},
+    ]
+    return spark.createDataFrame(data, SC.br_graph_schema()["@graph"].dataType.elementType)
+
+
+def test_extra_records(spark):
+    omids = spark.createDataFrame([("omid:br/1",)], "omid string")
+    got = rows(PV.extra_records(nodes(spark), omids))
+    assert got == [("omid:br/10", "journal article", True), ("omid:br/11", "", False),
+                   ("omid:br/12", "http://example.org/Other", True)]
+
+
+def test_counts_missing_and_derived_tables(spark):
+    omids = spark.createDataFrame([("omid:br/1",)], "omid string")
+    extra = PV.extra_records(nodes(spark), omids)
+    unm = spark.createDataFrame([("omid:br/1", "book"), ("omid:br/3", "book"), ("omid:br/4", "")], "omid string, type string")
+    rec = PV.records_to_trace(extra, unm)
+    prov = PV.provenance_table(graphs(spark))
+    counts = PV.provenance_counts(rec, prov)
+    assert [(r.type, r.source, r.omid_only, r.other_pids) for r in counts.collect()] == [
+        ("book", "crossref datacite", 0, 1), ("book", "x zenodo", 0, 1)]
+    assert rows(PV.missing_provenance(rec, prov)) == [
+        ("omid:br/10", "journal article"), ("omid:br/11", ""), ("omid:br/12", "http://example.org/Other"),
+        ("omid:br/4", "")]
+    assert rows(PV.contribution_by_source(counts)) == [
+        ("book", "crossref", 1), ("book", "datacite", 1), ("book", "x", 1), ("book", "zenodo", 1)]
+    piv = PV.provenance_pivot(counts)
+    assert piv.columns == ["source", "book"]
+    assert rows(PV.provenance_by_type(counts)) == [("book", 0, 2, 2)]
