@@ -1,6 +1,7 @@
 """The three jobs (mapping, categorisation, provenance) composed from the operators.
 
-Functions here take and return DataFrames; ``run_*`` wrappers read and write storage.
+Functions here take and return DataFrames; the ``run_*`` wrappers at the end read the
+dumps and write the outputs.
 Intermediate results that several consumers share (the mapping result) are cut from
 their lineage with a reliable checkpoint in the cluster's shared checkpoint folder.
 """
@@ -145,3 +146,70 @@ def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: Dat
     records = PV.records_to_trace(extra, unmapped)
     return ProvenanceResult(prov, extra, records, PV.provenance_counts(records, prov),
                             PV.missing_provenance(records, prov))
+
+
+# ------------------------------------------------------------------ storage-level wrappers
+
+
+def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir: str, *,
+                all_rows: bool = True, rows_per_file: int = 10_000) -> dict[str, str]:
+    """Meta dump (zip or CSV folder) + OpenAlex Works/Sources dumps -> CSV folders:
+    ``primary_ents``, ``venues``, ``resp_ags``, ``pid_index`` (parquet, by lookup table),
+    ``mapped``, ``multi_mapped`` (one file), ``non_mapped``, ``venues_mapping``."""
+    from pidlink.sources import readers as R
+    from pidlink.sources import sinks as W
+
+    meta = R.read_meta_dump(spark, meta_dump)
+    works = R.read_works(spark, works_dir)
+    sources = R.read_sources(spark, sources_dir)
+    paths = {k: f"{out_dir}/{k}" for k in ("primary_ents", "venues", "resp_ags", "pid_index", "mapped",
+                                           "multi_mapped", "non_mapped", "venues_mapping")}
+    P.write_pid_index(build_index(works, sources), paths["pid_index"], mode="overwrite")
+    index = spark.read.parquet(paths["pid_index"])  # stored once, read by both mappings
+    m = mapping_job(meta, works, sources, all_rows=all_rows, index=index)
+    W.write_csv(m.primary_entities, paths["primary_ents"], rows_per_file)
+    W.write_csv(m.venues, paths["venues"], rows_per_file)
+    W.write_csv(m.responsible_agents, paths["resp_ags"], rows_per_file)
+    result = cut_lineage(m.result)  # three outputs from one computation
+    W.write_csv(M.mapped(result), paths["mapped"], rows_per_file)
+    W.write_single_csv(M.multi_mapped(result), paths["multi_mapped"])
+    W.write_csv(M.unmapped(result), paths["non_mapped"], rows_per_file)
+    vres = map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index)
+    W.write_csv(vres.select("omid", F.array_join("openalex_ids", " ").alias("openalex_id"), "outcome"),
+                paths["venues_mapping"], rows_per_file)
+    return paths
+
+
+def run_categorisation(spark, multi_mapped_dir: str, works_dir: str, sources_dir: str, out_dir: str) -> dict[str, str]:
+    """Multi-mapped CSV folder + OpenAlex dumps -> per-row categories (CSV), counts (CSV)
+    and the nested counts document (JSON)."""
+    from pidlink.sources import readers as R
+    from pidlink.sources import sinks as W
+
+    mm = R.read_csv_tables(spark, multi_mapped_dir)
+    cats = categorisation_job(mm, R.read_works(spark, works_dir), R.read_sources(spark, sources_dir))
+    paths = {k: f"{out_dir}/{k}" for k in ("works_categories", "sources_categories", "counts", "counts_json")}
+    W.write_csv(cats.works, paths["works_categories"])
+    W.write_csv(cats.sources, paths["sources_categories"])
+    counts = cut_lineage(cats.counts())
+    W.write_csv(counts, paths["counts"])
+    W.write_document(C.nested_counts_json(counts), paths["counts_json"])
+    return paths
+
+
+def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir: str, out_dir: str) -> dict[str, str]:
+    """Meta RDF dump + processed primary entities + unmapped records -> extra records,
+    provenance counts (CSV and nested JSON) and the records without provenance."""
+    from pidlink.sources import readers as R
+    from pidlink.sources import sinks as W
+
+    res = provenance_job(R.read_provenance_graphs(spark, br_rdf_zip), R.read_br_nodes(spark, br_rdf_zip),
+                         R.read_csv_tables(spark, primary_ents_dir), R.read_csv_tables(spark, non_mapped_dir))
+    paths = {k: f"{out_dir}/{k}" for k in ("extra_br", "counts", "counts_json", "missing")}
+    W.write_csv(res.extra, paths["extra_br"])
+    counts = cut_lineage(res.counts)
+    W.write_csv(counts, paths["counts"])
+    W.write_document(W.provenance_document(counts), paths["counts_json"])
+    W.write_csv(res.missing, paths["missing"])
+    return paths
+

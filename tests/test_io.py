@@ -2,6 +2,7 @@ import gzip
 import io
 import json
 import os
+import shutil
 import zipfile
 
 from conftest import golden, read_golden, rows
@@ -94,3 +95,31 @@ def test_upsert_keep_last(spark):
     new = spark.createDataFrame([("W1", "v2", 1), ("W1", "v3", 2), ("W3", "v1", 3)], "id string, v string, o long")
     got = rows(W.upsert(old, new.select("id", "v", "o"), ["id"], order="o"), ["id", "v"])
     assert got == [("W1", "v3"), ("W2", "v1"), ("W3", "v1")]
+
+
+def test_run_mapping_end_to_end(spark, tmpdir_path):
+    from pidlink.plans import jobs as J
+
+    works_dir = os.path.join(tmpdir_path, "works")
+    src_dir = os.path.join(tmpdir_path, "sources")
+    os.makedirs(works_dir)
+    os.makedirs(src_dir)
+    with gzip.open(os.path.join(works_dir, "part_0.gz"), "wt") as f:
+        for r in read_golden(spark, "works_pid_index.csv").collect():
+            scheme, value = r.supported_id.split(":", 1)
+            ids = {"doi": "https://doi.org/" + value} if scheme == "doi" else {scheme: value}
+            f.write(json.dumps({"id": "https://openalex.org/" + r.openalex_id, "ids": ids}) + "\n")
+    with gzip.open(os.path.join(src_dir, "part_0.gz"), "wt") as f:
+        for r in read_golden(spark, "sources_pid_index.csv").collect():
+            scheme, value = r.supported_id.split(":", 1)
+            ids = {"issn": [value]} if scheme == "issn" else {"wikidata": "https://www.wikidata.org/entity/" + value}
+            f.write(json.dumps({"id": "https://openalex.org/" + r.openalex_id, "ids": ids}) + "\n")
+    out = os.path.join(tmpdir_path, "out")
+    meta_dir = os.path.join(tmpdir_path, "meta")
+    os.makedirs(meta_dir)
+    shutil.copy(golden("meta_sample.csv"), os.path.join(meta_dir, "meta.csv"))
+    paths = J.run_mapping(spark, meta_dir, works_dir, src_dir, out)
+    mapped = R.read_csv_tables(spark, paths["mapped"])
+    assert rows(mapped) == rows(read_golden(spark, "mapped.csv"), ["omid", "openalex_id", "type"])
+    assert R.read_csv_tables(spark, paths["non_mapped"]).count() == 13
+    assert len([f for f in os.listdir(paths["multi_mapped"]) if f.endswith(".csv")]) == 1
