@@ -48,7 +48,9 @@ def _categories(spark: SparkSession, sf: str) -> J.Categories:
 
 def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
     m = _mapping(spark, sf).materialized()
-    return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), m.primary_entities, m.unmapped())
+    # the stored mapping result has one row per processed record: its OMIDs are the set
+    return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), m.result.select("omid"),
+                            m.unmapped())
 
 
 # ------------------------------------------------------------------ extraction
@@ -292,7 +294,8 @@ def mm_api_urls(spark, sf):
 
 
 def inverted_multi_mapped(spark, sf):
-    return S.inverted_multi_mapped(_mapping(spark, sf).mapped())
+    # the 1:1 table is read twice (count per id, then the rows): stored once first
+    return S.inverted_multi_mapped(_mapping(spark, sf).materialized().mapped())
 
 
 def venue_row_overlap(spark, sf):
