@@ -1,15 +1,16 @@
 """Why does one Meta record match several OpenAlex records? Category per multi-mapped row.
 
 The rules are a first-match scan over the row's OpenAlex ids in list order. As a set
-computation: each position gets its own event (D, B, E from the Work's DOI), an 'A' event
-marks the second position holding an already seen PID value, and one aggregation per row
-takes the earliest event (ties at a position in the order A, D, B, E). Rows without any
-event fall to the end-of-list rule (F, C or non classified). The same holds for Sources
-with shared ISSNs. Lists are the sorted id lists of the mapping.
-
-Shuffles: the join of exploded positions with the attribute tables (on the Work id), the
-group by (row, PID value) for 'A', the group by row. Every group is bounded by the size of
-one row's id list, which already exists as one row.
+computation: each position gets its own event (D, B, E from the Work's DOI); one
+aggregation per row takes the earliest event (ties at a position in the order A, D, B, E),
+where 'A' is the first position holding a PID value already seen earlier (found from the
+row's own sorted (value, position) pairs). Rows without any event fall to the end-of-list
+rule (F, C or non classified). Sources: 'A' when two positions share an ISSN. Lists are
+the sorted id lists of the mapping.
+
+Shuffles: the join of exploded positions with the per-Work attribute tables (on the Work
+id) and the group by row. Every group is bounded by the size of one row's id list, which
+already exists as one row.
 """
 
 from __future__ import annotations
@@ -98,31 +99,29 @@ def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, prim
         code.alias("code"),
     )
 
-    # 'A': a PID value already seen at an earlier position -> event at its second position
-    seen_twice = (
-        per_pos.select(*ROW_KEY, "_n", "n_ids", "pos", F.explode("_vals").alias("_v"))
-        .groupBy(*ROW_KEY, "_n", "n_ids", "_v")
-        .agg(F.array_sort(F.collect_list("pos")).alias("_ps"))
-        .select(*ROW_KEY, "_n", "n_ids", F.try_element_at("_ps", F.lit(2)).alias("pos"))
-        .where(F.col("pos").isNotNull())
-        .select(*ROW_KEY, "_n", "n_ids", "pos",
-                F.lit(None).cast("boolean").alias("has_doi"), F.lit(None).cast("string").alias("doi_prefix"),
-                F.lit(None).cast("boolean").alias("minor_type"), F.lit("A").alias("code"))
-    )
-    events = per_pos.drop("_vals").unionByName(seen_twice)
-    # earliest event as one long (position, then check order): a hash aggregate, no sort
+    # earliest D/B/E event as one long (position, then check order): no sort needed
     ev = F.when(F.col("code").isNotNull(), F.col("pos").cast("long") * 4 + _rank(F.col("code")))
     # "all DOIs share one prefix" = min and max of two independent prefix hashes agree
     h1 = F.xxhash64(F.col("doi_prefix"))
     h2 = F.hash(F.col("doi_prefix"))
     has_p = F.col("doi_prefix").isNotNull()
-    summary = events.groupBy(*ROW_KEY, "_n", "n_ids").agg(
-        F.min(ev).alias("first_event"),
+    summary = per_pos.groupBy(*ROW_KEY, "_n", "n_ids").agg(
+        F.min(ev).alias("_ev"),
+        F.collect_list(F.struct("pos", "_vals")).alias("_pv"),
         F.max(F.when(F.col("pos") == F.col("n_ids") - 1, F.col("has_doi"))).alias("last_has_doi"),
         F.min(F.when(has_p, h1)).alias("_h1min"), F.max(F.when(has_p, h1)).alias("_h1max"),
         F.min(F.when(has_p, h2)).alias("_h2min"), F.max(F.when(has_p, h2)).alias("_h2max"),
         F.max("minor_type").alias("any_minor"),
     )
+    # 'A': a PID value already seen at an earlier position. Sorting the record's own
+    # (value, position) pairs puts every repeat right after an earlier occurrence; the
+    # earliest such repeat is the position where the scan would have stopped.
+    pairs = F.array_sort(F.flatten(F.transform(
+        F.col("_pv"), lambda p: F.transform(p.getField("_vals"), lambda v: F.struct(v.alias("v"), p.getField("pos").alias("p"))))))
+    idx = F.sequence(F.lit(1), F.size(pairs) - 1)
+    repeats = F.filter(idx, lambda i: F.get(pairs, i).getField("v") == F.get(pairs, i - 1).getField("v"))
+    a_pos = F.when(F.size(pairs) >= 2, F.array_min(F.transform(repeats, lambda i: F.get(pairs, i).getField("p"))))
+    summary = summary.withColumn("first_event", F.least(F.col("_ev"), a_pos.cast("long") * 4))
     one_prefix = (F.col("_h1min") == F.col("_h1max")) & (F.col("_h2min") == F.col("_h2max"))
     same_issuer = F.coalesce(F.col("last_has_doi"), F.lit(False)) & F.coalesce(one_prefix, F.lit(False))
     codes = F.array(*[F.lit(c) for c in ("A", "D", "B", "E")])

@@ -18,6 +18,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # a tiny shuffle is not merged below 256 KB partitions, so CPU-heavy steps after it keep
+    # several tasks (large shuffles are governed by the 128 MB advisory size)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
