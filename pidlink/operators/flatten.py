@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from pidlink.functions import constants as K
 from pidlink.functions import non_blank, strip_prefix, tokens
@@ -153,11 +153,29 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
+ORD = "_ord"
+
+
 def load_order(df: DataFrame, order_col: str | None) -> tuple[DataFrame, str]:
-    """Use the caller's load-order column, else number rows right after the scan."""
+    """The load-order column: the caller's, else the reader's ``_ord`` (file, position),
+    else rows numbered here (only deterministic right after a scan or a stored table)."""
     if order_col and order_col in df.columns:
         return df, order_col
-    return df.withColumn("_ord", F.monotonically_increasing_id()), "_ord"
+    if ORD in df.columns:
+        return df, ORD
+    return df.withColumn(ORD, F.monotonically_increasing_id()), ORD
+
+
+def _ord(df: DataFrame) -> list[Column]:
+    """The record's load order, carried into every flattened row when the input has one."""
+    return [F.col(ORD)] if ORD in df.columns else []
+
+
+def _ord_at(df: DataFrame, *positions: str) -> list[Column]:
+    """Load order of an exploded element: (record order, position(s) in its lists)."""
+    if ORD not in df.columns:
+        return []
+    return [F.struct(F.col(ORD).alias("r"), *[F.col(p) for p in positions]).alias(ORD)]
 
 
 # ------------------------------------------------------------------ multi-mapped ids
@@ -212,8 +230,9 @@ def flatten_sources(sources: DataFrame, order_col: str | None = None) -> dict[st
     )
     et = _elem_type(first, "counts_by_year")
     cby = F.col("counts_by_year") if et is not None else F.array()
-    counts = first.select(F.col("id").alias("source_id"), F.explode(cby).alias("c")).select(
-        "source_id",
+    keep_pos = [F.col("_p").alias(ORD)] if ORD in sources.columns else []
+    counts = first.select(F.col("id").alias("source_id"), F.posexplode(cby).alias("_p", "c")).select(
+        "source_id", *keep_pos,
         _sub(et, F.col("c"), "year", "int").alias("year"),
         _sub(et, F.col("c"), "works_count", "bigint").alias("works_count"),
         _sub(et, F.col("c"), "cited_by_count", "bigint").alias("cited_by_count"),
@@ -241,6 +260,7 @@ def works_table(works: DataFrame) -> DataFrame:
         _json_text(F.col("abstract_inverted_index") if abstract_t else F.lit(None), abstract_t).alias(
             "abstract_inverted_index"),
         field(s, "language").alias("language"),
+        *_ord(works),
     )
 
 
@@ -259,10 +279,10 @@ def _location_rows(work_id: Column, loc: Column, loc_type: DataType | None) -> l
 def _single_location(works: DataFrame, name: str) -> DataFrame:
     lt = _lookup_type(works.schema, [name])
     if lt is None:
-        return works.limit(0).select(*_location_rows(F.col("id"), F.lit(None), None))
+        return works.limit(0).select(*_location_rows(F.col("id"), F.lit(None), None), *_ord(works))
     return (
         works.where(non_blank(F.col("id")))
-        .select(*_location_rows(F.col("id"), F.col(name), lt))
+        .select(*_location_rows(F.col("id"), F.col(name), lt), *_ord(works))
         .where(non_blank(F.col("source_id")))
     )
 
@@ -282,8 +302,8 @@ def works_locations(works: DataFrame) -> DataFrame:
     arr = F.col("locations") if et is not None else F.array()
     return (
         works.where(non_blank(F.col("id")))
-        .select(F.col("id").alias("_wid"), F.explode(arr).alias("_loc"))
-        .select(*_location_rows(F.col("_wid"), F.col("_loc"), et))
+        .select(F.col("id").alias("_wid"), *_ord(works), F.posexplode(arr).alias("_p", "_loc"))
+        .select(*_location_rows(F.col("_wid"), F.col("_loc"), et), *_ord_at(works, "_p"))
         .where(non_blank(F.col("source_id")))
     )
 
@@ -302,18 +322,20 @@ def works_authorships(works: DataFrame) -> DataFrame:
         )
     else:
         inst_ids = F.array().cast("array<string>")
-    return (
+    rows = (
         works.where(non_blank(F.col("id")))
-        .select(F.col("id").alias("work_id"), F.explode(arr).alias("_a"))
+        .select(F.col("id").alias("work_id"), *_ord(works), F.posexplode(arr).alias("_p", "_a"))
         .where(non_blank(_sub(et, a, "author.id")))
         .select(
-            "work_id",
+            "work_id", *_ord(works), "_p",
             _sub(et, a, "author_position").alias("author_position"),
             _sub(et, a, "author.id").alias("author_id"),
-            F.explode_outer(inst_ids).alias("institution_id"),
+            F.posexplode_outer(inst_ids).alias("_q", "institution_id"),
             _sub(et, a, "raw_affiliation_string").alias("raw_affiliation_string"),
         )
     )
+    return rows.select("work_id", "author_position", "author_id", "institution_id", "raw_affiliation_string",
+                       *_ord_at(works, "_p", "_q"))
 
 
 def _single_object(works: DataFrame, name: str, cols: list[tuple[str, str | None]]) -> DataFrame:
@@ -324,6 +346,7 @@ def _single_object(works: DataFrame, name: str, cols: list[tuple[str, str | None
         F.col("id").alias("work_id"),
         *[(_sub(t, F.col(name), c, cast) if t is not None else F.lit(None).cast(cast or "string")).alias(c)
           for c, cast in cols],
+        *_ord(works),
     )
 
 
@@ -345,8 +368,9 @@ def works_open_access(works: DataFrame) -> DataFrame:
 def _exploded(works: DataFrame, name: str) -> tuple[DataFrame, DataType | None]:
     et = _elem_type(works, name)
     arr = F.col(name) if et is not None else F.array()
-    df = works.where(non_blank(F.col("id"))).select(F.col("id").alias("work_id"), F.explode(arr).alias("_e"))
-    return df, et
+    df = works.where(non_blank(F.col("id"))).select(F.col("id").alias("work_id"), *_ord(works),
+                                                    F.posexplode(arr).alias("_p", "_e"))
+    return df.select("work_id", "_e", *_ord_at(works, "_p")), et
 
 
 def works_concepts(works: DataFrame) -> DataFrame:
@@ -354,7 +378,7 @@ def works_concepts(works: DataFrame) -> DataFrame:
     df, et = _exploded(works, "concepts")
     e = F.col("_e")
     return df.where(non_blank(_sub(et, e, "id"))).select(
-        "work_id", _sub(et, e, "id").alias("concept_id"), _sub(et, e, "score", "double").alias("score"))
+        "work_id", _sub(et, e, "id").alias("concept_id"), _sub(et, e, "score", "double").alias("score"), *_ord(df))
 
 
 def works_mesh(works: DataFrame) -> DataFrame:
@@ -364,12 +388,14 @@ def works_mesh(works: DataFrame) -> DataFrame:
         "work_id",
         *[_sub(et, e, c).alias(c) for c in ["descriptor_ui", "descriptor_name", "qualifier_ui", "qualifier_name"]],
         _sub(et, e, "is_major_topic", "boolean").alias("is_major_topic"),
+        *_ord(df),
     )
 
 
 def _work_links(works: DataFrame, name: str, out: str) -> DataFrame:
     df, _ = _exploded(works, name)
-    return df.where(non_blank(F.col("_e").cast("string"))).select("work_id", F.col("_e").cast("string").alias(out))
+    return df.where(non_blank(F.col("_e").cast("string"))).select(
+        "work_id", F.col("_e").cast("string").alias(out), *_ord(df))
 
 
 def works_referenced_works(works: DataFrame) -> DataFrame:
@@ -402,8 +428,8 @@ def flatten_works(works: DataFrame) -> dict[str, DataFrame]:
 def load_tables(tables: dict[str, DataFrame], order: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """Keyed keep-last load of flattened tables (the analysis database, as DataFrames).
 
-    ``order`` gives the load-order columns per table; tables without one are numbered
-    right after their scan.
+    ``order`` gives the load-order columns per table; otherwise the ``_ord`` the flattening
+    carried from the reader (record order, then position in its lists) decides.
     """
     out = {}
     for name, df in tables.items():
@@ -412,8 +438,5 @@ def load_tables(tables: dict[str, DataFrame], order: dict[str, list[str]] | None
         if not cols:
             df, oc = load_order(df, None)
             cols = [oc]
-        out[name] = keep_last(df, keys, cols).drop(*[c for c in cols if c.startswith("_")])
+        out[name] = keep_last(df, keys, cols).drop(ORD)
     return out
-
-
-_ = StringType  # re-exported type name used by callers building schemas

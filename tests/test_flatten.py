@@ -90,3 +90,26 @@ def test_mm_ids_and_semi_join(spark):
     assert rows(ids) == [("S1", "sources"), ("W1", "works"), ("W2", "works")]
     recs = spark.createDataFrame([("https://openalex.org/W1",), ("https://openalex.org/W3",)], "id string")
     assert rows(FL.select_records(recs, ids.where("entity = 'works'"))) == [("https://openalex.org/W1",)]
+
+
+def test_reader_load_order_decides_keep_last(spark, tmpdir_path):
+    import gzip
+    import os
+
+    from pidlink.sources import readers as R
+
+    d = os.path.join(tmpdir_path, "w")
+    os.makedirs(d)
+    with gzip.open(os.path.join(d, "a.gz"), "wt") as f:
+        for i in range(50):  # the same Work 50 times; the last record's values must win
+            f.write(json.dumps({"id": "https://openalex.org/W1", "type": f"t{i}",
+                                "ids": {"openalex": "https://openalex.org/W1", "pmid": f"p{i}"},
+                                "locations": [{"source": {"id": "S1"}, "version": f"v{i}a"},
+                                              {"source": {"id": "S1"}, "version": f"v{i}b"}]}) + "\n")
+    works = R.read_works(spark, d)
+    t = FL.flatten_works(works)
+    loaded = FL.load_tables({k: t[k] for k in ("works", "works_ids", "works_locations")})
+    assert [r.type for r in loaded["works"].collect()] == ["t49"]
+    assert [r.pmid for r in loaded["works_ids"].collect()] == ["p49"]
+    assert [r.version for r in loaded["works_locations"].collect()] == ["v49b"]
+    assert "_ord" not in loaded["works"].columns
