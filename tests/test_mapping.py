@@ -93,3 +93,26 @@ def test_venue_mapping_without_type(spark):
     ven = spark.createDataFrame([("omid:br/9", "issn:0044-295X")], "omid string, ids string")
     r = M.map_records(ven, golden_index(spark), type_field=False).collect()
     assert "type" not in r[0].asDict() and list(r[0]["openalex_ids"]) == ["S2754884180"]
+
+
+def test_mapping_with_a_hot_placeholder_pid(spark):
+    n = 3000
+    ents = spark.range(n).select(
+        F.concat(F.lit("omid:br/"), F.col("id").cast("string")).alias("omid"),
+        F.when(F.col("id") % 3 == 0, F.lit("doi:10.0/placeholder"))
+        .otherwise(F.concat(F.lit("doi:10.1/"), (F.col("id") % 700).cast("string"))).alias("ids"),
+        F.lit("t").alias("type"))
+    idx = spark.range(700).select(F.concat(F.lit("doi:10.1/"), F.col("id").cast("string")).alias("supported_id"),
+                                  F.concat(F.lit("W"), F.col("id").cast("string")).alias("openalex_id")) \
+        .unionByName(spark.createDataFrame([("doi:10.0/placeholder", "W900"), ("doi:10.0/placeholder", "W901")],
+                                           "supported_id string, openalex_id string"))
+    plain = rows(M.map_records(ents, idx, skew_min_rows=0), ["omid", "outcome", "n_openalex"])
+    spark.conf.set("pidlink.skew.minRows", "200")
+    spark.conf.set("pidlink.skew.rowsPerBucket", "100")
+    try:
+        salted = rows(M.map_records(ents, idx), ["omid", "outcome", "n_openalex"])
+    finally:
+        spark.conf.unset("pidlink.skew.minRows")
+        spark.conf.unset("pidlink.skew.rowsPerBucket")
+    assert plain == salted
+    assert sum(1 for r in plain if r[1] == M.MULTI_MAPPED) == 1000
