@@ -177,6 +177,16 @@ def write_pid_index(index: DataFrame, path: str, mode: str = "errorifexists") ->
     index.repartition("table_name").write.mode(mode).partitionBy("table_name").parquet(path)
 
 
+def write_bucketed_index(index: DataFrame, table: str, buckets: int, mode: str = "errorifexists") -> None:
+    """Store the index as a catalog table bucketed and sorted on ``supported_id``.
+
+    A mapping that joins this table then shuffles only the (smaller) Meta side: the index,
+    the largest input of the job, is read in place, bucket by bucket. Choose ``buckets``
+    so one bucket is about 128-256 MB.
+    """
+    index.write.mode(mode).bucketBy(buckets, "supported_id").sortBy("supported_id").saveAsTable(table)
+
+
 def index_summary(index: DataFrame) -> DataFrame:
     """Rows, distinct ids and duplicated ids per lookup table."""
     per_id = index.groupBy("table_name", "scheme", "supported_id").agg(F.count(F.lit(1)).alias("n"))

@@ -152,10 +152,15 @@ def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: Dat
 
 
 def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir: str, *,
-                all_rows: bool = True, rows_per_file: int = 10_000) -> dict[str, str]:
+                all_rows: bool = True, rows_per_file: int = 10_000, index_table: str | None = None,
+                index_buckets: int = 0) -> dict[str, str]:
     """Meta dump (zip or CSV folder) + OpenAlex Works/Sources dumps -> CSV folders:
     ``primary_ents``, ``venues``, ``resp_ags``, ``pid_index`` (parquet, by lookup table),
-    ``mapped``, ``multi_mapped`` (one file), ``non_mapped``, ``venues_mapping``."""
+    ``mapped``, ``multi_mapped`` (one file), ``non_mapped``, ``venues_mapping``.
+
+    With ``index_table`` and ``index_buckets`` the index is stored as a bucketed catalog
+    table instead, so both mappings (and later runs) join it without shuffling it.
+    """
     from pidlink.sources import readers as R
     from pidlink.sources import sinks as W
 
@@ -164,8 +169,13 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
     sources = R.read_sources(spark, sources_dir)
     paths = {k: f"{out_dir}/{k}" for k in ("primary_ents", "venues", "resp_ags", "pid_index", "mapped",
                                            "multi_mapped", "non_mapped", "venues_mapping")}
-    P.write_pid_index(build_index(works, sources), paths["pid_index"], mode="overwrite")
-    index = spark.read.parquet(paths["pid_index"])  # stored once, read by both mappings
+    if index_table and index_buckets > 0:
+        P.write_bucketed_index(build_index(works, sources), index_table, index_buckets, mode="overwrite")
+        index = spark.table(index_table)
+        paths["pid_index"] = index_table
+    else:
+        P.write_pid_index(build_index(works, sources), paths["pid_index"], mode="overwrite")
+        index = spark.read.parquet(paths["pid_index"])  # stored once, read by both mappings
     m = mapping_job(meta, works, sources, all_rows=all_rows, index=index)
     W.write_csv(m.primary_entities, paths["primary_ents"], rows_per_file)
     W.write_csv(m.venues, paths["venues"], rows_per_file)

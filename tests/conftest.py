@@ -14,8 +14,9 @@ def spark():
     from pidlink.session import build_session
 
     ckpt = tempfile.mkdtemp(prefix="pidlink-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="pidlink-test-wh-")
     s = build_session("local[4]", app="pidlink-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g", "spark.sql.warehouse.dir": wh})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

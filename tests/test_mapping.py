@@ -116,3 +116,24 @@ def test_mapping_with_a_hot_placeholder_pid(spark):
         spark.conf.unset("pidlink.skew.rowsPerBucket")
     assert plain == salted
     assert sum(1 for r in plain if r[1] == M.MULTI_MAPPED) == 1000
+
+
+def test_bucketed_index_is_joined_without_shuffling_it(spark):
+    import uuid
+
+    name = "idx_" + uuid.uuid4().hex[:8]
+    P.write_bucketed_index(golden_index(spark), name, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        r = M.map_records(read_golden(spark, "primary_ents.csv"), spark.table(name))
+        assert rows(M.mapped(r), ["omid", "openalex_id", "type"]) == rows(read_golden(spark, "mapped.csv"),
+                                                                           ["omid", "openalex_id", "type"])
+        def pid_shuffles(df):
+            return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(pid")
+
+        assert pid_shuffles(r) == 1  # only the Meta side is shuffled on the PID
+        assert pid_shuffles(M.map_records(read_golden(spark, "primary_ents.csv"), golden_index(spark))) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
