@@ -15,7 +15,6 @@ from pidlink.fixtures import fixture
 from pidlink.operators import categorize as C
 from pidlink.operators import extract as X
 from pidlink.operators import flatten as FL
-from pidlink.operators import mapping as M
 from pidlink.operators import pids as P
 from pidlink.operators import provenance as PV
 from pidlink.operators import stats as S
@@ -330,4 +329,3 @@ QUERIES: dict[str, Query] = {
     ]
 }
 
-_ = M  # mapping outcomes are reached through jobs.MappingResult

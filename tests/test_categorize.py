@@ -3,7 +3,6 @@
 import random
 import re
 
-from pyspark.sql import functions as F
 
 from pidlink.functions import constants as K
 from pidlink.operators import categorize as C

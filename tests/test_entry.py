@@ -4,7 +4,6 @@ import os
 
 import duckdb
 import pytest
-from conftest import ROOT
 
 import __spark_entry__ as E
 
@@ -42,5 +41,3 @@ def test_query_matches_oracle(spark, name):
     exp = sorted(tuple(norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == exp
 
-
-_ = ROOT
