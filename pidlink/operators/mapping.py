@@ -2,9 +2,11 @@
 
 Plan: de-duplicate input rows (keeping their multiplicity, so one output row per input
 row without a non-deterministic row id) -> choose the PIDs to look up (one tier) ->
-``explode_outer`` -> left join with the PID index on the PID (skew-salted) -> group the
-matches back per row (``collect_set``, partially aggregated) -> outcome by list size.
-Shuffles: the row de-duplication, the join on PID, the regroup on the row.
+``explode_outer`` -> left join with the PID index on the PID -> group the matches back per
+row (``collect_set``, partially aggregated) -> outcome by list size.
+Shuffles: the row de-duplication, the join on PID, the regroup on the row. A PID shared by
+very many records is split at run time by AQE's skew join; explicit salting of hot PIDs
+is used when ``pidlink.skew.minRows`` is set (see ``operators/skew.py``).
 """
 
 from __future__ import annotations

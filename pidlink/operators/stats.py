@@ -1,8 +1,9 @@
 """Counts, filters, distributions and pivots around the mapping outputs.
 
-All are projections and (partially aggregated) group-bys; the only join is the inverted
-multi-mapped check, done as "count per OpenAlex id, then join back" so that an id reached
-by very many records is counted map-side instead of being windowed in one task.
+All are projections and (partially aggregated) group-bys, plus two joins: the inverted
+multi-mapped check, done as "count per OpenAlex id, then semi join back" so that an id
+reached by very many records is counted map-side instead of being windowed in one task,
+and the venue/record overlap (distinct venue OMIDs left-joined to the record OMIDs).
 """
 
 from __future__ import annotations
