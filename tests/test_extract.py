@@ -78,3 +78,12 @@ def test_agent_without_brackets_is_skipped(spark):
                                  "")], "author string, publisher string, editor string")
     got = rows(X.responsible_agents(df))
     assert got == [("omid:ra/1", "orcid:1", "author"), ("omid:ra/3", "crossref:1", "publisher")]
+
+
+def test_unparsable_cells_are_reported(spark):
+    df = spark.createDataFrame(
+        [("omid:br/1 doi:a", "Venue without brackets", "A [omid:ra/1 orcid:1]; NoBracket", "", "", "t"),
+         ("omid:br/2 doi:b", "V [omid:br/8 issn:2]", "", "P", "", "t")],
+        "id string, venue string, author string, publisher string, editor string, type string")
+    assert X.unparsable_venues(df).count() == 1
+    assert rows(X.unparsable_agents(df)) == [("author", "NoBracket"), ("publisher", "P")]
