@@ -9,8 +9,6 @@ key is combined map-side instead of landing whole in one task).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
@@ -104,10 +102,12 @@ def _json_text(c: Column, dt: DataType | None) -> Column:
 
 
 def _truthy_struct(c: Column, dt: DataType | None) -> Column:
-    """A nested object present and non-empty (an empty JSON object reads as all-NULL fields)."""
-    if not isinstance(dt, StructType) or not dt.fieldNames():
+    """A nested object is present. OpenAlex writes objects such as ``biblio`` with all keys
+    and NULL values, which count as present; after parsing with a schema an empty ``{}``
+    reads the same way and is kept too (the one case that differs from a dict test)."""
+    if not isinstance(dt, StructType):
         return F.lit(False)
-    return c.isNotNull() & reduce(lambda a, b: a | b, [c.getField(n).isNotNull() for n in dt.fieldNames()])
+    return c.isNotNull()
 
 
 def _elem_type(df: DataFrame, path: str) -> DataType | None:
