@@ -25,11 +25,20 @@ def strip_prefix(c: str | Column, prefix: str) -> Column:
     return F.when(c.startswith(prefix), c.substr(F.lit(len(prefix) + 1), F.length(c))).otherwise(c)
 
 
-def bracket_content(c: str | Column) -> Column:
-    """Python ``v[v.index('[') + 1:v.index(']')]``; NULL when a bracket is missing."""
+def bracket_content(c: str | Column, last: bool = False) -> Column:
+    """Python ``v[v.index('[') + 1:v.index(']')]``; NULL when a bracket is missing.
+
+    ``last=True`` reads the last ``[...]`` instead (the first ``]`` after the last ``[``), for
+    names that contain brackets themselves.
+    """
     c = col_(c)
-    s = F.instr(c, "[")
-    e = F.instr(c, "]")
+    if last:
+        s = F.when(F.instr(c, "[") > 0, F.length(c) - F.instr(F.reverse(c), "[") + 1).otherwise(F.lit(0))
+        after = F.instr(c.substr(s + 1, F.length(c)), "]")
+        e = F.when((s > 0) & (after > 0), s + after).otherwise(F.lit(0))
+    else:
+        s = F.instr(c, "[")
+        e = F.instr(c, "]")
     length = e - s - 1
     body = F.when(length > 0, c.substr(s + 1, length)).otherwise(F.lit(""))
     return F.when((s > 0) & (e > 0), body)

@@ -55,7 +55,15 @@ def work_attributes(works_ids: DataFrame, works: DataFrame, primary_locations: D
     }
 
 
-def doi_events(doi: Column, version: Column) -> tuple[Column, Column, Column]:
+def preprint_clues(split_clues: bool = False) -> list[str]:
+    """The category-E clues. One entry fuses two clues with a blank, so it can never match
+    (kept for parity); ``split_clues=True`` uses its two parts as separate clues."""
+    if not split_clues:
+        return list(K.PREPRINT_STRING_CLUES)
+    return [part for clue in K.PREPRINT_STRING_CLUES for part in clue.split()]
+
+
+def doi_events(doi: Column, version: Column, split_clues: bool = False) -> tuple[Column, Column, Column]:
     """(normalised DOI, DOI prefix, event code D/B/E or NULL) of one position."""
     dn = strip_prefix(F.lower(doi), K.DOI_URI)
     prefix = F.substring_index(dn, "/", 1)
@@ -63,7 +71,7 @@ def doi_events(doi: Column, version: Column) -> tuple[Column, Column, Column]:
     is_d = dn.rlike(K.VERSION_PATTERN)
     is_b = prefix.isin(*K.PREPRINT_DOI_PREFIXES) & version.isin(*K.REPOSITORY_VERSIONS)
     is_e = F.lit(False)
-    for clue in K.PREPRINT_STRING_CLUES:
+    for clue in preprint_clues(split_clues):
         is_e = is_e | suffix.startswith(clue)
     has = non_blank(doi)
     code = F.when(has & is_d, "D").when(has & is_b, "B").when(has & is_e, "E")
@@ -75,7 +83,8 @@ def _rank(code: Column) -> Column:
     return F.when(code == "A", 0).when(code == "D", 1).when(code == "B", 2).otherwise(3)
 
 
-def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, primary_locations: DataFrame) -> DataFrame:
+def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, primary_locations: DataFrame,
+                     split_clues: bool = False) -> DataFrame:
     """Category of every multi-mapped row whose first id is a Work.
 
     Output: omid, openalex_id, type, category (one row per input row).
@@ -88,7 +97,7 @@ def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, prim
         .join(attrs["type"].withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
         .join(attrs["version"].withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
     )
-    _, prefix, code = doi_events(F.col("doi"), F.col("version"))
+    _, prefix, code = doi_events(F.col("doi"), F.col("version"), split_clues)
     has_doi = non_blank(F.col("doi"))
     per_pos = pos.select(
         *ROW_KEY, "_n", "n_ids", "pos",

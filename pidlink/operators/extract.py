@@ -48,13 +48,14 @@ def primary_entities(meta: DataFrame, all_rows: bool = True) -> DataFrame:
     )
 
 
-def venues(meta: DataFrame, all_rows: bool = True) -> DataFrame:
+def venues(meta: DataFrame, all_rows: bool = True, last_bracket: bool = False) -> DataFrame:
     """Distinct (omid, ids) of the venue cells having at least one external PID.
 
-    Cells without both brackets cannot be parsed and are dropped.
+    Cells without both brackets cannot be parsed and are dropped. The first ``[...]`` is
+    read (parity); ``last_bracket=True`` reads the last one, for names with brackets.
     """
     meta = skip_openalex_rows(meta, all_rows)
-    inner = bracket_content(F.col("venue"))
+    inner = bracket_content(F.col("venue"), last=last_bracket)
     tok = tokens(inner)
     omid, ids = _split_ids(tok)
     return (
@@ -76,14 +77,15 @@ def _ra_entities(field: str) -> Column:
     ).otherwise(F.array().cast("array<struct<ra_role:string,entity:string>>"))
 
 
-def responsible_agents(meta: DataFrame, all_rows: bool = True, fields=RA_FIELDS) -> DataFrame:
+def responsible_agents(meta: DataFrame, all_rows: bool = True, fields=RA_FIELDS,
+                       last_bracket: bool = False) -> DataFrame:
     """Distinct (omid, ids, ra_role) of authors, publishers and editors with an external PID.
 
-    Entities without both brackets are skipped.
+    Entities without both brackets are skipped; ``last_bracket`` as in ``venues``.
     """
     meta = skip_openalex_rows(meta, all_rows)
     ents = meta.select(F.explode(F.concat(*[_ra_entities(f) for f in fields])).alias("e"))
-    inner = bracket_content(F.col("e.entity"))
+    inner = bracket_content(F.col("e.entity"), last=last_bracket)
     tok = tokens(inner)
     omid, ids = _split_ids(tok)
     return (

@@ -109,3 +109,14 @@ def test_counts_pivot_and_json(spark):
     import json
     doc = json.loads(C.nested_counts_json(counts).collect()[0][0])
     assert doc["works"]["t"] == {"A": 1, "C": 1}
+
+
+def test_split_clues_option(spark):
+    mm = spark.createDataFrame([("a", "W1 W2", "t")], "omid string, openalex_id string, type string")
+    wid = spark.createDataFrame([(URI + "W1", URI + "W1", "10.1000/amrcopenres.1", None, None, None),
+                                 (URI + "W2", URI + "W2", "10.2000/x", None, None, None)],
+                                "work_id string, openalex string, doi string, mag string, pmid string, pmcid string")
+    wt = spark.createDataFrame([(URI + "W1", "article"), (URI + "W2", "article")], "id string, type string")
+    pl = spark.createDataFrame([], "work_id string, source_id string, version string")
+    assert C.categorize_works(mm, wid, wt, pl).collect()[0].category == "non classified"
+    assert C.categorize_works(mm, wid, wt, pl, split_clues=True).collect()[0].category == "E"

@@ -87,3 +87,11 @@ def test_unparsable_cells_are_reported(spark):
         "id string, venue string, author string, publisher string, editor string, type string")
     assert X.unparsable_venues(df).count() == 1
     assert rows(X.unparsable_agents(df)) == [("author", "NoBracket"), ("publisher", "P")]
+
+
+def test_last_bracket_option(spark):
+    df = spark.createDataFrame([("Proc. [2020] Conf [omid:br/1 issn:1]",), ("Plain [omid:br/2 issn:2]",)], "s string")
+    first = [r[0] for r in df.select(bracket_content("s")).collect()]
+    last = [r[0] for r in df.select(bracket_content("s", last=True)).collect()]
+    assert first == ["2020", "omid:br/2 issn:2"]
+    assert last == ["omid:br/1 issn:1", "omid:br/2 issn:2"]
