@@ -151,14 +151,14 @@ def register_base_tables(spark: SparkSession, sf_dir: str) -> None:
         base_table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
-_MEMO: dict[tuple[int, str, str], DataFrame] = {}
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a DataFrame, read from ``sf_dir`` (analysed once per session)."""
     if name not in FIXTURE_VIEWS:
         raise KeyError(name)
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)  # unique per running context
     if key not in _MEMO:
         register_base_tables(spark, sf_dir)
         _MEMO[key] = spark.sql(with_fixtures(f"SELECT * FROM {name}"))
