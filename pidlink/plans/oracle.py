@@ -211,6 +211,12 @@ o_rai AS (SELECT ra_role, {_bracket('e')} AS inner_ FROM o_raw),
 o_rat AS (SELECT ra_role, {_tokens('inner_')} AS t FROM o_rai WHERE inner_ IS NOT NULL)
 SELECT DISTINCT omid, ids, ra_role FROM (SELECT {_omid_of('t')} AS omid, {_ids_of('t')} AS ids, ra_role FROM o_rat)
 WHERE ids <> ''""",
+    "meta_unparsable_agents": f""",
+o_raw AS (
+  SELECT 'author' AS ra_role, unnest(string_split(author, '; ')) AS e FROM fx_meta WHERE author IS NOT NULL AND author <> ''
+  UNION ALL SELECT 'publisher', publisher FROM fx_meta WHERE publisher IS NOT NULL AND publisher <> ''
+  UNION ALL SELECT 'editor', unnest(string_split(editor, '; ')) FROM fx_meta WHERE editor IS NOT NULL AND editor <> '')
+SELECT ra_role, trim(e) AS entity FROM o_raw WHERE {_bracket('e')} IS NULL""",
     # ---------------------------------------------------------- PIDs
     "pids_works": INDEX + " SELECT supported_id, openalex_id FROM o_wp",
     "pids_sources": INDEX + " SELECT supported_id, openalex_id FROM o_sp",
@@ -291,6 +297,7 @@ WHERE referenced_work_id IS NOT NULL AND referenced_work_id <> ''""",
     # ---------------------------------------------------------- provenance
     "prov_sources_per_br": PROVENANCE + " SELECT br_uri, array_to_string(srcs, ' ') AS sources, "
                                         "len(srcs)::BIGINT AS n_sources FROM o_prov",
+    "prov_dropped_graphs": " SELECT br_uri || '/prov/' AS graph_id FROM fx_prov WHERE source_uri IS NULL",
     "prov_extra_brs": PROVENANCE + " SELECT omid, type, omid_only FROM o_extra",
     "prov_missing": PROVENANCE + f""" SELECT omid, type FROM o_rec r
 WHERE NOT EXISTS (SELECT 1 FROM o_prov p WHERE p.br_uri = replace(r.omid, 'omid:', {_q(K.META_URI)}))""",

@@ -71,6 +71,10 @@ def meta_primary_entities_new_only(spark, sf):
     return X.primary_entities(A.meta_rows(spark, sf), all_rows=False)
 
 
+def meta_unparsable_agents(spark, sf):
+    return X.unparsable_agents(A.meta_rows(spark, sf))
+
+
 # ------------------------------------------------------------------ PIDs
 
 
@@ -240,6 +244,10 @@ def prov_sources_per_br(spark, sf):
                     F.size("sources").cast("bigint").alias("n_sources"))
 
 
+def prov_dropped_graphs(spark, sf):
+    return PV.dropped_graphs(A.provenance_graphs(spark, sf)).select(F.col("`@id`").alias("graph_id"))
+
+
 def prov_extra_brs(spark, sf):
     return _provenance(spark, sf).extra
 
@@ -314,6 +322,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
         meta_primary_entities, meta_venues, meta_responsible_agents, meta_primary_entities_new_only,
+        meta_unparsable_agents,
         pids_works, pids_sources, pids_authors, pids_institutions, pids_publishers, pids_funders,
         pid_index_by_scheme,
         map_all, map_one_to_one, map_multi, map_unmapped, map_new_only, map_venues_untyped, outcome_counts,
@@ -322,7 +331,7 @@ QUERIES: dict[str, Query] = {
         flat_best_oa_locations, flat_authorships, flat_biblio, flat_concepts, flat_works_ids, flat_mesh,
         flat_open_access, flat_referenced, flat_related, upsert_keep_last,
         mm_categories_works, mm_categories_sources, mm_category_counts, mm_category_pivot,
-        prov_sources_per_br, prov_extra_brs, prov_missing, prov_counts, prov_by_type, prov_pivot,
+        prov_sources_per_br, prov_dropped_graphs, prov_extra_brs, prov_missing, prov_counts, prov_by_type, prov_pivot,
         prov_contribution,
         mm_composition, mm_filter, mm_distribution, mm_type_stats, mm_histogram, mm_api_urls,
         inverted_multi_mapped, venue_row_overlap, coverage_meta, coverage_openalex,
