@@ -78,17 +78,16 @@ def map_venues(venues: DataFrame, index: DataFrame) -> DataFrame:
 
 
 @dataclass
-class AnalysisTables:
+class WorkTables:
     works_ids: DataFrame
     works: DataFrame
     works_primary_locations: DataFrame
-    sources_ids: DataFrame
 
 
-def analysis_tables(multi_mapped: DataFrame, works: DataFrame, sources: DataFrame,
-                    order: dict[str, list[str]] | None = None, materialize: bool = True) -> AnalysisTables:
-    """Select the multi-mapped Works (semi join), flatten Works and all Sources, load them
-    keyed (keep-last). Only the tables the categories read are built.
+def work_tables(multi_mapped: DataFrame, works: DataFrame, order: dict[str, list[str]] | None = None,
+                materialize: bool = True) -> WorkTables:
+    """Select the multi-mapped Works (semi join), flatten them and load keyed (keep-last)
+    the three tables the categories read.
 
     The selected Works feed three tables, so they are written once (checkpoint) like the
     full-metadata files of the source workflow, instead of being re-selected per table.
@@ -99,16 +98,36 @@ def analysis_tables(multi_mapped: DataFrame, works: DataFrame, sources: DataFram
         mm_works = cut_lineage(mm_works)
     w = {"works_ids": FL.works_ids(mm_works), "works": FL.works_table(mm_works),
          "works_primary_locations": FL.works_primary_locations(mm_works)}
-    s = FL.flatten_sources(sources)
-    loaded = FL.load_tables({**w, "sources_ids": s["sources_ids"]}, order)
-    return AnalysisTables(loaded["works_ids"], loaded["works"], loaded["works_primary_locations"],
-                          loaded["sources_ids"])
+    loaded = FL.load_tables(w, order)
+    return WorkTables(loaded["works_ids"], loaded["works"], loaded["works_primary_locations"])
+
+
+def source_ids_table(sources: DataFrame, order: dict[str, list[str]] | None = None) -> DataFrame:
+    """``sources_ids`` of all Sources (first record per id), loaded keyed."""
+    return FL.load_tables({"sources_ids": FL.flatten_sources(sources)["sources_ids"]}, order)["sources_ids"]
 
 
-@dataclass
 class Categories:
-    works: DataFrame
-    sources: DataFrame
+    """Categories of the multi-mapped records. Each side is built on first use, so asking
+    for the Sources categories never selects or stores Works."""
+
+    def __init__(self, multi_mapped: DataFrame, works: DataFrame, sources: DataFrame, materialize: bool = True):
+        self.multi_mapped, self._works_in, self._sources_in = multi_mapped, works, sources
+        self._materialize = materialize
+        self._works = self._sources = None
+
+    @property
+    def works(self) -> DataFrame:
+        if self._works is None:
+            t = work_tables(self.multi_mapped, self._works_in, materialize=self._materialize)
+            self._works = C.categorize_works(self.multi_mapped, t.works_ids, t.works, t.works_primary_locations)
+        return self._works
+
+    @property
+    def sources(self) -> DataFrame:
+        if self._sources is None:
+            self._sources = C.categorize_sources(self.multi_mapped, source_ids_table(self._sources_in))
+        return self._sources
 
     def counts(self) -> DataFrame:
         return C.category_counts(self.works, self.sources)
@@ -120,11 +139,7 @@ def categorisation_job(multi_mapped: DataFrame, works: DataFrame, sources: DataF
     checkpointed once unless the caller passes an already stored table."""
     if materialize:
         multi_mapped = cut_lineage(multi_mapped)
-    t = analysis_tables(multi_mapped, works, sources, materialize=materialize)
-    return Categories(
-        C.categorize_works(multi_mapped, t.works_ids, t.works, t.works_primary_locations),
-        C.categorize_sources(multi_mapped, t.sources_ids),
-    )
+    return Categories(multi_mapped, works, sources, materialize)
 
 
 # ------------------------------------------------------------------ E3 provenance
