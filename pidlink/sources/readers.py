@@ -141,3 +141,12 @@ def read_provenance_counts(spark: SparkSession, path: str) -> DataFrame:
         .select("type", F.explode("by_source").alias("source", "c"))
         .select("type", "source", "c.omid_only", "c.other_pids")
     )
+
+
+def copy_json_lines(spark: SparkSession, in_dir: str, out_dir: str, glob: str = "*.gz",
+                    rows_per_file: int = 10_000) -> None:
+    """Uncompressed copy of a JSON-lines dump (every well-formed line, as written), rolled
+    every ``rows_per_file`` lines. Malformed lines are skipped."""
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(in_dir)
+             .where(F.get_json_object("value", "$").isNotNull()))
+    lines.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(out_dir)

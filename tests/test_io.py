@@ -123,3 +123,14 @@ def test_run_mapping_end_to_end(spark, tmpdir_path):
     assert rows(mapped) == rows(read_golden(spark, "mapped.csv"), ["omid", "openalex_id", "type"])
     assert R.read_csv_tables(spark, paths["non_mapped"]).count() == 13
     assert len([f for f in os.listdir(paths["multi_mapped"]) if f.endswith(".csv")]) == 1
+
+
+def test_copy_json_lines_skips_malformed(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "src")
+    os.makedirs(d)
+    with gzip.open(os.path.join(d, "part.gz"), "wt") as f:
+        f.write('{"id": "S1"}\n{oops\n{"id": "S2", "name": "Zoë"}\n')
+    out = os.path.join(tmpdir_path, "copy")
+    R.copy_json_lines(spark, d, out)
+    back = spark.read.json(out)
+    assert rows(back, ["id"]) == [("S1",), ("S2",)]
