@@ -172,21 +172,17 @@ def meta_coverage(meta: DataFrame) -> DataFrame:
 
 def openalex_coverage(works: DataFrame, sources: DataFrame) -> DataFrame:
     """Works and Sources totals, how many have at least one PID the other catalogue
-    supports (the mapping's own extractors decide), the percentage; plus a total row."""
-
-    def one(df: DataFrame, label: str, arr: Column) -> DataFrame:
-        return df.where(F.col("id").isNotNull()).agg(
-            F.lit(label).alias("entity"), F.count(F.lit(1)).alias("n_records"),
-            F.count(F.when(F.size(arr) > 0, True)).alias("n_with_pid"))
-
-    both = one(works, "works", P.work_pid_array(works)).unionByName(
-        one(sources, "sources", P.source_pid_array(sources)))
-    total = both.agg(F.lit("total").alias("entity"), F.sum("n_records").alias("n_records"),
-                     F.sum("n_with_pid").alias("n_with_pid"))
-    out = both.unionByName(total)
-    return out.select(
-        "entity", F.col("n_records").cast("bigint").alias("n_records"),
-        F.col("n_with_pid").cast("bigint").alias("n_with_pid"),
+    supports (the mapping's own extractors decide), the percentage; plus a total row.
+    One aggregation with grouping sets (per entity, and all)."""
+    flags = works.where(F.col("id").isNotNull()).select(
+        F.lit("works").alias("entity"), (F.size(P.work_pid_array(works)) > 0).alias("has_pid")
+    ).unionByName(sources.where(F.col("id").isNotNull()).select(
+        F.lit("sources").alias("entity"), (F.size(P.source_pid_array(sources)) > 0).alias("has_pid")))
+    agg = flags.groupingSets([["entity"], []], "entity").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_records"),
+        F.count(F.when(F.col("has_pid"), True)).cast("bigint").alias("n_with_pid"))
+    return agg.select(
+        F.coalesce(F.col("entity"), F.lit("total")).alias("entity"), "n_records", "n_with_pid",
         F.round(F.col("n_with_pid") * 100.0 / F.col("n_records"), 2).alias("pct_with_pid"),
     )
 
