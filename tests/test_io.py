@@ -134,3 +134,78 @@ def test_copy_json_lines_skips_malformed(spark, tmpdir_path):
     R.copy_json_lines(spark, d, out)
     back = spark.read.json(out)
     assert rows(back, ["id"]) == [("S1",), ("S2",)]
+
+
+def _gz_lines(path, recs):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with gzip.open(path, "wt", encoding="utf-8") as f:
+        for r in recs:
+            f.write(json.dumps(r) + "\n")
+
+
+def test_run_categorisation_end_to_end(spark, tmpdir_path):
+    from pidlink.plans import jobs as J
+
+    mm_dir = os.path.join(tmpdir_path, "mm")
+    os.makedirs(mm_dir)
+    with open(os.path.join(mm_dir, "multi_mapped_omids.csv"), "w") as f:
+        f.write('"omid","openalex_id","type"\n"omid:br/1","W1 W2","journal article"\n'
+                '"omid:br/2","W3 W4","book"\n"omid:br/3","S1 S2","journal"\n')
+    U = K.OPENALEX_URI
+    _gz_lines(os.path.join(tmpdir_path, "works", "p.gz"), [
+        {"id": U + "W1", "type": "article", "ids": {"openalex": U + "W1", "doi": "https://doi.org/10.1234/x.v2"}},
+        {"id": U + "W2", "type": "article", "ids": {"openalex": U + "W2", "doi": "https://doi.org/10.1234/x"}},
+        {"id": U + "W3", "type": "article", "ids": {"openalex": U + "W3", "pmid": "P1"}},
+        {"id": U + "W4", "type": "article", "ids": {"openalex": U + "W4", "pmid": "P1"}},
+        {"id": U + "W9", "type": "article", "ids": {"openalex": U + "W9"}},
+    ])
+    _gz_lines(os.path.join(tmpdir_path, "sources", "p.gz"), [
+        {"id": U + "S1", "ids": {"openalex": U + "S1", "issn": ["1"]}},
+        {"id": U + "S2", "ids": {"openalex": U + "S2", "issn": ["1", "2"]}},
+    ])
+    out = os.path.join(tmpdir_path, "out")
+    paths = J.run_categorisation(spark, mm_dir, os.path.join(tmpdir_path, "works"),
+                                 os.path.join(tmpdir_path, "sources"), out)
+    got = {r.omid: r.category for r in R.read_csv_tables(spark, paths["works_categories"]).collect()}
+    assert got == {"omid:br/1": "D", "omid:br/2": "A"}
+    src = {r.omid: r.category for r in R.read_csv_tables(spark, paths["sources_categories"]).collect()}
+    assert src == {"omid:br/3": "A"}
+    doc = R.read_category_counts(spark, paths["counts_json"])
+    assert doc.where("entity = 'works'").count() == 2
+
+
+def test_run_provenance_end_to_end(spark, tmpdir_path):
+    from pidlink.plans import jobs as J
+
+    M_ = K.META_URI
+
+    def inner(name, obj):
+        b = io.BytesIO()
+        with zipfile.ZipFile(b, "w") as z:
+            z.writestr(name, json.dumps(obj))
+        return b.getvalue()
+
+    prov = [{"@id": M_ + "br/06076/prov/", "@graph": [
+        {K.PROV_PRIMARY_SOURCE: [{"@id": "https://api.crossref.org/"}],
+         K.PROV_SPECIALIZATION_OF: [{"@id": M_ + "br/06076"}]}]},
+        {"@id": M_ + "br/0699/prov/", "@graph": [
+            {K.PROV_PRIMARY_SOURCE: [{"@id": "https://api.datacite.org/"}],
+             K.PROV_SPECIALIZATION_OF: [{"@id": M_ + "br/0699"}]}]}]
+    brs = [{"@id": "g", "@graph": [
+        {"@id": M_ + "br/0699", "@type": [K.FABIO_EXPRESSION, "http://purl.org/spar/fabio/Book"]},
+        {"@id": M_ + "br/06076", "@type": [K.FABIO_EXPRESSION]}]}]
+    path = os.path.join(tmpdir_path, "rdf.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("rdf/br/060/10000/1000/prov/se.zip", inner("se.json", prov))
+        z.writestr("rdf/br/060/10000/1000.zip", inner("1000.json", brs))
+    pe, nm = os.path.join(tmpdir_path, "pe"), os.path.join(tmpdir_path, "nm")
+    os.makedirs(pe)
+    os.makedirs(nm)
+    shutil.copy(golden("primary_ents.csv"), os.path.join(pe, "a.csv"))
+    shutil.copy(golden("unmapped.csv"), os.path.join(nm, "a.csv"))
+    paths = J.run_provenance(spark, path, pe, nm, os.path.join(tmpdir_path, "out"))
+    extra = rows(R.read_csv_tables(spark, paths["extra_br"]))
+    assert extra == [("omid:br/0699", "book", "true")]
+    counts = rows(R.read_provenance_counts(spark, paths["counts_json"]))
+    assert counts == [("book", "https://api.datacite.org/", 1, 0), ("book series", "https://api.crossref.org/", 0, 1)]
+    assert R.read_csv_tables(spark, paths["missing"]).count() == 12
