@@ -209,3 +209,21 @@ def test_run_provenance_end_to_end(spark, tmpdir_path):
     counts = rows(R.read_provenance_counts(spark, paths["counts_json"]))
     assert counts == [("book", "https://api.datacite.org/", 1, 0), ("book series", "https://api.crossref.org/", 0, 1)]
     assert R.read_csv_tables(spark, paths["missing"]).count() == 12
+
+
+def test_command_line_mapping(spark, tmpdir_path):
+    from pidlink.__main__ import main
+
+    works = os.path.join(tmpdir_path, "works")
+    _gz_lines(os.path.join(works, "p.gz"), [
+        {"id": "https://openalex.org/W2006761296",
+         "ids": {"doi": "https://doi.org/10.1002/1522-239x(200205)113:1/2<152::aid-fedr152>3.0.co;2-1"}}])
+    sources = os.path.join(tmpdir_path, "sources")
+    _gz_lines(os.path.join(sources, "p.gz"), [{"id": "https://openalex.org/S1", "ids": {"issn": ["2411-8974"]}}])
+    meta = os.path.join(tmpdir_path, "meta")
+    os.makedirs(meta)
+    shutil.copy(golden("meta_sample.csv"), os.path.join(meta, "m.csv"))
+    out = main(["mapping", "--meta", meta, "--works", works, "--sources", sources, "--out",
+                os.path.join(tmpdir_path, "out")])
+    mapped = {r.omid: r.openalex_id for r in R.read_csv_tables(spark, out["mapped"]).collect()}
+    assert mapped == {"omid:br/06041": "W2006761296", "omid:br/06076": "S1"}
