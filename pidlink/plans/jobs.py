@@ -171,7 +171,8 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
                 index_buckets: int = 0) -> dict[str, str]:
     """Meta dump (zip or CSV folder) + OpenAlex Works/Sources dumps -> CSV folders:
     ``primary_ents``, ``venues``, ``resp_ags``, ``pid_index`` (parquet, by lookup table),
-    ``mapped``, ``multi_mapped`` (one file), ``non_mapped``, ``venues_mapping``.
+    ``mapped``, ``multi_mapped`` (one file), ``non_mapped``, and the same three for venues
+    (``venues_*``, without type).
 
     With ``index_table`` and ``index_buckets`` the index is stored as a bucketed catalog
     table instead, so both mappings (and later runs) join it without shuffling it.
@@ -183,7 +184,8 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
     works = R.read_works(spark, works_dir)
     sources = R.read_sources(spark, sources_dir)
     paths = {k: f"{out_dir}/{k}" for k in ("primary_ents", "venues", "resp_ags", "pid_index", "mapped",
-                                           "multi_mapped", "non_mapped", "venues_mapping")}
+                                           "multi_mapped", "non_mapped", "venues_mapped", "venues_multi_mapped",
+                                           "venues_non_mapped")}
     if index_table and index_buckets > 0:
         P.write_bucketed_index(build_index(works, sources), index_table, index_buckets, mode="overwrite")
         index = spark.table(index_table)
@@ -199,9 +201,10 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
     W.write_csv(M.mapped(result), paths["mapped"], rows_per_file)
     W.write_single_csv(M.multi_mapped(result), paths["multi_mapped"])
     W.write_csv(M.unmapped(result), paths["non_mapped"], rows_per_file)
-    vres = map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index)
-    W.write_csv(vres.select("omid", F.array_join("openalex_ids", " ").alias("openalex_id"), "outcome"),
-                paths["venues_mapping"], rows_per_file)
+    vres = cut_lineage(map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index))
+    W.write_csv(M.mapped(vres), paths["venues_mapped"], rows_per_file)
+    W.write_single_csv(M.multi_mapped(vres), paths["venues_multi_mapped"])
+    W.write_csv(M.unmapped(vres), paths["venues_non_mapped"], rows_per_file)
     return paths
 
 
@@ -231,7 +234,7 @@ def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir
     res = provenance_job(R.read_provenance_graphs(spark, br_rdf_zip), R.read_br_nodes(spark, br_rdf_zip),
                          R.read_csv_tables(spark, primary_ents_dir), R.read_csv_tables(spark, non_mapped_dir))
     paths = {k: f"{out_dir}/{k}" for k in ("extra_br", "counts", "counts_json", "missing")}
-    W.write_csv(res.extra, paths["extra_br"])
+    W.write_csv(res.extra.select("omid", "type", W.flag_text("omid_only")), paths["extra_br"])
     counts = cut_lineage(res.counts)
     W.write_csv(counts, paths["counts"])
     W.write_document(W.provenance_document(counts), paths["counts_json"])

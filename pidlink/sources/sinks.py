@@ -41,10 +41,27 @@ def write_document(doc: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def provenance_document(counts: DataFrame) -> DataFrame:
     """{type: {source: {omid_only, other_pids}}} as one JSON text row, from the small
-    aggregated counts table."""
-    by_type = counts.groupBy("type").agg(F.map_from_entries(F.collect_list(F.struct(
-        "source", F.struct("omid_only", "other_pids")))).alias("m"))
-    return by_type.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("type", "m")))).alias("json"))
+    aggregated counts table; sources by total (descending) inside a type, types by their
+    total (descending), as the keys are written in order."""
+    total = F.col("omid_only") + F.col("other_pids")
+    by_type = counts.groupBy("type").agg(
+        F.sum(total).alias("_t"),
+        F.array_sort(F.collect_list(F.struct((-total).alias("_k"), "source", F.struct("omid_only", "other_pids")
+                                             .alias("v")))).alias("_e"))
+    by_type = by_type.select("type", "_t", F.map_from_entries(F.transform(
+        "_e", lambda e: F.struct(e.getField("source"), e.getField("v")))).alias("m"))
+    def by_key(a, b):
+        ka, kb = a.getField("_k"), b.getField("_k")
+        return F.when(ka < kb, -1).when(ka > kb, 1).otherwise(0)
+
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("_t")).alias("_k"), "type", "m")), by_key)
+    return by_type.agg(F.to_json(F.map_from_entries(F.transform(
+        ordered, lambda e: F.struct(e.getField("type"), e.getField("m"))))).alias("json"))
+
+
+def flag_text(c: str) -> "F.Column":
+    """A boolean flag as the text the source tables use: 'True' or empty."""
+    return F.when(F.col(c), F.lit("True")).otherwise(F.lit("")).alias(c)
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -205,7 +205,11 @@ def test_run_provenance_end_to_end(spark, tmpdir_path):
     shutil.copy(golden("unmapped.csv"), os.path.join(nm, "a.csv"))
     paths = J.run_provenance(spark, path, pe, nm, os.path.join(tmpdir_path, "out"))
     extra = rows(R.read_csv_tables(spark, paths["extra_br"]))
-    assert extra == [("omid:br/0699", "book", "true")]
+    assert extra == [("omid:br/0699", "book", "True")]
+    import json as _json
+    doc = _json.loads(open([os.path.join(paths["counts_json"], f) for f in os.listdir(paths["counts_json"])
+                            if f.endswith(".txt")][0]).read())
+    assert list(doc) == ["book", "book series"] or list(doc) == ["book series", "book"]
     counts = rows(R.read_provenance_counts(spark, paths["counts_json"]))
     assert counts == [("book", "https://api.datacite.org/", 1, 0), ("book series", "https://api.crossref.org/", 0, 1)]
     assert R.read_csv_tables(spark, paths["missing"]).count() == 12
