@@ -93,7 +93,9 @@ def work_tables(multi_mapped: DataFrame, works: DataFrame, order: dict[str, list
     full-metadata files of the source workflow, instead of being re-selected per table.
     """
     keys = FL.mm_oaids(multi_mapped)
-    mm_works = FL.select_records(works, keys.where(F.col("entity") == "works"))
+    # only these fields are read below: prune the scan and keep the stored copy narrow
+    needed = [c for c in ("id", "type", "ids", "primary_location", FL.ORD) if c in works.columns]
+    mm_works = FL.select_records(works.select(*needed), keys.where(F.col("entity") == "works"))
     if materialize:
         mm_works = cut_lineage(mm_works)
     w = {"works_ids": FL.works_ids(mm_works), "works": FL.works_table(mm_works),
@@ -104,7 +106,8 @@ def work_tables(multi_mapped: DataFrame, works: DataFrame, order: dict[str, list
 
 def source_ids_table(sources: DataFrame, order: dict[str, list[str]] | None = None) -> DataFrame:
     """``sources_ids`` of all Sources (first record per id), loaded keyed."""
-    return FL.load_tables({"sources_ids": FL.flatten_sources(sources)["sources_ids"]}, order)["sources_ids"]
+    narrow = sources.select(*[c for c in ("id", "ids", FL.ORD) if c in sources.columns])
+    return FL.load_tables({"sources_ids": FL.flatten_sources(narrow)["sources_ids"]}, order)["sources_ids"]
 
 
 class Categories:
