@@ -32,9 +32,14 @@ def graph_provenance(graphs: DataFrame) -> DataFrame:
     described = F.filter(g, lambda s: F.size(F.coalesce(s.getField(K.PROV_SPECIALIZATION_OF), F.array())) > 0)
     br = F.try_element_at(
         F.try_element_at(described, F.lit(1)).getField(K.PROV_SPECIALIZATION_OF), F.lit(1)).getField("@id")
+    # Filter on a cheap existence test first: a filter written on the built arrays would be
+    # pushed below the projection and build them twice.
+    has_source = F.exists(g, lambda s: F.exists(F.coalesce(s.getField(K.PROV_PRIMARY_SOURCE), F.array()),
+                                                lambda o: o.getField("@id").isNotNull()))
     return (
-        graphs.select(br.alias("br_uri"), sources.alias("sources"))
-        .where((F.size("sources") > 0) & F.col("br_uri").isNotNull())
+        graphs.where(has_source)
+        .select(br.alias("br_uri"), sources.alias("sources"))
+        .where(F.col("br_uri").isNotNull())
     )
 
 
