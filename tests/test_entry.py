@@ -11,6 +11,14 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("orders", "customer", "lineitem", "supplier"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
 def test_keys_match():
     assert set(E.queries()) == set(E.oracle_sql())
 
@@ -21,12 +29,9 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["map_all", "mm_categories_works", "mm_category_counts", "prov_counts",
-                                  "prov_pivot", "meta_responsible_agents", "upsert_keep_last", "mm_distribution"])
-def test_query_matches_oracle(spark, name):
-    con = duckdb.connect()
-    for t in ("orders", "customer", "lineitem", "supplier"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    con = duck
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
