@@ -55,163 +55,163 @@ def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
 # ------------------------------------------------------------------ extraction
 
 
-def meta_primary_entities(spark, sf):
+def meta_primary_entities(spark: SparkSession, sf: str) -> DataFrame:
     return X.primary_entities(A.meta_rows(spark, sf))
 
 
-def meta_venues(spark, sf):
+def meta_venues(spark: SparkSession, sf: str) -> DataFrame:
     return X.venues(A.meta_rows(spark, sf))
 
 
-def meta_responsible_agents(spark, sf):
+def meta_responsible_agents(spark: SparkSession, sf: str) -> DataFrame:
     return X.responsible_agents(A.meta_rows(spark, sf))
 
 
-def meta_primary_entities_new_only(spark, sf):
+def meta_primary_entities_new_only(spark: SparkSession, sf: str) -> DataFrame:
     return X.primary_entities(A.meta_rows(spark, sf), all_rows=False)
 
 
-def meta_unparsable_agents(spark, sf):
+def meta_unparsable_agents(spark: SparkSession, sf: str) -> DataFrame:
     return X.unparsable_agents(A.meta_rows(spark, sf))
 
 
 # ------------------------------------------------------------------ PIDs
 
 
-def pids_works(spark, sf):
+def pids_works(spark: SparkSession, sf: str) -> DataFrame:
     return P.openalex_ids_table(A.work_records(spark, sf), "work")
 
 
-def pids_sources(spark, sf):
+def pids_sources(spark: SparkSession, sf: str) -> DataFrame:
     return P.openalex_ids_table(A.source_records(spark, sf), "source")
 
 
-def pids_authors(spark, sf):
+def pids_authors(spark: SparkSession, sf: str) -> DataFrame:
     return P.openalex_ids_table(A.agent_records(spark, sf, "author"), "author")
 
 
-def pids_institutions(spark, sf):
+def pids_institutions(spark: SparkSession, sf: str) -> DataFrame:
     return P.openalex_ids_table(A.agent_records(spark, sf, "institution"), "institution")
 
 
-def pids_publishers(spark, sf):
+def pids_publishers(spark: SparkSession, sf: str) -> DataFrame:
     return P.openalex_ids_table(A.agent_records(spark, sf, "publisher"), "publisher")
 
 
-def pids_funders(spark, sf):
+def pids_funders(spark: SparkSession, sf: str) -> DataFrame:
     return P.openalex_ids_table(A.agent_records(spark, sf, "funder"), "funder")
 
 
-def pid_index_by_scheme(spark, sf):
+def pid_index_by_scheme(spark: SparkSession, sf: str) -> DataFrame:
     return P.index_summary(J.build_index(A.work_records(spark, sf), A.source_records(spark, sf)))
 
 
 # ------------------------------------------------------------------ mapping
 
 
-def map_all(spark, sf):
+def map_all(spark: SparkSession, sf: str) -> DataFrame:
     return _map_view(_mapping(spark, sf).result)
 
 
-def map_one_to_one(spark, sf):
+def map_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
     return _mapping(spark, sf).mapped()
 
 
-def map_multi(spark, sf):
+def map_multi(spark: SparkSession, sf: str) -> DataFrame:
     return _mapping(spark, sf).multi_mapped()
 
 
-def map_unmapped(spark, sf):
+def map_unmapped(spark: SparkSession, sf: str) -> DataFrame:
     return _mapping(spark, sf).unmapped()
 
 
-def map_new_only(spark, sf):
+def map_new_only(spark: SparkSession, sf: str) -> DataFrame:
     return _map_view(_mapping(spark, sf, all_rows=False).result)
 
 
-def map_venues_untyped(spark, sf):
+def map_venues_untyped(spark: SparkSession, sf: str) -> DataFrame:
     m = _mapping(spark, sf)
     r = J.map_venues(m.venues, m.index)
     return r.select("omid", F.array_join("openalex_ids", " ").alias("openalex_id"), "n_openalex", "outcome")
 
 
-def outcome_counts(spark, sf):
+def outcome_counts(spark: SparkSession, sf: str) -> DataFrame:
     return S.outcome_counts(_mapping(spark, sf).result)
 
 
 # ------------------------------------------------------------------ multi-mapped ids, flattening
 
 
-def mm_ids_distinct(spark, sf):
+def mm_ids_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return FL.mm_oaids(_multi(spark, sf))
 
 
-def full_metadata_semi_join(spark, sf):
+def full_metadata_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     keys = FL.mm_oaids(_multi(spark, sf)).where(F.col("entity") == "works")
     return FL.select_records(A.work_records(spark, sf), keys).select("id", "doi", "type")
 
 
-def flat_sources(spark, sf):
+def flat_sources(spark: SparkSession, sf: str) -> DataFrame:
     return FL.flatten_sources(A.source_records(spark, sf))["sources"]
 
 
-def flat_sources_ids(spark, sf):
+def flat_sources_ids(spark: SparkSession, sf: str) -> DataFrame:
     return FL.flatten_sources(A.source_records(spark, sf))["sources_ids"]
 
 
-def flat_sources_counts(spark, sf):
+def flat_sources_counts(spark: SparkSession, sf: str) -> DataFrame:
     return FL.flatten_sources(A.source_count_records(spark, sf))["sources_counts_by_year"]
 
 
-def flat_works(spark, sf):
+def flat_works(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_table(A.work_records(spark, sf))
 
 
-def flat_primary_locations(spark, sf):
+def flat_primary_locations(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_primary_locations(A.location_records(spark, sf, "primary_location"))
 
 
-def flat_locations(spark, sf):
+def flat_locations(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_locations(A.locations_list_records(spark, sf))
 
 
-def flat_best_oa_locations(spark, sf):
+def flat_best_oa_locations(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_best_oa_locations(A.location_records(spark, sf, "best_oa_location"))
 
 
-def flat_authorships(spark, sf):
+def flat_authorships(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_authorships(A.authorship_records(spark, sf))
 
 
-def flat_biblio(spark, sf):
+def flat_biblio(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_biblio(A.biblio_records(spark, sf))
 
 
-def flat_concepts(spark, sf):
+def flat_concepts(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_concepts(A.line_list_records(spark, sf))
 
 
-def flat_works_ids(spark, sf):
+def flat_works_ids(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_ids(A.work_records(spark, sf))
 
 
-def flat_mesh(spark, sf):
+def flat_mesh(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_mesh(A.line_list_records(spark, sf))
 
 
-def flat_open_access(spark, sf):
+def flat_open_access(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_open_access(A.open_access_records(spark, sf))
 
 
-def flat_referenced(spark, sf):
+def flat_referenced(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_referenced_works(A.reference_records(spark, sf))
 
 
-def flat_related(spark, sf):
+def flat_related(spark: SparkSession, sf: str) -> DataFrame:
     return FL.works_related_works(A.reference_records(spark, sf))
 
 
-def upsert_keep_last(spark, sf):
+def upsert_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     a = fixture(spark, sf, "fx_authorships")
     return FL.keep_last(a, FL.PRIMARY_KEYS["works_authorships"], ["ord1", "ord2", "ord3"])
 
@@ -219,102 +219,102 @@ def upsert_keep_last(spark, sf):
 # ------------------------------------------------------------------ categories
 
 
-def mm_categories_works(spark, sf):
+def mm_categories_works(spark: SparkSession, sf: str) -> DataFrame:
     return _categories(spark, sf).works
 
 
-def mm_categories_sources(spark, sf):
+def mm_categories_sources(spark: SparkSession, sf: str) -> DataFrame:
     return _categories(spark, sf).sources
 
 
-def mm_category_counts(spark, sf):
+def mm_category_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _categories(spark, sf).counts()
 
 
-def mm_category_pivot(spark, sf):
+def mm_category_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return C.category_pivot(_categories(spark, sf).counts())
 
 
 # ------------------------------------------------------------------ provenance
 
 
-def prov_sources_per_br(spark, sf):
+def prov_sources_per_br(spark: SparkSession, sf: str) -> DataFrame:
     p = PV.provenance_table(A.provenance_graphs(spark, sf))
     return p.select("br_uri", F.array_join("sources", " ").alias("sources"),
                     F.size("sources").cast("bigint").alias("n_sources"))
 
 
-def prov_dropped_graphs(spark, sf):
+def prov_dropped_graphs(spark: SparkSession, sf: str) -> DataFrame:
     return PV.dropped_graphs(A.provenance_graphs(spark, sf)).select(F.col("`@id`").alias("graph_id"))
 
 
-def prov_extra_brs(spark, sf):
+def prov_extra_brs(spark: SparkSession, sf: str) -> DataFrame:
     return _provenance(spark, sf).extra
 
 
-def prov_missing(spark, sf):
+def prov_missing(spark: SparkSession, sf: str) -> DataFrame:
     return _provenance(spark, sf).missing
 
 
-def prov_counts(spark, sf):
+def prov_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _provenance(spark, sf).counts
 
 
-def prov_by_type(spark, sf):
+def prov_by_type(spark: SparkSession, sf: str) -> DataFrame:
     return PV.provenance_by_type(_provenance(spark, sf).counts)
 
 
-def prov_pivot(spark, sf):
+def prov_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return PV.provenance_pivot(_provenance(spark, sf).counts)
 
 
-def prov_contribution(spark, sf):
+def prov_contribution(spark: SparkSession, sf: str) -> DataFrame:
     return PV.contribution_by_source(_provenance(spark, sf).counts)
 
 
 # ------------------------------------------------------------------ statistics
 
 
-def mm_composition(spark, sf):
+def mm_composition(spark: SparkSession, sf: str) -> DataFrame:
     return S.with_composition(_multi(spark, sf))
 
 
-def mm_filter(spark, sf):
+def mm_filter(spark: SparkSession, sf: str) -> DataFrame:
     return S.filter_mm(S.with_composition(_multi(spark, sf)), "journal article", "works", 2)
 
 
-def mm_distribution(spark, sf):
+def mm_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return S.distribution_by_type(_multi(spark, sf))
 
 
-def mm_type_stats(spark, sf):
+def mm_type_stats(spark: SparkSession, sf: str) -> DataFrame:
     return S.type_stats(_multi(spark, sf))
 
 
-def mm_histogram(spark, sf):
+def mm_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return S.histogram(_multi(spark, sf))
 
 
-def mm_api_urls(spark, sf):
+def mm_api_urls(spark: SparkSession, sf: str) -> DataFrame:
     u = S.api_urls(_multi(spark, sf), verbose=True)
     return u.select("omid", F.array_join("openalex_id", " ").alias("openalex_id"), "type")
 
 
-def inverted_multi_mapped(spark, sf):
+def inverted_multi_mapped(spark: SparkSession, sf: str) -> DataFrame:
     # the 1:1 table is read twice (count per id, then the rows): stored once first
     return S.inverted_multi_mapped(_mapping(spark, sf).materialized().mapped())
 
 
-def venue_row_overlap(spark, sf):
+def venue_row_overlap(spark: SparkSession, sf: str) -> DataFrame:
     m = _mapping(spark, sf)
     return S.venue_row_overlap(A.meta_rows(spark, sf), PV.processed_omids(m.primary_entities))
 
 
-def coverage_meta(spark, sf):
+def coverage_meta(spark: SparkSession, sf: str) -> DataFrame:
     return S.meta_coverage(A.meta_rows(spark, sf))
 
 
-def coverage_openalex(spark, sf):
+def coverage_openalex(spark: SparkSession, sf: str) -> DataFrame:
     return S.openalex_coverage(A.work_records(spark, sf), A.source_records(spark, sf))
 
 
