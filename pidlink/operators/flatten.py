@@ -73,21 +73,14 @@ def _lookup_type(dt: DataType, path: list[str]) -> DataType | None:
     return dt
 
 
-def field(df_or_type, path: str, base: Column | None = None, cast: str | None = None) -> Column:
-    """Nested field ``a.b.c`` of a column (or of the DataFrame), NULL when the schema lacks it."""
+def field(df_or_type, path: str, cast: str | None = None) -> Column:
+    """Column ``a.b.c`` of a DataFrame (or schema), NULL when the schema lacks it."""
     root_type = df_or_type.schema if isinstance(df_or_type, DataFrame) else df_or_type
     parts = path.split(".")
-    if base is None:
-        dt = _lookup_type(root_type, parts)
-        c = None if dt is None else F.col(parts[0])
-        rest = parts[1:]
-    else:
-        dt = _lookup_type(root_type, parts)
-        c = None if dt is None else base
-        rest = parts
-    if c is None:
+    if _lookup_type(root_type, parts) is None:
         return F.lit(None).cast(cast or "string")
-    for p in rest:
+    c = F.col(parts[0])
+    for p in parts[1:]:
         c = c.getField(p)
     return c.cast(cast) if cast else c
 
