@@ -137,3 +137,35 @@ def test_bucketed_index_is_joined_without_shuffling_it(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_aqe_splits_the_hot_pid_partition(spark):
+    n = 20000
+    ents = spark.range(n).select(
+        F.concat(F.lit("omid:br/"), F.col("id").cast("string")).alias("omid"),
+        F.when(F.col("id") % 3 == 0, F.lit("doi:10.0/placeholder"))
+        .otherwise(F.concat(F.lit("doi:10.1/"), F.col("id").cast("string"))).alias("ids"),
+        F.lit("t").alias("type"))
+    idx = spark.createDataFrame([("doi:10.0/placeholder", "W1"), ("doi:10.1/5", "W2")],
+                                "supported_id string, openalex_id string")
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        r = M.map_records(ents, idx, skew_min_rows=0)
+        got = {x.outcome: x.n for x in r.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+        qe = r._jdf.queryExecution()
+        qe.toRdd().count()  # run this DataFrame's own plan so AQE finalises it
+        plan = qe.executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    hot = len(range(0, n, 3))
+    assert got == {"mapped": hot + 1, "unmapped": n - hot - 1}
+    assert "SortMergeJoin(skew=true)" in plan
