@@ -231,3 +231,24 @@ def test_command_line_mapping(spark, tmpdir_path):
                 os.path.join(tmpdir_path, "out")])
     mapped = {r.omid: r.openalex_id for r in R.read_csv_tables(spark, out["mapped"]).collect()}
     assert mapped == {"omid:br/06041": "W2006761296", "omid:br/06076": "S1"}
+
+
+def test_create_refuses_an_existing_table(spark, tmpdir_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from pidlink.operators import pids as P
+
+    df = spark.createDataFrame([("doi:a", "W1"), ("issn:1", "S1")], "supported_id string, openalex_id string")
+    idx = P.pid_index(df, df)
+    path = os.path.join(tmpdir_path, "index")
+    P.write_pid_index(idx, path)
+    assert sorted(f for f in os.listdir(path) if f.startswith("table_name=")) == [
+        "table_name=SourcesIssn", "table_name=WorksDoi"]
+    with pytest.raises(AnalysisException):
+        P.write_pid_index(idx, path)
+    W.create(df, os.path.join(tmpdir_path, "t"))
+    with pytest.raises(AnalysisException):
+        W.create(df, os.path.join(tmpdir_path, "t"))
+    W.append(df, os.path.join(tmpdir_path, "t"))
+    assert spark.read.parquet(os.path.join(tmpdir_path, "t")).count() == 4
