@@ -252,3 +252,14 @@ def test_create_refuses_an_existing_table(spark, tmpdir_path):
         W.create(df, os.path.join(tmpdir_path, "t"))
     W.append(df, os.path.join(tmpdir_path, "t"))
     assert spark.read.parquet(os.path.join(tmpdir_path, "t")).count() == 4
+
+
+def test_flat_json_lines_skip_blank_lines_and_other_files(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "flat")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.json"), "w") as f:
+        f.write('{"id": "https://openalex.org/S1", "issn": ["1"]}\n\n   \n{"id": "https://openalex.org/S2"}\n')
+    with open(os.path.join(d, "notes.txt"), "w") as f:
+        f.write('{"id": "https://openalex.org/S9"}\n')
+    recs = R.read_json_records(spark, d, SC.source_schema())
+    assert rows(recs, ["id"]) == [("https://openalex.org/S1",), ("https://openalex.org/S2",)]
