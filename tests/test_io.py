@@ -263,3 +263,13 @@ def test_flat_json_lines_skip_blank_lines_and_other_files(spark, tmpdir_path):
         f.write('{"id": "https://openalex.org/S9"}\n')
     recs = R.read_json_records(spark, d, SC.source_schema())
     assert rows(recs, ["id"]) == [("https://openalex.org/S1",), ("https://openalex.org/S2",)]
+
+
+def test_provenance_document_is_ordered_by_totals(spark):
+    counts = spark.createDataFrame(
+        [("book", "a", 1, 0), ("book", "b", 0, 5), ("journal", "a", 10, 10), ("book", "c", 2, 2)],
+        "type string, source string, omid_only bigint, other_pids bigint")
+    doc = json.loads(W.provenance_document(counts).collect()[0][0])
+    assert list(doc) == ["journal", "book"]
+    assert list(doc["book"]) == ["b", "c", "a"]
+    assert doc["book"]["c"] == {"omid_only": 2, "other_pids": 2}
