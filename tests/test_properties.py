@@ -56,3 +56,19 @@ def test_categories_cover_every_multi_mapped_row(spark):
     assert total == mm.count()
     outcomes = {r.outcome: r.n for r in m.result.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
     assert sum(outcomes.values()) == m.primary_entities.count()
+
+
+def test_version_regex_same_in_java_and_python(spark):
+    import re
+
+    from pidlink.functions import constants as K
+
+    rng = random.Random(5)
+    alphabet = list("v./0123456789abx") + ["\n"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(600)]
+    texts += ["10.1/abc.v1", "10.1/abc/v12/x", "10.1/x/3", "10.1/xv2", "10.1/abcv2", "10.1/a.v123"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = {r.i: r.m for r in df.select("i", F.col("s").rlike(K.VERSION_PATTERN).alias("m")).collect()}
+    pattern = re.compile(K.VERSION_PATTERN)
+    for i, t in enumerate(texts):
+        assert got[i] == bool(pattern.findall(t)), repr(t)
