@@ -15,6 +15,7 @@ from pidlink.fixtures import fixture
 from pidlink.operators import categorize as C
 from pidlink.operators import extract as X
 from pidlink.operators import flatten as FL
+from pidlink.operators import mapping as M
 from pidlink.operators import pids as P
 from pidlink.operators import provenance as PV
 from pidlink.operators import stats as S
@@ -46,10 +47,11 @@ def _categories(spark: SparkSession, sf: str) -> J.Categories:
 
 
 def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
-    m = _mapping(spark, sf).materialized()
-    # the stored mapping result has one row per processed record: its OMIDs are the set
-    return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), m.result.select("omid"),
-                            m.unmapped())
+    # the mapping result is read twice (processed OMIDs, unmapped records): store only the
+    # columns those need; it has one row per processed record, so its OMIDs are the set
+    res = J.cut_lineage(_mapping(spark, sf).result.select("omid", "type", "outcome"))
+    return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), res.select("omid"),
+                            M.unmapped(res))
 
 
 # ------------------------------------------------------------------ extraction
