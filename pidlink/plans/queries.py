@@ -304,7 +304,7 @@ def mm_api_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 def inverted_multi_mapped(spark: SparkSession, sf: str) -> DataFrame:
     # the 1:1 table is read twice (count per id, then the rows): stored once first
-    return S.inverted_multi_mapped(_mapping(spark, sf).materialized().mapped())
+    return S.inverted_multi_mapped(J.cut_lineage(_mapping(spark, sf).mapped()))
 
 
 def venue_row_overlap(spark: SparkSession, sf: str) -> DataFrame:
