@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pidlink.llm import exact_dedup, mixing
+from pidlink.llm import exact_dedup, mixing, near_dedup
 from pidlink.llm.common import documents
 
 
+def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(documents(spark, sf_dir))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(documents(spark, sf_dir))
 
@@ -18,6 +21,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_simhash_pivots": op4_simhash_pivots,
     "op5_source_mix": op5_source_mix,
     "op10_exact_dedup": op10_exact_dedup,
 }
