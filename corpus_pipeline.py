@@ -6,24 +6,43 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pidlink.llm import exact_dedup, mixing
-from pidlink.llm.common import documents
+from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model
+from pidlink.llm.common import documents, labels
+from pidlink.llm.queries import vocabulary
 from pidlink.session import checkpoint_dir
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance resampling rejects go."""
+    return quality_model.keep_good(docs, labels(spark, sf_dir))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays, the one with the largest id."""
     return exact_dedup.drop_exact(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    return near_dedup.drop_near(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, once or more or not at all, until sources have their target sizes."""
     return mixing.mix(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text: doc_id, lang, source, n_tokens, ids."""
+    return bpe_trie.encoded(docs, vocabulary(), keep=("doc_id", "lang", "source"))
+
+
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact),
+    ("near_dedup", near),
     ("source_mix", mixed),
+    ("bpe", tokens),
 ]
 
 #: The stages sample, hash and tokenize in ways that SQL has no functions for.

@@ -3,9 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pidlink.llm import exact_dedup, mixing, near_dedup
-from pidlink.llm.common import documents
+from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model, token_counts
+from pidlink.llm.common import documents, labels
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary(name: str = VOCABULARY) -> str:
+    """Path of a vocabulary file of the installed package of public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_rows(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), vocabulary())
 
 
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +34,22 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(documents(spark, sf_dir))
 
 
+def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe_trie.encoded(documents(spark, sf_dir), vocabulary(), packed=True, decoded=True)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.with_digest(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_importance_resampling": op2_importance_resampling,
+    "op3_token_counts": op3_token_counts,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_source_mix": op5_source_mix,
+    "op7_bpe_trie": op7_bpe_trie,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
