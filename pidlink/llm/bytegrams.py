@@ -11,6 +11,8 @@ U64 = np.uint64
 #: Odd multipliers of the polynomial and of the final mixing (any odd 64-bit numbers do).
 BASES = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
 MIX = U64(0xD6E8FEB86659FD93)
+#: Bytes whose running sums are held at once (a longer word is a block of its own).
+BLOCK = 1 << 19
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -66,15 +68,25 @@ def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(at, starts, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A 64-bit polynomial hash of each word, from one running sum over the buffer (a word's
-    sum is aligned by a power of the base, so it does not depend on its place)."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    size = len(data)
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Rabin-Karp hash of each span of a sequence of numbers: the polynomial of its values
+    modulo 2**64. All spans are taken from one running sum; a power of the base aligns each to
+    the same place, so equal spans have equal hashes wherever they stand."""
+    size = len(values)
     pw = powers(int(base), size + 1)
-    total = np.concatenate([np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * pw[:size][::-1], dtype=U64)])
-    # byte j carries base**(size-1-j): shift the word's end to a fixed place with the inverse
+    total = np.concatenate([np.zeros(1, U64), np.cumsum(values.astype(U64) * pw[:size][::-1], dtype=U64)])
     inverse = powers(pow(int(base), -1, 1 << 64), size + 1)
-    h = (total[ends] - total[starts]) * inverse[size - ends]
-    return mixed(h + (ends - starts).astype(U64))
+    return (total[ends] - total[starts]) * inverse[size - ends]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """A 64-bit hash of each word, block by block of the buffer."""
+    out = np.empty(len(starts), U64)
+    first = 0
+    while first < len(starts):
+        last = max(int(np.searchsorted(ends, starts[first] + BLOCK, side="right")), first + 1)
+        a, b = starts[first], ends[last - 1]
+        s, e = starts[first:last] - a, ends[first:last] - a
+        out[first:last] = mixed(span_hashes(data[a:b].astype(U64) + U64(1), s, e, base) + (e - s).astype(U64))
+        first = last
+    return out

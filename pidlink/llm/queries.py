@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model, token_counts
+from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model, substring_dedup, token_counts
 from pidlink.llm.common import documents, labels
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,13 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(documents(spark, sf_dir))
 
 
+def op6_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.without_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]).cast("long"))
+    return rows.select("doc_id", "n_words", removed.alias("n_removed"),
+                       F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe_trie.encoded(documents(spark, sf_dir), vocabulary(), packed=True, decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -49,11 +56,31 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_source_mix": op5_source_mix,
+    "op6_repeated_windows": op6_repeated_windows,
     "op7_bpe_trie": op7_bpe_trie,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op6_repeated_windows": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        n AS (SELECT doc_id, words, len(words) AS n_words FROM w),
+        win AS (
+            SELECT doc_id, i, hash(list_slice(words, i, i + 49)) AS h, md5(array_to_string(list_slice(words, i, i + 49), ' ')) AS m
+            FROM n, unnest(generate_series(1, n_words - 49)) AS t(i)),
+        first AS (SELECT h, m, min(doc_id) AS first_id FROM win GROUP BY h, m),
+        hit AS (SELECT win.doc_id, win.i FROM win JOIN first USING (h, m) WHERE win.doc_id > first.first_id),
+        gone AS (
+            SELECT doc_id, list(DISTINCT i + j) AS at FROM hit, unnest(generate_series(0, 49)) AS u(j) GROUP BY doc_id),
+        kept AS (
+            SELECT n.doc_id, n.n_words, coalesce(len(gone.at), 0) AS n_removed,
+                   CASE WHEN gone.at IS NULL THEN words ELSE list_filter(words, lambda x, k: NOT list_contains(gone.at, k)) END AS rest
+            FROM n LEFT JOIN gone USING (doc_id))
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+               sha256(array_to_string(rest, ' ')) AS kept_sha256
+        FROM kept
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
