@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model, substring_dedup, token_counts
+from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model, quality_rules, substring_dedup, token_counts
 from pidlink.llm.common import documents, labels
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -47,6 +47,10 @@ def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.with_digest(documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_repeated_windows": op6_repeated_windows,
     "op7_bpe_trie": op7_bpe_trie,
+    "op9_decision_list": op9_decision_list,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
