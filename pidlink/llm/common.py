@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int, max_r
     """Slices of Arrow batches that hold at most ``max_bytes`` of ``column`` and ``max_rows``
     rows (a single longer text is a slice of its own). Slices copy nothing."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         first, held = 0, 0
         for i, size in enumerate(sizes):
             if i > first and (held + size > max_bytes or i - first >= max_rows):

@@ -7,7 +7,6 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 
 from pidlink.llm.common import pieces

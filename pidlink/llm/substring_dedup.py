@@ -31,7 +31,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +98,7 @@ def hash_batches(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.
         begin = np.searchsorted(doc, np.arange(len(batch)))
         runs = batch.column("runs")
         flat = runs.flatten()
-        row = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(runs).to_numpy())
+        row = np.repeat(np.arange(len(batch)), pc.list_value_length(runs).to_numpy())
         start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
         at = begin[row] + start
         bounds = np.concatenate([[0], np.cumsum(n)])
@@ -125,7 +125,7 @@ def repeat_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             continue
         col = {name: batch.column(name) for name in batch.schema.names}
         key, salt, ids = (col[c].to_numpy() for c in ("key", "salt", "id"))
-        sizes = pa.compute.list_value_length(col["hashes"]).to_numpy()
+        sizes = pc.list_value_length(col["hashes"]).to_numpy()
         row = np.repeat(np.arange(len(batch)), sizes)
         h = col["hashes"].flatten().to_numpy()
         place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + col["start"].to_numpy()[row]

@@ -17,7 +17,7 @@ from functools import lru_cache, partial
 from itertools import chain
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +80,7 @@ def count_batches(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.R
     for batch in pieces(batches, "text", CHUNK_BYTES, 4096):
         texts = batch.column("text")
         n = pa.array(count.lengths(texts.to_pylist()), pa.int64())
-        size = pa.compute.binary_length(texts).fill_null(0).cast(pa.int64())
+        size = pc.binary_length(texts).fill_null(0).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), size, n], ["doc_id", "n_bytes", "n_tokens"])
 
 
