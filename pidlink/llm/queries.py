@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model, quality_rules, substring_dedup, token_counts
+from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_counts
 from pidlink.llm.common import documents, labels
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -47,6 +47,18 @@ def op7_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def _spans(column: str) -> Column:
+    return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op8_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and the digest are of the base spans; n_added is what the method adds."""
+    rows = pii.personal_data(documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return rows.select("doc_id", *counts, F.sha2(F.encode(_spans("base"), "UTF-8"), 256).alias("base_sha256"),
+                       _spans("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
+
+
 def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -62,6 +74,7 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_repeated_windows": op6_repeated_windows,
     "op7_bpe_trie": op7_bpe_trie,
+    "op8_deobfuscated_pii": op8_deobfuscated_pii,
     "op9_decision_list": op9_decision_list,
     "op10_exact_dedup": op10_exact_dedup,
 }
