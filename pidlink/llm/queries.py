@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_counts
+from pidlink.llm import bpe_trie, exact_dedup, language_id, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_counts
 from pidlink.llm.common import documents, labels
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_byte_birnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(documents(spark, sf_dir))
+
+
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_rows(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -68,6 +72,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_birnn": op1_byte_birnn,
     "op2_importance_resampling": op2_importance_resampling,
     "op3_token_counts": op3_token_counts,
     "op4_simhash_pivots": op4_simhash_pivots,
