@@ -125,8 +125,8 @@ def _tile_row(key: int, part: int, tile: int, fps: np.ndarray) -> pa.RecordBatch
                                         "members": fps.view(np.int64).tolist()}], schema=_SCHEMA)
 
 
-def link_groups(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, part, fp), sorted -> links inside each (key, part) of up to TILE rows; of
+def link_groups(batches: Iterable[pa.RecordBatch], bits: int, tile: int = TILE) -> Iterator[pa.RecordBatch]:
+    """Rows (key, part, fp), sorted -> links inside each (key, part) of up to ``tile`` rows; of
     larger ones, links inside each tile, and the tiles. Holds a batch and a tile at most."""
     key, part, fps = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     tiles = 0  # of the group that the held rows begin with
@@ -144,15 +144,15 @@ def link_groups(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
         while len(fps):
             change = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
             first_end = change[0] if len(change) else len(fps)
-            if first_end > TILE or (tiles and len(change)):  # the next tile of a large group
-                cut = min(first_end, TILE)
+            if first_end > tile or (tiles and len(change)):  # the next tile of a large group
+                cut = min(first_end, tile)
                 yield from finished(cut)
                 yield _tile_row(int(key[0]), int(part[0]), tiles, fps[:cut])
                 tiles = tiles + 1 if first_end > cut or not len(change) else 0
                 key, part, fps = key[cut:], part[cut:], fps[cut:]
                 continue
             sizes = np.diff(np.concatenate([[0], change]))  # of the groups that are complete
-            large = np.flatnonzero(sizes > TILE)
+            large = np.flatnonzero(sizes > tile)
             upto = change[large[0] - 1] if len(large) else change[-1] if len(change) else 0
             if not upto:
                 break
@@ -178,12 +178,12 @@ def link_tiles(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.Reco
                 yield edges
 
 
-def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links(classes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
     """A spanning set of the links between distinct fingerprints: (a, b)."""
     keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in block_masks(max_bits)])
     keyed = classes.select(F.posexplode(keys).alias("key", "part"), "fp")
     grouped = keyed.repartition("key", "part").sortWithinPartitions("key", "part", "fp")
-    found = stored(grouped.mapInArrow(partial(link_groups, bits=max_bits), LINKS), "near-links")
+    found = stored(grouped.mapInArrow(partial(link_groups, bits=max_bits, tile=tile), LINKS), "near-links")
     tiles = found.where(F.col("members").isNotNull()).select("key", "part", "tile", "members")
     other = tiles.select("key", "part", F.col("tile").alias("o_tile"), F.col("members").alias("others"))
     crossed = tiles.join(other, ["key", "part"]).where("tile < o_tile").select("members", "others")
@@ -191,11 +191,12 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found.where(F.col("a").isNotNull()).select("a", "b").unionByName(across.select("a", "b"))
 
 
-def near_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+def near_components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                    tile: int = TILE) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id (smallest id reachable)."""
     fps = stored(fingerprints(docs, shingle_words), "near-fps")
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "near-classes")
-    roots = components(links(classes, max_bits))
+    roots = components(links(classes, max_bits, tile))
     # a root has no row of its own: it is added as pointing at itself
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     linked = classes.join(roots, classes["fp"] == roots["node"]).select("fp", "root", "first_id")

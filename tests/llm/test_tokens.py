@@ -1,0 +1,85 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+P = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+from pidlink.llm import bpe_trie, token_counts  # noqa: E402
+from pidlink.llm.boundaries import safe_parts  # noqa: E402
+from pidlink.llm.queries import QUERIES, vocabulary  # noqa: E402
+
+PIECES = ["a", "b", "the", " ", "  ", "\n", " \n", "\t", "'s", "'re", "'", "12", "3", "é", "ü", "中文", "😀", "<|endoftext|>",
+          "<|endof", "!!", "...", "$$$", " x", "\x1c", "\u0085", "ing", "Ω", "́", "٣", "½", "_", "ß", "​", "\r\n",
+          "don't ", "I'LL", " '", "﻿", "　", "zzzzzzzz"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(vocabulary())
+
+
+def samples(n):
+    rng = random.Random(5)
+    out = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+    return [*out, "", None, "a" * 3000, "ab" * 2000 + " " * 500 + "c", "x " * 20000, "  ", " a", "a ", "\n\n b"]
+
+
+def test_parts_rebuild_the_text():
+    for text in samples(500):
+        if text is not None:
+            assert " ".join(safe_parts(text)) == text
+
+
+def test_encoding_and_decoding_equal_the_library(library):
+    texts = samples(3000)
+    enc = bpe_trie.TrieEncoder(vocabulary())
+    want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    got = enc.encode_batch(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert [enc.decode(g) for g in got] == [library.decode(w, skip_special_tokens=False) for w in want]
+    assert token_counts.LengthCounter(vocabulary()).lengths(texts) == [len(w) for w in want]
+
+
+def test_tables_may_be_forgotten_at_any_time(library):
+    enc = bpe_trie.TrieEncoder(vocabulary())
+    enc.known_words, enc.known_heads, enc.known_tails = (bpe_trie.Remembered(4) for _ in range(3))
+    counter = token_counts.LengthCounter(vocabulary())
+    texts = samples(300)
+    for i in range(0, len(texts), 7):
+        some = texts[i:i + 7]
+        want = [e.ids for e in library.encode_batch([t or "" for t in some], add_special_tokens=False)]
+        assert [np.frombuffer(g, "<u4").tolist() for g in enc.encode_batch(some)] == want
+        counter.known.clear()
+        assert counter.lengths(some) == [len(w) for w in want]
+
+
+def test_operators(make_docs, library):
+    texts = samples(200)
+    docs = make_docs([(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, "null id")])
+    want = {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts)}
+    rows = bpe_trie.encoded(docs, vocabulary(), decoded=True).collect()
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        if r.doc_id is not None:
+            assert (list(r.ids), r.n_tokens, r.decoded) == (want[r.doc_id], len(want[r.doc_id]), texts[r.doc_id] or "")
+    for r in token_counts.token_counts(docs, vocabulary()).collect():
+        if r.doc_id is not None:
+            n = len(want[r.doc_id])
+            assert (r.n_tokens, r.n_bytes, r.over_limit) == (n, len((texts[r.doc_id] or "").encode()), n > 1024)
+    assert bpe_trie.encoded(docs.limit(0), vocabulary()).count() == 0
+    assert token_counts.token_counts(docs.limit(0), vocabulary()).count() == 0
+
+
+def test_registered_queries(spark, library):
+    sf = "/root/testdata/sf0.001"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in QUERIES["op7_bpe_trie"](spark, sf).collect():
+        ids = library.encode(text[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    for r in QUERIES["op3_token_counts"](spark, sf).collect():
+        assert r.n_tokens == len(library.encode(text[r.doc_id], add_special_tokens=False).ids)
