@@ -215,7 +215,7 @@ def learn_rules(stats: DataFrame, labels: DataFrame) -> list[Rule]:
     cuts = cut_points(rows)
     rules: list[Rule] = []
     left = rows
-    while len(rules) < MAX_RULES:
+    while any(cuts.values()) and len(rules) < MAX_RULES:
         rule = _prune(left.where("fold = 0"), _grow(left.where("fold <> 0"), cuts))
         if not rule:
             break
