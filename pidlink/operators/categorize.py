@@ -110,29 +110,26 @@ def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, prim
 
     # earliest D/B/E event as one long (position, then check order): no sort needed
     ev = F.when(F.col("code").isNotNull(), F.col("pos").cast("long") * 4 + _rank(F.col("code")))
-    # "all DOIs share one prefix" = min and max of two independent prefix hashes agree
-    h1 = F.xxhash64(F.col("doi_prefix"))
-    h2 = F.hash(F.col("doi_prefix"))
-    has_p = F.col("doi_prefix").isNotNull()
     summary = per_pos.groupBy(*ROW_KEY, "_n", "n_ids").agg(
         F.min(ev).alias("_ev"),
         F.collect_list(F.struct("pos", "_vals")).alias("_pv"),
         F.max(F.when(F.col("pos") == F.col("n_ids") - 1, F.col("has_doi"))).alias("last_has_doi"),
-        F.min(F.when(has_p, h1)).alias("_h1min"), F.max(F.when(has_p, h1)).alias("_h1max"),
-        F.min(F.when(has_p, h2)).alias("_h2min"), F.max(F.when(has_p, h2)).alias("_h2max"),
+        (F.min("doi_prefix") == F.max("doi_prefix")).alias("one_prefix"),
         F.max("minor_type").alias("any_minor"),
     )
     # 'A': a PID value already seen at an earlier position. Sorting the record's own
     # (value, position) pairs puts every repeat right after an earlier occurrence; the
-    # earliest such repeat is the position where the scan would have stopped.
+    # earliest such repeat is the position where the scan would have stopped. The sorted
+    # pairs are a column of their own, compared with their own tail, so the work per record
+    # is one sort (an array built inside a lambda would be rebuilt for every element).
     pairs = F.array_sort(F.flatten(F.transform(
         F.col("_pv"), lambda p: F.transform(p.getField("_vals"), lambda v: F.struct(v.alias("v"), p.getField("pos").alias("p"))))))
-    idx = F.sequence(F.lit(1), F.size(pairs) - 1)
-    repeats = F.filter(idx, lambda i: F.get(pairs, i).getField("v") == F.get(pairs, i - 1).getField("v"))
-    a_pos = F.when(F.size(pairs) >= 2, F.array_min(F.transform(repeats, lambda i: F.get(pairs, i).getField("p"))))
-    summary = summary.withColumn("first_event", F.least(F.col("_ev"), a_pos.cast("long") * 4))
-    one_prefix = (F.col("_h1min") == F.col("_h1max")) & (F.col("_h2min") == F.col("_h2max"))
-    same_issuer = F.coalesce(F.col("last_has_doi"), F.lit(False)) & F.coalesce(one_prefix, F.lit(False))
+    summary = summary.withColumn("_pairs", pairs)
+    rest = F.greatest(F.size("_pairs") - 1, F.lit(0))
+    repeats = F.zip_with(F.slice("_pairs", F.lit(1), rest), F.slice("_pairs", F.lit(2), rest),
+                         lambda x, y: F.when(x.getField("v") == y.getField("v"), y.getField("p")))
+    summary = summary.withColumn("first_event", F.least(F.col("_ev"), F.array_min(repeats).cast("long") * 4))
+    same_issuer = F.coalesce(F.col("last_has_doi"), F.lit(False)) & F.coalesce(F.col("one_prefix"), F.lit(False))
     codes = F.array(*[F.lit(c) for c in ("A", "D", "B", "E")])
     category = (
         F.when(F.col("first_event").isNotNull(),
@@ -160,18 +157,11 @@ def categorize_sources(mm: DataFrame, sources_ids: DataFrame) -> DataFrame:
     is_text = dict(sources_ids.dtypes).get("issn") == "string"
     sids = sources_ids.select(F.col("source_id").alias("oa_uri"), issn_list(F.col("issn"), is_text).alias("_issn"))
     pos = _positions(rows).join(sids, "oa_uri", "left")
-    shared = (
-        pos.select(*ROW_KEY, "pos", F.explode(F.array_distinct(F.filter("_issn", lambda v: non_blank(v)))).alias("_v"))
-        .groupBy(*ROW_KEY, "_v")
-        .agg(F.count(F.lit(1)).alias("_k"))
-        .where(F.col("_k") >= 2)
-        .select(*ROW_KEY)
-        .distinct()
-        .withColumn("_shared", F.lit(True))
-    )
-    out = rows.join(shared, ROW_KEY, "left")
-    category = F.when(F.col("_shared"), "A").otherwise(NON_CLASSIFIED)
-    return out.select(
+    # the ISSNs of each position once; a value left over after removing repeats is shared
+    own = F.array_distinct(F.filter("_issn", lambda v: non_blank(v)))
+    per_row = pos.groupBy(*ROW_KEY, "_n").agg(F.flatten(F.collect_list(F.coalesce(own, F.array().cast("array<string>")))).alias("_v"))
+    category = F.when(F.size("_v") > F.size(F.array_distinct("_v")), "A").otherwise(NON_CLASSIFIED)
+    return per_row.select(
         *ROW_KEY, category.alias("category"),
         F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_copy"),
     ).drop("_copy")

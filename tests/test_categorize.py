@@ -4,6 +4,8 @@ import random
 import re
 
 
+from pyspark.sql import functions as F
+
 from pidlink.functions import constants as K
 from pidlink.operators import categorize as C
 
@@ -120,3 +122,34 @@ def test_split_clues_option(spark):
     pl = spark.createDataFrame([], "work_id string, source_id string, version string")
     assert C.categorize_works(mm, wid, wt, pl).collect()[0].category == "non classified"
     assert C.categorize_works(mm, wid, wt, pl, split_clues=True).collect()[0].category == "E"
+
+
+def test_very_long_id_list_is_linear(spark):
+    """One record of 20,000 Works that share nothing but the last two ids' PMID."""
+    import time
+
+    n = 20_000
+    works = spark.range(n).select(
+        F.concat(F.lit(URI + "W"), F.col("id")).alias("work_id"), F.concat(F.lit(URI + "W"), F.col("id")).alias("openalex"),
+        F.concat(F.lit("https://doi.org/10.1016/j."), F.col("id")).alias("doi"),
+        F.when(F.col("id") >= n - 2, F.lit("p")).otherwise(F.concat(F.lit("p"), F.col("id"))).alias("pmid"),
+        F.lit(None).cast("string").alias("pmcid"))
+    ids = " ".join(f"W{i}" for i in range(n))
+    mm = spark.createDataFrame([("omid:br/1", ids, "book"), ("omid:br/2", " ".join(ids.split()[:-1]), None)],
+                               "omid string, openalex_id string, type string")
+    types = works.select(F.col("work_id").alias("id"), F.lit("article").alias("type"))
+    places = works.select("work_id", F.lit("s").alias("source_id"), F.lit("publishedVersion").alias("version"))
+    t0 = time.perf_counter()
+    got = {r.omid: r.category for r in C.categorize_works(mm, works, types, places).collect()}
+    assert got == {"omid:br/1": "A", "omid:br/2": "non classified"}
+    assert time.perf_counter() - t0 < 60
+
+
+def test_sources_category_with_null_type(spark):
+    sources = spark.createDataFrame([(URI + "S1", ["1", "2"]), (URI + "S2", ["2"]), (URI + "S3", ["9", "9"])],
+                                    "source_id string, issn array<string>")
+    mm = spark.createDataFrame([("a", "S1 S2", "x"), ("a", "S1 S2", None), ("a", "S1 S2", None), ("b", "S3 S4", None),
+                                ("c", "S1 S3", "x")], "omid string, openalex_id string, type string")
+    got = sorted((r.omid, str(r.type), r.category) for r in C.categorize_sources(mm, sources).collect())
+    assert got == [("a", "None", "A"), ("a", "None", "A"), ("a", "x", "A"), ("b", "None", "non classified"),
+                   ("c", "x", "non classified")]
