@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pidlink.functions import constants as K
-from pidlink.functions import join_sorted, strip_prefix
+from pidlink.functions import strip_prefix
 
 GRAPH = "@graph"
 
@@ -148,17 +148,28 @@ def provenance_by_type(counts: DataFrame) -> DataFrame:
     )
 
 
+UNSPECIFIED = "Unspecified"
+OTHER = "other"
+
+
+def pivot_types() -> list[str]:
+    """The named type labels, and Unspecified: the default columns of the pivot."""
+    return [*sorted({x for x in K.URI_TYPE_LABELS.values() if x}), UNSPECIFIED]
+
+
 def provenance_pivot(counts: DataFrame, types: list[str] | None = None) -> DataFrame:
     """source x type, cell = both counters summed, missing = 0.
 
-    ``types`` fixes the columns; without it they are read from the (small) counts table.
+    ``types`` are the columns (default: the named labels); records of every other type are
+    summed into one column ``other``, so no count is lost (the long table keeps each type).
     """
-    t = F.when(F.col("type") == "", "Unspecified").otherwise(F.col("type"))
+    types = pivot_types() if types is None else types
+    t = F.when(F.coalesce(F.col("type"), F.lit("")) == "", UNSPECIFIED).otherwise(F.col("type"))
+    t = F.when(t.isin(types), t).otherwise(F.lit(OTHER))
     c = counts.select(t.alias("type"), "source", (F.col("omid_only") + F.col("other_pids")).alias("n"))
-    if types is None:
-        types = sorted(r[0] for r in c.select("type").distinct().collect())
-    p = c.groupBy("source").pivot("type", types).agg(F.sum("n"))
-    return p.select("source", *[F.coalesce(F.col(f"`{x}`"), F.lit(0)).cast("bigint").alias(x) for x in types])
+    cells = [F.coalesce(F.sum(F.when(F.col("type") == x, F.col("n"))), F.lit(0)).cast("bigint").alias(x)
+             for x in [*types, OTHER]]
+    return c.groupBy("source").agg(*cells)
 
 
 def contribution_by_source(counts: DataFrame) -> DataFrame:
@@ -168,6 +179,3 @@ def contribution_by_source(counts: DataFrame) -> DataFrame:
                         (F.col("omid_only") + F.col("other_pids")).alias("n"))
     return per.groupBy("type", "single_source").agg(F.sum("n").cast("bigint").alias("total"))
 
-
-def label_of(sources: Column) -> Column:
-    return join_sorted(sources)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pidlink.fixtures import with_fixtures
 from pidlink.functions import constants as K
+from pidlink.operators.provenance import pivot_types
 
 
 def _q(s: str) -> str:
@@ -63,6 +64,7 @@ o_wp AS (
 o_sp AS (
   SELECT 'issn:' || issn1 AS supported_id, {OA_ID} AS openalex_id FROM fx_sources WHERE issn1 IS NOT NULL
   UNION ALL SELECT 'issn:' || issn2, {OA_ID} FROM fx_sources WHERE issn2 IS NOT NULL
+  UNION ALL SELECT 'issn:' || issn_l, {OA_ID} FROM fx_sources WHERE issn1 IS NULL AND issn2 IS NULL
   UNION ALL SELECT 'wikidata:' || (CASE WHEN starts_with(wikidata, 'http:') THEN {_strip('wikidata', K.WIKIDATA_HTTP_URI)}
                                         ELSE {_strip('wikidata', K.WIKIDATA_HTTPS_URI)} END), {OA_ID}
     FROM fx_sources WHERE starts_with(wikidata, 'http:') OR starts_with(wikidata, 'https:')),
@@ -197,6 +199,8 @@ def _work_uri(key: str) -> str:
 _LOCATIONS = """ SELECT work_id, source_id, landing_page_url, CAST(NULL AS VARCHAR) AS pdf_url, is_oa, version,
   CAST(NULL AS VARCHAR) AS license FROM fx_locations WHERE source_id IS NOT NULL AND source_id <> ''"""
 
+_PIVOT_TYPES = pivot_types()
+
 SQL: dict[str, str] = {
     # ---------------------------------------------------------- extraction
     "meta_primary_entities": META + " SELECT omid, ids, type FROM o_ents",
@@ -242,14 +246,14 @@ FROM (SELECT table_name, split_part(supported_id, ':', 1) AS scheme, supported_i
 FROM (SELECT unnest(ids) AS u FROM o_mm) WHERE starts_with(u, 'W') OR starts_with(u, 'S')""",
     "full_metadata_semi_join": MM + f""" SELECT id, doi, type FROM fx_works
 WHERE {OA_ID} IN (SELECT u FROM (SELECT unnest(ids) AS u FROM o_mm) WHERE starts_with(u, 'W'))""",
-    "flat_sources": f""" SELECT id, issn1 AS issn_l,
+    "flat_sources": f""" SELECT id, issn_l,
   to_json(list_filter([issn1, issn2], lambda x: x IS NOT NULL)) AS issn,
   {_flat_null(('display_name', 'VARCHAR'), ('publisher', 'VARCHAR'), ('works_count', 'BIGINT'),
               ('cited_by_count', 'BIGINT'), ('is_oa', 'BOOLEAN'), ('is_in_doaj', 'BOOLEAN'),
               ('homepage_url', 'VARCHAR'), ('works_api_url', 'VARCHAR'), ('updated_date', 'VARCHAR'),
               ('type', 'VARCHAR'))}
 FROM fx_sources""",
-    "flat_sources_ids": f""" SELECT id AS source_id, id AS openalex, issn1 AS issn_l,
+    "flat_sources_ids": f""" SELECT id AS source_id, id AS openalex, issn_l,
   to_json(list_filter([issn1, issn2], lambda x: x IS NOT NULL)) AS issn, CAST(NULL AS VARCHAR) AS mag,
   wikidata, CAST(NULL AS VARCHAR) AS fatcat FROM fx_sources""",
     "flat_sources_counts": """ SELECT source_id, CAST(year AS INTEGER) AS year, CAST(works_count AS BIGINT) AS works_count,
@@ -306,9 +310,11 @@ WHERE NOT EXISTS (SELECT 1 FROM o_prov p WHERE p.br_uri = replace(r.omid, 'omid:
     "prov_by_type": PROVENANCE + """ SELECT CASE WHEN type = '' THEN 'Unspecified' ELSE type END AS type,
   sum(omid_only)::BIGINT AS omid_only_sum, sum(other_pids)::BIGINT AS other_pids_sum,
   sum(omid_only + other_pids)::BIGINT AS n_records FROM o_pc GROUP BY 1""",
-    "prov_pivot": PROVENANCE + """,
-o_pv AS (SELECT CASE WHEN type = '' THEN 'Unspecified' ELSE type END AS type, source, omid_only + other_pids AS n FROM o_pc)
-PIVOT o_pv ON type USING coalesce(sum(n), 0)::BIGINT GROUP BY source""",
+    "prov_pivot": PROVENANCE + f""",
+o_pv AS (SELECT CASE WHEN coalesce(type, '') = '' THEN 'Unspecified' WHEN type IN {_in(_PIVOT_TYPES)} THEN type
+                ELSE 'other' END AS type, source, omid_only + other_pids AS n FROM o_pc)
+SELECT source, """ + ", ".join(f"""coalesce(sum(n) FILTER (WHERE type = {_q(t)}), 0)::BIGINT AS "{t}\""""
+                                for t in (*_PIVOT_TYPES, "other")) + " FROM o_pv GROUP BY source",
     "prov_contribution": PROVENANCE + """ SELECT type, single_source, sum(n)::BIGINT AS total FROM (
   SELECT type, unnest(string_split(source, ' ')) AS single_source, omid_only + other_pids AS n FROM o_pc)
 GROUP BY type, single_source""",
@@ -362,7 +368,7 @@ o_cw AS (
     count(*) FILTER (WHERE doi IS NOT NULL OR pmid IS NOT NULL OR pmcid IS NOT NULL) AS n_with_pid
   FROM fx_works WHERE id IS NOT NULL
   UNION ALL
-  SELECT 'sources', count(*), count(*) FILTER (WHERE issn1 IS NOT NULL OR issn2 IS NOT NULL
+  SELECT 'sources', count(*), count(*) FILTER (WHERE issn1 IS NOT NULL OR issn2 IS NOT NULL OR issn_l IS NOT NULL
     OR starts_with(wikidata, 'http:') OR starts_with(wikidata, 'https:'))
   FROM fx_sources WHERE id IS NOT NULL),
 o_cw2 AS (SELECT entity, n_records, n_with_pid FROM o_cw

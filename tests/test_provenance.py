@@ -63,5 +63,8 @@ def test_counts_missing_and_derived_tables(spark):
     assert rows(PV.contribution_by_source(counts)) == [
         ("book", "crossref", 1), ("book", "datacite", 1), ("book", "x", 1), ("book", "zenodo", 1)]
     piv = PV.provenance_pivot(counts)
-    assert piv.columns == ["source", "book"]
+    assert piv.columns == ["source", *PV.pivot_types(), "other"]
+    assert rows(piv, ["source", "book", "other"]) == [("crossref datacite", 1, 0), ("x zenodo", 1, 0)]
+    assert rows(PV.provenance_pivot(counts, ["journal"]), ["source", "journal", "other"]) == [
+        ("crossref datacite", 0, 1), ("x zenodo", 0, 1)]
     assert rows(PV.provenance_by_type(counts)) == [("book", 0, 2, 2)]
