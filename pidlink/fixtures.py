@@ -27,7 +27,7 @@ fx_key AS (
       WHEN 2 THEN concat('10.1101/2020.', lpad(CAST(o_orderkey AS STRING), 7, '0'))
       ELSE concat('10.1016/j.x.', CAST(o_orderkey AS STRING)) END AS doi
   FROM orders),
-fx_meta AS (
+fx_meta_once AS (
   SELECT a.k AS k,
     concat_ws(' ', concat('omid:br/06', CAST(a.k AS STRING)),
       CASE WHEN a.k % 12 IN (0,1,2,3,4,5,6,8) THEN concat('doi:', a.doi) END,
@@ -50,24 +50,35 @@ fx_meta AS (
   FROM fx_key a
   LEFT JOIN fx_key b ON b.k = a.k + CASE WHEN a.k % 24 = 15 THEN 3 ELSE 8 END
   LEFT JOIN fx_key d ON d.k = a.k + 16),
+fx_meta AS (
+  SELECT k, id, venue, author, publisher, editor, type FROM fx_meta_once
+  UNION ALL
+  SELECT -k, id, venue, author, publisher, editor, type FROM fx_meta_once WHERE k % 40 = 4),
+fx_own AS (
+  SELECT k, CASE WHEN k % 7 = 6 THEN concat('10.9999/none.', CAST(k AS STRING)) ELSE doi END AS doi,
+    CAST(k + CASE WHEN k % 7 = 6 THEN 90000000000 ELSE 0 END AS STRING) AS held
+  FROM fx_key),
 fx_works AS (
   SELECT concat('https://openalex.org/W', CAST(k AS STRING)) AS id, concat('https://doi.org/', doi) AS doi,
-    CASE WHEN k % 12 = 9 THEN concat('https://pubmed.ncbi.nlm.nih.gov/', CAST(k AS STRING)) END AS pmid,
-    CASE WHEN k % 12 IN (9,10) AND k % 5 <> 0 THEN concat('https://www.ncbi.nlm.nih.gov/pmc/articles/PMC', CAST(k AS STRING)) END AS pmcid,
+    CASE WHEN k % 12 = 9 THEN concat('https://pubmed.ncbi.nlm.nih.gov/', held) END AS pmid,
+    CASE WHEN k % 12 IN (9,10) AND k % 5 <> 0 THEN concat('https://www.ncbi.nlm.nih.gov/pmc/articles/PMC', held) END AS pmcid,
     CASE WHEN k % 5 = 1 THEN 'erratum' ELSE 'article' END AS type,
     CASE WHEN k % 3 = 2 THEN 'submittedVersion' ELSE 'publishedVersion' END AS version
-  FROM fx_key WHERE k % 7 <> 6
+  FROM fx_own
   UNION ALL
   SELECT concat('https://openalex.org/W', CAST(900000000 + k AS STRING)), concat('https://doi.org/', doi),
     CAST(NULL AS STRING), CAST(NULL AS STRING), 'article', 'publishedVersion'
   FROM fx_key WHERE k % 13 = 0),
 fx_sources AS (
-  SELECT concat('https://openalex.org/S', CAST(c_custkey AS STRING)) AS id,
-    concat('1000-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) AS issn1,
-    CASE WHEN c_custkey % 5 = 0 THEN concat('1000-', lpad(CAST((c_custkey + 1) % 10000 AS STRING), 4, '0')) END AS issn2,
-    CASE WHEN c_custkey % 4 = 0 THEN concat('https://www.wikidata.org/entity/Q', CAST(c_custkey AS STRING))
-         WHEN c_custkey % 4 = 1 THEN concat('http://www.wikidata.org/entity/Q', CAST(c_custkey AS STRING)) END AS wikidata
-  FROM customer WHERE c_custkey % 6 <> 5),
+  SELECT id, issn_l, CASE WHEN c % 11 <> 3 THEN issn_l END AS issn1,
+    CASE WHEN c % 5 = 0 AND c % 11 <> 3 THEN concat(region, lpad(CAST((c + 1) % 10000 AS STRING), 4, '0')) END AS issn2,
+    CASE WHEN c % 4 = 0 THEN concat('https://www.wikidata.org/entity/Q', held)
+         WHEN c % 4 = 1 THEN concat('http://www.wikidata.org/entity/Q', held) END AS wikidata
+  FROM (SELECT c, region, held, concat('https://openalex.org/S', CAST(c AS STRING)) AS id,
+          concat(region, lpad(CAST(c % 10000 AS STRING), 4, '0')) AS issn_l
+        FROM (SELECT c_custkey AS c, CASE WHEN c_custkey % 6 = 5 THEN '2000-' ELSE '1000-' END AS region,
+                CAST(c_custkey + CASE WHEN c_custkey % 6 = 5 THEN 900000000 ELSE 0 END AS STRING) AS held
+              FROM customer) c1) c2),
 fx_br AS (
   SELECT concat('https://w3id.org/oc/meta/br/06', CAST(k AS STRING)) AS br_uri,
     CASE pri WHEN '1-URGENT' THEN 'http://purl.org/spar/fabio/JournalArticle' WHEN '2-HIGH' THEN 'http://purl.org/spar/fabio/Book'
@@ -85,8 +96,9 @@ fx_prov AS (
       WHEN 2 THEN 'https://doi.org/10.5281/zenodo' ELSE CAST(NULL AS STRING) END AS source_uri
   FROM lineitem
   UNION ALL
-  SELECT concat('https://w3id.org/oc/meta/br/07', CAST(c_custkey AS STRING)), 'https://api.crossref.org/'
-  FROM customer WHERE c_custkey % 7 <> 0),
+  SELECT concat('https://w3id.org/oc/meta/br/07', CAST(c_custkey AS STRING)),
+    CASE WHEN c_custkey % 7 <> 0 THEN 'https://api.crossref.org/' END
+  FROM customer),
 fx_authorships AS (
   SELECT concat('https://openalex.org/W', CAST(l_orderkey AS STRING)) AS work_id,
     CASE WHEN l_linenumber = 1 THEN 'first' ELSE 'middle' END AS author_position,
@@ -129,9 +141,8 @@ def with_fixtures(select_sql: str) -> str:
     return "WITH " + CTE.strip() + "\n" + body
 
 
-# Each driver table is one small parquet file (one split), which would run every step up
-# to the first shuffle in a single task. Spread it over the cluster's cores by a hash of
-# its key (deterministic, so a retried task sees the same rows).
+# Each driver table is one small parquet file (one split). It is spread over the cluster's
+# cores by a hash of its key (deterministic, so a retried task sees the same rows).
 TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey", "supplier": "s_suppkey"}
 
 
@@ -140,10 +151,7 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = TABLE_KEYS.get(name)
     if key is None:
         return df
-    n = max(spark.sparkContext.defaultParallelism, 1)
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, key)
+    return df.repartition(max(spark.sparkContext.defaultParallelism, 1), key)
 
 
 def register_base_tables(spark: SparkSession, sf_dir: str) -> None:

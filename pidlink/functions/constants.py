@@ -38,15 +38,17 @@ VERSION_PATTERN = (
 
 # DOI prefixes of publishers/issuers hosting preprints or repository copies (category B)
 PREPRINT_DOI_PREFIXES = (
-    "10.1002 10.1097 10.1099 10.1101 10.1130 10.1149 10.1158 10.12788 10.13031 10.1364 "
-    "10.14434 10.1484 10.15329 10.17077 10.20378 10.20944 10.21034 10.21072 10.21203 10.21428 "
-    "10.21467 10.21504 10.2196 10.2337 10.24108 10.24296 10.26434 10.26686 10.26761 10.31124 "
-    "10.31219 10.31220 10.31221 10.31222 10.31223 10.31224 10.31225 10.31226 10.31227 10.31228 "
-    "10.31229 10.31230 10.31231 10.31232 10.31233 10.31234 10.31235 10.31236 10.31237 10.31730 "
-    "10.31923 10.32920 10.32942 10.33767 10.33774 10.34055 10.35542 10.35543 10.36227 10.37281 "
-    "10.3762 10.38140 10.3897 10.46715 10.47340 10.47649 10.48199 10.5117 10.51767 10.5194 "
-    "10.53731 10.5772 10.6028 10.7554 10.17615 10.6084 10.22541 10.5281 10.17605 10.48550"
-).split()
+    "10.1002", "10.1097", "10.1099", "10.1101", "10.1130", "10.1149", "10.1158", "10.12788",
+    "10.13031", "10.1364", "10.14434", "10.1484", "10.15329", "10.17077", "10.20378", "10.20944",
+    "10.21034", "10.21072", "10.21203", "10.21428", "10.21467", "10.21504", "10.2196", "10.2337",
+    "10.24108", "10.24296", "10.26434", "10.26686", "10.26761", "10.31124", "10.31219", "10.31220",
+    "10.31221", "10.31222", "10.31223", "10.31224", "10.31225", "10.31226", "10.31227", "10.31228",
+    "10.31229", "10.31230", "10.31231", "10.31232", "10.31233", "10.31234", "10.31235", "10.31236",
+    "10.31237", "10.31730", "10.31923", "10.32920", "10.32942", "10.33767", "10.33774", "10.34055",
+    "10.35542", "10.35543", "10.36227", "10.37281", "10.3762", "10.38140", "10.3897", "10.46715",
+    "10.47340", "10.47649", "10.48199", "10.5117", "10.51767", "10.5194", "10.53731", "10.5772",
+    "10.6028", "10.7554", "10.17615", "10.6084", "10.22541", "10.5281", "10.17605", "10.48550",
+)
 
 # primary-location versions that mark a repository copy (category B)
 REPOSITORY_VERSIONS = ("submittedVersion", "acceptedVersion")
@@ -82,7 +84,6 @@ PREPRINT_STRING_CLUES = (
 MINOR_WORK_TYPES = ("other", "peer-review", "editorial", "erratum", "letter")
 
 WORK_CATEGORIES = ("A", "B", "C", "D", "E", "F", "non classified")
-SOURCE_CATEGORIES = ("A", "non classified")
 
 # --- fixed values: provenance --------------------------------------------------
 PROV_PRIMARY_SOURCE = "http://www.w3.org/ns/prov#hadPrimarySource"

@@ -106,12 +106,3 @@ def unparsable_agents(meta: DataFrame, fields=RA_FIELDS) -> DataFrame:
     """(ra_role, entity) of agent entries without brackets (skipped by ``responsible_agents``)."""
     ents = meta.select(F.explode(F.concat(*[_ra_entities(f) for f in fields])).alias("e"))
     return ents.where(bracket_content(F.col("e.entity")).isNull()).select("e.ra_role", F.trim("e.entity").alias("entity"))
-
-
-def meta_tables(meta: DataFrame, all_rows: bool = True) -> dict[str, DataFrame]:
-    """The three reduced tables of one Meta dump, as three projections of one scan."""
-    return {
-        "primary_ents": primary_entities(meta, all_rows),
-        "venues": venues(meta, all_rows),
-        "resp_ags": responsible_agents(meta, all_rows),
-    }

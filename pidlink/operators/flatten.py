@@ -16,32 +16,6 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 from pidlink.functions import constants as K
 from pidlink.functions import non_blank, strip_prefix, tokens
 
-# ---------------------------------------------------------------- table layouts
-
-SOURCES_COLUMNS = {
-    "sources": ["id", "issn_l", "issn", "display_name", "publisher", "works_count", "cited_by_count", "is_oa",
-                "is_in_doaj", "homepage_url", "works_api_url", "updated_date", "type"],
-    "sources_ids": ["source_id", "openalex", "issn_l", "issn", "mag", "wikidata", "fatcat"],
-    "sources_counts_by_year": ["source_id", "year", "works_count", "cited_by_count", "oa_works_count"],
-}
-LOCATION_COLUMNS = ["work_id", "source_id", "landing_page_url", "pdf_url", "is_oa", "version", "license"]
-WORKS_COLUMNS = {
-    "works": ["id", "doi", "title", "display_name", "publication_year", "publication_date", "type",
-              "cited_by_count", "is_retracted", "is_paratext", "cited_by_api_url", "abstract_inverted_index",
-              "language"],
-    "works_primary_locations": LOCATION_COLUMNS,
-    "works_locations": LOCATION_COLUMNS,
-    "works_best_oa_locations": LOCATION_COLUMNS,
-    "works_authorships": ["work_id", "author_position", "author_id", "institution_id", "raw_affiliation_string"],
-    "works_biblio": ["work_id", "volume", "issue", "first_page", "last_page"],
-    "works_concepts": ["work_id", "concept_id", "score"],
-    "works_ids": ["work_id", "openalex", "doi", "mag", "pmid", "pmcid"],
-    "works_mesh": ["work_id", "descriptor_ui", "descriptor_name", "qualifier_ui", "qualifier_name", "is_major_topic"],
-    "works_open_access": ["work_id", "is_oa", "oa_status", "oa_url", "any_repository_has_fulltext"],
-    "works_referenced_works": ["work_id", "referenced_work_id"],
-    "works_related_works": ["work_id", "related_work_id"],
-}
-
 # primary keys of the analysis tables (keep-last load)
 PRIMARY_KEYS = {
     "sources": ["id"],
@@ -150,13 +124,12 @@ ORD = "_ord"
 
 
 def load_order(df: DataFrame, order_col: str | None) -> tuple[DataFrame, str]:
-    """The load-order column: the caller's, else the reader's ``_ord`` (file, position),
-    else rows numbered here (only deterministic right after a scan or a stored table)."""
-    if order_col and order_col in df.columns:
-        return df, order_col
-    if ORD in df.columns:
-        return df, ORD
-    return df.withColumn(ORD, F.monotonically_increasing_id()), ORD
+    """The load-order column: the caller's, else the reader's ``_ord`` (file, position).
+    Without one the "first" or "last" row of a key would not be fixed under a retry."""
+    for col in (order_col, ORD):
+        if col and col in df.columns:
+            return df, col
+    raise ValueError(f"a keyed load needs an order column: pass one, or read with {ORD}")
 
 
 def _ord(df: DataFrame) -> list[Column]:
@@ -418,16 +391,24 @@ def flatten_works(works: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+SOURCES_TABLES = ("sources", "sources_ids", "sources_counts_by_year")
+
+
 def load_tables(tables: dict[str, DataFrame], order: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """Keyed keep-last load of flattened tables (the analysis database, as DataFrames).
 
     ``order`` gives the load-order columns per table; otherwise the ``_ord`` the flattening
-    carried from the reader (record order, then position in its lists) decides.
+    carried from the reader (record order, then position in its lists) decides. The tables of
+    Sources come from one record per id and carry none: should such a record hold a key
+    twice, the greater row stays, which a retried task finds as well.
     """
     out = {}
     for name, df in tables.items():
         keys = PRIMARY_KEYS[name]
         cols = (order or {}).get(name)
+        if not cols and name in SOURCES_TABLES and ORD not in df.columns:
+            rest = [c for c in df.columns if c not in keys]
+            df, cols = df.withColumn(ORD, F.struct(*rest)), [ORD]
         if not cols:
             df, oc = load_order(df, None)
             cols = [oc]

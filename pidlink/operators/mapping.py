@@ -1,12 +1,11 @@
 """Mapping of Meta records to OpenAlex records through shared PIDs.
 
-Plan: de-duplicate input rows (keeping their multiplicity, so one output row per input
-row without a non-deterministic row id) -> choose the PIDs to look up (one tier) ->
-``explode_outer`` -> left join with the PID index on the PID -> group the matches back per
-row (``collect_set``, partially aggregated) -> outcome by list size.
-Shuffles: the row de-duplication, the join on PID, the regroup on the row. A PID shared by
-very many records is split at run time by AQE's skew join; explicit salting of hot PIDs
-is used when ``pidlink.skew.minRows`` is set (see ``operators/skew.py``).
+Plan: choose the PIDs to look up (one tier) -> ``explode_outer`` -> left join with the PID
+index, which has one row per PID -> group the matches back per row (``collect_set``,
+partially aggregated) -> outcome by list size. Shuffles: the join on PID and the regroup on
+the row (and the index once, on its own key). A PID shared by very many records is a hot key
+of the join's left side only; with stored ``pid_lists`` (as ``run_mapping`` makes them) both
+sides of the join are plain shuffles, which AQE's skew join splits at run time.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 
 from pidlink.functions import tokens
 from pidlink.operators.extract import has_openalex_id
-from pidlink.operators.skew import salted_join
 
 MAPPED = "mapped"
 MULTI_MAPPED = "multi_mapped"
@@ -42,27 +40,40 @@ def lookup_pids(ids: str | Column = "ids") -> Column:
     )
 
 
+def pid_lists(index: DataFrame) -> DataFrame:
+    """The index with one row per PID: pid, and ``oaids``, the distinct OpenAlex ids that hold it.
+
+    The join with it is many-to-one: a PID held by very many OpenAlex records is one row, and
+    no (record, OpenAlex id) pair is shuffled. A list is as long as the ids that any record
+    with this PID maps to, which the result of that record lists in one row anyway.
+    """
+    return index.groupBy(F.col("supported_id").alias("pid")).agg(F.collect_set("openalex_id").alias("oaids"))
+
+
 def map_records(
     entities: DataFrame,
     index: DataFrame,
     *,
     type_field: bool = True,
     all_rows: bool = True,
-    skew_min_rows: int | None = None,
 ) -> DataFrame:
     """All records with their sorted distinct OpenAlex ids and outcome.
 
-    Input: (omid, ids[, type]). Output: omid, [type,] openalex_ids (array, sorted),
-    n_openalex (bigint), outcome ('mapped' | 'multi_mapped' | 'unmapped').
+    ``index`` is the PID index, or its stored ``pid_lists``. Input: (omid, ids[, type]). Output: omid, [type,] openalex_ids (array, sorted),
+    n_openalex (bigint), outcome ('mapped' | 'multi_mapped' | 'unmapped'), one row per input
+    row: a record that is there n times meets each of its PIDs n times, so its joined rows
+    divided by its number of PIDs give its multiplicity.
     """
     if not all_rows:
         entities = entities.where(~has_openalex_id("ids"))
     key = ["omid", "ids"] + (["type"] if type_field else [])
-    rows = entities.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    look = rows.select(*key, "_n", F.explode_outer(F.array_distinct(lookup_pids("ids"))).alias("pid"))
-    idx = index.select(F.col("supported_id").alias("pid"), "openalex_id")
-    hits = salted_join(look, idx, "pid", "left", min_rows=skew_min_rows)
-    grouped = hits.groupBy(*key, "_n").agg(F.array_sort(F.collect_set("openalex_id")).alias("openalex_ids"))
+    found = entities.select(*key, F.array_distinct(lookup_pids("ids")).alias("_pids"))
+    look = found.select(*key, F.greatest(F.size("_pids"), F.lit(1)).alias("_k"), F.explode_outer("_pids").alias("pid"))
+    lists = index if "oaids" in index.columns else pid_lists(index)
+    hits = look.join(lists, "pid", "left")
+    grouped = hits.groupBy(*key, "_k").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("oaids")))).alias("openalex_ids"),
+        (F.count(F.lit(1)) / F.col("_k")).cast("int").alias("_n"))
     n = F.size("openalex_ids")
     out_cols = ["omid"] + (["type"] if type_field else [])
     return grouped.select(
@@ -70,7 +81,7 @@ def map_records(
         "openalex_ids",
         n.cast("bigint").alias("n_openalex"),
         F.when(n == 0, UNMAPPED).when(n == 1, MAPPED).otherwise(MULTI_MAPPED).alias("outcome"),
-        F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_copy"),
+        F.explode(F.array_repeat(F.lit(1), F.col("_n"))).alias("_copy"),
     ).drop("_copy")
 
 
@@ -95,7 +106,3 @@ def unmapped(result: DataFrame) -> DataFrame:
     """Records matched to nothing: omid[, type]."""
     cols = ["omid"] + (["type"] if "type" in result.columns else [])
     return result.where(F.col("outcome") == UNMAPPED).select(*cols)
-
-
-def split_outcomes(result: DataFrame) -> dict[str, DataFrame]:
-    return {MAPPED: mapped(result), MULTI_MAPPED: multi_mapped(result), UNMAPPED: unmapped(result)}

@@ -138,13 +138,6 @@ def index_table_name(entity_type: str, id_type: str) -> str:
     return f"{entity_type.capitalize()}s{id_type.capitalize()}"
 
 
-def scheme_table(pid_table: DataFrame, id_type: str, entity_type: str) -> DataFrame:
-    """Rows of one scheme (``supported_id`` starting with it); duplicates kept."""
-    return pid_table.where(F.col("supported_id").startswith(id_type)).select(
-        F.lit(index_table_name(entity_type, id_type)).alias("table_name"), "supported_id", "openalex_id"
-    )
-
-
 def _tagged(pid_table: DataFrame, entity_type: str, id_types: list[str]) -> DataFrame:
     """One pass over an entity's PID table, tagged with its lookup table name."""
     sch = scheme(F.col("supported_id"))
@@ -172,9 +165,11 @@ def pid_index(work_pid_table: DataFrame, source_pid_table: DataFrame) -> DataFra
 def write_pid_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Persist the index partitioned by lookup table (a lookup then reads one partition).
 
+    Rows are spread over the writing tasks by their PID, so that no task holds one lookup
+    table; a folder gets at most one file per task.
     ``mode='errorifexists'`` mirrors the refusal to rebuild an existing table.
     """
-    index.repartition("table_name").write.mode(mode).partitionBy("table_name").parquet(path)
+    index.repartition("supported_id").write.mode(mode).partitionBy("table_name").parquet(path)
 
 
 def write_bucketed_index(index: DataFrame, table: str, buckets: int, mode: str = "errorifexists") -> None:
@@ -184,7 +179,8 @@ def write_bucketed_index(index: DataFrame, table: str, buckets: int, mode: str =
     the largest input of the job, is read in place, bucket by bucket. Choose ``buckets``
     so one bucket is about 128-256 MB.
     """
-    index.write.mode(mode).bucketBy(buckets, "supported_id").sortBy("supported_id").saveAsTable(table)
+    spread = index.repartition(buckets, "supported_id")  # one task per bucket: one file each
+    spread.write.mode(mode).bucketBy(buckets, "supported_id").sortBy("supported_id").saveAsTable(table)
 
 
 def index_summary(index: DataFrame) -> DataFrame:

@@ -55,13 +55,18 @@ def work_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ordered(records: DataFrame) -> DataFrame:
+    """Records with a load order, as the reader adds one (here the record's id)."""
+    return records.withColumn("_ord", F.col("id"))
+
+
 def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source records: id, issn_l, issn[], ids{openalex, issn_l, issn[], mag, wikidata, fatcat}."""
     s = fixture(spark, sf_dir, "fx_sources")
     issn = F.filter(F.array("issn1", "issn2"), lambda x: x.isNotNull())
     return s.select(
-        "id", F.col("issn1").alias("issn_l"), issn.alias("issn"),
-        _obj(openalex=F.col("id"), issn_l=F.col("issn1"), issn=issn, mag=_null_str(), wikidata=F.col("wikidata"),
+        "id", "issn_l", issn.alias("issn"),
+        _obj(openalex=F.col("id"), issn_l=F.col("issn_l"), issn=issn, mag=_null_str(), wikidata=F.col("wikidata"),
              fatcat=_null_str()).alias("ids"),
     )
 

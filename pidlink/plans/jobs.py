@@ -50,12 +50,6 @@ class MappingResult:
     def unmapped(self) -> DataFrame:
         return M.unmapped(self.result)
 
-    def materialized(self) -> "MappingResult":
-        """The same result with the mapping table checkpointed (shared by several consumers)."""
-        return MappingResult(self.meta, self.all_rows, self.primary_entities, self.index,
-                             cut_lineage(self.result))
-
-
 def build_index(works: DataFrame, sources: DataFrame) -> DataFrame:
     return P.pid_index(P.work_pids(works), P.source_pids(sources))
 
@@ -104,9 +98,12 @@ def work_tables(multi_mapped: DataFrame, works: DataFrame, order: dict[str, list
     return WorkTables(loaded["works_ids"], loaded["works"], loaded["works_primary_locations"])
 
 
-def source_ids_table(sources: DataFrame, order: dict[str, list[str]] | None = None) -> DataFrame:
-    """``sources_ids`` of all Sources (first record per id), loaded keyed."""
+def source_ids_table(multi_mapped: DataFrame, sources: DataFrame,
+                     order: dict[str, list[str]] | None = None) -> DataFrame:
+    """``sources_ids`` of the Sources that multi-mapped records name (first record per id),
+    loaded keyed."""
     narrow = sources.select(*[c for c in ("id", "ids", FL.ORD) if c in sources.columns])
+    narrow = FL.select_records(narrow, FL.mm_oaids(multi_mapped).where(F.col("entity") == "sources"))
     return FL.load_tables({"sources_ids": FL.flatten_sources(narrow)["sources_ids"]}, order)["sources_ids"]
 
 
@@ -129,7 +126,7 @@ class Categories:
     @property
     def sources(self) -> DataFrame:
         if self._sources is None:
-            self._sources = C.categorize_sources(self.multi_mapped, source_ids_table(self._sources_in))
+            self._sources = C.categorize_sources(self.multi_mapped, source_ids_table(self.multi_mapped, self._sources_in))
         return self._sources
 
     def counts(self) -> DataFrame:
@@ -169,46 +166,74 @@ def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: Dat
 # ------------------------------------------------------------------ storage-level wrappers
 
 
+def _write_rejected(spark, tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """Write each table of rejected input, and ``rejected_counts`` (name, n) of all."""
+    paths = {name: f"{out_dir}/{name}" for name in (*tables, "rejected_counts")}
+    counts = None
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(paths[name])
+        n = spark.read.schema(df.schema).parquet(paths[name]).agg(F.count(F.lit(1)).alias("n"))
+        n = n.select(F.lit(name).alias("name"), "n")
+        counts = n if counts is None else counts.unionByName(n)
+    counts.write.mode("overwrite").parquet(paths["rejected_counts"])
+    return paths
+
+
 def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir: str, *,
                 all_rows: bool = True, rows_per_file: int = 10_000, index_table: str | None = None,
-                index_buckets: int = 0) -> dict[str, str]:
+                index_buckets: int = 0, rebuild_index: bool = False, single_file: bool = False) -> dict[str, str]:
     """Meta dump (zip or CSV folder) + OpenAlex Works/Sources dumps -> CSV folders:
     ``primary_ents``, ``venues``, ``resp_ags``, ``pid_index`` (parquet, by lookup table),
-    ``mapped``, ``multi_mapped`` (one file), ``non_mapped``, and the same three for venues
-    (``venues_*``, without type).
+    ``pid_lists`` (one row per PID, what the mappings join), ``mapped``, ``multi_mapped``,
+    ``non_mapped``, and the same three for venues (``venues_*``, without type).
+
+    An index that is already there is an error unless ``rebuild_index``. The multi-mapped
+    tables are folders like the others; ``single_file`` asks for one file each, which one
+    task then writes. Nothing is left out silently: lines of the dumps that are no JSON go to
+    ``malformed_works`` and ``malformed_sources``, cells that cannot be parsed to
+    ``unparsable_venues`` and ``unparsable_agents``, and ``rejected_counts`` has their numbers.
 
     With ``index_table`` and ``index_buckets`` the index is stored as a bucketed catalog
     table instead, so both mappings (and later runs) join it without shuffling it.
     """
     from pidlink.sources import readers as R
+    from pidlink.sources import schemas as SC
     from pidlink.sources import sinks as W
 
     meta = R.read_meta_dump(spark, meta_dump)
-    works = R.read_works(spark, works_dir)
-    sources = R.read_sources(spark, sources_dir)
+    works, bad_works = R.read_openalex(spark, works_dir, SC.work_schema())
+    sources, bad_sources = R.read_openalex(spark, sources_dir, SC.source_schema())
+    index_mode = "overwrite" if rebuild_index else "errorifexists"
+    write_multi = W.write_single_csv if single_file else lambda df, path: W.write_csv(df, path, rows_per_file)
     paths = {k: f"{out_dir}/{k}" for k in ("primary_ents", "venues", "resp_ags", "pid_index", "mapped",
                                            "multi_mapped", "non_mapped", "venues_mapped", "venues_multi_mapped",
-                                           "venues_non_mapped")}
+                                           "venues_non_mapped", "pid_lists")}
     if index_table and index_buckets > 0:
-        P.write_bucketed_index(build_index(works, sources), index_table, index_buckets, mode="overwrite")
+        P.write_bucketed_index(build_index(works, sources), index_table, index_buckets, mode=index_mode)
         index = spark.table(index_table)
         paths["pid_index"] = index_table
     else:
-        P.write_pid_index(build_index(works, sources), paths["pid_index"], mode="overwrite")
-        index = spark.read.parquet(paths["pid_index"])  # stored once, read by both mappings
+        P.write_pid_index(build_index(works, sources), paths["pid_index"], mode=index_mode)
+        index = spark.read.parquet(paths["pid_index"])
+        M.pid_lists(index).write.mode("overwrite").parquet(paths["pid_lists"])  # read by both mappings
+        index = spark.read.parquet(paths["pid_lists"])
+    meta = cut_lineage(meta)  # one parse of the dump for all tables
     m = mapping_job(meta, works, sources, all_rows=all_rows, index=index)
     W.write_csv(m.primary_entities, paths["primary_ents"], rows_per_file)
     W.write_csv(m.venues, paths["venues"], rows_per_file)
     W.write_csv(m.responsible_agents, paths["resp_ags"], rows_per_file)
     result = cut_lineage(m.result)  # three outputs from one computation
     W.write_csv(M.mapped(result), paths["mapped"], rows_per_file)
-    W.write_single_csv(M.multi_mapped(result), paths["multi_mapped"])
+    write_multi(M.multi_mapped(result), paths["multi_mapped"])
     W.write_csv(M.unmapped(result), paths["non_mapped"], rows_per_file)
     vres = cut_lineage(map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index))
     W.write_csv(M.mapped(vres), paths["venues_mapped"], rows_per_file)
-    W.write_single_csv(M.multi_mapped(vres), paths["venues_multi_mapped"])
+    write_multi(M.multi_mapped(vres), paths["venues_multi_mapped"])
     W.write_csv(M.unmapped(vres), paths["venues_non_mapped"], rows_per_file)
-    return paths
+    rejected = {"malformed_works": bad_works, "malformed_sources": bad_sources,
+                "unparsable_venues": X.unparsable_venues(m.meta),
+                "unparsable_agents": X.unparsable_agents(m.meta)}
+    return paths | _write_rejected(spark, rejected, out_dir)
 
 
 def run_categorisation(spark, multi_mapped_dir: str, works_dir: str, sources_dir: str, out_dir: str) -> dict[str, str]:
@@ -230,11 +255,14 @@ def run_categorisation(spark, multi_mapped_dir: str, works_dir: str, sources_dir
 
 def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir: str, out_dir: str) -> dict[str, str]:
     """Meta RDF dump + processed primary entities + unmapped records -> extra records,
-    provenance counts (CSV and nested JSON) and the records without provenance."""
+    provenance counts (CSV and nested JSON), the records without provenance, and the graphs
+    that were left out, with their count. The archive is parsed once; graphs and records are
+    kept in the shared checkpoint folder."""
     from pidlink.sources import readers as R
     from pidlink.sources import sinks as W
 
-    res = provenance_job(R.read_provenance_graphs(spark, br_rdf_zip), R.read_br_nodes(spark, br_rdf_zip),
+    graphs = cut_lineage(R.read_provenance_graphs(spark, br_rdf_zip))
+    res = provenance_job(graphs, cut_lineage(R.read_br_nodes(spark, br_rdf_zip)),
                          R.read_csv_tables(spark, primary_ents_dir), R.read_csv_tables(spark, non_mapped_dir))
     paths = {k: f"{out_dir}/{k}" for k in ("extra_br", "counts", "counts_json", "missing")}
     W.write_csv(res.extra.select("omid", "type", W.flag_text("omid_only")), paths["extra_br"])
@@ -242,5 +270,25 @@ def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir
     W.write_csv(counts, paths["counts"])
     W.write_document(W.provenance_document(counts), paths["counts_json"])
     W.write_csv(res.missing, paths["missing"])
+    return paths | _write_rejected(spark, {"dropped_graphs": PV.dropped_graphs(graphs)}, out_dir)
+
+
+def run_analysis_tables(spark, multi_mapped_dir: str, works_dir: str, sources_dir: str, out_dir: str,
+                        mode: str = "errorifexists") -> dict[str, str]:
+    """Multi-mapped table + OpenAlex dumps -> the analysis database as Parquet folders: the
+    full records of the multi-mapped Works (``mm_works``), and the 15 flattened tables of
+    those Works and of all Sources, each loaded keyed (the last record of a key wins; Sources
+    by their first). A table that is already there is an error unless ``mode`` says otherwise."""
+    from pidlink.sources import readers as R
+
+    mm = R.read_csv_tables(spark, multi_mapped_dir)
+    keys = FL.mm_oaids(mm).where(F.col("entity") == "works")
+    paths = {"mm_works": f"{out_dir}/mm_works"}
+    FL.select_records(R.read_works(spark, works_dir), keys).write.mode(mode).parquet(paths["mm_works"])
+    works = spark.read.parquet(paths["mm_works"])  # stored once, read by twelve tables
+    tables = FL.load_tables(FL.flatten_sources(R.read_sources(spark, sources_dir)) | FL.flatten_works(works))
+    for name, df in tables.items():
+        paths[name] = f"{out_dir}/{name}"
+        df.write.mode(mode).parquet(paths[name])
     return paths
 

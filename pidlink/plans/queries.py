@@ -43,7 +43,8 @@ def _multi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _categories(spark: SparkSession, sf: str) -> J.Categories:
-    return J.categorisation_job(_multi(spark, sf), A.work_records(spark, sf), A.source_records(spark, sf))
+    return J.categorisation_job(_multi(spark, sf), A.ordered(A.work_records(spark, sf)),
+                                A.ordered(A.source_records(spark, sf)))
 
 
 def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
@@ -154,15 +155,15 @@ def full_metadata_semi_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flat_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return FL.flatten_sources(A.source_records(spark, sf))["sources"]
+    return FL.flatten_sources(A.ordered(A.source_records(spark, sf)))["sources"]
 
 
 def flat_sources_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return FL.flatten_sources(A.source_records(spark, sf))["sources_ids"]
+    return FL.flatten_sources(A.ordered(A.source_records(spark, sf)))["sources_ids"]
 
 
 def flat_sources_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return FL.flatten_sources(A.source_count_records(spark, sf))["sources_counts_by_year"]
+    return FL.flatten_sources(A.ordered(A.source_count_records(spark, sf)))["sources_counts_by_year"]
 
 
 def flat_works(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +47,13 @@ def build_session(master: str | None = None, app: str = "pidlink", shuffle_parti
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without one (tests, a laptop) gets a scratch folder; on a
-    cluster a machine-local folder would not be readable by other executors, so a missing
+    Only a single-process session without one (master ``local`` or ``local[n]``: tests, a
+    laptop) gets a scratch folder; on a cluster, ``local-cluster`` included, a machine-local folder would not be readable by other executors, so a missing
     setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="pidlink-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:

@@ -13,7 +13,7 @@ hash of the record id right after the read.
 
 from __future__ import annotations
 
-import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,30 +30,33 @@ CORRUPT = "_corrupt_record"
 CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\u0000", "mode": "FAILFAST"}
 
 
-def _spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, 1)
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, key) if key else df.repartition(n)
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark knows is an existing folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
 def read_csv_tables(spark: SparkSession, *dirs: str, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """All ``*.csv`` files directly inside one or more directories, as text columns."""
+    """All ``*.csv`` files directly inside one or more directories, as text columns.
+
+    Columns are matched by name: each directory is read with its own header, and a column
+    that one of them lacks is NULL for its rows."""
     for d in dirs:
-        if not os.path.isdir(d):
-            raise ValueError("Each argument must be a string representing the path to an existing directory.")
+        if not _is_folder(spark, d):
+            raise ValueError(f"no such folder: {d}")
     r = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
     if columns:
         r = r.schema(", ".join(f"`{c}` string" for c in columns))
     else:
         r = r.option("inferSchema", "false")
-    return r.csv(list(dirs))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [r.csv(d) for d in dirs])
 
 
 def read_meta_dump(spark: SparkSession, path: str, columns: tuple[str, ...] = META_COLUMNS) -> DataFrame:
-    """Meta CSV dump: a zip archive (``.csv`` members only) or a directory of CSV files."""
-    if os.path.isdir(path):
+    """Meta CSV dump: a directory of CSV files on any file system, or a zip archive (``.csv``
+    members only), which must be on a path that the driver and every executor have mounted."""
+    if _is_folder(spark, path):
         return read_csv_tables(spark, path, columns=columns)
     zipsource.register(spark)
     schema = ", ".join(f"`{c}` string" for c in columns)
@@ -67,7 +70,8 @@ def read_openalex(spark: SparkSession, path: str, schema: StructType, glob: str
     Returns (records, malformed): malformed lines are dropped from ``records`` and kept
     apart (``_corrupt_record`` text) so they can be counted or logged.
     ``with_order`` adds ``_ord``, the load order (file path, then position in the scan),
-    used by keep-first / keep-last loading.
+    used by keep-first / keep-last loading. A gz file is one task: give the dump in files of
+    about 128 MB, several per core, as the published ones are.
     """
     full = schema.add(CORRUPT, "string") if CORRUPT not in schema.fieldNames() else schema
     raw = (
@@ -87,7 +91,7 @@ def read_openalex(spark: SparkSession, path: str, schema: StructType, glob: str
     records = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if with_order:
         records = records.withColumn("_ord", F.struct("_file", "_pos")).drop("_file", "_pos")
-    return _spread(records, "id"), malformed
+    return records, malformed
 
 
 def read_works(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:

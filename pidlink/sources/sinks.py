@@ -76,12 +76,11 @@ def create(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     w.parquet(path)
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Keyed upsert: rows of ``incoming`` replace rows of ``existing`` with the same key;
     among incoming rows with one key the last in ``order`` (a numeric load-order column)
     wins. Returns the merged table: write it to a new location, then swap."""
     cols = list(existing.columns)
-    seq = F.col(order) if order else F.monotonically_increasing_id()
     old = existing.select(*cols, F.lit(0).alias("_gen"), F.lit(None).cast("long").alias("_seq"))
-    new = incoming.select(*cols, F.lit(1).alias("_gen"), seq.cast("long").alias("_seq"))
+    new = incoming.select(*cols, F.lit(1).alias("_gen"), F.col(order).cast("long").alias("_seq"))
     return keep_last(old.unionByName(new), keys, ["_gen", "_seq"])

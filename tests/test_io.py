@@ -5,8 +5,11 @@ import os
 import shutil
 import zipfile
 
+import pytest
 from conftest import golden, read_golden, rows
 
+from pyspark.errors import AnalysisException
+
 from pidlink.functions import constants as K
 from pidlink.operators import categorize as C
 from pidlink.sources import readers as R
@@ -105,6 +108,7 @@ def test_run_mapping_end_to_end(spark, tmpdir_path):
     os.makedirs(works_dir)
     os.makedirs(src_dir)
     with gzip.open(os.path.join(works_dir, "part_0.gz"), "wt") as f:
+        f.write('{"id": "broken\n')
         for r in read_golden(spark, "works_pid_index.csv").collect():
             scheme, value = r.supported_id.split(":", 1)
             ids = {"doi": "https://doi.org/" + value} if scheme == "doi" else {scheme: value}
@@ -122,7 +126,65 @@ def test_run_mapping_end_to_end(spark, tmpdir_path):
     mapped = R.read_csv_tables(spark, paths["mapped"])
     assert rows(mapped) == rows(read_golden(spark, "mapped.csv"), ["omid", "openalex_id", "type"])
     assert R.read_csv_tables(spark, paths["non_mapped"]).count() == 13
-    assert len([f for f in os.listdir(paths["multi_mapped"]) if f.endswith(".csv")]) == 1
+    assert rows(R.read_csv_tables(spark, "file://" + paths["multi_mapped"]), ["omid"]) == rows(
+        read_golden(spark, "multi_mapped.csv"), ["omid"])
+    # rejected input is kept and counted, and an index that is there is not rebuilt unasked
+    counts = {r["name"]: r.n for r in spark.read.parquet(paths["rejected_counts"]).collect()}
+    assert set(counts) == {"malformed_works", "malformed_sources", "unparsable_venues", "unparsable_agents"}
+    assert counts["malformed_works"] == 1 and counts["malformed_sources"] == 0
+    assert spark.read.parquet(paths["malformed_works"]).count() == 1
+    with pytest.raises(AnalysisException):
+        J.run_mapping(spark, meta_dir, works_dir, src_dir, out)
+    again = J.run_mapping(spark, meta_dir, works_dir, src_dir, out, rebuild_index=True, single_file=True)
+    assert len([f for f in os.listdir(again["multi_mapped"]) if f.endswith(".csv")]) == 1
+
+
+def test_csv_folders_with_different_headers(spark, tmpdir_path):
+    for name, text in (("a", "omid,type,omid_only\n1,x,True\n"), ("b", "omid,type\n2,y\n"), ("c", "type,omid\nz,3\n")):
+        os.makedirs(os.path.join(tmpdir_path, name))
+        with open(os.path.join(tmpdir_path, name, "t.csv"), "w") as f:
+            f.write(text)
+    a, b, c = (os.path.join(tmpdir_path, n) for n in "abc")
+    want = [("1", "x", "True"), ("2", "y", None), ("3", "z", None)]
+    for dirs in ((a, b, c), (b, c, "file://" + a)):
+        got = R.read_csv_tables(spark, *dirs).collect()
+        assert sorted((r.omid, r.type, r.omid_only) for r in got) == want
+    with pytest.raises(ValueError):
+        R.read_csv_tables(spark, os.path.join(a, "t.csv"))
+
+
+def test_run_analysis_tables(spark, tmpdir_path):
+    from pidlink.operators import flatten as FL
+    from pidlink.plans import jobs as J
+
+    mm_dir = os.path.join(tmpdir_path, "mm")
+    os.makedirs(mm_dir)
+    with open(os.path.join(mm_dir, "t.csv"), "w") as f:
+        f.write('"omid","openalex_id","type"\n"omid:br/1","W1 W2","x"\n"omid:br/3","S1 S2","y"\n')
+    U = K.OPENALEX_URI
+    work = {"type": "article", "authorships": [{"author_position": "first", "author": {"id": "A1"}, "institutions": [{"id": "I1"}, {"id": "I2"}]}],
+            "primary_location": {"source": {"id": "S1"}, "version": "v"}, "locations": [{"source": {"id": "S1"}}, {"source": None}],
+            "best_oa_location": {"source": {"id": "S2"}}, "biblio": {"volume": "1"}, "concepts": [{"id": "C1", "score": 0.5}],
+            "mesh": [{"descriptor_ui": "D", "qualifier_ui": "Q", "is_major_topic": True}], "open_access": {"is_oa": True},
+            "referenced_works": [U + "W7"], "related_works": [U + "W8", U + "W9"]}
+    _gz_lines(os.path.join(tmpdir_path, "works", "p.gz"), [
+        work | {"id": U + "W1", "ids": {"openalex": U + "W1"}}, work | {"id": U + "W2", "ids": {"openalex": U + "W2"}, "type": "old"},
+        work | {"id": U + "W2", "ids": {"openalex": U + "W2"}, "type": "new"}, work | {"id": U + "W5", "ids": {"openalex": U + "W5"}}])
+    _gz_lines(os.path.join(tmpdir_path, "sources", "p.gz"), [
+        {"id": U + "S1", "ids": {"openalex": U + "S1", "issn": ["1"]}, "counts_by_year": [{"year": 2020, "works_count": 3}]},
+        {"id": U + "S4", "ids": {"openalex": U + "S4"}}])
+    args = (mm_dir, os.path.join(tmpdir_path, "works"), os.path.join(tmpdir_path, "sources"), os.path.join(tmpdir_path, "out"))
+    paths = J.run_analysis_tables(spark, *args)
+    assert set(paths) == {"mm_works", *FL.PRIMARY_KEYS}
+    n = {name: spark.read.parquet(p).count() for name, p in paths.items()}
+    assert n == {"mm_works": 3, "sources": 2, "sources_ids": 2, "sources_counts_by_year": 1, "works": 2, "works_primary_locations": 2,
+                 "works_locations": 2, "works_best_oa_locations": 2, "works_authorships": n["works_authorships"], "works_biblio": 2,
+                 "works_concepts": 2, "works_ids": 2, "works_mesh": 2, "works_open_access": 2, "works_referenced_works": 2,
+                 "works_related_works": 4}
+    assert n["works_authorships"] in (2, 4)
+    assert {(r.id[-2:], r.type) for r in spark.read.parquet(paths["works"]).collect()} == {("W1", "article"), ("W2", "new")}
+    with pytest.raises(AnalysisException):
+        J.run_analysis_tables(spark, *args)
 
 
 def test_copy_json_lines_skips_malformed(spark, tmpdir_path):

@@ -1,9 +1,10 @@
+import tempfile
+
 from conftest import read_golden, rows
 from pyspark.sql import functions as F
 
 from pidlink.operators import mapping as M
 from pidlink.operators import pids as P
-from pidlink.operators.skew import salted_join
 
 
 def golden_index(spark):
@@ -79,16 +80,6 @@ def test_tiers(spark):
                    "c": (["S2", "W2", "W3"], "multi_mapped"), "d": ([], "unmapped"), "e": (["S1"], "mapped")}
 
 
-def test_salted_join_equals_plain_join_with_hot_key(spark):
-    left = spark.range(2000).select((F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
-        F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))).alias("pid"), F.col("id").alias("row"))
-    right = spark.createDataFrame([("hot", "W1"), ("hot", "W2"), ("k1", "W3"), ("zz", "W4")], "pid string, oa string")
-    plain = rows(left.join(right, "pid", "left"), ["row", "pid", "oa"])
-    salted = rows(salted_join(left, right, "pid", "left", min_rows=100, max_keys=5, rows_per_bucket=50),
-                  ["row", "pid", "oa"])
-    assert plain == salted and len(plain) == 2000 + 667
-
-
 def test_venue_mapping_without_type(spark):
     ven = spark.createDataFrame([("omid:br/9", "issn:0044-295X")], "omid string, ids string")
     r = M.map_records(ven, golden_index(spark), type_field=False).collect()
@@ -106,18 +97,22 @@ def test_mapping_with_a_hot_placeholder_pid(spark):
                                   F.concat(F.lit("W"), F.col("id").cast("string")).alias("openalex_id")) \
         .unionByName(spark.createDataFrame([("doi:10.0/placeholder", "W900"), ("doi:10.0/placeholder", "W901")],
                                            "supported_id string, openalex_id string"))
-    plain = rows(M.map_records(ents, idx, skew_min_rows=0), ["omid", "outcome", "n_openalex"])
-    spark.conf.set("pidlink.skew.minRows", "200")
-    spark.conf.set("pidlink.skew.rowsPerBucket", "100")
-    try:
-        salted = rows(M.map_records(ents, idx), ["omid", "outcome", "n_openalex"])
-    finally:
-        spark.conf.unset("pidlink.skew.minRows")
-        spark.conf.unset("pidlink.skew.rowsPerBucket")
-    assert plain == salted
+    plain = rows(M.map_records(ents, idx), ["omid", "outcome", "n_openalex"])
+    stored = rows(M.map_records(ents, M.pid_lists(idx)), ["omid", "outcome", "n_openalex"])
+    assert plain == stored
     assert sum(1 for r in plain if r[1] == M.MULTI_MAPPED) == 1000
 
 
+def test_repeated_records_keep_their_number(spark):
+    ents = spark.createDataFrame(
+        [("a", "doi:1 doi:2 doi:2", "t")] * 3 + [("a", "doi:1 doi:2 doi:2", None)] * 2 + [("b", "isbn:9", "t")] * 4
+        + [("c", "doi:7", "t")], "omid string, ids string, type string")
+    idx = spark.createDataFrame([("doi:1", "W1"), ("doi:1", "W2"), ("doi:2", "W2"), ("doi:2", "W2")],
+                                "supported_id string, openalex_id string")
+    got = sorted((r.omid, str(r.type), tuple(r.openalex_ids)) for r in M.map_records(ents, idx).collect())
+    assert got == [("a", "None", ("W1", "W2"))] * 2 + [("a", "t", ("W1", "W2"))] * 3 + [("b", "t", ())] * 4 + [("c", "t", ())]
+
+
 def test_bucketed_index_is_joined_without_shuffling_it(spark):
     import uuid
 
@@ -130,7 +125,8 @@ def test_bucketed_index_is_joined_without_shuffling_it(spark):
         assert rows(M.mapped(r), ["omid", "openalex_id", "type"]) == rows(read_golden(spark, "mapped.csv"),
                                                                            ["omid", "openalex_id", "type"])
         def pid_shuffles(df):
-            return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(pid")
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return plan.count("Exchange hashpartitioning(pid") + plan.count("Exchange hashpartitioning(supported_id")
 
         assert pid_shuffles(r) == 1  # only the Meta side is shuffled on the PID
         assert pid_shuffles(M.map_records(read_golden(spark, "primary_ents.csv"), golden_index(spark))) == 2
@@ -158,7 +154,10 @@ def test_aqe_splits_the_hot_pid_partition(spark):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        r = M.map_records(ents, idx, skew_min_rows=0)
+        # stored, as run_mapping does it: both sides of the join are plain shuffles then
+        path = tempfile.mkdtemp() + "/lists"
+        M.pid_lists(idx).write.parquet(path)
+        r = M.map_records(ents, spark.read.parquet(path))
         got = {x.outcome: x.n for x in r.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
         qe = r._jdf.queryExecution()
         qe.toRdd().count()  # run this DataFrame's own plan so AQE finalises it

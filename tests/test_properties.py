@@ -51,7 +51,7 @@ def test_categories_cover_every_multi_mapped_row(spark):
         return
     m = J.mapping_job(A.meta_rows(spark, sf), A.work_records(spark, sf), A.source_records(spark, sf))
     mm = m.multi_mapped()
-    cats = J.categorisation_job(mm, A.work_records(spark, sf), A.source_records(spark, sf))
+    cats = J.categorisation_job(mm, A.ordered(A.work_records(spark, sf)), A.ordered(A.source_records(spark, sf)))
     total = cats.counts().agg(F.sum("n")).collect()[0][0]
     assert total == mm.count()
     outcomes = {r.outcome: r.n for r in m.result.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
