@@ -318,6 +318,19 @@ SELECT source, """ + ", ".join(f"""coalesce(sum(n) FILTER (WHERE type = {_q(t)})
     "prov_contribution": PROVENANCE + """ SELECT type, single_source, sum(n)::BIGINT AS total FROM (
   SELECT type, unnest(string_split(source, ' ')) AS single_source, omid_only + other_pids AS n FROM o_pc)
 GROUP BY type, single_source""",
+    # ---------------------------------------------------------- sources and sinks
+    "io_csv_tables": """ SELECT id, venue, author, publisher, editor, type FROM fx_meta
+UNION ALL SELECT id, venue, author, publisher, NULL, type FROM fx_meta""",
+    "io_json_lines": " SELECT id, type, doi, version FROM fx_works",
+    "io_openalex_dump": """,
+o_ok AS (SELECT issn_l FROM fx_sources WHERE NOT ends_with(id, '7'))
+SELECT 'records' AS kind, count(*)::BIGINT AS n, count(DISTINCT issn_l)::BIGINT AS n_issn_l FROM o_ok
+UNION ALL SELECT 'copied', count(*)::BIGINT, count(DISTINCT issn_l)::BIGINT FROM o_ok
+UNION ALL SELECT 'malformed', count(*)::BIGINT, 0::BIGINT FROM fx_sources WHERE ends_with(id, '7')""",
+    "io_counts_document": """ SELECT 'works' AS entity, type, version AS category, count(*)::BIGINT AS n FROM fx_works
+GROUP BY type, version""",
+    "io_append_upsert": " SELECT id, CASE WHEN version = 'submittedVersion' THEN 'second' ELSE type END AS type FROM fx_works",
+    "io_create_once": " SELECT id, type, true AS refused FROM fx_works",
     # ---------------------------------------------------------- statistics
     "mm_composition": MMSTATS + """ SELECT omid, openalex_id,
   CASE WHEN type IS NULL OR type = '' THEN 'Unspecified' ELSE type END AS type, oaid_count, composition

@@ -6,8 +6,10 @@ operators on them; the matching DuckDB SQL is in ``pidlink.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ from pidlink.operators import provenance as PV
 from pidlink.operators import stats as S
 from pidlink.plans import adapters as A
 from pidlink.plans import jobs as J
+from pidlink.session import checkpoint_dir
+from pidlink.sources import readers as R
+from pidlink.sources import schemas as SC
+from pidlink.sources import sinks as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,7 +169,7 @@ def flat_sources_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flat_sources_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return FL.flatten_sources(A.ordered(A.source_count_records(spark, sf)))["sources_counts_by_year"]
+    return FL.flatten_sources(A.ordered(A.source_count_records(spark, sf)))["sources_counts_by_year"].drop(FL.ORD)
 
 
 def flat_works(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,7 +258,8 @@ def prov_dropped_graphs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prov_extra_brs(spark: SparkSession, sf: str) -> DataFrame:
-    return _provenance(spark, sf).extra
+    processed = PV.processed_omids(X.primary_entities(A.meta_rows(spark, sf)))  # needs no mapping
+    return PV.extra_records(A.br_nodes(spark, sf), processed)
 
 
 def prov_missing(spark: SparkSession, sf: str) -> DataFrame:
@@ -321,6 +328,80 @@ def coverage_openalex(spark: SparkSession, sf: str) -> DataFrame:
     return S.openalex_coverage(A.work_records(spark, sf), A.source_records(spark, sf))
 
 
+# ------------------------------------------------------------------ sources and sinks
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def io_csv_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rolled CSV folders written and read back by column name; the second lacks a column."""
+    meta, path = A.meta_rows(spark, sf), _folder(spark, "csv")
+    W.write_csv(meta, f"{path}/a", rows_per_file=5000)
+    W.write_csv(meta.drop("editor"), f"{path}/b", rows_per_file=5000)
+    return R.read_csv_tables(spark, f"{path}/a", f"{path}/b").select("id", "venue", "author", "publisher", "editor", "type")
+
+
+def io_json_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Rolled JSON lines of Work records, written and read back."""
+    path = _folder(spark, "json")
+    W.write_json_lines(A.work_records(spark, sf), path, rows_per_file=5000)
+    back = R.read_json_records(spark, path, SC.work_schema())
+    return back.select("id", "type", F.col("ids.doi").alias("doi"), F.col("primary_location.version").alias("version"))
+
+
+def io_openalex_dump(spark: SparkSession, sf: str) -> DataFrame:
+    """A gz dump of Source records in which some lines are cut off: records read, lines
+    reported as malformed, and well-formed lines of the uncompressed copy."""
+    path, copy = _folder(spark, "gz"), _folder(spark, "copy")
+    s = A.source_records(spark, sf)
+    line = F.to_json(F.struct(*s.columns))
+    cut = F.substring(line, 1, 20)  # ends inside a string
+    s.select(F.when(F.col("id").endswith("7"), cut).otherwise(line).alias("value")).write.option(
+        "compression", "gzip").text(path)
+    records, malformed = R.read_openalex(spark, path, SC.source_schema())
+    R.copy_json_lines(spark, path, copy)
+    found = records.select(F.lit("records").alias("kind"), F.col("ids.issn_l").alias("issn_l")).unionByName(
+        malformed.select(F.lit("malformed").alias("kind"), F.lit(None).cast("string").alias("issn_l"))).unionByName(
+        spark.read.text(copy).select(F.lit("copied").alias("kind"), F.get_json_object("value", "$.ids.issn_l").alias("issn_l")))
+    return found.groupBy("kind").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                     F.countDistinct("issn_l").cast("bigint").alias("n_issn_l"))
+
+
+def io_counts_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested counts document written and read back as the long table."""
+    w, path = A.work_records(spark, sf), _folder(spark, "doc")
+    counts = w.groupBy(F.lit("works").alias("entity"), "type", F.col("primary_location.version").alias("category")).agg(
+        F.count(F.lit(1)).alias("n"))
+    W.write_document(C.nested_counts_json(counts), path)
+    return R.read_category_counts(spark, path)
+
+
+def io_append_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A table appended to twice, then updated by key: the last of the new rows wins."""
+    works, path = A.work_records(spark, sf), _folder(spark, "append")
+    W.append(works.where("type = 'erratum'").select("id", "type"), path)
+    W.append(works.where("type <> 'erratum'").select("id", "type"), path)
+    newer = works.where("primary_location.version = 'submittedVersion'")
+    incoming = newer.select("id", F.lit("first").alias("type"), F.lit(1).alias("seq")).unionByName(
+        newer.select("id", F.lit("second").alias("type"), F.lit(2).alias("seq")))
+    return W.upsert(spark.read.parquet(path), incoming, ["id"], "seq").select("id", "type")
+
+
+def io_create_once(spark: SparkSession, sf: str) -> DataFrame:
+    """A new table, and the refusal to write it again."""
+    path, w = _folder(spark, "create"), A.work_records(spark, sf).select("id", "type")
+    W.create(w, path)
+    try:
+        W.create(w, path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return spark.read.parquet(path).select("id", "type", F.lit(refused).alias("refused"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -338,6 +419,7 @@ QUERIES: dict[str, Query] = {
         prov_contribution,
         mm_composition, mm_filter, mm_distribution, mm_type_stats, mm_histogram, mm_api_urls,
         inverted_multi_mapped, venue_row_overlap, coverage_meta, coverage_openalex,
+        io_csv_tables, io_json_lines, io_openalex_dump, io_counts_document, io_append_upsert, io_create_once,
     ]
 }
 
