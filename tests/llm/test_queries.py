@@ -1,0 +1,50 @@
+"""The registered training-data queries against their DuckDB SQL, or their contract's columns."""
+
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from pidlink.llm.queries import ORACLE_SQL, QUERIES
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+
+COLUMNS = {
+    "op1": ["doc_id", "held_out", "lang_pred", "score"],
+    "op2": ["doc_id", "weight", "key", "kept"],
+    "op3": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op4": ["doc_id", "fingerprint", "component_id"],
+    "op5": ["doc_id", "size", "source_size", "target", "taken"],
+    "op6": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op8": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op9": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op10": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+}
+
+
+def test_one_query_for_each_operator():
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(COLUMNS)
+    assert len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_contract(spark, name):
+    df = QUERIES[name](spark, SF)
+    want = COLUMNS[name.split("_")[0]]
+    assert df.columns[:len(want)] == want
+    assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    con.execute(f"CREATE VIEW oracle_view AS {ORACLE_SQL[name]}")
+    res = con.execute("SELECT * FROM oracle_view")
+    columns = sorted(d[0] for d in res.description)
+    want = sorted(tuple(str(r[c]) for c in columns) for r in (dict(zip([d[0] for d in res.description], x)) for x in res.fetchall()))
+    got = sorted(tuple(str(r[c]) for c in columns) for r in QUERIES[name](spark, SF).collect())
+    assert got == want
