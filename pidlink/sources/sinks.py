@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pidlink.functions import constants as K
@@ -33,30 +33,40 @@ def write_json_lines(df: DataFrame, path: str, rows_per_file: int = K.ROWS_PER_F
 
 
 def write_document(doc: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A one-row, one-column text result (e.g. nested counts JSON) as a single file."""
+    """A text result of one column (e.g. nested counts JSON), its lines in order, as a single
+    file. The lines are streamed into it; no row holds the whole document."""
     if len(doc.columns) != 1:
         raise ValueError("a document is one text column")
     doc.coalesce(1).write.mode(mode).text(path)
 
 
+def _quoted(c: str) -> "F.Column":
+    """A text as a JSON string."""
+    q = F.to_json(F.array(F.col(c)))
+    return q.substr(F.lit(2), F.length(q) - 2)
+
+
 def provenance_document(counts: DataFrame) -> DataFrame:
-    """{type: {source: {omid_only, other_pids}}} as one JSON text row, from the small
-    aggregated counts table; sources by total (descending) inside a type, types by their
-    total (descending), as the keys are written in order."""
+    """{type: {source: {omid_only, other_pids}}} as the ordered lines of one JSON text, a line
+    per (type, source); sources by total (descending) inside a type, types by their total
+    (descending), as the keys are written in order."""
     total = F.col("omid_only") + F.col("other_pids")
-    by_type = counts.groupBy("type").agg(
-        F.sum(total).alias("_t"),
-        F.array_sort(F.collect_list(F.struct((-total).alias("_k"), "source", F.struct("omid_only", "other_pids")
-                                             .alias("v")))).alias("_e"))
-    by_type = by_type.select("type", "_t", F.map_from_entries(F.transform(
-        "_e", lambda e: F.struct(e.getField("source"), e.getField("v")))).alias("m"))
-    def by_key(a, b):
-        ka, kb = a.getField("_k"), b.getField("_k")
-        return F.when(ka < kb, -1).when(ka > kb, 1).otherwise(0)
-
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("_t")).alias("_k"), "type", "m")), by_key)
-    return by_type.agg(F.to_json(F.map_from_entries(F.transform(
-        ordered, lambda e: F.struct(e.getField("type"), e.getField("m"))))).alias("json"))
+    in_type = Window.partitionBy("type")
+    rows = counts.select("type", "source", "omid_only", "other_pids", total.alias("_n")).select(
+        "*", F.sum("_n").over(in_type).alias("_t"), F.count(F.lit(1)).over(in_type).alias("_size"),
+        F.row_number().over(in_type.orderBy(F.col("_n").desc(), "source")).alias("_i"))
+    # the order of the types, from one row per type
+    types = rows.where("_i = 1").select(
+        F.col("type").alias("_type"), F.row_number().over(Window.orderBy(F.col("_t").desc(), "type")).alias("_rank"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("_types"))
+    rows = rows.join(types, rows["type"].eqNullSafe(types["_type"]))
+    opens, closes = F.col("_i") == 1, F.col("_i") == F.col("_size")
+    line = F.concat(
+        F.when(opens & (F.col("_rank") == 1), "{").otherwise(""),
+        F.when(opens, F.concat(_quoted("type"), F.lit(": {"))).otherwise(""),
+        _quoted("source"), F.lit(": "), F.to_json(F.struct("omid_only", "other_pids")),
+        F.when(~closes, ",").when(F.col("_rank") == F.col("_types"), "}}").otherwise("},"))
+    return rows.orderBy("_rank", "_i").select(line.alias("json"))
 
 
 def flag_text(c: str) -> "F.Column":

@@ -331,7 +331,14 @@ def test_provenance_document_is_ordered_by_totals(spark):
     counts = spark.createDataFrame(
         [("book", "a", 1, 0), ("book", "b", 0, 5), ("journal", "a", 10, 10), ("book", "c", 2, 2)],
         "type string, source string, omid_only bigint, other_pids bigint")
-    doc = json.loads(W.provenance_document(counts).collect()[0][0])
+    lines = [r[0] for r in W.provenance_document(counts).collect()]
+    assert len(lines) == counts.count()
+    doc = json.loads("\n".join(lines))
     assert list(doc) == ["journal", "book"]
     assert list(doc["book"]) == ["b", "c", "a"]
     assert doc["book"]["c"] == {"omid_only": 2, "other_pids": 2}
+    tied = spark.createDataFrame([("", 'say "a"', 1, 0), ("x\\y", "é", 1, 0), ("z", "s", 1, 0)],
+                                 "type string, source string, omid_only bigint, other_pids bigint")
+    doc = json.loads("".join(r[0] for r in W.provenance_document(tied).collect()))
+    assert doc == {"": {'say "a"': {"omid_only": 1, "other_pids": 0}}, "x\\y": {"é": {"omid_only": 1, "other_pids": 0}},
+                   "z": {"s": {"omid_only": 1, "other_pids": 0}}}
