@@ -111,11 +111,14 @@ def locations_list_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def authorship_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Work records with their ``authorships`` list (one institution slot per authorship)."""
+    """Work records with their ``authorships`` list; an author who stands several times at a
+    position of a Work is one authorship with several institutions."""
     a = fixture(spark, sf_dir, "fx_authorships")
-    return a.groupBy(F.col("work_id").alias("id")).agg(F.collect_list(_obj(
+    each = a.groupBy("work_id", "author_position", "author_id").agg(
+        F.collect_list(_obj(id=F.col("institution_id"))).alias("institutions"))
+    return each.groupBy(F.col("work_id").alias("id")).agg(F.collect_list(_obj(
         author_position=F.col("author_position"), author=_obj(id=F.col("author_id")),
-        institutions=F.array(_obj(id=F.col("institution_id"))), raw_affiliation_string=_null_str(),
+        institutions=F.col("institutions"), raw_affiliation_string=_null_str(),
     )).alias("authorships"))
 
 

@@ -267,9 +267,12 @@ FROM fx_works""",
     "flat_locations": _LOCATIONS,
     "flat_best_oa_locations": _LOCATIONS,
     "flat_works_ids": " SELECT id AS work_id, id AS openalex, doi, CAST(NULL AS VARCHAR) AS mag, pmid, pmcid FROM fx_works",
-    "flat_authorships": """ SELECT work_id, author_position, author_id,
-  CASE WHEN institution_id = '' THEN NULL ELSE institution_id END AS institution_id,
-  CAST(NULL AS VARCHAR) AS raw_affiliation_string FROM fx_authorships WHERE author_id IS NOT NULL AND author_id <> ''""",
+    "flat_authorships": """ SELECT work_id, author_position, author_id, institution_id,
+  CAST(NULL AS VARCHAR) AS raw_affiliation_string FROM fx_authorships
+WHERE author_id IS NOT NULL AND author_id <> '' AND institution_id <> ''
+UNION ALL SELECT work_id, author_position, author_id, NULL, NULL FROM fx_authorships
+WHERE author_id IS NOT NULL AND author_id <> ''
+GROUP BY work_id, author_position, author_id HAVING count(nullif(institution_id, '')) = 0""",
     "flat_biblio": f""" SELECT {_work_uri('o_orderkey')} AS work_id,
   CAST(o_orderkey % 50 AS VARCHAR) AS volume, CAST(o_orderkey % 12 AS VARCHAR) AS issue,
   CAST(o_orderkey % 97 + 1 AS VARCHAR) AS first_page, CAST(o_orderkey % 97 + 12 AS VARCHAR) AS last_page
