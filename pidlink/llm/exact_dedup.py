@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pidlink.llm.common import stored
+from pidlink.llm.common import stored, unused
 
 #: Characters that the prefix hash reads.
 PREFIX = 64
@@ -89,15 +89,16 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "_id", "_full", (F.col("_keep._id").eqNullSafe(F.col("_id"))).alias("_stays"), "_copies")
     gone = marked.where(~F.col("_stays")).select("_id", "_full")
     sha = F.unhex(F.sha2(F.encode(content(F.col(text_col)), "UTF-8"), 256))
-    left = docs.withColumn("_doc_full", sha)
+    digest = unused(docs, "_doc_full")
+    left = docs.withColumn(digest, sha)
 
     def on(other: DataFrame) -> Column:
-        return left[id_col].eqNullSafe(other["_id"]) & (left["_doc_full"] == other["_full"])
+        return left[id_col].eqNullSafe(other["_id"]) & (left[digest] == other["_full"])
 
     repeated = marked.where(F.col("_stays") & (F.col("_copies") > 1)).select("_id", "_full")
     if repeated.isEmpty():
-        return left.join(gone.hint("shuffle_hash"), on(gone), "left_anti").drop("_doc_full")
-    thinned = left.join(repeated, on(repeated), "left_semi").dropDuplicates([id_col, "_doc_full"])
+        return left.join(gone.hint("shuffle_hash"), on(gone), "left_anti").drop(digest)
+    thinned = left.join(repeated, on(repeated), "left_semi").dropDuplicates([id_col, digest])
     out = gone.unionByName(repeated)
     rest = left.join(out.hint("shuffle_hash"), on(out), "left_anti")
-    return rest.unionByName(thinned).drop("_doc_full")
+    return rest.unionByName(thinned).drop(digest)

@@ -39,7 +39,7 @@ def test_exact_groups(make_docs, case):
 @pytest.mark.parametrize("case", CASES)
 def test_drop_exact_keeps_one_row_and_all_columns(make_docs, case):
     rows = CASES[case]
-    docs = make_docs(rows).withColumn("_full", F.lit(1)).withColumn("_id", F.lit("x")).withColumn("kept", F.lit(2))
+    docs = make_docs(rows).withColumn("_full", F.lit(1)).withColumn("_id", F.lit("x")).withColumn("kept", F.lit(2)).withColumn("_doc_full", F.lit(3))
     out = exact_dedup.drop_exact(docs)
     assert out.columns == docs.columns
     got = out.collect()
