@@ -40,7 +40,7 @@ BUCKETS = 2 << BITS
 SAMPLE = 4096
 SMOOTH = 1.0
 SEED = "gumbel-1"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _SAME = G.U64(0x5A4D)
 
 
