@@ -1,5 +1,8 @@
+import os
+
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from pidlink.operators import pids as P
 from pidlink.sources import schemas as SC
@@ -70,3 +73,19 @@ def test_index_keeps_only_work_and_source_schemes(spark):
 def test_reader_schemas_build(spark):
     for s in (SC.work_schema(), SC.source_schema(), SC.prov_graph_schema(), SC.br_graph_schema()):
         assert spark.createDataFrame([], s).count() == 0
+
+
+def test_index_write_is_spread_over_tasks(spark, tmpdir_path):
+    """No task writes a whole lookup table: rows are dealt by PID."""
+    idx = spark.range(4000).select(
+        F.lit("WorksDoi").alias("table_name"), F.lit("doi").alias("scheme"),
+        F.concat(F.lit("doi:10.1/"), F.col("id")).alias("supported_id"), F.concat(F.lit("W"), F.col("id")).alias("openalex_id"))
+    path = os.path.join(tmpdir_path, "index")
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        P.write_pid_index(idx, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert len([f for f in os.listdir(os.path.join(path, "table_name=WorksDoi")) if f.endswith(".parquet")]) > 1
+    assert spark.read.parquet(path).count() == 4000
