@@ -6,10 +6,13 @@ the encoding of its own bytes. So the state of a prefix is one token: to extend
 byte, take the token that ends there and is compatible with the last token of the prefix it
 leaves. The distinct words of a chunk of texts are walked as a trie, depth first (sorted
 order visits a trie's nodes in that order, and the state stack is kept up to the common
-prefix with the word before), so the encoding of a shared prefix is computed once.
+prefix with the word before), so the encoding of a shared prefix is computed once. Per depth
+only the last token is kept; its length says where it begins, so the ids of a word are read
+off by walking back from its end, and time and memory are linear in the length of a word.
 
 Texts are cut at safe boundaries; the ids of a part are remembered in a table of bounded
-size, which only saves time. A task holds one chunk of texts and these tables.
+size (entries and bytes), which only saves time. A task holds one chunk of texts and these
+tables.
 
 Defined results: a null text is encoded as the empty text; a text of any length is encoded
 whole; special strings inside texts become their own id, as the library does by default.
@@ -35,6 +38,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 #: Entries of a table of remembered parts or words, and of compatible pairs.
 REMEMBERED = 400_000
 PAIRS = 300_000
+#: Characters of keys and bytes of ids in a table of remembered parts or words.
+REMEMBERED_BYTES = 32 << 20
 CHUNK_BYTES = 2 << 20
 
 
@@ -50,19 +55,21 @@ class Remembered:
     """A table of bounded size: what was not asked for since it was last half full is forgotten.
     All that one call of ``missing`` asks for stays at hand until the next call."""
 
-    def __init__(self, most: int = REMEMBERED):
-        self.most, self.now, self.old = most, {}, {}
+    def __init__(self, most: int = REMEMBERED, most_bytes: int = REMEMBERED_BYTES):
+        self.most, self.most_bytes, self.now, self.old, self.held = most, most_bytes, {}, {}, 0
 
     def missing(self, keys: set[str]) -> set[str]:
-        if len(self.now) > self.most // 2:
-            self.now, self.old = {}, self.now
+        if len(self.now) > self.most // 2 or self.held > self.most_bytes // 2:
+            self.now, self.old, self.held = {}, self.now, 0
         unknown = keys - self.now.keys()
         back = unknown & self.old.keys()
-        self.now.update((k, self.old[k]) for k in back)
+        self.add((k, self.old[k]) for k in back)
         return unknown - back
 
     def add(self, items: Iterable[tuple[str, bytes]]) -> None:
-        self.now.update(items)
+        for key, value in items:
+            self.now[key] = value
+            self.held += len(key) + len(value)
 
 
 class TrieEncoder:
@@ -125,16 +132,16 @@ class TrieEncoder:
 
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Packed ids of each distinct word, by a depth-first walk of their trie."""
-        begins, packed, pairs = self.prefixes.get, self.packed, self.pairs
+        begins, packed, pairs, tokens = self.prefixes.get, self.packed, self.pairs, self.tokens
         out: dict[bytes, bytes] = {}
-        # by depth: last token, ids so far, length of the longest suffix that begins a token
-        last, ids, reach = [-1], [b""], [0]
+        # by depth: last token, length of the longest suffix that begins a token
+        last, reach = [-1], [0]
         before = b""
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1:], ids[shared + 1:], reach[shared + 1:]
+            del last[shared + 1:], reach[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
                 n = reach[-1] + 1
                 token = begins(word[end - n:end])
@@ -150,8 +157,13 @@ class TrieEncoder:
                     n -= 1
                     token = begins(word[end - n:end])
                 last.append(token)
-                ids.append(ids[end - n] + packed[token])
-            out[word] = ids[-1]
+            ids, end = [], len(word)
+            while end:
+                token = last[end]
+                ids.append(packed[token])
+                end -= len(tokens[token])
+            ids.reverse()
+            out[word] = b"".join(ids)
             before = word
         return out
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -56,6 +57,32 @@ def test_tables_may_be_forgotten_at_any_time(library):
         assert counter.lengths(some) == [len(w) for w in want]
 
 
+def test_one_unbroken_run_takes_linear_memory(library):
+    rng = random.Random(3)
+    runs = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000)), " " * 200_000,
+            "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(200_000))]
+    enc = bpe_trie.TrieEncoder(vocabulary())
+    for text in runs:
+        tracemalloc.start()
+        enc.encode_words([text[:20_000].encode()])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 20 << 20
+        got = enc.encode_batch([text])[0]
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert enc.decode(got) == text
+
+
+def test_remembered_parts_are_bounded_in_bytes():
+    table = bpe_trie.Remembered(1000, 10_000)
+    for i in range(100):
+        key = f"{i:04d}" * 250
+        assert table.missing({key}) == {key}
+        table.add([(key, b"i" * 1000)])
+        assert sum(len(k) + len(v) for part in (table.now, table.old) for k, v in part.items()) <= 14_000
+        assert not table.missing({key})
+
+
 def test_operators(make_docs, library):
     texts = samples(200)
     docs = make_docs([(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, "null id")])
