@@ -2,18 +2,22 @@
 
 Two bag-of-n-grams models are fitted: one of the target (documents labelled good), one of the
 raw corpus (every document). The importance weight of a document is the log of the ratio of
-its probabilities under the two; adding Gumbel noise to the weights and keeping the k largest
-keys samples k documents without replacement in proportion to the weights.
+its probabilities under the two, brought to a common length: the mean log ratio of its n-grams
+times LENGTH, so that errors of the models do not add up with the length of a text. PRIOR
+n-grams of ratio 1 are counted in, which keep the mean of a few n-grams near 0. Adding Gumbel
+noise to the weights and keeping the k largest keys samples k documents without replacement in
+proportion to the weights.
 
 Features are hashed into a fixed number of buckets: byte trigrams, and unigrams and bigrams of
 words in which a word equal to its predecessor is replaced by one marker. Counts of the raw
 corpus cover all documents; each task counts its share into one dense vector, so what is
 shuffled and what the driver gets is bounded by the number of buckets. The target model is
-fitted on at most ``2 * SAMPLE`` labelled documents, chosen by hash; their ids are the only
-other thing that is broadcast.
+fitted on three quarters of at most SAMPLE good documents, chosen by hash; ids of at most
+``2 * SAMPLE`` labelled documents are the only other thing that is broadcast.
 
 k is the number of documents whose weight reaches the level that separates the two kinds of
-labelled documents best. The k-th largest key is found exactly by radix selection over a
+labelled documents best, where the good ones are those the target model was not fitted on (if
+all or none of the sampled good ones were held out, all serve for both). The k-th largest key is found exactly by radix selection over a
 stored table of keys: four counts of at most 2**16 groups.
 
 Defined results: a null or empty text has weight 0; equal keys are ordered by id, and rows
@@ -39,6 +43,11 @@ BUCKETS = 2 << BITS
 #: Labelled documents of each kind that the target model and the level are fitted on.
 SAMPLE = 4096
 SMOOTH = 1.0
+#: n-grams that every weight is brought to (about 250 words), and n-grams of ratio 1 counted in.
+LENGTH = 2048
+PRIOR = 50
+#: One in so many sampled good documents is kept for the level.
+HELD = 4
 SEED = "gumbel-1"
 CHUNK_BYTES = 1 << 18
 _SAME = G.U64(0x5A4D)
@@ -79,24 +88,40 @@ def count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def weights(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
-    """Log importance weight of each text."""
+    """Log importance weight of each text, brought to LENGTH n-grams."""
     bucket, owner = features(texts)
-    return np.bincount(owner, weights=ratio[bucket], minlength=len(texts))
+    total = np.bincount(owner, weights=ratio[bucket], minlength=len(texts))
+    return LENGTH * total / (np.bincount(owner, minlength=len(texts)) + PRIOR)
 
 
-def labelled(labels: DataFrame) -> DataFrame:
-    """At most 2 * SAMPLE labelled ids, (l_id, good): the least hash of each of SAMPLE slots of
-    each kind. Slots are pre-aggregated, so a hot kind is no hot task."""
+def sampled(labels: DataFrame) -> DataFrame:
+    """At most 2 * SAMPLE labelled ids, (l_id, good, held): the least hash of each of SAMPLE
+    slots of each kind. Slots are pre-aggregated, so a hot kind is no hot task. ``held`` marks
+    the good ones that the target model is not fitted on."""
     h = F.xxhash64(F.lit(SEED), F.col("doc_id"))
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select(
         F.col("doc_id"), (F.col("quality") == 1).alias("good"), h.alias("h"))
     return rows.groupBy("good", F.pmod("h", F.lit(SAMPLE)).alias("slot")).agg(
-        F.min_by("doc_id", "h").alias("l_id")).select("l_id", "good").distinct()
+        F.min_by("doc_id", "h").alias("l_id")).select("l_id", "good").distinct().withColumn(
+        "held", F.col("good") & (F.pmod(F.xxhash64(F.lit(SEED + "-held"), "l_id"), F.lit(HELD)) == 0))
+
+
+def labelled(labels: DataFrame) -> DataFrame:
+    """The sampled ids, (l_id, good), without those held out for the level."""
+    return sampled(labels).where(~F.col("held")).select("l_id", "good")
 
 
 def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
-    """log p_target - log p_raw of every bucket; None without labelled good documents."""
-    sample = labelled(labels).where("good").select("l_id", F.col("good").alias("target"))
+    """log p_target - log p_raw of every bucket; None without labelled good documents. If all of
+    them were held out, the model is fitted on them."""
+    ratio = _fitted(docs, labelled(labels).where("good").select("l_id"))
+    held = sampled(labels).where("held").select("l_id")
+    return ratio if ratio is not None or held.isEmpty() else _fitted(docs, held)
+
+
+def _fitted(docs: DataFrame, ids: DataFrame) -> np.ndarray | None:
+    """The log ratio with a target model of the documents of these ids; None if there are none."""
+    sample = ids.withColumn("target", F.lit(True))
     marked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"), "left")
     parts = marked.select("text", "target").mapInArrow(count_batches, "bucket int, raw long, target long")
     rows = parts.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()  # at most BUCKETS rows
@@ -135,10 +160,12 @@ def gumbel(doc_id: Column) -> Column:
 
 
 def _level(scored: DataFrame, labels: DataFrame) -> float | None:
-    """The weight that separates the sampled labelled documents best (balanced accuracy)."""
-    sample = labelled(labels)
-    rows = scored.join(F.broadcast(sample), scored["doc_id"] == sample["l_id"]).select("weight", "good").collect()
-    good = np.sort([r.weight for r in rows if r.good])
+    """The weight that separates the sampled labelled documents best (balanced accuracy). The
+    good ones are those held out, if there are any."""
+    sample = sampled(labels)
+    rows = scored.join(F.broadcast(sample), scored["doc_id"] == sample["l_id"]).select("weight", "good", "held").collect()
+    held = any(r.held for r in rows)
+    good = np.sort([r.weight for r in rows if r.good and r.held == held])
     bad = np.sort([r.weight for r in rows if not r.good])
     if not len(good) or not len(bad):
         return None

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pidlink.llm import bytegrams, quality_model, quality_rules
+from pidlink.llm.common import documents
+from pidlink.llm.common import labels as labels_of
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -79,6 +81,30 @@ def test_resampling_keeps_good_and_drops_bad(make_docs, spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_long_clean_documents_stay_where_labels_are_few(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, lab = documents(spark, sf), labels_of(spark, sf)
+    quality = {r.doc_id: r.quality for r in lab.collect()}
+    kept = {r.doc_id: r.kept for r in quality_model.quality_rows(docs, lab).collect()}
+    seen = defaultdict(list)
+    for r in docs.collect():
+        words = (r.text or "").split()
+        junk = re.search(r"[$&%*#]{3}|!! |\| ", r.text or "") or 3 * len(set(words)) < len(words)
+        if 300 <= len(words) <= 5000 and quality.get(r.doc_id, not junk):
+            seen[r.doc_id in quality, len(words) >= 1000].append(kept[r.doc_id])
+    assert len(seen) == 4 and all(len(v) >= 10 for v in seen.values())
+    assert all(all(v) for v in seen.values())
+    assert not any(kept[i] for i, q in quality.items() if q == 0 and i in kept)
+
+
+@pytest.mark.parametrize("good", [1, 2, 3])
+def test_few_good_labels_are_enough(make_docs, spark, good):
+    rows, labels = corpus(100)
+    lab = [x for x in labels if x[1] == 0] + [x for x in labels if x[1] == 1][:good]
+    got = quality_model.quality_rows(make_docs(rows), spark.createDataFrame(lab, LABELS)).collect()
+    assert any(r.kept for r in got) and not any(r.kept for r in got if r.doc_id in {i for i, q, _ in lab if q == 0})
+
+
 def test_resampling_weights_match_brute_force(make_docs, spark):
     rows, labels = corpus(60)
     docs, lab = make_docs(rows), spark.createDataFrame(labels, LABELS)
