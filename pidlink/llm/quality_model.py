@@ -17,8 +17,8 @@ fitted on three quarters of at most SAMPLE good documents, chosen by hash; ids o
 
 k is the number of documents whose weight reaches the level that separates the two kinds of
 labelled documents best, where the good ones are those the target model was not fitted on (if
-all or none of the sampled good ones were held out, all serve for both). The k-th largest key is found exactly by radix selection over a
-stored table of keys: four counts of at most 2**16 groups.
+all or none of the sampled good ones were held out, all serve for both). The k-th largest key, to 1/8192, is found by radix selection over a
+stored table of keys: four counts of at most 2**16 groups; the last id of a tie likewise.
 
 Defined results: a null or empty text has weight 0; equal keys are ordered by id, and rows
 that share an id and a key are taken together; labels that are null, or of ids that are not
@@ -179,18 +179,19 @@ def _level(scored: DataFrame, labels: DataFrame) -> float | None:
 
 
 def _ordered(key: Column) -> Column:
-    """A long with the order of a double, from its bits shifted to be non-negative below 2**62.
-    Four fixed decimals are kept; keys beyond +-2**47 are not distinguished."""
+    """A long of 0 .. 2**61 with the order of a double: steps of 1/8192, shifted as a long, where
+    nothing is lost. Keys beyond +-2**47 are not distinguished."""
     span = float(1 << 47)
-    return (F.round(F.least(F.greatest(key, F.lit(-span)), F.lit(span)) * 8192.0) + float(1 << 60)).cast("long")
+    steps = F.round(F.least(F.greatest(key, F.lit(-span)), F.lit(span)) * 8192.0).cast("long")
+    return steps + F.lit(1 << 60)
 
 
 def kth_largest(keys: DataFrame, column: str, k: int) -> int:
-    """The k-th largest of a column of longs in 0 .. 2**64, by four counts of 16 bits each."""
+    """The k-th largest of a column of longs, read as unsigned, by four counts of 16 bits each."""
     prefix, rest = 0, k
     for shift in (48, 32, 16, 0):
-        level = keys if shift == 48 else keys.where(F.shiftright(column, shift + 16) == prefix)
-        digit = F.shiftright(column, shift).bitwiseAND(F.lit(0xFFFF))
+        level = keys if shift == 48 else keys.where(F.shiftrightunsigned(column, shift + 16) == prefix)
+        digit = F.shiftrightunsigned(column, shift).bitwiseAND(F.lit(0xFFFF))
         counts = sorted(((r[0], r[1]) for r in level.groupBy(digit.alias("d")).count().collect()), reverse=True)
         for value, n in counts:
             if rest <= n:
@@ -200,6 +201,18 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> int:
     return prefix
 
 
+def kth_smallest_id(rows: DataFrame, k: int) -> int:
+    """The k-th smallest doc_id, nulls first; for a null, the least long."""
+    nulls = rows.where(F.col("doc_id").isNull()).count()
+    if k <= nulls:
+        return -(1 << 63)
+    # the complement turns the order round, the flipped sign makes it the order of unsigned longs
+    sign = F.shiftleft(F.lit(1).cast("long"), 63)
+    turned = F.bitwise_not(F.col("doc_id").cast("long")).bitwiseXOR(sign)
+    ids = rows.where(F.col("doc_id").isNotNull()).select(turned.alias("turned"))
+    return (1 << 63) - 1 - kth_largest(ids, "turned", k - nulls)
+
+
 def resample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray | None, tuple[int, int | None]]:
     """The stored scores (doc_id, weight, key, rank_key), the model, and the cut: a document is
     kept if (rank_key, -doc_id) is at least (cut, -tie), where a tie of None keeps all."""
@@ -215,9 +228,8 @@ def resample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray
         return scored, ratio, (1 << 62, None)
     cut = kth_largest(scored, "rank_key", k)
     above = scored.where(F.col("rank_key") > cut).count()
-    tied = scored.where(F.col("rank_key") == cut).select("doc_id").sort(F.col("doc_id").asc_nulls_first())
-    last = tied.limit(k - above).agg(F.max("doc_id")).first()[0]
-    return scored, ratio, (cut, last)
+    tied = scored.where(F.col("rank_key") == cut).select("doc_id")
+    return scored, ratio, (cut, kth_smallest_id(tied, k - above))
 
 
 def _kept(rank_key: Column, doc_id: Column, cut: int, last: int | None) -> Column:

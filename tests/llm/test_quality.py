@@ -66,6 +66,21 @@ def test_kth_largest(spark):
         assert quality_model.kth_largest(keys, "v", k) == sorted(values, reverse=True)[k - 1]
 
 
+def test_order_of_keys_keeps_steps_of_8192ths(spark):
+    values = [x + i / 8192 for x in (-3000.0, -1.0, 0.0, 5.0, 3000.0) for i in range(64)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in rows.sort("v").select(quality_model._ordered(F.col("v"))).collect()]
+    assert got == sorted(set(got)) and min(got) > 0
+
+
+def test_last_id_of_a_tie(spark):
+    ids = [5, -7, 0, -(1 << 62), (1 << 62) + 9, 5, 1 << 40, -1, 70000, 3, 65536]
+    rows = spark.createDataFrame([(i,) for i in [*ids, None, None]], "doc_id long")
+    assert [quality_model.kth_smallest_id(rows, k) for k in (1, 2)] == [-(1 << 63)] * 2
+    for k in range(1, len(ids) + 1):
+        assert quality_model.kth_smallest_id(rows, k + 2) == sorted(ids)[k - 1]
+
+
 def test_resampling_keeps_good_and_drops_bad(make_docs, spark):
     rows, labels = corpus()
     docs = make_docs([*rows, (5000, None), (5001, ""), (7, rows[7][1]), (None, rows[8][1])]).withColumn("weight", F.lit("clash"))
