@@ -198,18 +198,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_windows(docs: DataFrame) -> list[tuple[str, str]]:
-    """The bounded sample: (lang, window) pairs in a fixed order."""
+    """The bounded sample: (lang, window) pairs in a fixed order. Of rows that repeat an id in a
+    language, the one with the least windows is used."""
     rows = docs.select("doc_id", "text", "lang").where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     h = F.xxhash64(F.lit(SEED), F.col("doc_id"))
     ids = (
         rows.groupBy("lang", F.pmod(h, F.lit(SLOTS)).alias("slot")).agg(F.min_by("doc_id", h).alias("s_id"))
-        .select("s_id").distinct())
-    picked = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id"))
+        .select(F.col("lang").alias("s_lang"), "s_id"))
+    picked = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")))
     room = F.greatest(F.length("text") - SEGMENT, F.lit(0))
     cuts = F.array(*[F.substring("text", F.floor(room * i / max(WINDOWS - 1, 1)).cast("int") + 1, F.lit(SEGMENT))
                      for i in range(WINDOWS)])
-    windows = picked.select("lang", F.explode(F.array_distinct(cuts)).alias("w")).where(F.col("w").rlike("\\p{L}"))
+    lettered = picked.select("lang", "s_id", F.filter(F.array_distinct(cuts), lambda w: w.rlike("\\p{L}")).alias("ws"))
+    one = lettered.where(F.size("ws") > 0).groupBy("lang", "s_id").agg(F.min("ws").alias("ws"))
+    windows = one.select("lang", F.explode("ws").alias("w"))
     return sorted((r[0], r[1]) for r in windows.collect())  # at most SLOTS * WINDOWS of a language
 
 

@@ -12,7 +12,8 @@ Features are hashed into a fixed number of buckets: byte trigrams, and unigrams
 words in which a word equal to its predecessor is replaced by one marker. Counts of the raw
 corpus cover all documents; each task counts its share into one dense vector, so what is
 shuffled and what the driver gets is bounded by the number of buckets. The target model is
-fitted on three quarters of at most SAMPLE good documents, chosen by hash; ids of at most
+fitted on three quarters of at most SAMPLE good documents, chosen by hash, one text of each
+(the least, where rows repeat an id); ids of at most
 ``2 * SAMPLE`` labelled documents are the only other thing that is broadcast.
 
 k is the number of documents whose weight reaches the level that separates the two kinds of
@@ -74,15 +75,15 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, target) -> (bucket, raw, target): one partial count per bucket and task."""
+    """(text, target) -> (bucket, raw, target): one partial count per bucket and task. Rows with
+    ``target`` count for the target model only, the others for the raw one."""
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in pieces(batches, "text", CHUNK_BYTES, 4096):
         bucket, owner = features(batch.column("text"))
-        raw += np.bincount(bucket, minlength=BUCKETS)
-        good = np.asarray(batch.column("target").fill_null(False).to_numpy(zero_copy_only=False), bool)
-        if good.any():
-            target += np.bincount(bucket[good[owner]], minlength=BUCKETS)
-    used = np.flatnonzero(raw)
+        good = np.asarray(batch.column("target").to_numpy(zero_copy_only=False), bool)[owner]
+        raw += np.bincount(bucket[~good], minlength=BUCKETS)
+        target += np.bincount(bucket[good], minlength=BUCKETS)
+    used = np.flatnonzero(raw + target)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(target[used])],
                                      ["bucket", "raw", "target"])
 
@@ -120,10 +121,11 @@ def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
 
 
 def _fitted(docs: DataFrame, ids: DataFrame) -> np.ndarray | None:
-    """The log ratio with a target model of the documents of these ids; None if there are none."""
-    sample = ids.withColumn("target", F.lit(True))
-    marked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"), "left")
-    parts = marked.select("text", "target").mapInArrow(count_batches, "bucket int, raw long, target long")
+    """The log ratio with a target model of one text of each of these ids; None if there are none."""
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("l_id"))
+    chosen = found.groupBy("l_id").agg(F.min("text").alias("text"))
+    marked = docs.select("text", F.lit(False).alias("target")).unionAll(chosen.select("text", F.lit(True).alias("target")))
+    parts = marked.mapInArrow(count_batches, "bucket int, raw long, target long")
     rows = parts.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()  # at most BUCKETS rows
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, r, t in rows:
@@ -163,7 +165,8 @@ def _level(scored: DataFrame, labels: DataFrame) -> float | None:
     """The weight that separates the sampled labelled documents best (balanced accuracy). The
     good ones are those held out, if there are any."""
     sample = sampled(labels)
-    rows = scored.join(F.broadcast(sample), scored["doc_id"] == sample["l_id"]).select("weight", "good", "held").collect()
+    found = scored.join(F.broadcast(sample), scored["doc_id"] == sample["l_id"])
+    rows = found.groupBy("l_id", "good", "held").agg(F.min("weight").alias("weight")).collect()  # a row per sampled id
     held = any(r.held for r in rows)
     good = np.sort([r.weight for r in rows if r.good and r.held == held])
     bad = np.sort([r.weight for r in rows if not r.good])

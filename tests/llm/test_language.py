@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from pidlink.llm import language_id as L
 from pidlink.llm.common import documents
@@ -64,3 +65,12 @@ def test_edge_rows(make_docs):
     nothing = L.languages(make_docs([(1, "abc", None), (2, None, None)])).collect()
     assert {r.lang_pred for r in nothing} == {"und"}
     assert L.languages(make_docs([])).count() == 0
+
+
+def test_rows_that_repeat_an_id_give_one_sample(make_docs):
+    rows = [(i, f"text number {i} of this", "en") for i in range(40)]
+    hot = next(r.doc_id for r in make_docs(rows).where(~L.held_out(F.col("doc_id"))).sort("doc_id").collect())
+    many = [(hot, f"other text {'x' * n} of one id " * 20, "en") for n in range(300)] + [(hot, None, "en"), (hot, "1 2", "en")]
+    got = L.training_windows(make_docs([*rows, *many]))
+    once = L.training_windows(make_docs(rows))
+    assert len(got) <= len(once) + L.WINDOWS - 1 and {w for _, w in once if f"number {hot} " not in w} <= {w for _, w in got}

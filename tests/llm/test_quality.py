@@ -120,6 +120,25 @@ def test_few_good_labels_are_enough(make_docs, spark, good):
     assert any(r.kept for r in got) and not any(r.kept for r in got if r.doc_id in {i for i, q, _ in lab if q == 0})
 
 
+def test_rows_that_repeat_an_id_count_once_in_model_and_level(make_docs, spark, monkeypatch):
+    rows, labels = corpus(60)
+    lab = spark.createDataFrame(labels, LABELS)
+    hot = min(r.l_id for r in quality_model.labelled(lab).where("good").collect())
+    docs = make_docs([*rows, *[(hot, rows[hot][1])] * 500])
+    counts = []
+    log = np.log
+    monkeypatch.setattr(quality_model.np, "log", lambda x: counts.append(x) or log(x))
+    quality_model.log_ratio(docs, lab)
+    plain = list(counts)
+    counts.clear()
+    quality_model.log_ratio(make_docs(rows), lab)
+    assert np.allclose(plain[0], counts[0]) and np.allclose(plain[2], counts[2])  # the target's shares
+    monkeypatch.undo()
+    bad = min(i for i, q, _ in labels if q == 0)
+    scored = spark.createDataFrame([(i, float(q)) for i, q, _ in labels] + [(bad, 2.0)] * 500, "doc_id long, weight double")
+    assert quality_model._level(scored, lab) == 0.5
+
+
 def test_resampling_weights_match_brute_force(make_docs, spark):
     rows, labels = corpus(60)
     docs, lab = make_docs(rows), spark.createDataFrame(labels, LABELS)
