@@ -51,7 +51,7 @@ def _valid_card(found: str) -> bool:
 
 
 def _valid_ip(found: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (g.lstrip("0") for g in found.split(".")))
 
 
 def _valid_phone(found: str) -> bool:

@@ -76,3 +76,9 @@ def test_operator(make_docs):
     want = sorted((str(i), str(brute(t or ""))) for i, t in rows)
     assert sorted((str(r.doc_id), str([tuple(s) for s in r.base])) for r in got) == want
     assert pii.personal_data(make_docs([])).count() == 0
+
+
+def test_address_with_very_many_leading_zeros():
+    zeros = "0" * 5000
+    assert pii._valid_ip(f"{zeros}1.{zeros}.1.255") and pii._valid_ip("0.0.0.0")
+    assert not pii._valid_ip(f"{zeros}256.1.1.1") and not pii._valid_ip("1" * 5000 + ".1.1.1")
