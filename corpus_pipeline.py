@@ -33,8 +33,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text: doc_id, lang, source, n_tokens, ids."""
-    return bpe_trie.encoded(docs, vocabulary(), keep=("doc_id", "lang", "source"))
+    """Token ids of every text: doc_id, lang, source, n_tokens, ids. The ids are decoded again and
+    held against the text; the decoded text is not stored."""
+    return bpe_trie.encoded(docs, vocabulary(), keep=("doc_id", "lang", "source"), verified=True)
 
 
 STAGES = [

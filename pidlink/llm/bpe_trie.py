@@ -218,10 +218,14 @@ def _lists(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
 
 
-def encode_batches(batches: Iterable[pa.RecordBatch], path: str, packed: bool, decoded: bool) -> Iterator[pa.RecordBatch]:
+def encode_batches(batches: Iterable[pa.RecordBatch], path: str, packed: bool, decoded: bool,
+                   verified: bool = False) -> Iterator[pa.RecordBatch]:
     enc = encoder(path)
     for batch in pieces(batches, "text", CHUNK_BYTES, 4096):
-        ids = enc.encode_batch(batch.column("text").to_pylist())
+        texts = batch.column("text").to_pylist()
+        ids = enc.encode_batch(texts)
+        if verified and any(enc.decode(p) != (t or "") for p, t in zip(ids, texts)):
+            raise ValueError("ids do not decode to their text")
         sizes = pa.array([len(p) // 4 for p in ids], pa.int64())
         out = [batch.column(c) for c in batch.schema.names if c != "text"]
         names = [c for c in batch.schema.names if c != "text"]
@@ -234,14 +238,15 @@ def encode_batches(batches: Iterable[pa.RecordBatch], path: str, packed: bool, d
 
 
 def encoded(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), packed: bool = False,
-            decoded: bool = False) -> DataFrame:
+            decoded: bool = False, verified: bool = False) -> DataFrame:
     """The columns ``keep``, n_tokens, ids (array<int>, or little-endian 32-bit integers in a
-    binary with ``packed``), and with ``decoded`` the text that the ids decode to.
+    binary with ``packed``), and with ``decoded`` the text that the ids decode to. With
+    ``verified`` all ids are decoded and must give their text, or the job fails.
 
     ``path`` names a vocabulary file that every executor can read."""
     schema = T.StructType([docs.schema[c] for c in keep])
     schema = schema.add("n_tokens", "long").add("ids", T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
     if decoded:
         schema = schema.add("decoded", "string")
-    run: Callable = partial(encode_batches, path=path, packed=packed, decoded=decoded)
+    run: Callable = partial(encode_batches, path=path, packed=packed, decoded=decoded, verified=verified)
     return docs.select(*keep, "text").mapInArrow(run, schema)

@@ -1,5 +1,8 @@
 from collections import Counter
 
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline
 from pidlink.llm import common, exact_dedup, near_dedup, quality_model
 from pidlink.llm.common import documents, labels
@@ -32,6 +35,21 @@ def test_stages_follow_each_other(spark):
         before = after
 
 
+def test_last_stage_decodes_its_ids(spark, monkeypatch):
+    asked = {}
+    encoded = corpus_pipeline.bpe_trie.encoded
+    monkeypatch.setattr(corpus_pipeline.bpe_trie, "encoded", lambda *a, **k: asked.update(k) or encoded(*a, **k))
+    docs = spark.createDataFrame([(1, "a text  of é", "en", "s"), (2, None, "en", "s")], "doc_id long, text string, lang string, source string")
+    assert corpus_pipeline.tokens(spark, docs, SF).count() == 2 and asked["verified"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a text", None]})
+    enc = corpus_pipeline.bpe_trie.encoder(corpus_pipeline.vocabulary())
+    run = lambda: list(corpus_pipeline.bpe_trie.encode_batches([batch], corpus_pipeline.vocabulary(), False, False, True))
+    assert len(run()) == 1
+    monkeypatch.setattr(enc, "decode", lambda packed: "other")
+    with pytest.raises(ValueError):
+        run()
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and rows.count() > 0
