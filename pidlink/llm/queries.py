@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.llm import bpe_trie, exact_dedup, language_id, mixing, near_dedup, pii, quality_model, quality_rules, substring_dedup, token_counts
+from pidlink.llm import (bpe_trie, exact_dedup, language_id, mixing, near_dedup, periodic_runs, pii, quality_model, quality_rules, secrets,
+                         source_divergence, substring_dedup, token_counts)
 from pidlink.llm.common import documents, labels
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -71,6 +72,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.with_digest(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(documents(spark, sf_dir))
+
+
+def op12_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and the digest are of the base spans; n_added is what the method adds."""
+    rows = secrets.secret_spans(documents(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE]
+    return rows.select("doc_id", *counts, F.sha2(F.encode(_spans("base"), "UTF-8"), 256).alias("base_sha256"),
+                       _spans("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, sf_dir)))
+    top = periodic_runs.longest_run(F.col("runs"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = rows.select("doc_id", "collapsed", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), lines.alias("lines"))
+    return found.select("doc_id", "n_runs", "top.start", "top.length", "top.period",
+                        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+                        F.sha2(F.encode("lines", "UTF-8"), 256).alias("runs_sha256"),
+                        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_byte_birnn": op1_byte_birnn,
     "op2_importance_resampling": op2_importance_resampling,
@@ -82,6 +106,9 @@ QUERIES = {
     "op8_deobfuscated_pii": op8_deobfuscated_pii,
     "op9_decision_list": op9_decision_list,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_zstd_novelty": op12_zstd_novelty,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -136,4 +163,39 @@ ORACLE_SQL = {
         JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
         JOIN draws d ON s.source IS NOT DISTINCT FROM d.source AND s.draw = d.draw
     """,
+    "op11_source_divergence": r"""
+        WITH d AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        seen AS (
+            SELECT lang, source, id, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (
+            SELECT lang, term, count(*) AS n FROM seen GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        had AS (SELECT lang, source, term, count(*) AS n FROM seen JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        sums AS (SELECT lang, source, sum(n) AS total FROM had GROUP BY lang, source),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        p AS (
+            SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+                   1 + (CAST(1000000000 AS HUGEINT) * (coalesce(h.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * l.v) AS p,
+                   1 + (CAST(1000000000 AS HUGEINT) * (k.n + 5)) // (l.total + 5 * l.v) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source
+            LEFT JOIN had h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+        dist AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN dist x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+        every AS (
+            SELECT * FROM pairs
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }

@@ -22,6 +22,9 @@ COLUMNS = {
     "op8": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op9": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op11": ["lang", "source", "part", "item", "value", "rank"],
+    "op12": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op13": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
@@ -35,7 +38,8 @@ def test_contract(spark, name):
     df = QUERIES[name](spark, SF)
     want = COLUMNS[name.split("_")[0]]
     assert df.columns[:len(want)] == want
-    assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    if "doc_id" in want:
+        assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
