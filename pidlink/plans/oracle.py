@@ -323,6 +323,7 @@ SELECT source, """ + ", ".join(f"""coalesce(sum(n) FILTER (WHERE type = {_q(t)})
 GROUP BY type, single_source""",
     # ---------------------------------------------------------- sources and sinks
     "io_csv_tables": """ SELECT id, venue, author, publisher, editor, type FROM fx_meta
+UNION ALL SELECT id, venue, author, publisher, editor, type FROM fx_meta
 UNION ALL SELECT id, venue, author, publisher, NULL, type FROM fx_meta""",
     "io_json_lines": " SELECT id, type, doi, version FROM fx_works",
     "io_openalex_dump": """,

@@ -337,9 +337,11 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def io_csv_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Rolled CSV folders written and read back by column name; the second lacks a column."""
+    """Rolled CSV folders written and read back by column name: the files of the first have two
+    column orders, those of the second lack a column."""
     meta, path = A.meta_rows(spark, sf), _folder(spark, "csv")
     W.write_csv(meta, f"{path}/a", rows_per_file=5000)
+    W.write_csv(meta.select(*reversed(meta.columns)), f"{path}/a", rows_per_file=5000, mode="append")
     W.write_csv(meta.drop("editor"), f"{path}/b", rows_per_file=5000)
     return R.read_csv_tables(spark, f"{path}/a", f"{path}/b").select("id", "venue", "author", "publisher", "editor", "type")
 

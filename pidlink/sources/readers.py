@@ -13,22 +13,17 @@ hash of the record id right after the read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pidlink.sources import schemas as SC
 from pidlink.sources import zipsource
+from pidlink.sources.csvheaders import CSV_OPTIONS, read_csv_files
 
 META_COLUMNS = ("id", "title", "author", "issue", "volume", "venue", "page", "pub_date", "type", "publisher", "editor")
 CORRUPT = "_corrupt_record"
 
-# Options that read the Meta CSV dialect back exactly: quoted fields, doubled quotes,
-# embedded newlines, and a quoted empty field kept as '' (never NULL).
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "nullValue": "\u0000", "mode": "FAILFAST"}
-
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
     """Whether a path of any file system that Spark knows is an existing folder."""
@@ -40,17 +35,12 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 def read_csv_tables(spark: SparkSession, *dirs: str, columns: tuple[str, ...] | None = None) -> DataFrame:
     """All ``*.csv`` files directly inside one or more directories, as text columns.
 
-    Columns are matched by name: each directory is read with its own header, and a column
-    that one of them lacks is NULL for its rows."""
+    Columns are matched by name, file by file: the files of one folder may have other column
+    orders, and a column that a file lacks is NULL for its rows."""
     for d in dirs:
         if not _is_folder(spark, d):
             raise ValueError(f"no such folder: {d}")
-    r = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
-    if columns:
-        r = r.schema(", ".join(f"`{c}` string" for c in columns))
-    else:
-        r = r.option("inferSchema", "false")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [r.csv(d) for d in dirs])
+    return read_csv_files(spark, dirs, columns)
 
 
 def read_meta_dump(spark: SparkSession, path: str, columns: tuple[str, ...] = META_COLUMNS) -> DataFrame:

@@ -1,9 +1,10 @@
 """Incremental mapping: Meta CSV files dropped into a folder are mapped as they arrive.
 
-A Structured Streaming file source feeds micro-batches; each batch runs the same batch
-mapping (extraction -> tiered lookup -> join with the static PID index -> outcome) through
-``foreachBatch``. Output is written per batch id with overwrite, so a batch replayed after
-a failure rewrites the same files (exactly-once with the stream checkpoint).
+A Structured Streaming file source watches the folder; each micro-batch holds the paths of the new
+files, which are read by column name as in the batch job and mapped (extraction -> tiered lookup ->
+join with the static PID index -> outcome) through ``foreachBatch``. Output is written per batch id
+with overwrite, so a batch replayed after a failure rewrites the same files (exactly-once with
+the stream checkpoint).
 """
 
 from __future__ import annotations
@@ -14,15 +15,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pidlink.operators import extract as X
 from pidlink.operators import mapping as M
-from pidlink.sources.readers import CSV_OPTIONS, META_COLUMNS
+from pidlink.sources.csvheaders import read_csv_files
+from pidlink.sources.readers import META_COLUMNS
 
 
-def meta_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(", ".join(f"`{c}` string" for c in META_COLUMNS)).options(**CSV_OPTIONS)
+def new_files(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the paths of CSV files as they arrive; their content is not read."""
+    r = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     r = r.option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(folder)
+    return r.load(folder).select("path")
 
 
 def map_batch(batch: DataFrame, index: DataFrame, all_rows: bool = True) -> DataFrame:
@@ -37,9 +40,11 @@ def start_incremental_mapping(spark: SparkSession, meta_folder: str, index: Data
     """Start the stream; with ``available_now`` it processes what is there and stops."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        map_batch(batch, index, all_rows).write.mode("overwrite").parquet(f"{out_folder}/batch_id={batch_id}")
+        paths = [r["path"] for r in batch.collect()]  # the files of one trigger
+        rows = read_csv_files(spark, paths, META_COLUMNS)
+        map_batch(rows, index, all_rows).write.mode("overwrite").parquet(f"{out_folder}/batch_id={batch_id}")
 
-    w = meta_stream(spark, meta_folder).writeStream.foreachBatch(write).option(
+    w = new_files(spark, meta_folder).writeStream.foreachBatch(write).option(
         "checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
