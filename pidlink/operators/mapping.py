@@ -1,11 +1,17 @@
 """Mapping of Meta records to OpenAlex records through shared PIDs.
 
-Plan: choose the PIDs to look up (one tier) -> ``explode_outer`` -> left join with the PID
-index, which has one row per PID -> group the matches back per row (``collect_set``,
-partially aggregated) -> outcome by list size. Shuffles: the join on PID and the regroup on
-the row (and the index once, on its own key). A PID shared by very many records is a hot key
-of the join's left side only; with stored ``pid_lists`` (as ``run_mapping`` makes them) both
-sides of the join are plain shuffles, which AQE's skew join splits at run time.
+Plan: choose the PIDs to look up (one tier) and sort them: records with the same PID set map to the
+same ids, so each distinct set is resolved once and the list joined back last.
+
+* One PID (nearly all records): the record joins the PID's row of ``pid_lists`` directly.
+* Several: the distinct sets are exploded, joined with ``pid_lists``, and their lists united per
+  set; the records join their set's row.
+
+A record crosses a shuffle once, on its key, without any id list; lists move once per PID and once
+per distinct set. A PID shared by very many records is a hot key of the join's left side only:
+both sides are plain shuffles when ``pid_lists`` is stored (as ``run_mapping`` makes it), and AQE's
+skew join splits the hot partition at run time. Records without a PID get keys of their own, which
+match nothing, so they do not meet in one partition either.
 """
 
 from __future__ import annotations
@@ -41,13 +47,27 @@ def lookup_pids(ids: str | Column = "ids") -> Column:
 
 
 def pid_lists(index: DataFrame) -> DataFrame:
-    """The index with one row per PID: pid, and ``oaids``, the distinct OpenAlex ids that hold it.
+    """The index with one row per PID: pid, and ``oaids``, the sorted distinct OpenAlex ids that
+    hold it. A list is as long as the ids that any record with this PID maps to, which the result
+    of that record lists in one row anyway."""
+    # the filter is what an inner join would add: both joins then share one exchange
+    held = index.where(F.col("supported_id").isNotNull())
+    return held.groupBy(F.col("supported_id").alias("pid")).agg(F.array_sort(F.collect_set("openalex_id")).alias("oaids"))
+
+
+def _keyed(entities: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Records with their lookup key: those with one PID or none (the PID, or a key that no PID
+    equals), and those with several (the sorted PIDs, joined by blanks, which no PID holds)."""
+    found = entities.select(*columns, F.array_sort(F.array_distinct(lookup_pids("ids"))).alias("_pids"))
+    few = found.where(F.size("_pids") <= 1).select(
+        *columns, F.coalesce(F.get("_pids", F.lit(0)), F.concat(F.lit("-"), F.col("omid"))).alias("_key"))
+    several = found.where(F.size("_pids") > 1).select(*columns, F.array_join("_pids", " ").alias("_key"))
+    return few, several
 
-    The join with it is many-to-one: a PID held by very many OpenAlex records is one row, and
-    no (record, OpenAlex id) pair is shuffled. A list is as long as the ids that any record
-    with this PID maps to, which the result of that record lists in one row anyway.
-    """
-    return index.groupBy(F.col("supported_id").alias("pid")).agg(F.collect_set("openalex_id").alias("oaids"))
+
+def _exploded_sets(several: DataFrame) -> DataFrame:
+    """Each distinct set of several PIDs once: (_key, pid)."""
+    return several.select("_key").distinct().select("_key", F.explode(F.split("_key", " ")).alias("pid"))
 
 
 def map_records(
@@ -59,30 +79,44 @@ def map_records(
 ) -> DataFrame:
     """All records with their sorted distinct OpenAlex ids and outcome.
 
-    ``index`` is the PID index, or its stored ``pid_lists``. Input: (omid, ids[, type]). Output: omid, [type,] openalex_ids (array, sorted),
-    n_openalex (bigint), outcome ('mapped' | 'multi_mapped' | 'unmapped'), one row per input
-    row: a record that is there n times meets each of its PIDs n times, so its joined rows
-    divided by its number of PIDs give its multiplicity.
+    ``index`` is the PID index, or its stored ``pid_lists``. Input: (omid, ids[, type]). Output:
+    omid, [type,] openalex_ids (array, sorted), n_openalex (bigint), outcome ('mapped' |
+    'multi_mapped' | 'unmapped'), one row per input row.
     """
     if not all_rows:
         entities = entities.where(~has_openalex_id("ids"))
-    key = ["omid", "ids"] + (["type"] if type_field else [])
-    found = entities.select(*key, F.array_distinct(lookup_pids("ids")).alias("_pids"))
-    look = found.select(*key, F.greatest(F.size("_pids"), F.lit(1)).alias("_k"), F.explode_outer("_pids").alias("pid"))
+    columns = ["omid"] + (["type"] if type_field else [])
     lists = index if "oaids" in index.columns else pid_lists(index)
-    hits = look.join(lists, "pid", "left")
-    grouped = hits.groupBy(*key, "_k").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("oaids")))).alias("openalex_ids"),
-        (F.count(F.lit(1)) / F.col("_k")).cast("int").alias("_n"))
-    n = F.size("openalex_ids")
-    out_cols = ["omid"] + (["type"] if type_field else [])
-    return grouped.select(
-        *out_cols,
-        "openalex_ids",
-        n.cast("bigint").alias("n_openalex"),
+    few, several = _keyed(entities, columns)
+    of_sets = _exploded_sets(several).join(lists, "pid").groupBy("_key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("oaids")))).alias("oaids"))
+
+    def matched(records: DataFrame, found: DataFrame) -> DataFrame:
+        # the number is taken on the side that holds each list once
+        found = found.select("_key", "oaids", F.size("oaids").cast("bigint").alias("_n"))
+        return records.join(found, "_key", "left").select(*columns, "oaids", "_n")
+
+    both = matched(few, lists.withColumnRenamed("pid", "_key")).unionByName(matched(several, of_sets))
+    n = F.coalesce("_n", F.lit(0).cast("bigint"))
+    return both.select(
+        *columns,
+        F.coalesce("oaids", F.array().cast("array<string>")).alias("openalex_ids"),
+        n.alias("n_openalex"),
         F.when(n == 0, UNMAPPED).when(n == 1, MAPPED).otherwise(MULTI_MAPPED).alias("outcome"),
-        F.explode(F.array_repeat(F.lit(1), F.col("_n"))).alias("_copy"),
-    ).drop("_copy")
+    )
+
+
+def unmapped_records(entities: DataFrame, index: DataFrame, *, type_field: bool = True, all_rows: bool = True) -> DataFrame:
+    """The unmapped records alone: omid[, type]. Like ``unmapped(map_records(...))``, by anti joins
+    with the PIDs of the index: no list of OpenAlex ids is made."""
+    if not all_rows:
+        entities = entities.where(~has_openalex_id("ids"))
+    columns = ["omid"] + (["type"] if type_field else [])
+    known = index.select(F.col("pid" if "oaids" in index.columns else "supported_id").alias("pid"))
+    few, several = _keyed(entities, columns)
+    of_sets = _exploded_sets(several).join(known, "pid", "left_semi").select("_key").distinct()
+    rest = few.join(known.withColumnRenamed("pid", "_key"), "_key", "left_anti").unionByName(several.join(of_sets, "_key", "left_anti"))
+    return rest.select(*columns)
 
 
 def openalex_id_text(df: DataFrame) -> Column:

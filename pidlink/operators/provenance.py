@@ -23,32 +23,38 @@ def _ids(arr: Column) -> Column:
     return F.transform(F.coalesce(arr, F.array()), lambda o: o.getField("@id"))
 
 
+def _has_source(g: Column) -> Column:
+    """Whether a graph names a primary source (false, not NULL, without any snapshot)."""
+    return F.coalesce(F.exists(g, lambda s: F.exists(F.coalesce(s.getField(K.PROV_PRIMARY_SOURCE), F.array()),
+                                                     lambda o: o.getField("@id").isNotNull())), F.lit(False))
+
+
+def _described_resource(g: Column) -> Column:
+    """The resource that the first describing snapshot names; NULL without one."""
+    described = F.filter(g, lambda s: F.size(F.coalesce(s.getField(K.PROV_SPECIALIZATION_OF), F.array())) > 0)
+    return F.try_element_at(F.try_element_at(described, F.lit(1)).getField(K.PROV_SPECIALIZATION_OF), F.lit(1)).getField("@id")
+
+
 def graph_provenance(graphs: DataFrame) -> DataFrame:
     """Per provenance graph: (br_uri, sources array). Graphs with no primary source, or no
-    snapshot saying which resource they describe, are dropped."""
+    snapshot saying which resource they describe, are dropped (see ``dropped_graphs``)."""
     g = F.col(GRAPH)
     sources = F.array_distinct(F.filter(
         F.flatten(F.transform(g, lambda s: _ids(s.getField(K.PROV_PRIMARY_SOURCE)))), lambda x: x.isNotNull()))
-    described = F.filter(g, lambda s: F.size(F.coalesce(s.getField(K.PROV_SPECIALIZATION_OF), F.array())) > 0)
-    br = F.try_element_at(
-        F.try_element_at(described, F.lit(1)).getField(K.PROV_SPECIALIZATION_OF), F.lit(1)).getField("@id")
     # Filter on a cheap existence test first: a filter written on the built arrays would be
     # pushed below the projection and build them twice.
-    has_source = F.exists(g, lambda s: F.exists(F.coalesce(s.getField(K.PROV_PRIMARY_SOURCE), F.array()),
-                                                lambda o: o.getField("@id").isNotNull()))
     return (
-        graphs.where(has_source)
-        .select(br.alias("br_uri"), sources.alias("sources"))
+        graphs.where(_has_source(g))
+        .select(_described_resource(g).alias("br_uri"), sources.alias("sources"))
         .where(F.col("br_uri").isNotNull())
     )
 
 
 def dropped_graphs(graphs: DataFrame) -> DataFrame:
-    """Graphs left out of the provenance table (no source, or no described resource)."""
+    """Exactly the graphs that ``graph_provenance`` leaves out: without a source id or without the
+    id of a described resource, lists of objects without ids and graphs without snapshots included."""
     g = F.col(GRAPH)
-    has_src = F.exists(g, lambda s: F.size(F.coalesce(s.getField(K.PROV_PRIMARY_SOURCE), F.array())) > 0)
-    has_br = F.exists(g, lambda s: F.size(F.coalesce(s.getField(K.PROV_SPECIALIZATION_OF), F.array())) > 0)
-    return graphs.where(~(has_src & has_br))
+    return graphs.where(~(_has_source(g) & _described_resource(g).isNotNull()))
 
 
 def provenance_table(graphs: DataFrame) -> DataFrame:

@@ -54,11 +54,10 @@ def _categories(spark: SparkSession, sf: str) -> J.Categories:
 
 
 def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
-    # the mapping result is read twice (processed OMIDs, unmapped records): store only the
-    # columns those need; it has one row per processed record, so its OMIDs are the set
-    res = J.cut_lineage(_mapping(spark, sf).result.select("omid", "type", "outcome"))
-    return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), res.select("omid"),
-                            M.unmapped(res))
+    entities = X.primary_entities(A.meta_rows(spark, sf))
+    index = J.build_index(A.work_records(spark, sf), A.source_records(spark, sf))
+    unmapped = J.cut_lineage(M.unmapped_records(entities, index))  # read by counts and by the records without provenance
+    return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), entities, unmapped)
 
 
 # ------------------------------------------------------------------ extraction
@@ -131,7 +130,8 @@ def map_multi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def map_unmapped(spark: SparkSession, sf: str) -> DataFrame:
-    return _mapping(spark, sf).unmapped()
+    m = _mapping(spark, sf)
+    return M.unmapped_records(m.primary_entities, m.index)
 
 
 def map_new_only(spark: SparkSession, sf: str) -> DataFrame:

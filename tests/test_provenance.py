@@ -68,3 +68,17 @@ def test_counts_missing_and_derived_tables(spark):
     assert rows(PV.provenance_pivot(counts, ["journal"]), ["source", "journal", "other"]) == [
         ("crossref datacite", 0, 1), ("x zenodo", 0, 1)]
     assert rows(PV.provenance_by_type(counts)) == [("book", 0, 2, 2)]
+
+
+def test_every_graph_is_either_used_or_reported(spark):
+    """Objects without ids and graphs without snapshots are reported too."""
+    no_id = {"@id": "s", K.PROV_PRIMARY_SOURCE: [{"@id": None}], K.PROV_SPECIALIZATION_OF: [{"@id": META + "br/1"}]}
+    no_br = {"@id": "s", K.PROV_PRIMARY_SOURCE: [{"@id": "x"}], K.PROV_SPECIALIZATION_OF: [{"@id": None}]}
+    data = [("g1", [no_id]), ("g2", [no_br]), ("g3", []), ("g4", None), ("g5", [snap(["x"], META + "br/2")]), ("g6", [no_id, snap(["y"])]),
+            ("g7", [no_br, snap(["y"], META + "br/3")])]  # the first describing snapshot decides
+    df = spark.createDataFrame([{"@id": g, "@graph": s} for g, s in data], SC.prov_graph_schema())
+    used = PV.graph_provenance(df).collect()
+    left = {r["@id"] for r in PV.dropped_graphs(df).collect()}
+    assert [r["br_uri"] for r in used].count(META + "br/2") == 1
+    assert len(used) + len(left) == len(data)
+    assert left == {"g1", "g2", "g3", "g4", "g7"} and {r["br_uri"] for r in used} == {META + "br/2", META + "br/1"}
