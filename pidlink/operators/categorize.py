@@ -8,8 +8,8 @@ row's own sorted (value, position) pairs). Rows without any event fall to the en
 rule (F, C or non classified). Sources: 'A' when two positions share an ISSN. Lists are
 the sorted id lists of the mapping.
 
-Shuffles: the join of exploded positions with the per-Work attribute tables (on the Work
-id) and the group by row. Every group is bounded by the size of one row's id list, which
+Shuffles: the one join of exploded positions with the Works' attributes (one row per Work) and
+the group by row. Every group is bounded by the size of one row's id list, which
 already exists as one row.
 """
 
@@ -46,13 +46,14 @@ def primary_location_version(primary_locations: DataFrame) -> DataFrame:
     return primary_locations.groupBy("work_id").agg(F.min_by("version", "source_id").alias("version"))
 
 
-def work_attributes(works_ids: DataFrame, works: DataFrame, primary_locations: DataFrame) -> dict[str, DataFrame]:
-    """The three per-Work lookups (each one row per Work after the keyed load)."""
-    return {
-        "ids": works_ids.select("work_id", "openalex", "doi", "pmid", "pmcid"),
-        "type": works.select(F.col("id").alias("work_id"), F.col("type").alias("work_type")),
-        "version": primary_location_version(primary_locations),
-    }
+def joined_attributes(works_ids: DataFrame, works: DataFrame, primary_locations: DataFrame) -> DataFrame:
+    """The attributes of each Work from the three loaded tables, in one row (as
+    ``flatten.work_attributes`` gives it from the records)."""
+    return (
+        works_ids.select("work_id", "openalex", "doi", "pmid", "pmcid")
+        .join(works.select(F.col("id").alias("work_id"), F.col("type").alias("work_type")), "work_id", "full")
+        .join(primary_location_version(primary_locations), "work_id", "full")
+    )
 
 
 def preprint_clues(split_clues: bool = False) -> list[str]:
@@ -85,18 +86,18 @@ def _rank(code: Column) -> Column:
 
 def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, primary_locations: DataFrame,
                      split_clues: bool = False) -> DataFrame:
-    """Category of every multi-mapped row whose first id is a Work.
+    """Category of every multi-mapped row whose first id is a Work, from the analysis tables.
 
     Output: omid, openalex_id, type, category (one row per input row).
     """
+    return categorize_by_attributes(mm, joined_attributes(works_ids, works, primary_locations), split_clues)
+
+
+def categorize_by_attributes(mm: DataFrame, attributes: DataFrame, split_clues: bool = False) -> DataFrame:
+    """As ``categorize_works``, from one row per Work (``flatten.work_attributes``): the positions
+    of all id lists meet the Works in one join."""
     rows = _rows(mm).where(F.col("entity") == "works")
-    attrs = work_attributes(works_ids, works, primary_locations)
-    pos = (
-        _positions(rows)
-        .join(attrs["ids"].withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
-        .join(attrs["type"].withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
-        .join(attrs["version"].withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
-    )
+    pos = _positions(rows).join(attributes.withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
     _, prefix, code = doi_events(F.col("doi"), F.col("version"), split_clues)
     has_doi = non_blank(F.col("doi"))
     per_pos = pos.select(

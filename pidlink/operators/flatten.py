@@ -391,6 +391,32 @@ def flatten_works(works: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def work_attributes(works: DataFrame) -> DataFrame:
+    """One row per Work with what the categories read of its three tables: work_id, openalex, doi,
+    pmid, pmcid, work_type, version.
+
+    The same values as the keyed loads of ``works_ids``, ``works`` and ``works_primary_locations``
+    give, a Work that is there several times included: the ids and the type are each of the last
+    record that has them, the version is the last one at the first of the Work's primary sources.
+    Two partial aggregates: per (Work, source), then per Work.
+    """
+    works, order = load_order(works.where(non_blank(F.col("id"))), None)
+    s = works.schema
+    ids_t, loc_t = _lookup_type(s, ["ids"]), _lookup_type(s, ["primary_location"])
+    ids = F.struct(*(field(s, f"ids.{c}").alias(c) for c in ("openalex", "doi", "pmid", "pmcid")))
+    source = _sub(loc_t, F.col("primary_location"), "source.id") if loc_t else F.lit(None).cast("string")
+    rows = works.select(
+        F.col("id").alias("work_id"), F.when(non_blank(source), source).alias("source_id"), F.col(order).alias("_o"),
+        F.when(_truthy_struct(F.col("ids") if ids_t else F.lit(None), ids_t), F.col(order)).alias("_ids_o"), ids.alias("ids"),
+        field(s, "type").alias("type"), (_sub(loc_t, F.col("primary_location"), "version") if loc_t else F.lit(None).cast("string")).alias("version"))
+    per_source = rows.groupBy("work_id", "source_id").agg(
+        F.max_by("ids", "_ids_o").alias("ids"), F.max("_ids_o").alias("_ids_o"),
+        F.max_by("type", "_o").alias("type"), F.max_by("version", "_o").alias("version"), F.max("_o").alias("_o"))
+    per_work = per_source.groupBy("work_id").agg(
+        F.max_by("ids", "_ids_o").alias("ids"), F.max_by("type", "_o").alias("work_type"), F.min_by("version", "source_id").alias("version"))
+    return per_work.select("work_id", "ids.openalex", "ids.doi", "ids.pmid", "ids.pmcid", "work_type", "version")
+
+
 SOURCES_TABLES = ("sources", "sources_ids", "sources_counts_by_year")
 
 

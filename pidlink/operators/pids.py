@@ -52,6 +52,11 @@ def _explode_pids(df: DataFrame, pids: Column) -> DataFrame:
                                                     oaid.alias("openalex_id"))
 
 
+def exploded_pids(rows: DataFrame) -> DataFrame:
+    """PID table of rows (id, pids) that hold a record's PID array."""
+    return _explode_pids(rows, F.col("pids"))
+
+
 def work_pid_array(works: DataFrame) -> Column:
     """Distinct DOI, PMID, PMCID of a Work, URL prefix stripped, scheme prefix added."""
     t = _ids_type(works)

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pidlink.operators import categorize as C
 from pidlink.operators import extract as X
@@ -19,7 +20,8 @@ from pidlink.operators import flatten as FL
 from pidlink.operators import mapping as M
 from pidlink.operators import pids as P
 from pidlink.operators import provenance as PV
-from pidlink.session import cut_lineage
+from pidlink.session import cut_lineage, scratch_folder
+from pidlink.sources.dumps import Dump
 
 
 # ------------------------------------------------------------------ E1 mapping
@@ -71,31 +73,11 @@ def map_venues(venues: DataFrame, index: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ E2 categorisation
 
 
-@dataclass
-class WorkTables:
-    works_ids: DataFrame
-    works: DataFrame
-    works_primary_locations: DataFrame
-
-
-def work_tables(multi_mapped: DataFrame, works: DataFrame, order: dict[str, list[str]] | None = None,
-                materialize: bool = True) -> WorkTables:
-    """Select the multi-mapped Works (semi join), flatten them and load keyed (keep-last)
-    the three tables the categories read.
-
-    The selected Works feed three tables, so they are written once (checkpoint) like the
-    full-metadata files of the source workflow, instead of being re-selected per table.
-    """
-    keys = FL.mm_oaids(multi_mapped)
-    # only these fields are read below: prune the scan and keep the stored copy narrow
-    needed = [c for c in ("id", "type", "ids", "primary_location", FL.ORD) if c in works.columns]
-    mm_works = FL.select_records(works.select(*needed), keys.where(F.col("entity") == "works"))
-    if materialize:
-        mm_works = cut_lineage(mm_works)
-    w = {"works_ids": FL.works_ids(mm_works), "works": FL.works_table(mm_works),
-         "works_primary_locations": FL.works_primary_locations(mm_works)}
-    loaded = FL.load_tables(w, order)
-    return WorkTables(loaded["works_ids"], loaded["works"], loaded["works_primary_locations"])
+def work_attributes(multi_mapped: DataFrame, works: DataFrame) -> DataFrame:
+    """Attributes of the multi-mapped Works (semi join), one row each, for the categories."""
+    needed = [c for c in ("id", "type", "ids", "primary_location", FL.ORD) if c in works.columns]  # prunes the scan
+    keys = FL.mm_oaids(multi_mapped).where(F.col("entity") == "works")
+    return FL.work_attributes(FL.select_records(works.select(*needed), keys))
 
 
 def source_ids_table(multi_mapped: DataFrame, sources: DataFrame,
@@ -109,18 +91,16 @@ def source_ids_table(multi_mapped: DataFrame, sources: DataFrame,
 
 class Categories:
     """Categories of the multi-mapped records. Each side is built on first use, so asking
-    for the Sources categories never selects or stores Works."""
+    for the Sources categories never selects Works."""
 
-    def __init__(self, multi_mapped: DataFrame, works: DataFrame, sources: DataFrame, materialize: bool = True):
+    def __init__(self, multi_mapped: DataFrame, works: DataFrame, sources: DataFrame):
         self.multi_mapped, self._works_in, self._sources_in = multi_mapped, works, sources
-        self._materialize = materialize
         self._works = self._sources = None
 
     @property
     def works(self) -> DataFrame:
         if self._works is None:
-            t = work_tables(self.multi_mapped, self._works_in, materialize=self._materialize)
-            self._works = C.categorize_works(self.multi_mapped, t.works_ids, t.works, t.works_primary_locations)
+            self._works = C.categorize_by_attributes(self.multi_mapped, work_attributes(self.multi_mapped, self._works_in))
         return self._works
 
     @property
@@ -139,7 +119,7 @@ def categorisation_job(multi_mapped: DataFrame, works: DataFrame, sources: DataF
     checkpointed once unless the caller passes an already stored table."""
     if materialize:
         multi_mapped = cut_lineage(multi_mapped)
-    return Categories(multi_mapped, works, sources, materialize)
+    return Categories(multi_mapped, works, sources)
 
 
 # ------------------------------------------------------------------ E3 provenance
@@ -166,19 +146,24 @@ def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: Dat
 # ------------------------------------------------------------------ storage-level wrappers
 
 
-def _write_rejected(spark, tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write each table of rejected input, and ``rejected_counts`` (name, n) of all."""
+def _write_rejected(spark, tables: dict[str, DataFrame], lines: dict[str, int], out_dir: str) -> dict[str, str]:
+    """Write each table of rejected input, and ``rejected_counts`` (name, n, n_read) of all: n is a
+    metric of the pass that writes the table, n_read the lines of its dump (NULL for cells)."""
     paths = {name: f"{out_dir}/{name}" for name in (*tables, "rejected_counts")}
-    counts = None
+    counts = []
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(paths[name])
-        n = spark.read.schema(df.schema).parquet(paths[name]).agg(F.count(F.lit(1)).alias("n"))
-        n = n.select(F.lit(name).alias("name"), "n")
-        counts = n if counts is None else counts.unionByName(n)
-    counts.write.mode("overwrite").parquet(paths["rejected_counts"])
+        n = Observation()
+        df.observe(n, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(paths[name])
+        counts.append((name, n.get["n"], lines.get(name)))
+    spark.createDataFrame(counts, "name string, n long, n_read long").coalesce(1).write.mode("overwrite").parquet(paths["rejected_counts"])
     return paths
 
 
+def _rejected_lines(works: Dump, sources: Dump) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    dumps = {"malformed_works": works, "malformed_sources": sources}
+    return {k: d.malformed for k, d in dumps.items()}, {k: d.counts["lines"] for k, d in dumps.items()}
+
+
 def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir: str, *,
                 all_rows: bool = True, rows_per_file: int = 10_000, index_table: str | None = None,
                 index_buckets: int = 0, rebuild_index: bool = False, single_file: bool = False) -> dict[str, str]:
@@ -196,61 +181,79 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
     With ``index_table`` and ``index_buckets`` the index is stored as a bucketed catalog
     table instead, so both mappings (and later runs) join it without shuffling it.
     """
+    from pidlink.sources import dumps as D
     from pidlink.sources import readers as R
     from pidlink.sources import schemas as SC
     from pidlink.sources import sinks as W
 
-    meta = R.read_meta_dump(spark, meta_dump)
-    works, bad_works = R.read_openalex(spark, works_dir, SC.work_schema())
-    sources, bad_sources = R.read_openalex(spark, sources_dir, SC.source_schema())
     index_mode = "overwrite" if rebuild_index else "errorifexists"
     write_multi = W.write_single_csv if single_file else lambda df, path: W.write_csv(df, path, rows_per_file)
     paths = {k: f"{out_dir}/{k}" for k in ("primary_ents", "venues", "resp_ags", "pid_index", "mapped",
                                            "multi_mapped", "non_mapped", "venues_mapped", "venues_multi_mapped",
                                            "venues_non_mapped", "pid_lists")}
-    if index_table and index_buckets > 0:
-        P.write_bucketed_index(build_index(works, sources), index_table, index_buckets, mode=index_mode)
-        index = spark.table(index_table)
-        paths["pid_index"] = index_table
-    else:
-        P.write_pid_index(build_index(works, sources), paths["pid_index"], mode=index_mode)
-        index = spark.read.parquet(paths["pid_index"])
-        M.pid_lists(index).write.mode("overwrite").parquet(paths["pid_lists"])  # read by both mappings
-        index = spark.read.parquet(paths["pid_lists"])
-    meta = cut_lineage(meta)  # one parse of the dump for all tables
-    m = mapping_job(meta, works, sources, all_rows=all_rows, index=index)
-    W.write_csv(m.primary_entities, paths["primary_ents"], rows_per_file)
-    W.write_csv(m.venues, paths["venues"], rows_per_file)
-    W.write_csv(m.responsible_agents, paths["resp_ags"], rows_per_file)
-    result = cut_lineage(m.result)  # three outputs from one computation
-    W.write_csv(M.mapped(result), paths["mapped"], rows_per_file)
-    write_multi(M.multi_mapped(result), paths["multi_mapped"])
-    W.write_csv(M.unmapped(result), paths["non_mapped"], rows_per_file)
-    vres = cut_lineage(map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index))
-    W.write_csv(M.mapped(vres), paths["venues_mapped"], rows_per_file)
-    write_multi(M.multi_mapped(vres), paths["venues_multi_mapped"])
-    W.write_csv(M.unmapped(vres), paths["venues_non_mapped"], rows_per_file)
-    rejected = {"malformed_works": bad_works, "malformed_sources": bad_sources,
-                "unparsable_venues": X.unparsable_venues(m.meta),
-                "unparsable_agents": X.unparsable_agents(m.meta)}
-    return paths | _write_rejected(spark, rejected, out_dir)
+    with scratch_folder(spark, "mapping") as scratch:
+        # one scan of each dump: ids, PIDs and rejected lines are stored, everything else reads those
+        works = D.parse_dump(spark, works_dir, SC.work_schema(), with_order=False)
+        works = D.keep(works.select("id", P.work_pid_array(works).alias("pids"), D.CORRUPT), f"{scratch}/works")
+        sources = D.parse_dump(spark, sources_dir, SC.source_schema(), with_order=False)
+        sources = D.keep(sources.select("id", P.source_pid_array(sources).alias("pids"), D.CORRUPT), f"{scratch}/sources")
+        built = P.pid_index(P.exploded_pids(works.records), P.exploded_pids(sources.records))
+        if index_table and index_buckets > 0:
+            P.write_bucketed_index(built, index_table, index_buckets, mode=index_mode)
+            index = spark.table(index_table)
+            paths["pid_index"] = index_table
+        else:
+            P.write_pid_index(built, paths["pid_index"], mode=index_mode)
+            M.pid_lists(spark.read.parquet(paths["pid_index"])).write.mode("overwrite").parquet(paths["pid_lists"])  # read by both mappings
+            index = spark.read.parquet(paths["pid_lists"])
+        # one parse of the Meta dump, of the columns the tables read
+        meta = cut_lineage(R.read_meta_dump(spark, meta_dump, ("id", "author", "venue", "type", "publisher", "editor")))
+        m = mapping_job(meta, works.records, sources.records, all_rows=all_rows, index=index)
+        W.write_csv(m.primary_entities, paths["primary_ents"], rows_per_file)
+        W.write_csv(m.venues, paths["venues"], rows_per_file)
+        W.write_csv(m.responsible_agents, paths["resp_ags"], rows_per_file)
+        result = cut_lineage(m.result)  # three outputs from one computation
+        W.write_csv(M.mapped(result), paths["mapped"], rows_per_file)
+        write_multi(M.multi_mapped(result), paths["multi_mapped"])
+        W.write_csv(M.unmapped(result), paths["non_mapped"], rows_per_file)
+        vres = cut_lineage(map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index))
+        W.write_csv(M.mapped(vres), paths["venues_mapped"], rows_per_file)
+        write_multi(M.multi_mapped(vres), paths["venues_multi_mapped"])
+        W.write_csv(M.unmapped(vres), paths["venues_non_mapped"], rows_per_file)
+        tables, lines = _rejected_lines(works, sources)
+        tables |= {"unparsable_venues": X.unparsable_venues(meta), "unparsable_agents": X.unparsable_agents(meta)}
+        return paths | _write_rejected(spark, tables, lines, out_dir)
+
+
+def _only(schema: StructType, *names: str) -> StructType:
+    return StructType([schema[n] for n in names])
 
 
 def run_categorisation(spark, multi_mapped_dir: str, works_dir: str, sources_dir: str, out_dir: str) -> dict[str, str]:
     """Multi-mapped CSV folder + OpenAlex dumps -> per-row categories (CSV), counts (CSV)
-    and the nested counts document (JSON)."""
+    and the nested counts document (JSON). Each dump is scanned once; only the lines of
+    multi-mapped ids are parsed. Rejected lines go to ``malformed_works`` and
+    ``malformed_sources``, their numbers to ``rejected_counts``."""
+    from pidlink.sources import dumps as D
     from pidlink.sources import readers as R
+    from pidlink.sources import schemas as SC
     from pidlink.sources import sinks as W
 
-    mm = R.read_csv_tables(spark, multi_mapped_dir)
-    cats = categorisation_job(mm, R.read_works(spark, works_dir), R.read_sources(spark, sources_dir))
+    mm = cut_lineage(R.read_csv_tables(spark, multi_mapped_dir))
+    ids = cut_lineage(FL.mm_oaids(mm))
     paths = {k: f"{out_dir}/{k}" for k in ("works_categories", "sources_categories", "counts", "counts_json")}
-    W.write_csv(cats.works, paths["works_categories"])
-    W.write_csv(cats.sources, paths["sources_categories"])
-    counts = cut_lineage(cats.counts())
-    W.write_csv(counts, paths["counts"])
-    W.write_document(C.nested_counts_json(counts), paths["counts_json"])
-    return paths
+    with scratch_folder(spark, "categorisation") as scratch:
+        works = D.keep_matching(spark, works_dir, _only(SC.work_schema(), "id", "type", "ids", "primary_location"),
+                                ids.where("entity = 'works'").select("openalex_id"), f"{scratch}/works")
+        sources = D.keep_matching(spark, sources_dir, _only(SC.source_schema(), "id", "ids"),
+                                  ids.where("entity = 'sources'").select("openalex_id"), f"{scratch}/sources")
+        cats = categorisation_job(mm, works.records, sources.records, materialize=False)
+        W.write_csv(cats.works, paths["works_categories"])
+        W.write_csv(cats.sources, paths["sources_categories"])
+        counts = cut_lineage(cats.counts())
+        W.write_csv(counts, paths["counts"])
+        W.write_document(C.nested_counts_json(counts), paths["counts_json"])
+        return paths | _write_rejected(spark, *_rejected_lines(works, sources), out_dir)
 
 
 def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir: str, out_dir: str) -> dict[str, str]:
@@ -270,7 +273,7 @@ def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir
     W.write_csv(counts, paths["counts"])
     W.write_document(W.provenance_document(counts), paths["counts_json"])
     W.write_csv(res.missing, paths["missing"])
-    return paths | _write_rejected(spark, {"dropped_graphs": PV.dropped_graphs(graphs)}, out_dir)
+    return paths | _write_rejected(spark, {"dropped_graphs": PV.dropped_graphs(graphs)}, {}, out_dir)
 
 
 def run_analysis_tables(spark, multi_mapped_dir: str, works_dir: str, sources_dir: str, out_dir: str,
@@ -278,17 +281,23 @@ def run_analysis_tables(spark, multi_mapped_dir: str, works_dir: str, sources_di
     """Multi-mapped table + OpenAlex dumps -> the analysis database as Parquet folders: the
     full records of the multi-mapped Works (``mm_works``), and the 15 flattened tables of
     those Works and of all Sources, each loaded keyed (the last record of a key wins; Sources
-    by their first). A table that is already there is an error unless ``mode`` says otherwise."""
+    by their first). A table that is already there is an error unless ``mode`` says otherwise.
+
+    Each dump is scanned once and stored by columns: of the Works only the lines of multi-mapped
+    ids are parsed, and each table then reads its own columns of the stored records. Rejected
+    lines and their numbers are written as in ``run_categorisation``."""
+    from pidlink.sources import dumps as D
     from pidlink.sources import readers as R
+    from pidlink.sources import schemas as SC
 
-    mm = R.read_csv_tables(spark, multi_mapped_dir)
-    keys = FL.mm_oaids(mm).where(F.col("entity") == "works")
+    keys = FL.mm_oaids(R.read_csv_tables(spark, multi_mapped_dir)).where(F.col("entity") == "works")
     paths = {"mm_works": f"{out_dir}/mm_works"}
-    FL.select_records(R.read_works(spark, works_dir), keys).write.mode(mode).parquet(paths["mm_works"])
-    works = spark.read.parquet(paths["mm_works"])  # stored once, read by twelve tables
-    tables = FL.load_tables(FL.flatten_sources(R.read_sources(spark, sources_dir)) | FL.flatten_works(works))
-    for name, df in tables.items():
-        paths[name] = f"{out_dir}/{name}"
-        df.write.mode(mode).parquet(paths[name])
-    return paths
-
+    with scratch_folder(spark, "analysis") as scratch:
+        works = D.keep_matching(spark, works_dir, SC.work_schema(), keys.select("openalex_id"), f"{scratch}/works")
+        works.records.write.mode(mode).parquet(paths["mm_works"])
+        sources = D.keep(D.parse_dump(spark, sources_dir, SC.source_schema()), f"{scratch}/sources")
+        tables = FL.load_tables(FL.flatten_sources(sources.records) | FL.flatten_works(works.records))
+        for name, df in tables.items():
+            paths[name] = f"{out_dir}/{name}"
+            df.write.mode(mode).parquet(paths[name])
+        return paths | _write_rejected(spark, *_rejected_lines(works, sources), out_dir)

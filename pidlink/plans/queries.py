@@ -367,7 +367,7 @@ def io_openalex_dump(spark: SparkSession, sf: str) -> DataFrame:
     R.copy_json_lines(spark, path, copy)
     found = records.select(F.lit("records").alias("kind"), F.col("ids.issn_l").alias("issn_l")).unionByName(
         malformed.select(F.lit("malformed").alias("kind"), F.lit(None).cast("string").alias("issn_l"))).unionByName(
-        spark.read.text(copy).select(F.lit("copied").alias("kind"), F.get_json_object("value", "$.ids.issn_l").alias("issn_l")))
+        spark.read.text(f"{copy}/kind=lines").select(F.lit("copied").alias("kind"), F.get_json_object("value", "$.ids.issn_l").alias("issn_l")))
     return found.groupBy("kind").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                                      F.countDistinct("issn_l").cast("bigint").alias("n_issn_l"))
 

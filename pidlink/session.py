@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +67,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder below the shared checkpoint folder, deleted when the block ends."""
+    folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -1,28 +1,26 @@
 """Readers for the inputs of the three jobs.
 
-* Meta CSV dump: a zip of CSV members (Python Data Source, one partition per member) or a
-  directory of CSV files.
-* OpenAlex dump: gz JSON lines under a directory tree, read with an explicit schema
-  (unknown keys ignored, malformed lines dropped and counted).
+* Meta CSV dump: a zip of CSV members (Python Data Source) or a directory of CSV files, matched by
+  column name file by file.
+* OpenAlex dump: gz JSON lines under a directory tree, read with an explicit schema (unknown keys
+  ignored). Malformed lines give no records; ``dumps.keep``, ``copy_json_lines`` and
+  ``read_json_records(counts=...)`` count them in the pass that reads the records.
 * Meta RDF dump: JSON-LD graphs in nested zips (provenance graphs and resource nodes).
 * Flat CSV / JSON outputs of earlier steps, and nested JSON result files.
-
-Few large gz files are not splittable; such scans are spread over the cluster's cores by a
-hash of the record id right after the read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pidlink.sources import schemas as SC
 from pidlink.sources import zipsource
-from pidlink.sources.csvheaders import CSV_OPTIONS, read_csv_files
+from pidlink.sources.csvheaders import CSV_OPTIONS, read_csv_files  # noqa: F401 - the options are for callers too
+from pidlink.sources.dumps import CORRUPT, parse_dump
 
 META_COLUMNS = ("id", "title", "author", "issue", "volume", "venue", "page", "pub_date", "type", "publisher", "editor")
-CORRUPT = "_corrupt_record"
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
@@ -55,33 +53,20 @@ def read_meta_dump(spark: SparkSession, path: str, columns: tuple[str, ...] = ME
 
 def read_openalex(spark: SparkSession, path: str, schema: StructType, glob: str = "*.gz",
                   with_order: bool = True) -> tuple[DataFrame, DataFrame]:
-    """OpenAlex JSON lines (recursive directory walk, ``glob`` files only).
+    """OpenAlex JSON lines (recursive directory walk, ``glob`` files only): (records, malformed).
 
-    Returns (records, malformed): malformed lines are dropped from ``records`` and kept
-    apart (``_corrupt_record`` text) so they can be counted or logged.
+    Both come from one parse definition but are two DataFrames: using both scans the dump
+    twice. A job that needs both keeps them with ``dumps.keep``, as the jobs here do.
     ``with_order`` adds ``_ord``, the load order (file path, then position in the scan),
     used by keep-first / keep-last loading. A gz file is one task: give the dump in files of
     about 128 MB, several per core, as the published ones are.
     """
-    full = schema.add(CORRUPT, "string") if CORRUPT not in schema.fieldNames() else schema
-    raw = (
-        spark.read.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .json(path)
-    )
-    if with_order:
-        raw = raw.withColumn("_file", F.col("_metadata.file_path")).withColumn("_pos", F.monotonically_increasing_id())
+    raw = parse_dump(spark, path, schema, glob, with_order)
     # A scan may not read the corrupt-record column alone (e.g. under ``count()``), so the
     # filter keeps a data column referenced.
     keep_id = F.length(F.coalesce(F.col("id").cast("string"), F.lit(""))) >= 0
     malformed = raw.where(F.col(CORRUPT).isNotNull() & keep_id).select("id", CORRUPT)
-    records = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    if with_order:
-        records = records.withColumn("_ord", F.struct("_file", "_pos")).drop("_file", "_pos")
-    return records, malformed
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT), malformed
 
 
 def read_works(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
@@ -92,9 +77,14 @@ def read_sources(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFram
     return read_openalex(spark, path, SC.source_schema(), glob)[0]
 
 
-def read_json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Flat directory of uncompressed ``*.json`` lines (blank lines skipped)."""
-    return read_openalex(spark, path, schema, glob="*.json")[0]
+def read_json_records(spark: SparkSession, path: str, schema: StructType, counts: Observation | None = None) -> DataFrame:
+    """Flat directory of uncompressed ``*.json`` lines (blank lines skipped). Malformed lines give
+    no records; ``counts`` receives the numbers of ``lines`` and of ``malformed`` ones when the
+    records are first computed in full."""
+    raw = parse_dump(spark, path, schema, glob="*.json")
+    if counts is not None:
+        raw = raw.observe(counts, F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("malformed"))
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def read_provenance_graphs(spark: SparkSession, br_zip: str) -> DataFrame:
@@ -138,9 +128,14 @@ def read_provenance_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def copy_json_lines(spark: SparkSession, in_dir: str, out_dir: str, glob: str = "*.gz",
-                    rows_per_file: int = 10_000) -> None:
-    """Uncompressed copy of a JSON-lines dump (every well-formed line, as written), rolled
-    every ``rows_per_file`` lines. Malformed lines are skipped."""
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(in_dir)
-             .where(F.get_json_object("value", "$").isNotNull()))
-    lines.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(out_dir)
+                    rows_per_file: int = 10_000) -> dict[str, int]:
+    """Uncompressed copy of a JSON-lines dump, each line as written, rolled every ``rows_per_file``
+    lines: well-formed lines in ``kind=lines`` of ``out_dir``, others in ``kind=malformed``. One pass
+    writes both; returns the numbers of ``lines`` read and of ``malformed`` ones."""
+    counts = Observation()
+    malformed = F.get_json_object("value", "$").isNull()
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(in_dir).where(F.trim("value") != "")
+             .select("value", F.when(malformed, "malformed").otherwise("lines").alias("kind")))
+    lines = lines.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("kind") == "malformed").alias("malformed"))
+    lines.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("kind").text(out_dir)
+    return counts.get

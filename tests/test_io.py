@@ -175,8 +175,9 @@ def test_run_analysis_tables(spark, tmpdir_path):
         {"id": U + "S4", "ids": {"openalex": U + "S4"}}])
     args = (mm_dir, os.path.join(tmpdir_path, "works"), os.path.join(tmpdir_path, "sources"), os.path.join(tmpdir_path, "out"))
     paths = J.run_analysis_tables(spark, *args)
-    assert set(paths) == {"mm_works", *FL.PRIMARY_KEYS}
-    n = {name: spark.read.parquet(p).count() for name, p in paths.items()}
+    rejected = {"malformed_works", "malformed_sources", "rejected_counts"}
+    assert set(paths) == {"mm_works", *FL.PRIMARY_KEYS, *rejected}
+    n = {name: spark.read.parquet(p).count() for name, p in paths.items() if name not in rejected}
     assert n == {"mm_works": 3, "sources": 2, "sources_ids": 2, "sources_counts_by_year": 1, "works": 2, "works_primary_locations": 2,
                  "works_locations": 2, "works_best_oa_locations": 2, "works_authorships": n["works_authorships"], "works_biblio": 2,
                  "works_concepts": 2, "works_ids": 2, "works_mesh": 2, "works_open_access": 2, "works_referenced_works": 2,
@@ -193,9 +194,10 @@ def test_copy_json_lines_skips_malformed(spark, tmpdir_path):
     with gzip.open(os.path.join(d, "part.gz"), "wt") as f:
         f.write('{"id": "S1"}\n{oops\n{"id": "S2", "name": "Zoë"}\n')
     out = os.path.join(tmpdir_path, "copy")
-    R.copy_json_lines(spark, d, out)
-    back = spark.read.json(out)
+    assert R.copy_json_lines(spark, d, out) == {"lines": 3, "malformed": 1}
+    back = spark.read.json(f"{out}/kind=lines")
     assert rows(back, ["id"]) == [("S1",), ("S2",)]
+    assert [r.value for r in spark.read.text(f"{out}/kind=malformed").collect()] == ["{oops"]
 
 
 def _gz_lines(path, recs):
