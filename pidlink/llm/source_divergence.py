@@ -27,14 +27,16 @@ has distances 0 and no term rows; an empty table gives no rows. Other columns ar
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
-from heapq import heappop, heappush, heapreplace
+from heapq import heappop, heappush
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,11 +56,7 @@ PAIR_ENTRIES = 1 << 20
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
 
-RUN = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("first", pa.binary()), ("terms", pa.list_(pa.binary())),
-                 ("names", pa.list_(pa.string())), ("source", pa.list_(pa.int32())),
-                 ("count", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64()))])
-RUN_DDL = ("shard int, lang string, first binary, terms array<binary>, names array<string>, source array<int>, "
-           "count array<long>, docs array<long>")
+RUN_DDL = "shard int, lang string, first binary, term array<binary>, source array<string>, count array<long>, docs array<long>"
 
 
 def text_parts(text: bytes) -> Iterator[bytes]:
@@ -73,29 +71,35 @@ def text_parts(text: bytes) -> Iterator[bytes]:
 
 
 def _spilled(block: dict, shards: int) -> Iterator[pa.RecordBatch]:
-    """The postings of a block as chunks of one term-sorted run."""
+    """The postings of a block as chunks of one term-sorted run, a language at a time."""
     by_lang: dict[str, list] = {}
-    for (lang, source), (count, docs) in block.items():
-        by_lang.setdefault(lang, []).extend((crc32(t) % shards, t, source, n, docs[t]) for t, n in count.items())
-    rows: list[dict] = []
-    for lang, postings in by_lang.items():
-        postings.sort()
-        a = 0
-        while a < len(postings):
-            shard, b = postings[a][0], a + 1
-            while b < len(postings) and b - a < CHUNK and postings[b][0] == shard:
-                b += 1
-            _, terms, sources, count, docs = zip(*postings[a:b])
-            names = sorted(set(sources))
-            number = {s: i for i, s in enumerate(names)}
-            rows.append({"shard": shard, "lang": lang, "first": terms[0], "terms": terms, "names": names,
-                         "source": [number[s] for s in sources], "count": count, "docs": docs})
-            a = b
-            if len(rows) >= 256:
-                yield pa.RecordBatch.from_pylist(rows, RUN)
-                rows = []
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, RUN)
+    for (lang, source), counted in block.items():
+        by_lang.setdefault(lang, []).append((source, *counted))
+    for lang, groups in by_lang.items():
+        names = pa.array([source for source, _, _ in groups])
+        group = np.repeat(np.arange(len(groups)), [len(count) for _, count, _ in groups])
+        terms = [t for _, count, _ in groups for t in count]
+        if not terms:
+            continue
+        shard = np.fromiter(map(crc32, terms), np.int64, len(terms)) % shards
+        count = np.fromiter((n for _, c, _ in groups for n in c.values()), np.int64, len(terms))
+        docs = np.fromiter((d[t] for _, c, d in groups for t in c), np.int64, len(terms))
+        term = pa.array(terms, pa.binary())
+        del terms
+        order = pc.sort_indices(term).to_numpy()
+        order = order[np.argsort(shard[order], kind="stable")]
+        term, shard = term.take(pa.array(order)), shard[order]
+        # a chunk ends with its shard, or is full
+        at = np.arange(len(order))
+        begins = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+        starts = np.flatnonzero((at - np.repeat(begins, np.diff(np.r_[begins, len(order)]))) % CHUNK == 0)
+        offsets = pa.array(np.r_[starts, len(order)].astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, c) for c in
+                 (term, names.take(pa.array(group[order])), pa.array(count[order]), pa.array(docs[order]))]
+        run = pa.RecordBatch.from_arrays([pa.array(shard[starts], pa.int32()), pa.array([lang] * len(starts), pa.string()),
+                                          term.take(pa.array(starts)), *lists], ["shard", "lang", "first", "term", "source", "count", "docs"])
+        for i in range(0, len(starts), 256):
+            yield run.slice(i, 256)
 
 
 def block_runs(batches: Iterable[pa.RecordBatch], shards: int, postings: int) -> Iterator[pa.RecordBatch]:
@@ -128,67 +132,62 @@ FREQUENCY_DDL = "lang string, term string, source string, count long, lang_count
 
 
 class RunMerge:
-    """Heap merge of chunks that arrive in the order of their first terms, within one language."""
+    """Heap merge of chunks that arrive in the order of their first terms, within one language.
+    The heap holds open chunks by their next term."""
 
     def __init__(self, min_docs: int):
         self.min_docs = min_docs
         self.heap: list = []
-        self.lang, self.term, self.docs, self.count = "", None, 0, Counter()
-        self.rows: list[tuple] = []
-        self.arrived = 0
+        self.lang, self.arrived = "", 0
 
-    def add(self, first: bytes, chunk: tuple) -> None:
-        self.advance(first)
+    def add(self, columns: list[pa.Array]) -> None:
+        """A chunk: term, source, count, docs."""
+        terms = columns[0].to_pylist()
         self.arrived += 1
-        heappush(self.heap, (first, self.arrived, 0, chunk))
+        heappush(self.heap, (terms[0], self.arrived, 0, terms, columns))
 
-    def advance(self, limit: bytes | None) -> None:
-        """Take all postings of terms below ``limit`` (all of them without one)."""
-        heap = self.heap
+    def advance(self, limit: bytes | None) -> Iterator[pa.RecordBatch]:
+        """Take the postings of all terms below ``limit`` (of all terms, without one) off the open
+        chunks, and sum them."""
+        heap, parts = self.heap, []
         while heap and (limit is None or heap[0][0] < limit):
-            term, order, at, chunk = heap[0]
-            if term != self.term:
-                self.finish()
-                self.term = term
-            terms, names, source, count, docs = chunk
-            self.count[names[source[at]]] += count[at]
-            self.docs += docs[at]
-            at += 1
-            if at < len(terms):
-                heapreplace(heap, (terms[at], order, at, chunk))
-            else:
-                heappop(heap)
-        if limit is None:
-            self.finish()
-
-    def finish(self) -> None:
-        if self.term is not None and self.docs >= self.min_docs:
-            total, term = sum(self.count.values()), self.term.decode()
-            for i, (source, n) in enumerate(self.count.items()):
-                self.rows.append((self.lang, term, source, n, total, i == 0))
-        self.term, self.docs, self.count = None, 0, Counter()
-
-    def taken(self) -> pa.RecordBatch:
-        rows, self.rows = self.rows, []
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), FREQUENCY)], schema=FREQUENCY)
+            _, order, at, terms, columns = heappop(heap)
+            end = len(terms) if limit is None else bisect_left(terms, limit, at)
+            parts.append([c.slice(at, end - at) for c in columns])
+            if end < len(terms):
+                heappush(heap, (terms[end], order, end, terms, columns))
+        if parts:
+            postings = pa.table([pa.concat_arrays(c) for c in zip(*parts)], ["term", "source", "count", "docs"])
+            whole = postings.group_by("term").aggregate([("docs", "sum"), ("count", "sum")])
+            whole = whole.filter(pc.greater_equal(whole["docs_sum"], self.min_docs))
+            if whole.num_rows:
+                yield self._kept(postings.filter(pc.is_in(postings["term"], whole["term"])), whole)
+
+    def _kept(self, postings: pa.Table, whole: pa.Table) -> pa.RecordBatch:
+        rows = postings.group_by(["term", "source"]).aggregate([("count", "sum")]).combine_chunks()
+        at = pc.index_in(rows["term"], whole["term"])
+        leads = np.zeros(rows.num_rows, bool)
+        leads[np.unique(at.to_numpy(), return_index=True)[1]] = True
+        columns = [pa.array([self.lang] * rows.num_rows), rows["term"].cast(pa.string()), rows["source"], rows["count_sum"],
+                   whole["count_sum"].take(at), pa.array(leads)]
+        return pa.Table.from_arrays(columns, schema=FREQUENCY).combine_chunks().to_batches()[0]
 
 
 def merged(batches: Iterable[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
     merge = RunMerge(min_docs)
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part = batch.slice(at, 64)
-            columns = [part.column(c).to_pylist() for c in ("lang", "first", "terms", "names", "source", "count", "docs")]
-            for lang, first, *chunk in zip(*columns):
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            langs, firsts = part.column("lang").to_pylist(), part.column("first").to_pylist()
+            lists = [(c.values, c.offsets.to_pylist()) for c in map(part.column, ("term", "source", "count", "docs"))]
+            for i, lang in enumerate(langs):
                 if lang != merge.lang:
-                    merge.advance(None)
+                    yield from merge.advance(None)
                     merge.lang = lang
-                merge.add(first, tuple(chunk))
-            if len(merge.rows) >= 4096:
-                yield merge.taken()
-    merge.advance(None)
-    if merge.rows:
-        yield merge.taken()
+                merge.add([values.slice(ends[i], ends[i + 1] - ends[i]) for values, ends in lists])
+                if i + 1 == len(langs) or langs[i + 1] != lang:
+                    yield from merge.advance(firsts[i])  # no later chunk of the language begins below this
+    yield from merge.advance(None)
 
 
 def groups_of(docs: DataFrame) -> DataFrame:
