@@ -12,7 +12,7 @@ length. Candidates that cost at least NOVELTY bits a byte, single plain words as
 as spans of kind ``novel``. A span that touches a base span adds nothing; base spans always stay.
 
 The identifiers are counted over all documents (a document counts an identifier once),
-pre-aggregated in the tasks; the DICTIONARY_WORDS most frequent, of at most MAX_IDENTIFIER bytes
+pre-aggregated in the tasks, and stored; the DICTIONARY_WORDS most frequent, of at most MAX_IDENTIFIER bytes
 each, reach the driver, which trains a dictionary of at most DICTIONARY_BYTES that goes out with the
 tasks. Texts stay where they are; a task holds one chunk of texts.
 
@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pidlink.llm.common import pieces
+from pidlink.llm.common import pieces, stored
 
 KINDS = ("assign", "access", "hex", "novel")
 BASE = KINDS[:3]
@@ -67,14 +67,23 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 SENSITIVE = ("password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key",
              "private_key", "client_key", "auth", "bearer", "credential", "signature", "signing_key")
 _CONTEXT = re.compile("|".join(map(_either_case, SENSITIVE)))
+#: Every name and sensitive word holds one of these; most texts hold none.
+_STEMS = ("pass", "pwd", "secret", "token", "api", "key", "auth", "bearer", "credential", "signature")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.~!@#$%^&*-][A-Za-z0-9+/_.=~!@#$%^&*-]{{{MIN_CANDIDATE - 1},}}")
 _IDENTIFIER = re.compile(rb"[A-Za-z_][A-Za-z0-9_]{%d,%d}" % (MIN_IDENTIFIER - 1, MAX_IDENTIFIER - 1))
 _PLAIN = re.compile(r"[A-Za-z]?[a-z]*")
 
 
+def _may_be_sensitive(text: str) -> bool:
+    low = text.lower()
+    return any(stem in low for stem in _STEMS)
+
+
 def detect(text: str) -> list[Span]:
     """Spans of the base rules."""
-    out: list[Span] = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 8]
+    out: list[Span] = []
+    if _may_be_sensitive(text):
+        out += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 8]
     if "AKIA" in text:
         out += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [("hex", *m.span()) for m in _HEX.finditer(text)]
@@ -151,7 +160,7 @@ def find(text: str | None, dictionary: bytes = b"") -> tuple[list[Span], list[Sp
         return [], []
     base = detect(text)
     more: list[Span] = []
-    for a, b in uncovered(candidates(text), base):
+    for a, b in uncovered(candidates(text) if _may_be_sensitive(text) else (), base):
         if not _PLAIN.fullmatch(text, a, b) and novelty(dictionary).bits(text, a, b) >= NOVELTY:
             more.append(("novel", a, b))
     return base, in_order([*base, *more])
@@ -186,9 +195,19 @@ def trained(identifiers: list[bytes]) -> bytes:
 
 
 def identifier_dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> bytes:
-    """A dictionary of the identifiers that most documents hold; ties go by the bytes."""
+    """A dictionary of the identifiers that most documents hold; ties go by the bytes.
+
+    The counts are stored; the numbers of identifiers per power of two of their count tell from
+    which power on there are enough, and only those are sorted and collected."""
     counted = docs.select("text").mapInArrow(count_identifiers, "word binary, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
-    top = counted.filter("docs > 1").orderBy(F.desc("docs"), "word").limit(words).collect()
+    counted = stored(counted.filter("docs > 1"), "identifiers")
+    level, least = F.floor(F.log2("docs")).cast("int"), 0
+    held = 0
+    for r in sorted(counted.groupBy(level.alias("level")).count().collect(), reverse=True):  # at most 63 rows
+        least, held = r["level"], held + r["count"]
+        if held >= words:
+            break
+    top = counted.filter(level >= least).orderBy(F.desc("docs"), "word").limit(words).collect()
     return trained([bytes(r["word"]) for r in top])
 
 
