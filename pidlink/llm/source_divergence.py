@@ -56,7 +56,11 @@ PAIR_ENTRIES = 1 << 20
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
 
-RUN_DDL = "shard int, lang string, first binary, term array<binary>, source array<string>, count array<long>, docs array<long>"
+#: A chunk of a run: its terms joined by blanks (no term holds one), the names of its sources, and
+#: per posting the number of the source (int32), occurrences and documents (int64), packed.
+RUN = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("first", pa.binary()), ("terms", pa.binary()), ("names", pa.list_(pa.string())),
+                 ("source", pa.binary()), ("count", pa.binary()), ("docs", pa.binary())])
+RUN_DDL = "shard int, lang string, first binary, terms binary, names array<string>, source binary, count binary, docs binary"
 
 
 def text_parts(text: bytes) -> Iterator[bytes]:
@@ -76,7 +80,6 @@ def _spilled(block: dict, shards: int) -> Iterator[pa.RecordBatch]:
     for (lang, source), counted in block.items():
         by_lang.setdefault(lang, []).append((source, *counted))
     for lang, groups in by_lang.items():
-        names = pa.array([source for source, _, _ in groups])
         group = np.repeat(np.arange(len(groups)), [len(count) for _, count, _ in groups])
         terms = [t for _, count, _ in groups for t in count]
         if not terms:
@@ -88,18 +91,20 @@ def _spilled(block: dict, shards: int) -> Iterator[pa.RecordBatch]:
         del terms
         order = pc.sort_indices(term).to_numpy()
         order = order[np.argsort(shard[order], kind="stable")]
-        term, shard = term.take(pa.array(order)), shard[order]
+        terms = term.take(pa.array(order)).to_pylist()
+        shard, group, count, docs = shard[order], group[order], count[order], docs[order]
         # a chunk ends with its shard, or is full
-        at = np.arange(len(order))
         begins = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
-        starts = np.flatnonzero((at - np.repeat(begins, np.diff(np.r_[begins, len(order)]))) % CHUNK == 0)
-        offsets = pa.array(np.r_[starts, len(order)].astype(np.int32))
-        lists = [pa.ListArray.from_arrays(offsets, c) for c in
-                 (term, names.take(pa.array(group[order])), pa.array(count[order]), pa.array(docs[order]))]
-        run = pa.RecordBatch.from_arrays([pa.array(shard[starts], pa.int32()), pa.array([lang] * len(starts), pa.string()),
-                                          term.take(pa.array(starts)), *lists], ["shard", "lang", "first", "term", "source", "count", "docs"])
-        for i in range(0, len(starts), 256):
-            yield run.slice(i, 256)
+        within = np.arange(len(order)) - np.repeat(begins, np.diff(np.r_[begins, len(order)]))
+        ends = [*np.flatnonzero(within % CHUNK == 0).tolist(), len(order)]
+        rows = []
+        for a, b in zip(ends, ends[1:]):
+            present, number = np.unique(group[a:b], return_inverse=True)
+            rows.append((int(shard[a]), lang, terms[a], b" ".join(terms[a:b]), [groups[i][0] for i in present],
+                         number.astype("<i4").tobytes(), count[a:b].astype("<i8").tobytes(), docs[a:b].astype("<i8").tobytes()))
+            if len(rows) == 256 or b == len(order):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), RUN)], schema=RUN)
+                rows = []
 
 
 def block_runs(batches: Iterable[pa.RecordBatch], shards: int, postings: int) -> Iterator[pa.RecordBatch]:
@@ -140,11 +145,13 @@ class RunMerge:
         self.heap: list = []
         self.lang, self.arrived = "", 0
 
-    def add(self, columns: list[pa.Array]) -> None:
-        """A chunk: term, source, count, docs."""
-        terms = columns[0].to_pylist()
+    def add(self, terms: bytes, names: list[str], source: bytes, count: bytes, docs: bytes) -> None:
+        """A chunk, as it comes in a run."""
+        words = terms.split(b" ")
+        columns = (pa.array(names, pa.string()).take(pa.array(np.frombuffer(source, "<i4"))),
+                   pa.array(np.frombuffer(count, "<i8")), pa.array(np.frombuffer(docs, "<i8")))
         self.arrived += 1
-        heappush(self.heap, (terms[0], self.arrived, 0, terms, columns))
+        heappush(self.heap, (words[0], self.arrived, 0, words, columns))
 
     def advance(self, limit: bytes | None) -> Iterator[pa.RecordBatch]:
         """Take the postings of all terms below ``limit`` (of all terms, without one) off the open
@@ -153,7 +160,7 @@ class RunMerge:
         while heap and (limit is None or heap[0][0] < limit):
             _, order, at, terms, columns = heappop(heap)
             end = len(terms) if limit is None else bisect_left(terms, limit, at)
-            parts.append([c.slice(at, end - at) for c in columns])
+            parts.append([pa.array(terms[at:end], pa.binary()), *(c.slice(at, end - at) for c in columns)])
             if end < len(terms):
                 heappush(heap, (terms[end], order, end, terms, columns))
         if parts:
@@ -179,12 +186,12 @@ def merged(batches: Iterable[pa.RecordBatch], min_docs: int) -> Iterator[pa.Reco
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             langs, firsts = part.column("lang").to_pylist(), part.column("first").to_pylist()
-            lists = [(c.values, c.offsets.to_pylist()) for c in map(part.column, ("term", "source", "count", "docs"))]
-            for i, lang in enumerate(langs):
+            chunks = zip(*(part.column(c).to_pylist() for c in ("terms", "names", "source", "count", "docs")))
+            for i, (lang, chunk) in enumerate(zip(langs, chunks)):
                 if lang != merge.lang:
                     yield from merge.advance(None)
                     merge.lang = lang
-                merge.add([values.slice(ends[i], ends[i + 1] - ends[i]) for values, ends in lists])
+                merge.add(*chunk)
                 if i + 1 == len(langs) or langs[i + 1] != lang:
                     yield from merge.advance(firsts[i])  # no later chunk of the language begins below this
     yield from merge.advance(None)
