@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -31,7 +32,8 @@ CHUNK_BYTES = 2 << 20
 Span = tuple[str, int, int]
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# No match can begin inside a run of digits, and no start is tried there: a long run is read once.
+_IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -114,6 +116,16 @@ class Aligned:
         return Aligned("".join([*texts, self.text[done:]]), np.concatenate([*starts, self.start[done:]]),
                        np.concatenate([*ends, self.end[done:]]))
 
+    def translated(self, table: dict[str, str]) -> Aligned:
+        """Replace single characters by one character or by nothing; the others keep their places."""
+        text = self.text.translate({ord(c): new for c, new in table.items()})
+        gone = {c for c, new in table.items() if not new}
+        if len(text) == len(self.text):
+            return Aligned(text, self.start, self.end)
+        codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        stays = ~np.isin(codes, np.array([ord(c) for c in gone], np.uint32))
+        return Aligned(text, self.start[stays], self.end[stays])
+
     def source(self, a: int, b: int) -> tuple[int, int]:
         return int(self.start[a]), int(self.end[b - 1])
 
@@ -159,11 +171,12 @@ _SPELLED = re.compile(rf"\b{_DIGIT_WORD}(?:(?:[ \t,-]+|[ \t]+(?:dot|point)[ \t]+
 _WORD = re.compile(r"[a-z]+", re.I)
 _PLUS = re.compile(r"\bplus[ \t]+(?=[0-9])", re.I)
 _DIGIT_DOT = re.compile(r"(?<=[0-9])(?:[ \t]+(?:dot|point)[ \t]+|[ \t]*[(\[{](?:dot|point)[)\]}][ \t]*)(?=[0-9])", re.I)
-_BRACKET_AT = re.compile(r"[ \t]*[(\[{<][ \t]*(?:at|@)[ \t]*[)\]}>][ \t]*", re.I)
-_BRACKET_DOT = re.compile(r"[ \t]*[(\[{<][ \t]*(?:dot|\.)[ \t]*[)\]}>][ \t]*", re.I)
+# the blanks before a sign are taken from the start of their run only, so a run is read once
+_BRACKET_AT = re.compile(r"(?:(?<![ \t])[ \t]+)?[(\[{<][ \t]*(?:at|@)[ \t]*[)\]}>][ \t]*", re.I)
+_BRACKET_DOT = re.compile(r"(?:(?<![ \t])[ \t]+)?[(\[{<][ \t]*(?:dot|\.)[ \t]*[)\]}>][ \t]*", re.I)
 _SAID = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:[ \t]+at[ \t]+|@)[A-Za-z0-9-]+(?:(?:[ \t]+dot[ \t]+|\.)[A-Za-z0-9-]+)*"
                    r"[ \t]+dot[ \t]+[A-Za-z0-9-]+(?:(?:[ \t]+dot[ \t]+|\.)[A-Za-z0-9-]+)*", re.I)
-_SAID_SIGN = re.compile(r"[ \t]+(at|dot)[ \t]+", re.I)
+_SAID_SIGN = re.compile(r"(?<![ \t])[ \t]+(at|dot)[ \t]+", re.I)
 # cheap tests of the lower-cased text: without a hit the rewriting below can match nothing
 _MAY_SPELL = re.compile(rf"{_DIGIT_WORD}(?:[ \t,-]|[ \t]+(?:dot|point)[ \t]){{1,2}}[ \t,-]*{_DIGIT_WORD}")
 _MAY_BRACKET = re.compile(r"[(\[{<][ \t]*(?:at|@|dot|point|\.)[ \t]*[)\]}>]")
@@ -178,7 +191,7 @@ def deobfuscated(text: str) -> Aligned | None:
     """The text with its disguises undone, or None if it has none."""
     t = first = Aligned(text)
     if _FOREIGN.search(text) and (present := glyphs().keys() & set(text)):
-        t = t.rewrite(re.compile("[" + "".join(map(re.escape, sorted(present))) + "]"), lambda m: glyphs()[m.group()])
+        t = t.translated({c: glyphs()[c] for c in present})
     low = t.text.lower()
     if _MAY_SPELL.search(low):
         spelled = t.rewrite(_SPELLED, _digits)
@@ -206,11 +219,17 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     other = deobfuscated(text)
     if other is None:
         return base, base
-    more = []
-    for kind, a, b in detect(other.text):
-        a, b = other.source(a, b)
-        if not any(k == kind and a < y and x < b for k, x, y in (*base, *more)):
-            more.append((kind, a, b))
+    more: list[Span] = []
+    found = detect(other.text)
+    for kind in KINDS:
+        # spans of one kind are disjoint and in order, on both sides
+        mine = [(a, b) for k, a, b in base if k == kind]
+        starts, reach = [a for a, _ in mine], 0
+        for a, b in (other.source(a, b) for k, a, b in found if k == kind):
+            i = bisect_left(starts, b)
+            if a >= reach and not (i and mine[i - 1][1] > a):
+                more.append((kind, a, b))
+                reach = b
     return base, in_order([*base, *more])
 
 
