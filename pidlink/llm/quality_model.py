@@ -1,29 +1,35 @@
 """Quality by importance resampling over hashed n-grams.
 
 Two bag-of-n-grams models are fitted: one of the target (documents labelled good), one of the
-raw corpus (every document). The importance weight of a document is the log of the ratio of
-its probabilities under the two, brought to a common length: the mean log ratio of its n-grams
-times LENGTH, so that errors of the models do not add up with the length of a text. PRIOR
-n-grams of ratio 1 are counted in, which keep the mean of a few n-grams near 0. Adding Gumbel
-noise to the weights and keeping the k largest keys samples k documents without replacement in
-proportion to the weights.
+raw corpus (every document). A document's ratio is the mean log ratio of its n-grams under the two;
+PRIOR n-grams of ratio 1 are counted in, which keep the mean of a few n-grams near 0. A mean does
+not grow with the length of a text, but its scale is not that of probabilities either: n-grams of
+one text are far from independent. So it is calibrated on labelled documents that the target model
+was not fitted on: a logistic fit turns it into log odds, and those are the log importance weights.
+
+Gumbel noise is added to the weights and the k largest keys stay, which samples k documents
+without replacement in proportion to the weights (the odds). k is the number of documents that
+are more likely good than not, or a stated ``share`` of all documents. Clear documents are far
+above or below the cut whatever their noise; for the doubtful ones the draw decides.
 
 Features are hashed into a fixed number of buckets: byte trigrams, and unigrams and bigrams of
 words in which a word equal to its predecessor is replaced by one marker. Counts of the raw
 corpus cover all documents; each task counts its share into one dense vector, so what is
 shuffled and what the driver gets is bounded by the number of buckets. The target model is
 fitted on three quarters of at most SAMPLE good documents, chosen by hash, one text of each
-(the least, where rows repeat an id); ids of at most
-``2 * SAMPLE`` labelled documents are the only other thing that is broadcast.
+(the least, where rows repeat an id); ids of at most ``2 * SAMPLE`` labelled documents are the only
+other thing that is broadcast, and their ratios the only other thing that is collected.
 
-k is the number of documents whose weight reaches the level that separates the two kinds of
-labelled documents best, where the good ones are those the target model was not fitted on (if
-all or none of the sampled good ones were held out, all serve for both). The k-th largest key, to 1/8192, is found by radix selection over a
-stored table of keys: four counts of at most 2**16 groups; the last id of a tie likewise.
+The logistic fit sees the sampled bad documents and the good ones held out (if all or none of the
+sampled good ones were held out, all serve for both); a small ridge keeps the odds finite where the
+labels are separable. The k-th largest key, to 1/8192, is
+found by radix selection over a stored table of keys: four counts of at most 2**16 groups; the last
+id of a tie likewise.
 
-Defined results: a null or empty text has weight 0; equal keys are ordered by id, and rows
+Defined results: a null or empty text has ratio 0; equal keys are ordered by id, and rows
 that share an id and a key are taken together; labels that are null, or of ids that are not
-there, are not used; without labelled good documents every document is kept.
+there, are not used; without labelled good and bad documents every document is kept, and weights
+are the ratios as they are.
 """
 
 from __future__ import annotations
@@ -44,11 +50,12 @@ BUCKETS = 2 << BITS
 #: Labelled documents of each kind that the target model and the level are fitted on.
 SAMPLE = 4096
 SMOOTH = 1.0
-#: n-grams that every weight is brought to (about 250 words), and n-grams of ratio 1 counted in.
-LENGTH = 2048
+#: n-grams of ratio 1 counted in.
 PRIOR = 50
-#: One in so many sampled good documents is kept for the level.
+#: One in so many sampled good documents is kept for the calibration.
 HELD = 4
+#: Ridge of the logistic fit, on standardised ratios.
+RIDGE = 1e-3
 SEED = "gumbel-1"
 CHUNK_BYTES = 1 << 18
 _SAME = G.U64(0x5A4D)
@@ -88,11 +95,11 @@ def count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                      ["bucket", "raw", "target"])
 
 
-def weights(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
-    """Log importance weight of each text, brought to LENGTH n-grams."""
+def ratios(texts: pa.Array, ratio: np.ndarray) -> np.ndarray:
+    """Mean log ratio of the n-grams of each text."""
     bucket, owner = features(texts)
     total = np.bincount(owner, weights=ratio[bucket], minlength=len(texts))
-    return LENGTH * total / (np.bincount(owner, minlength=len(texts)) + PRIOR)
+    return total / (np.bincount(owner, minlength=len(texts)) + PRIOR)
 
 
 def sampled(labels: DataFrame) -> DataFrame:
@@ -108,7 +115,7 @@ def sampled(labels: DataFrame) -> DataFrame:
 
 
 def labelled(labels: DataFrame) -> DataFrame:
-    """The sampled ids, (l_id, good), without those held out for the level."""
+    """The sampled ids, (l_id, good), without those held out for the calibration."""
     return sampled(labels).where(~F.col("held")).select("l_id", "good")
 
 
@@ -139,46 +146,65 @@ def _fitted(docs: DataFrame, ids: DataFrame) -> np.ndarray | None:
     return out
 
 
-def weight_column(docs: DataFrame, ratio: np.ndarray | None) -> Column:
-    """The weight of each text as a column of ``docs`` (an Arrow function of the text alone)."""
+def ratio_column(docs: DataFrame, ratio: np.ndarray | None) -> Column:
+    """The ratio of each text as a column of ``docs`` (an Arrow function of the text alone)."""
     if ratio is None:
         return F.lit(0.0)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)  # BUCKETS doubles
 
     @F.arrow_udf("double")
-    def weigh(texts: pa.Array) -> pa.Array:
+    def measure(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        got = [weights(b.column("text"), shared.value) for b in pieces([batch], "text", CHUNK_BYTES, 4096)]
+        got = [ratios(b.column("text"), shared.value) for b in pieces([batch], "text", CHUNK_BYTES, 4096)]
         return pa.array(np.concatenate([np.zeros(0), *got]))
 
-    return weigh(docs["text"])
+    return measure(docs["text"])
 
 
-def gumbel(doc_id: Column) -> Column:
+def gumbel(doc_id: Column, seed: str = SEED) -> Column:
     """Standard Gumbel noise, a fixed function of seed and id."""
-    key = F.concat(F.lit(SEED + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
     u = (F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
     return -F.log(-F.log(u))
 
 
-def _level(scored: DataFrame, labels: DataFrame) -> float | None:
-    """The weight that separates the sampled labelled documents best (balanced accuracy). The
-    good ones are those held out, if there are any."""
+def logistic(good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of the log odds of being good, given ratios of both kinds: Newton steps
+    on standardised ratios, halved until the loss falls, with a ridge that keeps the odds of
+    separable labels finite. The slope is at least 0."""
+    x = np.concatenate([np.sort(good), np.sort(bad)])
+    t = np.repeat([1.0, 0.0], [len(good), len(bad)])
+    mean, scale = x.mean(), x.std() or 1.0
+    rows = np.stack([(x - mean) / scale, np.ones(len(x))], axis=1)
+
+    def loss(c: np.ndarray) -> float:
+        z = rows @ c
+        return float(np.sum(np.logaddexp(0, z) - t * z) + RIDGE / 2 * c @ c)
+
+    c = np.zeros(2)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(rows @ c, -500, 500)))
+        hessian = rows.T @ (rows * (p * (1 - p))[:, None]) + RIDGE * np.eye(2)
+        step = np.linalg.solve(hessian, rows.T @ (t - p) - RIDGE * c)
+        while loss(c + step) > loss(c) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        c = c + step
+        if np.abs(step).max() < 1e-9:
+            break
+    slope = max(float(c[0]) / scale, 0.0)
+    return slope, float(c[1] - slope * mean)
+
+
+def calibration(scored: DataFrame, labels: DataFrame) -> tuple[float, float] | None:
+    """``logistic`` of the sampled labelled documents, the good ones being those held out, if there
+    are any; None without both kinds."""
     sample = sampled(labels)
     found = scored.join(F.broadcast(sample), scored["doc_id"] == sample["l_id"])
-    rows = found.groupBy("l_id", "good", "held").agg(F.min("weight").alias("weight")).collect()  # a row per sampled id
+    rows = found.groupBy("l_id", "good", "held").agg(F.min("ratio").alias("ratio")).collect()  # a row per sampled id
     held = any(r.held for r in rows)
-    good = np.sort([r.weight for r in rows if r.good and r.held == held])
-    bad = np.sort([r.weight for r in rows if not r.good])
-    if not len(good) or not len(bad):
-        return None
-    cuts = np.unique(np.concatenate([good, bad]))
-    lost = np.searchsorted(good, cuts, side="left") / len(good)
-    passed = 1 - np.searchsorted(bad, cuts, side="left") / len(bad)
-    cost = lost + passed
-    best = np.flatnonzero(cost == cost.min())[0]
-    below = bad[bad < cuts[best]]
-    return float((cuts[best] + below[-1]) / 2) if len(below) else float(cuts[best])
+    good = np.array([r.ratio for r in rows if r.good and r.held == held])
+    bad = np.array([r.ratio for r in rows if not r.good])
+    return logistic(good, bad) if len(good) and len(bad) else None
 
 
 def _ordered(key: Column) -> Column:
@@ -216,23 +242,42 @@ def kth_smallest_id(rows: DataFrame, k: int) -> int:
     return (1 << 63) - 1 - kth_largest(ids, "turned", k - nulls)
 
 
-def resample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray | None, tuple[int, int | None]]:
-    """The stored scores (doc_id, weight, key, rank_key), the model, and the cut: a document is
-    kept if (rank_key, -doc_id) is at least (cut, -tie), where a tie of None keeps all."""
-    ratio = log_ratio(docs, labels)
-    scored = docs.select("doc_id", weight_column(docs, ratio).alias("weight"))
-    scored = scored.withColumn("key", F.col("weight") + gumbel(F.col("doc_id")))
-    scored = stored(scored.withColumn("rank_key", _ordered(F.col("key"))), "quality")
-    level = _level(scored, labels) if ratio is not None else None
-    if level is None:
-        return scored, ratio, (0, None)
-    k = scored.where(F.col("weight") >= level).count()
+def _weight(ratio: Column, fit: tuple[float, float] | None) -> Column:
+    return ratio if fit is None else ratio * F.lit(fit[0]) + F.lit(fit[1])
+
+
+def _keyed(scored: DataFrame, fit: tuple[float, float] | None, seed: str) -> DataFrame:
+    rows = scored.select("doc_id", _weight(F.col("ratio"), fit).alias("weight"))
+    rows = rows.withColumn("key", F.col("weight") + gumbel(F.col("doc_id"), seed))
+    return rows.withColumn("rank_key", _ordered(F.col("key")))
+
+
+def top_keys(keyed: DataFrame, k: int) -> tuple[int, int | None]:
+    """The cut of the k largest keys of a stored table: a document is among them if (rank_key,
+    -doc_id) is at least (cut, -tie); a tie of None takes all."""
     if not k:
-        return scored, ratio, (1 << 62, None)
-    cut = kth_largest(scored, "rank_key", k)
-    above = scored.where(F.col("rank_key") > cut).count()
-    tied = scored.where(F.col("rank_key") == cut).select("doc_id")
-    return scored, ratio, (cut, kth_smallest_id(tied, k - above))
+        return 1 << 62, None
+    cut = kth_largest(keyed, "rank_key", k)
+    above = keyed.where(F.col("rank_key") > cut).count()
+    tied = keyed.where(F.col("rank_key") == cut).select("doc_id")
+    return cut, kth_smallest_id(tied, k - above)
+
+
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: str = SEED
+             ) -> tuple[DataFrame, tuple[np.ndarray | None, tuple[float, float] | None], tuple[int, int | None]]:
+    """The stored scores (doc_id, weight, key, rank_key), the model (log ratios of buckets, log odds
+    of ratios), and the cut of ``top_keys``."""
+    ratio = log_ratio(docs, labels)
+    scored = stored(docs.select("doc_id", ratio_column(docs, ratio).alias("ratio")), "quality-ratios")
+    fit = calibration(scored, labels) if ratio is not None else None
+    keyed = stored(_keyed(scored, fit, seed), "quality")
+    if fit is None:
+        return keyed, (ratio, fit), (0, None)
+    if share is None:
+        k = keyed.where(F.col("weight") >= 0).count()
+    else:
+        k = round(share * keyed.count())
+    return keyed, (ratio, fit), top_keys(keyed, k)
 
 
 def _kept(rank_key: Column, doc_id: Column, cut: int, last: int | None) -> Column:
@@ -240,18 +285,18 @@ def _kept(rank_key: Column, doc_id: Column, cut: int, last: int | None) -> Colum
     return (rank_key > F.lit(cut)) | ((rank_key == F.lit(cut)) & tie)
 
 
-def quality_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_rows(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: str = SEED) -> DataFrame:
     """One row per document: doc_id, weight, key, kept."""
-    scored, _, cut = resample(docs, labels)
+    scored, _, cut = resample(docs, labels, share, seed)
     return scored.select("doc_id", "weight", "key", _kept(F.col("rank_key"), F.col("doc_id"), *cut).alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: str = SEED) -> DataFrame:
     """The documents that the resampling keeps, all columns unchanged. The key of a document
     is a function of its id and text, so it is computed again where the document is; the texts
     do not move."""
-    _, ratio, cut = resample(docs, labels)
-    name = unused(docs, "_weight")
-    out = docs.withColumn(name, weight_column(docs, ratio))
-    key = _ordered(F.col(name) + gumbel(docs["doc_id"]))
+    _, (ratio, fit), cut = resample(docs, labels, share, seed)
+    name = unused(docs, "_ratio")
+    out = docs.withColumn(name, ratio_column(docs, ratio))
+    key = _ordered(_weight(F.col(name), fit) + gumbel(docs["doc_id"], seed))
     return out.where(_kept(key, docs["doc_id"], *cut)).drop(name)

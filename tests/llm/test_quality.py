@@ -88,7 +88,7 @@ def test_resampling_keeps_good_and_drops_bad(make_docs, spark):
     got = quality_model.quality_rows(docs, lab).collect()
     assert len(got) == len(rows) + 4
     assert all(r.kept == (r.doc_id % 5 != 0) for r in got if r.doc_id is not None and r.doc_id < 5000)
-    assert {r.weight for r in got if r.doc_id in (5000, 5001)} == {0.0}
+    assert len({r.weight for r in got if r.doc_id in (5000, 5001)}) == 1  # both have ratio 0
     kept = quality_model.keep_good(docs, lab)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.kept)
@@ -96,6 +96,56 @@ def test_resampling_keeps_good_and_drops_bad(make_docs, spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def doubtful(n=500):
+    """Documents with every share of junk words, from none to all."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        share = i / n
+        rows.append((i, " ".join(rng.choice(vocabulary) + ("$$$" if rng.random() < share else "") for _ in range(60))))
+        labels.append((i, int(rng.random() > share), 0))
+    return rows, labels
+
+
+def test_draw_is_gumbel_top_k_and_follows_the_weights(spark, make_docs):
+    """Verdicts of two seeds by brute force; over 20 seeds, documents of greater weight stay more
+    often, and many verdicts differ from a plain threshold."""
+    rows, labels = doubtful()
+    docs, lab = make_docs(rows), spark.createDataFrame(labels, LABELS)
+    seeds = [f"s{i}" for i in range(20)]
+    got = {s: {r.doc_id: r for r in quality_model.quality_rows(docs, lab, share=0.5, seed=s).collect()} for s in seeds[:2]}
+    weight = {i: r.weight for i, r in got["s0"].items()}
+    noise = {r.doc_id: r for r in docs.select("doc_id", *(quality_model.gumbel(F.col("doc_id"), s).alias(s) for s in seeds)).collect()}
+    kept = {}
+    for s in seeds:
+        order = sorted(weight, key=lambda i: (-round((weight[i] + noise[i][s]) * 8192), i))
+        kept[s] = set(order[:250])
+    for s in seeds[:2]:
+        assert {i for i, r in got[s].items() if r.kept} == kept[s]
+        assert all(abs(r.key - weight[i] - noise[i][s]) < 1e-9 for i, r in got[s].items())
+    ranked = sorted(weight, key=weight.get)
+    often = [sum(i in kept[s] for s in seeds for i in ranked[j:j + 50]) / 1000 for j in range(0, 500, 50)]
+    assert often[0] < 0.2 < 0.8 < often[-1] and sum(a <= b + 0.03 for a, b in zip(often, often[1:])) == 9
+    plain = set(ranked[250:])
+    assert 0.05 < sum(len(plain ^ kept[s]) for s in seeds) / (20 * 500) < 0.5
+    values = [v for r in noise.values() for v in list(r.asDict().values())[1:]]
+    assert abs(np.mean(values) - 0.5772) < 0.05 and abs(np.std(values) - 1.2825) < 0.05
+
+
+def test_logistic_fit():
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 0.3, 4000)
+    y = rng.random(4000) < 1 / (1 + np.exp(-(6 * x + 1)))
+    slope, level = quality_model.logistic(x[y], x[~y])
+    assert abs(slope - 6) < 0.6 and abs(level - 1) < 0.15
+    slope, level = quality_model.logistic(np.array([1.0, 1.1, 1.2]), np.array([-1.0, -1.2]))  # separable: finite all the same
+    assert 0 < slope * 1.1 + level < 20 and -20 < slope * -1.1 + level < 0
+    assert quality_model.logistic(np.zeros(4), np.ones(4))[0] == 0  # no slope against the labels
+    a, b = quality_model.logistic(np.array([0.5]), np.array([0.5]))
+    assert np.isfinite([a, b]).all()
+
+
 def test_long_clean_documents_stay_where_labels_are_few(spark):
     sf = "/root/testdata/sf0.01"
     docs, lab = documents(spark, sf), labels_of(spark, sf)
@@ -135,8 +185,9 @@ def test_rows_that_repeat_an_id_count_once_in_model_and_level(make_docs, spark,
     assert np.allclose(plain[0], counts[0]) and np.allclose(plain[2], counts[2])  # the target's shares
     monkeypatch.undo()
     bad = min(i for i, q, _ in labels if q == 0)
-    scored = spark.createDataFrame([(i, float(q)) for i, q, _ in labels] + [(bad, 2.0)] * 500, "doc_id long, weight double")
-    assert quality_model._level(scored, lab) == 0.5
+    once = [(i, float(q) + i / 1000) for i, q, _ in labels]
+    scored = [spark.createDataFrame(x, "doc_id long, ratio double") for x in (once, once + [(bad, 2.0)] * 500)]
+    assert quality_model.calibration(scored[0], lab) == quality_model.calibration(scored[1], lab)
 
 
 def test_resampling_weights_match_brute_force(make_docs, spark):
