@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -86,6 +87,74 @@ def test_pivot_coordinates_never_exceed_the_distance():
     assert (gap <= np.bitwise_count(x ^ y)).all()
 
 
+def test_packed_tables_sort_by_coordinates():
+    table = near_dedup.pivot_table(np.random.default_rng(1).integers(0, 1 << 64, 300, dtype=np.uint64))
+    p1, p2 = near_dedup.packed(table)
+    assert (near_dedup.unpacked(p1, p2) == table).all()
+    order = sorted(range(300), key=lambda i: (p1[i], p2[i]))
+    assert [tuple(table[i]) for i in order] == sorted(map(tuple, table))
+
+
+def groups(edges):
+    """Connected groups of at least two."""
+    root = {}
+
+    def find(n):
+        while root.setdefault(n, n) != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    found = {}
+    for n in root:
+        found.setdefault(find(n), set()).add(n)
+    return sorted(map(sorted, found.values()))
+
+
+def hot_key(spark, n, clusters, seed=3):
+    """n fingerprints that agree on three blocks, some of them within three bits of another."""
+    rng = np.random.default_rng(seed)
+    free = np.uint64((1 << 32) - 1)
+    base = rng.integers(0, 1 << 64, n - clusters, dtype=np.uint64) & free
+    near = base[:clusters] ^ (np.uint64(1) << rng.integers(0, 30, clusters, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 30, clusters, dtype=np.uint64))
+    fps = np.unique(np.concatenate([base, near])) | np.uint64(0xABCDEF01 << 32)
+    rows = spark.createDataFrame([(int(x), i) for i, x in enumerate(fps.view(np.int64))], "fp long, doc_id long")
+    return fps, near_dedup.classes_of(rows.repartition(4))
+
+
+def test_tiles_give_the_links_of_one_group(spark):
+    fps, classes = hot_key(spark, 700, 150)
+    want = {frozenset((int(x), int(y))) for i, x in enumerate(fps.view(np.int64)) for j, y in enumerate(fps.view(np.int64))
+            if i < j and bin(int(fps[i]) ^ int(fps[j])).count("1") <= 3}
+    roots = component_ids(sorted(int(x) for x in fps.view(np.int64)), lambda a, b: frozenset((a, b)) in want)
+    for tile in (16, 100, 1024):
+        found = near_dedup.links(classes, tile=tile).collect()
+        linked = {frozenset((r.a, r.b)) for r in found}
+        assert component_ids(sorted(roots), lambda a, b, linked=linked: frozenset((a, b)) in linked) == roots
+        count = near_dedup.pair_counts(classes, tile=tile).first()
+        assert count.met == count.discarded + count.verified and len(want) <= count.verified < 0.5 * count.met
+    assert near_dedup.pair_counts(classes, tile=16).first().met < 20 * 700 * 699 // 2  # far tiles never meet
+
+
+def test_hot_key_of_20000_members(spark):
+    """20,000 fingerprints under one key (and, in part, under others): seconds, and tile pairs over many tasks."""
+    fps, classes = hot_key(spark, 20_000, 500)
+    kept = near_dedup.stored(classes, "hot")
+    t0 = time.time()
+    linked = near_dedup.links(kept).distinct().collect()
+    assert time.time() - t0 < 120
+    close = []
+    for i in range(0, len(fps), 500):
+        a, b = np.nonzero(np.bitwise_count(fps[i:i + 500, None] ^ fps) <= 3)
+        close += [(int(fps[i + x].view(np.int64)), int(fps[y].view(np.int64))) for x, y in zip(a, b) if i + x < y]
+    assert len(close) >= 400
+    assert groups((r.a, r.b) for r in linked) == groups(close)
+    plan = near_dedup.links(kept)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "o_tile" in plan[plan.index("REPARTITION_BY_COL") - 200:plan.index("REPARTITION_BY_COL")]
+
+
 def test_connected_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 101), (105, 100), (300, 200), (300, 200)]
     star = [(1000, k) for k in range(1001, 1100)]
