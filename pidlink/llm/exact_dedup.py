@@ -1,16 +1,18 @@
 """Exact duplicates by progressive refinement: length, then prefix hash, then full hash.
 
-Scan 1 keeps only the byte length and a hash of the first bytes of each text. Lengths held
-by one row end there; the others are grouped by (length, prefix hash). The groups that
-survive are marked in a table of at most ``BUCKETS`` hash buckets, the only thing that is
-broadcast. Scan 2 reads the full content of the rows whose bucket is marked and takes its
+Scan 1 keeps only the byte length and a hash of the first bytes of each text and counts rows per
+(length, prefix hash), pre-aggregated; rows of equal length that differ in the prefix fall into
+different counts, so the two steps take one shuffle and no length is a task of its own. The
+groups of two and more are marked in a table of at most ``BUCKETS`` hash buckets, the only thing that
+is broadcast. Scan 2 reads the full content of the rows whose bucket is marked and takes its
 SHA-256; all other rows are known to be unique. A bucket that two groups share only makes a
 unique row pay for its SHA-256, it never changes a result. Texts do not move: every shuffle
 holds ids, lengths and hashes, and every group is pre-aggregated before it.
 
 Defined results: a null text is the empty text; a null id is smaller than any other; rows
-equal in id and text are one group, of which exactly one row is kept; other columns are
-neither read nor compared. An empty table gives an empty result.
+equal in id and text are one group, of which exactly one row is kept (``drop_exact`` keeps the one
+whose other columns, as JSON, come first); other columns are neither read nor compared. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,19 +36,32 @@ def _bucket() -> Column:
     return F.pmod(F.xxhash64("_len", "_prefix"), F.lit(BUCKETS))
 
 
+def _cheap_keys(text: Column) -> list[Column]:
+    return [F.octet_length(text).alias("_len"), F.xxhash64(F.substring(text, 1, PREFIX)).alias("_prefix")]
+
+
+def prefix_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows per length and prefix hash: _len, _prefix, _n."""
+    return docs.select(*_cheap_keys(content(F.col(text_col)))).groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def refinement(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row: how many of the ``rows`` share their length with another row, and how many also
+    share their prefix hash, which are those whose full content is read."""
+    groups = prefix_groups(docs, text_col)
+    lengths = groups.groupBy("_len").agg(F.sum("_n").alias("_all"), F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("_same"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return lengths.agg(total("_all").alias("rows"), total(F.when(F.col("_all") > 1, F.col("_all"))).alias("same_length"),
+                       total("_same").alias("same_prefix"))
+
+
 def content_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
     """One stored row per document: _id, _row (a row number of the stored table) and _full,
     the SHA-256 of its text, or null where no other document can hold the same text.
     ``more`` are further columns of the stored row, computed from _text in scan 2."""
     text = content(F.col(text_col))
-    cheap = docs.select(
-        F.col(id_col).alias("_id"), text.alias("_text"),
-        F.octet_length(text).alias("_len"), F.xxhash64(F.substring(text, 1, PREFIX)).alias("_prefix"))
-    keys = cheap.select("_len", "_prefix")
-    by_length = keys.groupBy("_len").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_len")
-    by_prefix = (
-        keys.join(by_length, "_len", "left_semi")
-        .groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    cheap = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), *_cheap_keys(text))
+    by_prefix = prefix_groups(docs, text_col).where("_n > 1")
     marked = by_prefix.select(_bucket().alias("_b")).distinct()
     rows = cheap.withColumn("_b", _bucket()).join(F.broadcast(marked.withColumn("_hit", F.lit(True))), "_b", "left")
     full = F.when(F.col("_hit"), F.unhex(F.sha2(F.encode("_text", "UTF-8"), 256)))
@@ -97,8 +112,11 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     repeated = marked.where(F.col("_stays") & (F.col("_copies") > 1)).select("_id", "_full")
     if repeated.isEmpty():
-        return left.join(gone.hint("shuffle_hash"), on(gone), "left_anti").drop(digest)
-    thinned = left.join(repeated, on(repeated), "left_semi").dropDuplicates([id_col, digest])
+        return left.join(gone, on(gone), "left_anti").drop(digest)
+    # the least of the rows by their other columns, so that every run keeps the same one
+    row = F.struct(*(left[c] for c in docs.columns))
+    thinned = (left.join(repeated, on(repeated), "left_semi").groupBy(id_col, digest)
+               .agg(F.min_by(row, F.to_json(F.struct(*(left[c] for c in docs.columns if c != text_col)))).alias("_row")))
     out = gone.unionByName(repeated)
-    rest = left.join(out.hint("shuffle_hash"), on(out), "left_anti")
-    return rest.unionByName(thinned).drop(digest)
+    rest = left.join(out, on(out), "left_anti").drop(digest)
+    return rest.unionByName(thinned.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns)))
