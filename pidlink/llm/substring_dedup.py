@@ -186,7 +186,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy("id", "rid")
         .agg(F.collect_set(F.struct("key", salt.alias("salt"), (F.col("salts") > 1).alias("salted"), "start", "n"))
              .alias("runs")))
-    wanted = texts.join(per_doc.hint("shuffle_hash"), ["id", "rid"])
+    wanted = texts.join(per_doc, ["id", "rid"])
     hashed = wanted.select("id", "rid", "text", "runs").mapInArrow(
         partial(hash_batches, window=window),
         "key long, salt int, id long, rid long, start int, hashes array<long>, salted boolean")
@@ -232,10 +232,10 @@ def cut_batches(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.R
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: doc_id, n_words, removed (maximal intervals of word numbers, end
     exclusive) and kept, the remaining words joined by one space. The texts meet their spans
-    by id; only the side of the spans is built into a hash table."""
+    by id."""
     spans = repeated_spans(docs, window).withColumnsRenamed({"id": "s_id", "rid": "s_rid"})
     texts = docs.select("doc_id", "text", F.col("doc_id").cast("long").alias("id"), _rid().alias("rid"))
-    joined = texts.join(spans.hint("shuffle_hash"), (F.col("id") == F.col("s_id")) & (F.col("rid") == F.col("s_rid")), "left")
+    joined = texts.join(spans, (F.col("id") == F.col("s_id")) & (F.col("rid") == F.col("s_rid")), "left")
     schema = docs.select("doc_id").schema.add("n_words", "long")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     return joined.select("doc_id", "text", "spans").mapInArrow(
