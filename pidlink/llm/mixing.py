@@ -27,6 +27,8 @@ from pidlink.llm.common import n_words, stored, unused
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix-1"
+#: Sources that a mix may have: their table is ordered in one task and broadcast. More are an error.
+MAX_SOURCES = 1 << 18
 #: Sums of draws are kept for 2**BUCKET_BITS ranges per source.
 BUCKET_BITS = 16
 
@@ -50,6 +52,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     # while clamping is due and falls afterwards, so its maximum is the feasible level
     level = ((F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
              / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0))))
+    few = F.count(F.lit(1)).over(everything) <= MAX_SOURCES
+    level = F.when(few, level).otherwise(F.raise_error(F.lit(f"a mix of more than {MAX_SOURCES} sources")).cast("double"))
     per = per.withColumn("level", level).withColumn("level", F.max("level").over(everything))
     per = per.withColumn("target", F.least(F.col("cap").cast("double"), F.col("level") * F.col("w")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -110,20 +114,19 @@ def mixed_sizes(docs: DataFrame) -> DataFrame:
     sized = stored(sizes_of(docs), "mix-sizes")
     per = repetitions(sized).withColumnRenamed("source", "m_source")
     times = F.col("whole") + (F.col("draw") <= F.col("last_draw")).cast("long")
-    return sized.join(per, sized["source"].eqNullSafe(per["m_source"])).select(
+    return sized.join(F.broadcast(per), sized["source"].eqNullSafe(per["m_source"])).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: the documents, each repeated as often as the mix takes it.
 
-    The table of sources is joined map-side (Spark broadcasts it by its stored size), so the
-    texts do not move.
+    The table of sources, of at most MAX_SOURCES rows, is broadcast, so the texts do not move.
     """
     sized = stored(sizes_of(docs), "mix-sizes")
     src, times = unused(docs, "_mix_source"), unused(docs, "_mix_times")
     per = repetitions(sized).select(F.col("source").alias(src), "whole", "last_draw")
     n = per["whole"] + (draw(docs["doc_id"]) <= per["last_draw"]).cast("long")
-    out = docs.join(per, docs["source"].eqNullSafe(per[src])).select(*[docs[c] for c in docs.columns], n.alias(times))
+    out = docs.join(F.broadcast(per), docs["source"].eqNullSafe(per[src])).select(*[docs[c] for c in docs.columns], n.alias(times))
     return out.where(F.col(times) > 0).withColumn(
         times, F.explode(F.array_repeat(F.lit(1), F.col(times).cast("int")))).drop(times)

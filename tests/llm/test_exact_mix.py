@@ -110,3 +110,30 @@ def test_mix_clashing_columns(make_docs):
 def test_mix_empty(make_docs):
     assert mixing.mixed_sizes(make_docs([])).count() == 0
     assert mixing.mix(make_docs([])).count() == 0
+
+
+def test_rows_equal_in_id_and_text_are_thinned_to_the_same_row(make_docs):
+    """Whatever the order and partitioning of the rows."""
+    rows = [(1, "a", "en", f"s{i}", i) for i in range(9)] + [(2, "a", "de", "s", None), (2, "a", None, "s", 3), (3, "b", "en", "x", 1)]
+    seen = set()
+    for parts in (1, 2, 5):
+        for order in (rows, rows[::-1]):
+            seen.add(str(sorted(map(str, exact_dedup.drop_exact(make_docs(order, parts=parts)).collect()))))
+    assert len(seen) == 1 and seen.pop().count("Row") == 2
+
+
+def test_refinement_counts(make_docs):
+    long = "w " * 20_000
+    rows = [(1, "ab"), (2, "ab"), (3, "cd"), (4, "xyz"), (5, None), (6, ""), (7, long), (8, long + "é"), (9, long + "zz"), (10, "q" * 70 + "1"), (11, "q" * 70 + "2")]
+    assert exact_dedup.refinement(make_docs(rows)).first().asDict() == {"rows": 11, "same_length": 9, "same_prefix": 8}
+    assert exact_dedup.refinement(make_docs([])).first().asDict() == {"rows": 0, "same_length": 0, "same_prefix": 0}
+    got = {r.doc_id: r.group_size for r in exact_dedup.exact_groups(make_docs(rows)).collect()}
+    assert got == {1: 2, 2: 2, 3: 1, 4: 1, 5: 2, 6: 2, 7: 1, 8: 1, 9: 1, 10: 1, 11: 1}
+
+
+def test_too_many_sources_are_an_error(make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    few = [(i, "a b", "en", f"s{i % 3}") for i in range(9)]
+    assert mixing.mixed_sizes(make_docs(few)).count() == 9
+    with pytest.raises(Exception, match="more than 3 sources"):
+        mixing.mixed_sizes(make_docs([*few, (9, "a", "en", "s3")])).collect()
