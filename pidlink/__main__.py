@@ -3,6 +3,7 @@
     python -m pidlink mapping --meta META.zip --works WORKS_DIR --sources SOURCES_DIR --out OUT
     python -m pidlink categorise --multi-mapped DIR --works WORKS_DIR --sources SOURCES_DIR --out OUT
     python -m pidlink analysis --multi-mapped DIR --works WORKS_DIR --sources SOURCES_DIR --out OUT
+    python -m pidlink inverted --mapped DIR --out OUT
     python -m pidlink provenance --rdf RDF.zip --primary-ents DIR --non-mapped DIR --out OUT
 
 Paths may be any file system Spark can read (zip archives: a path mounted on every host); ``spark.checkpoint.dir`` must name a shared
@@ -38,6 +39,9 @@ def main(argv: list[str] | None = None) -> dict:
         c.add_argument("--works", required=True)
         c.add_argument("--sources", required=True)
         c.add_argument("--out", required=True)
+    i = sub.add_parser("inverted", help="1:1 pairs whose OpenAlex record several Meta records reach")
+    i.add_argument("--mapped", required=True)
+    i.add_argument("--out", required=True)
     v = sub.add_parser("provenance", help="provenance of unmapped records")
     v.add_argument("--rdf", required=True)
     v.add_argument("--primary-ents", required=True)
@@ -52,6 +56,8 @@ def main(argv: list[str] | None = None) -> dict:
                                rebuild_index=a.rebuild_index, single_file=a.single_file)
     elif a.job == "analysis":
         out = jobs.run_analysis_tables(spark, a.multi_mapped, a.works, a.sources, a.out)
+    elif a.job == "inverted":
+        out = jobs.run_inverted(spark, a.mapped, a.out)
     elif a.job == "categorise":
         out = jobs.run_categorisation(spark, a.multi_mapped, a.works, a.sources, a.out)
     else:

@@ -7,7 +7,7 @@ record has no PID. All narrow (``explode`` of a per-row array); no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -167,14 +167,48 @@ def pid_index(work_pid_table: DataFrame, source_pid_table: DataFrame) -> DataFra
         _tagged(source_pid_table, "source", by_entity["source"]))
 
 
-def write_pid_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Persist the index partitioned by lookup table (a lookup then reads one partition).
+#: Bits of the Bloom filter of a row group are sized for so many distinct PIDs.
+BLOOM_PIDS = 1_000_000
+#: A look-up of at most so many PIDs is pushed into the scan of a stored index.
+PUSHED_PIDS = 2_000
 
-    Rows are spread over the writing tasks by their PID, so that no task holds one lookup
-    table; a folder gets at most one file per task.
-    ``mode='errorifexists'`` mirrors the refusal to rebuild an existing table.
+
+def write_pid_index(index: DataFrame, path: str, mode: str = "errorifexists", row_group_bytes: int = 32 << 20) -> None:
+    """Persist the index partitioned by lookup table (a lookup then reads one partition), so that a
+    small look-up reads few of its row groups.
+
+    Rows are dealt to the writing tasks by ranges of (table, PID, OpenAlex id): no task holds a
+    lookup table, nor all rows of a PID that very many records share. Inside a file they are
+    sorted by PID, so the row groups of a table have disjoint PID ranges, and each row group has a
+    Bloom filter of its PIDs. ``mode='errorifexists'`` mirrors the refusal to rebuild an existing table.
+    """
+    order = ["table_name", "supported_id", "openalex_id"]
+    spread = index.repartitionByRange(*order).sortWithinPartitions(*order)
+    (spread.write.mode(mode).partitionBy("table_name")
+     .option("parquet.block.size", row_group_bytes)
+     .option("parquet.bloom.filter.enabled#supported_id", "true")
+     .option("parquet.bloom.filter.expected.ndv#supported_id", BLOOM_PIDS)
+     .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path))
+
+
+def index_of_pids(spark: SparkSession, path: str, pids: DataFrame) -> DataFrame:
+    """The rows of a stored index whose PID is in ``pids`` (one column, repeats allowed).
+
+    The PIDs of a small batch, at most PUSHED_PIDS, are counted first and go into the scan as a
+    filter on the PID and on the tables they can stand in: Parquet then skips the row groups whose
+    range or Bloom filter excludes all of them. More PIDs are a semi join.
     """
-    index.repartition("supported_id").write.mode(mode).partitionBy("table_name").parquet(path)
+    wanted = pids.select(F.col(pids.columns[0]).alias("pid")).where(F.col("pid").isNotNull()).distinct()
+    few = [r.pid for r in wanted.limit(PUSHED_PIDS + 1).collect()]
+    # a session of its own: the filter goes down as single values, not as the range around them
+    session = spark.newSession() if len(few) <= PUSHED_PIDS else spark
+    index = session.read.parquet(path)
+    if len(few) > PUSHED_PIDS:
+        return index.join(wanted, F.col("supported_id") == F.col("pid"), "left_semi")
+    session.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(PUSHED_PIDS))
+    schemes = {p.split(":", 1)[0] for p in few}
+    tables = [index_table_name(entity, t) for entity, t in K.INDEX_TABLES if t in schemes]
+    return index.where(F.col("table_name").isin(tables) & F.col("supported_id").isin(few))
 
 
 def write_bucketed_index(index: DataFrame, table: str, buckets: int, mode: str = "errorifexists") -> None:

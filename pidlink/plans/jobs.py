@@ -276,6 +276,18 @@ def run_provenance(spark, br_rdf_zip: str, primary_ents_dir: str, non_mapped_dir
     return paths | _write_rejected(spark, {"dropped_graphs": PV.dropped_graphs(graphs)}, {}, out_dir)
 
 
+def run_inverted(spark, mapped_dir: str, out_dir: str, rows_per_file: int = 10_000) -> dict[str, str]:
+    """1:1 CSV folder of a mapping -> ``inverted`` (CSV): the pairs whose OpenAlex record is reached
+    by more than one Meta record."""
+    from pidlink.operators import stats as S
+    from pidlink.sources import readers as R
+    from pidlink.sources import sinks as W
+
+    pairs = S.inverted_multi_mapped(R.read_csv_tables(spark, mapped_dir, columns=("omid", "openalex_id")))
+    W.write_csv(pairs, f"{out_dir}/inverted", rows_per_file)
+    return {"inverted": f"{out_dir}/inverted"}
+
+
 def run_analysis_tables(spark, multi_mapped_dir: str, works_dir: str, sources_dir: str, out_dir: str,
                         mode: str = "errorifexists") -> dict[str, str]:
     """Multi-mapped table + OpenAlex dumps -> the analysis database as Parquet folders: the

@@ -54,6 +54,16 @@ o_ven AS (SELECT DISTINCT omid, ids FROM (
     SELECT {_omid_of('t')} AS omid, {_ids_of('t')} AS ids
     FROM (SELECT {_tokens('inner_')} AS t FROM o_vinner WHERE inner_ IS NOT NULL)) WHERE ids <> '')"""
 
+RESPONSIBLE = f""",
+o_raw AS (
+  SELECT 'author' AS ra_role, unnest(string_split(author, '; ')) AS e FROM fx_meta WHERE author IS NOT NULL AND author <> ''
+  UNION ALL SELECT 'publisher', publisher FROM fx_meta WHERE publisher IS NOT NULL AND publisher <> ''
+  UNION ALL SELECT 'editor', unnest(string_split(editor, '; ')) FROM fx_meta WHERE editor IS NOT NULL AND editor <> ''),
+o_rai AS (SELECT ra_role, {_bracket('e')} AS inner_ FROM o_raw),
+o_rat AS (SELECT ra_role, {_tokens('inner_')} AS t FROM o_rai WHERE inner_ IS NOT NULL),
+o_ra AS (SELECT DISTINCT omid, ids, ra_role FROM (SELECT {_omid_of('t')} AS omid, {_ids_of('t')} AS ids, ra_role FROM o_rat)
+         WHERE ids <> '')"""
+
 OA_ID = _strip("id", K.OPENALEX_URI)
 
 INDEX = f""",
@@ -103,6 +113,10 @@ def _map_block(name: str, src: str, key: str, cols: str) -> str:
 
 MAPPING = META + INDEX + _map_block("o_map", "o_ents", "k", "omid, type, has_oa")
 
+INVERTED = MAPPING + """ SELECT omid, openalex_id FROM (
+  SELECT omid, openalex_id, count(*) OVER (PARTITION BY openalex_id) AS c FROM o_map WHERE outcome = 'mapped')
+WHERE c > 1"""
+
 MM = MAPPING + """,
 o_mm AS (SELECT k, omid, openalex_id, type, string_split(openalex_id, ' ') AS ids FROM o_map
          WHERE outcome = 'multi_mapped')"""
@@ -206,15 +220,11 @@ SQL: dict[str, str] = {
     "meta_primary_entities": META + " SELECT omid, ids, type FROM o_ents",
     "meta_primary_entities_new_only": META + " SELECT omid, ids, type FROM o_ents WHERE NOT has_oa",
     "meta_venues": META + " SELECT omid, ids FROM o_ven",
-    "meta_responsible_agents": f""",
-o_raw AS (
-  SELECT 'author' AS ra_role, unnest(string_split(author, '; ')) AS e FROM fx_meta WHERE author IS NOT NULL AND author <> ''
-  UNION ALL SELECT 'publisher', publisher FROM fx_meta WHERE publisher IS NOT NULL AND publisher <> ''
-  UNION ALL SELECT 'editor', unnest(string_split(editor, '; ')) FROM fx_meta WHERE editor IS NOT NULL AND editor <> ''),
-o_rai AS (SELECT ra_role, {_bracket('e')} AS inner_ FROM o_raw),
-o_rat AS (SELECT ra_role, {_tokens('inner_')} AS t FROM o_rai WHERE inner_ IS NOT NULL)
-SELECT DISTINCT omid, ids, ra_role FROM (SELECT {_omid_of('t')} AS omid, {_ids_of('t')} AS ids, ra_role FROM o_rat)
-WHERE ids <> ''""",
+    "meta_responsible_agents": RESPONSIBLE + " SELECT omid, ids, ra_role FROM o_ra",
+    "meta_reduced_tables": META + RESPONSIBLE + """
+SELECT 'primary_ents' AS table_name, omid, ids, type AS kind FROM o_ents
+UNION ALL SELECT 'venues', omid, ids, NULL FROM o_ven
+UNION ALL SELECT 'resp_ags', omid, ids, ra_role FROM o_ra""",
     "meta_unparsable_agents": f""",
 o_raw AS (
   SELECT 'author' AS ra_role, unnest(string_split(author, '; ')) AS e FROM fx_meta WHERE author IS NOT NULL AND author <> ''
@@ -334,6 +344,15 @@ UNION ALL SELECT 'malformed', count(*)::BIGINT, 0::BIGINT FROM fx_sources WHERE
     "io_counts_document": """ SELECT 'works' AS entity, type, version AS category, count(*)::BIGINT AS n FROM fx_works
 GROUP BY type, version""",
     "io_append_upsert": " SELECT id, CASE WHEN version = 'submittedVersion' THEN 'second' ELSE type END AS type FROM fx_works",
+    "io_partial_upsert": " SELECT id, CASE WHEN version = 'submittedVersion' THEN 'second' ELSE type END AS type FROM fx_works",
+    "io_single_csv": MM + " SELECT omid, openalex_id, type, 1::BIGINT AS n_files FROM o_mm",
+    "io_inverted_pairs": INVERTED,
+    "io_matching_records": MM + f""",
+o_lines AS (SELECT count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE ends_with(id, '7'))::BIGINT AS n_malformed FROM fx_works)
+SELECT id, doi, type, n_lines, n_malformed FROM fx_works, o_lines
+WHERE NOT ends_with(id, '7') AND {OA_ID} IN (SELECT u FROM (SELECT unnest(ids) AS u FROM o_mm) WHERE starts_with(u, 'W'))""",
+    "pid_index_lookup": META + INDEX + f""" SELECT table_name, supported_id, openalex_id FROM o_idx
+WHERE supported_id IN (SELECT p FROM (SELECT unnest({_lookup('t2')}) AS p FROM (SELECT {_tokens('ids')} AS t2 FROM o_ents)) WHERE starts_with(p, 'issn:'))""",
     "io_create_once": " SELECT id, type, true AS refused FROM fx_works",
     # ---------------------------------------------------------- statistics
     "mm_composition": MMSTATS + """ SELECT omid, openalex_id,
@@ -360,9 +379,7 @@ FROM (SELECT oaid_count, composition, CASE WHEN type IS NULL OR type = '' THEN '
     "mm_api_urls": MM + f""" SELECT {_q(K.META_API)} || omid AS omid,
   array_to_string(list_transform(regexp_split_to_array(trim(openalex_id), '\\s+'),
                                  lambda x: {_q(K.OPENALEX_API)} || x), ' ') AS openalex_id, type FROM o_mm""",
-    "inverted_multi_mapped": MAPPING + """ SELECT omid, openalex_id FROM (
-  SELECT omid, openalex_id, count(*) OVER (PARTITION BY openalex_id) AS c FROM o_map WHERE outcome = 'mapped')
-WHERE c > 1""",
+    "inverted_multi_mapped": INVERTED,
     "venue_row_overlap": META + f""",
 o_vo AS (SELECT DISTINCT u AS omid FROM (
   SELECT unnest(list_filter({_tokens('inner_')}, lambda x: starts_with(x, 'omid:'))) AS u

@@ -24,9 +24,11 @@ from pidlink.operators import stats as S
 from pidlink.plans import adapters as A
 from pidlink.plans import jobs as J
 from pidlink.session import checkpoint_dir
+from pidlink.sources import dumps as D
 from pidlink.sources import readers as R
 from pidlink.sources import schemas as SC
 from pidlink.sources import sinks as W
+from pidlink.sources.keyed import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -392,6 +394,62 @@ def io_append_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return W.upsert(spark.read.parquet(path), incoming, ["id"], "seq").select("id", "type")
 
 
+def io_partial_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A keyed table of which an update rewrites only the touched buckets."""
+    works, path = A.work_records(spark, sf), _folder(spark, "keyed")
+    table = KeyedTable.create(works.select("id", "type", F.lit(0).alias("seq")), path, ["id"], ["seq"], buckets=16)
+    newer = works.where("primary_location.version = 'submittedVersion'")
+    table.update(newer.select("id", F.lit("first").alias("type"), F.lit(1).alias("seq")).unionByName(
+        newer.select("id", F.lit("second").alias("type"), F.lit(2).alias("seq"))), ["seq"])
+    return table.read().select("id", "type")
+
+
+def io_single_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The multi-mapped table as one CSV file, read back with the number of its files."""
+    path = _folder(spark, "single")
+    W.write_single_csv(_multi(spark, sf), path)
+    n = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").count()
+    return R.read_csv_tables(spark, path).select("omid", "openalex_id", "type", F.lit(n).cast("bigint").alias("n_files"))
+
+
+def io_inverted_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The 1:1 table as rolled CSV, the job that inverts it, and its CSV read back."""
+    path = _folder(spark, "inverted")
+    W.write_csv(_mapping(spark, sf).mapped(), f"{path}/mapped", rows_per_file=5000)
+    return R.read_csv_tables(spark, J.run_inverted(spark, f"{path}/mapped", path)["inverted"]).select("omid", "openalex_id")
+
+
+def io_matching_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A gz dump of Work records, some lines cut off: the records of multi-mapped ids, parsed after
+    the join with them, and the numbers of lines read and rejected."""
+    path, works = _folder(spark, "dump"), A.work_records(spark, sf)
+    line = F.to_json(F.struct("id", "type", "doi", "ids"))
+    works.select(F.when(F.col("id").endswith("7"), F.substring(line, 1, 20)).otherwise(line).alias("value")).write.option(
+        "compression", "gzip").text(f"{path}/gz")
+    ids = FL.mm_oaids(_multi(spark, sf)).where(F.col("entity") == "works").select("openalex_id")
+    kept = D.keep_matching(spark, f"{path}/gz", SC.work_schema(), ids, f"{path}/kept")
+    counts = [F.lit(kept.counts[c]).cast("bigint").alias(f"n_{c}") for c in ("lines", "malformed")]
+    return kept.records.select("id", "doi", "type", *counts)
+
+
+def meta_reduced_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The three reduced tables of one parse of the Meta rows, as the mapping job makes them."""
+    meta = J.cut_lineage(A.meta_rows(spark, sf))
+    tables = {"primary_ents": X.primary_entities(meta), "venues": X.venues(meta), "resp_ags": X.responsible_agents(meta)}
+    kind = {"primary_ents": "type", "resp_ags": "ra_role"}
+    parts = [df.select(F.lit(name).alias("table_name"), "omid", "ids", (F.col(kind[name]) if name in kind else F.lit(None).cast("string")).alias("kind"))
+             for name, df in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def pid_index_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored index, and its rows for the PIDs of the Meta rows that name an ISSN."""
+    path = _folder(spark, "index")
+    P.write_pid_index(J.build_index(A.work_records(spark, sf), A.source_records(spark, sf)), path)
+    pids = X.primary_entities(A.meta_rows(spark, sf)).select(F.explode(M.lookup_pids("ids")).alias("pid")).where("pid LIKE 'issn:%'")
+    return P.index_of_pids(spark, path, pids).select("table_name", "supported_id", "openalex_id")
+
+
 def io_create_once(spark: SparkSession, sf: str) -> DataFrame:
     """A new table, and the refusal to write it again."""
     path, w = _folder(spark, "create"), A.work_records(spark, sf).select("id", "type")
@@ -422,6 +480,7 @@ QUERIES: dict[str, Query] = {
         mm_composition, mm_filter, mm_distribution, mm_type_stats, mm_histogram, mm_api_urls,
         inverted_multi_mapped, venue_row_overlap, coverage_meta, coverage_openalex,
         io_csv_tables, io_json_lines, io_openalex_dump, io_counts_document, io_append_upsert, io_create_once,
+        io_partial_upsert, io_single_csv, io_inverted_pairs, io_matching_records, meta_reduced_tables, pid_index_lookup,
     ]
 }
 

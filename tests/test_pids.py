@@ -89,3 +89,146 @@ def test_index_write_is_spread_over_tasks(spark, tmpdir_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
     assert len([f for f in os.listdir(os.path.join(path, "table_name=WorksDoi")) if f.endswith(".parquet")]) > 1
     assert spark.read.parquet(path).count() == 4000
+
+
+def row_groups(path):
+    import pyarrow.parquet as pq
+
+    out = []
+    for d, _, names in os.walk(path):
+        for f in sorted(n for n in names if n.endswith(".parquet")):
+            meta = pq.ParquetFile(os.path.join(d, f)).metadata
+            at = meta.schema.names.index("supported_id")
+            out += [(os.path.basename(d), meta.row_group(i).num_rows, meta.row_group(i).column(at).statistics) for i in range(meta.num_row_groups)]
+    return out
+
+
+def scanned(df):
+    """Rows that the scan of a collected DataFrame put out."""
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        if node.nodeName().startswith("Scan parquet"):
+            n += node.metrics().apply("numOutputRows").value()
+    return n
+
+
+def test_stored_index_skips_row_groups(spark, tmpdir_path):
+    """Row groups of a table have disjoint PID ranges and Bloom filters; a small look-up reads few of them."""
+    path, n = os.path.join(tmpdir_path, "index"), 60_000
+    idx = spark.range(n).select(F.when(F.col("id") % 2 == 0, "WorksDoi").otherwise("SourcesIssn").alias("table_name"),
+                                F.when(F.col("id") % 2 == 0, "doi").otherwise("issn").alias("scheme"),
+                                F.concat(F.when(F.col("id") % 2 == 0, "doi:10.1/").otherwise("issn:"), F.md5(F.col("id").cast("string"))).alias("supported_id"),
+                                F.concat(F.lit("W"), "id").alias("openalex_id")).repartition(3)
+    P.write_pid_index(idx, path, row_group_bytes=64 << 10)
+    groups = row_groups(path)
+    assert len(groups) > 20
+    for table in ("table_name=WorksDoi", "table_name=SourcesIssn"):
+        ranges = sorted((s.min, s.max) for t, _, s in groups if t == table)
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    wanted = [r.supported_id for r in idx.where("openalex_id IN ('W10', 'W2000', 'W59998')").collect()]
+    asked = spark.createDataFrame([(p,) for p in [*wanted, wanted[0], "doi:10.1/none", None]], "pid string")
+    found = P.index_of_pids(spark, path, asked)
+    assert sorted(r.openalex_id for r in found.collect()) == ["W10", "W2000", "W59998"]
+    assert scanned(found) < n / 5  # three of more than twenty row groups, of one of two tables
+    none = P.index_of_pids(spark, path, spark.createDataFrame([("doi:10.1/5",), ("doi:10.1/8zz",)], "pid string"))
+    assert none.collect() == [] and scanned(none) == 0  # inside the ranges, excluded by the Bloom filters
+
+
+def test_large_look_ups_are_joined(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "index")
+    idx = spark.createDataFrame([("WorksDoi", "doi", f"doi:{i % 50}", f"W{i}") for i in range(200)], "table_name string, scheme string, supported_id string, openalex_id string")
+    P.write_pid_index(idx, path)
+    asked = idx.select("supported_id").where("supported_id < 'doi:3'")
+    want = rows(idx.where("supported_id < 'doi:3'"), ["supported_id", "openalex_id"])
+    assert rows(P.index_of_pids(spark, path, asked), ["supported_id", "openalex_id"]) == want
+    monkeypatch.setattr(P, "PUSHED_PIDS", 3)
+    assert rows(P.index_of_pids(spark, path, asked), ["supported_id", "openalex_id"]) == want
+
+
+def test_rows_of_a_shared_pid_are_spread(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "index")
+    idx = spark.range(30_000).select(F.lit("WorksDoi").alias("table_name"), F.lit("doi").alias("scheme"),
+                                     F.when(F.col("id") % 3 == 0, "doi:hot").otherwise(F.concat(F.lit("doi:"), "id")).alias("supported_id"),
+                                     F.concat(F.lit("W"), "id").alias("openalex_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one file
+    try:
+        P.write_pid_index(idx, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(n for _, n, _ in row_groups(path)) < 15_000
+
+
+def row_groups(path):
+    import pyarrow.parquet as pq
+
+    out = []
+    for d, _, names in os.walk(path):
+        for f in sorted(n for n in names if n.endswith(".parquet")):
+            meta = pq.ParquetFile(os.path.join(d, f)).metadata
+            at = meta.schema.names.index("supported_id")
+            out += [(os.path.basename(d), meta.row_group(i).num_rows, meta.row_group(i).column(at).statistics) for i in range(meta.num_row_groups)]
+    return out
+
+
+def scanned(df):
+    """Rows that the scan of a collected DataFrame put out."""
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        if node.nodeName().startswith("Scan parquet"):
+            n += node.metrics().apply("numOutputRows").value()
+    return n
+
+
+def test_stored_index_skips_row_groups(spark, tmpdir_path):
+    """Row groups of a table have disjoint PID ranges and Bloom filters; a small look-up reads few of them."""
+    path, n = os.path.join(tmpdir_path, "index"), 60_000
+    even = F.col("id") % 2 == 0
+    idx = spark.range(n).select(F.when(even, "WorksDoi").otherwise("SourcesIssn").alias("table_name"), F.when(even, "doi").otherwise("issn").alias("scheme"),
+                                F.concat(F.when(even, "doi:10.1/").otherwise("issn:"), F.md5(F.col("id").cast("string"))).alias("supported_id"),
+                                F.concat(F.lit("W"), "id").alias("openalex_id")).repartition(3)
+    P.write_pid_index(idx, path, row_group_bytes=64 << 10)
+    groups = row_groups(path)
+    assert len(groups) > 20
+    for table in ("table_name=WorksDoi", "table_name=SourcesIssn"):
+        ranges = sorted((s.min, s.max) for t, _, s in groups if t == table)
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    wanted = [r.supported_id for r in idx.where("openalex_id IN ('W10', 'W2000', 'W59998')").collect()]
+    asked = spark.createDataFrame([(p,) for p in [*wanted, wanted[0], "doi:10.1/none", None]], "pid string")
+    found = P.index_of_pids(spark, path, asked)
+    assert sorted(r.openalex_id for r in found.collect()) == ["W10", "W2000", "W59998"]
+    assert scanned(found) < n / 5  # three of more than twenty row groups, of one of two tables
+    none = P.index_of_pids(spark, path, spark.createDataFrame([("doi:10.1/5",), ("doi:10.1/8zz",)], "pid string"))
+    assert none.collect() == [] and scanned(none) == 0  # inside the ranges, excluded by the Bloom filters
+
+
+def test_large_look_ups_are_joined(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "index")
+    schema = "table_name string, scheme string, supported_id string, openalex_id string"
+    idx = spark.createDataFrame([("WorksDoi", "doi", f"doi:{i % 50}", f"W{i}") for i in range(200)], schema)
+    P.write_pid_index(idx, path)
+    asked = idx.select("supported_id").where("supported_id < 'doi:3'")
+    want = rows(idx.where("supported_id < 'doi:3'"), ["supported_id", "openalex_id"])
+    assert rows(P.index_of_pids(spark, path, asked), ["supported_id", "openalex_id"]) == want
+    monkeypatch.setattr(P, "PUSHED_PIDS", 3)
+    assert rows(P.index_of_pids(spark, path, asked), ["supported_id", "openalex_id"]) == want
+
+
+def test_rows_of_a_shared_pid_are_spread(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "index")
+    idx = spark.range(30_000).select(F.lit("WorksDoi").alias("table_name"), F.lit("doi").alias("scheme"),
+                                     F.when(F.col("id") % 3 == 0, "doi:hot").otherwise(F.concat(F.lit("doi:"), "id")).alias("supported_id"),
+                                     F.concat(F.lit("W"), "id").alias("openalex_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one file
+    try:
+        P.write_pid_index(idx, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(n for _, n, _ in row_groups(path)) < 15_000
