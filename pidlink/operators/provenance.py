@@ -67,6 +67,50 @@ def provenance_table(graphs: DataFrame) -> DataFrame:
     return pairs.groupBy("br_uri").agg(F.array_sort(F.collect_set("source")).alias("sources"))
 
 
+#: Sources of a mask word, and the most sources that masks are made for (more: ``provenance_table``).
+WORD_BITS = 62
+MAX_MASK_SOURCES = 64 * WORD_BITS
+
+
+def source_names(graphs: DataFrame, most: int = MAX_MASK_SOURCES) -> list[str] | None:
+    """The dictionary of sources, sorted; None if there are more than ``most``."""
+    names = graph_provenance(graphs).select(F.explode("sources").alias("source")).distinct().limit(most + 1).collect()
+    return sorted(r.source for r in names) if len(names) <= most else None
+
+
+def _words(names: list[str]) -> list[str]:
+    return [f"_w{i}" for i in range(max(1, -(-len(names) // WORD_BITS)))]
+
+
+def provenance_masks(graphs: DataFrame, names: list[str]) -> DataFrame:
+    """br_uri -> its sources as bits of long words (_w0, _w1, ...), by the place of a source in
+    ``names``. A graph's mask is made in its own row; masks are united by a partial aggregate of
+    longs, so a shuffle holds one row per resource and task, and no source text."""
+    known = F.array(*map(F.lit, names)).cast("array<string>")
+
+    def word(i: int) -> Column:
+        def added(mask: Column, source: Column) -> Column:
+            at = F.array_position(known, source).cast("int") - 1 - i * WORD_BITS
+            return F.when((at >= 0) & (at < WORD_BITS), mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))).otherwise(mask)
+
+        return F.aggregate("sources", F.lit(0).cast("long"), added)
+
+    words = _words(names)
+    rows = graph_provenance(graphs).select("br_uri", *(word(i).alias(w) for i, w in enumerate(words)))
+    return rows.groupBy("br_uri").agg(*(F.bit_or(w).alias(w) for w in words))
+
+
+def mask_label(names: list[str]) -> Column:
+    """The sources of a mask, sorted and joined by blanks."""
+    words = F.array(*map(F.col, _words(names)))
+
+    def there(_: Column, i: Column) -> Column:
+        word = F.get(words, F.floor(i / WORD_BITS).cast("int"))
+        return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (i % WORD_BITS).cast("int"))) != 0
+
+    return F.array_join(F.filter(F.array(*map(F.lit, names)).cast("array<string>"), there), " ")
+
+
 def processed_omids(primary_entities: DataFrame) -> DataFrame:
     """OMID set of the records the mapping processed."""
     return primary_entities.select("omid").distinct()
@@ -124,26 +168,36 @@ def missing_provenance(records: DataFrame, prov: DataFrame) -> DataFrame:
     )
 
 
-def provenance_counts(records: DataFrame, prov: DataFrame) -> DataFrame:
-    """type, source, omid_only, other_pids, and the totals used for ordering.
-
-    Sources by total descending inside a type, types by total descending.
-    """
-    r = with_sources(records, prov)
+def _counters() -> list[Column]:
     flag = F.coalesce(F.col("omid_only"), F.lit(False))
-    c = r.groupBy("type", "source").agg(
-        F.count(F.when(flag, True)).cast("bigint").alias("omid_only"),
-        F.count(F.when(~flag, True)).cast("bigint").alias("other_pids"),
-    )
+    return [F.count(F.when(flag, True)).cast("bigint").alias("omid_only"), F.count(F.when(~flag, True)).cast("bigint").alias("other_pids")]
+
+
+def _with_totals(counts: DataFrame) -> DataFrame:
     total = F.col("omid_only") + F.col("other_pids")
-    w = Window.partitionBy("type")
     return (
-        c.withColumn("total", total)
-        .withColumn("type_total", F.sum(total).over(w))
+        counts.withColumn("total", total)
+        .withColumn("type_total", F.sum(total).over(Window.partitionBy("type")))
         .orderBy(F.col("type_total").desc(), F.col("type"), F.col("total").desc(), F.col("source"))
     )
 
 
+def provenance_counts(records: DataFrame, prov: DataFrame) -> DataFrame:
+    """type, source, omid_only, other_pids, and the totals used for ordering.
+
+    Sources by total descending inside a type, types by total descending.
+    """
+    return _with_totals(with_sources(records, prov).groupBy("type", "source").agg(*_counters()))
+
+
+def provenance_counts_by_mask(records: DataFrame, masks: DataFrame, names: list[str]) -> DataFrame:
+    """As ``provenance_counts``, from ``provenance_masks``: records are counted by type and mask, and a
+    mask becomes its label once per counted group."""
+    found = records.withColumn("br_uri", _br_uri(F.col("omid"))).join(masks, "br_uri")
+    counted = found.groupBy("type", *_words(names)).agg(*_counters())
+    return _with_totals(counted.select("type", mask_label(names).alias("source"), "omid_only", "other_pids"))
+
+
 def provenance_by_type(counts: DataFrame) -> DataFrame:
     """Unmapped per type: omid_only and other_pids sums, total; '' shown as Unspecified."""
     t = F.when(F.col("type") == "", "Unspecified").otherwise(F.col("type"))

@@ -136,11 +136,15 @@ class ProvenanceResult:
 
 def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: DataFrame,
                    unmapped: DataFrame) -> ProvenanceResult:
+    """``graphs`` are read for the dictionary of sources and for the masks: pass a stored table."""
     prov = PV.provenance_table(graphs)
     extra = PV.extra_records(br_nodes, PV.processed_omids(primary_entities))
     records = PV.records_to_trace(extra, unmapped)
-    return ProvenanceResult(prov, extra, records, PV.provenance_counts(records, prov),
-                            PV.missing_provenance(records, prov))
+    names = PV.source_names(graphs)
+    if names is None:  # too many sources for masks: their texts, as in the provenance table
+        return ProvenanceResult(prov, extra, records, PV.provenance_counts(records, prov), PV.missing_provenance(records, prov))
+    masks = PV.provenance_masks(graphs, names)
+    return ProvenanceResult(prov, extra, records, PV.provenance_counts_by_mask(records, masks, names), PV.missing_provenance(records, masks))
 
 
 # ------------------------------------------------------------------ storage-level wrappers

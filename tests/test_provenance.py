@@ -82,3 +82,60 @@ def test_every_graph_is_either_used_or_reported(spark):
     assert [r["br_uri"] for r in used].count(META + "br/2") == 1
     assert len(used) + len(left) == len(data)
     assert left == {"g1", "g2", "g3", "g4", "g7"} and {r["br_uri"] for r in used} == {META + "br/2", META + "br/1"}
+
+
+def test_masks_count_as_labels_do(spark, monkeypatch):
+    """Few sources and many, in one mask word and in several; too many fall back to texts."""
+    import random
+
+    rng = random.Random(7)
+    for n_sources, bits in ((3, 62), (9, 4), (70, 62)):
+        monkeypatch.setattr(PV, "WORD_BITS", bits)
+        names = [f"https://s/{i}" for i in range(n_sources)]
+        data = [(f"g{i}", [snap(rng.sample(names, rng.randint(0, min(5, n_sources))) or None, META + f"br/{rng.randrange(40)}")]) for i in range(300)]
+        g = spark.createDataFrame([{"@id": a, "@graph": b} for a, b in data], SC.prov_graph_schema()).repartition(3)
+        records = spark.createDataFrame([(f"omid:br/{rng.randrange(50)}", rng.choice(["a", "b", ""]), rng.choice([True, False, None])) for _ in range(200)],
+                                        "omid string, type string, omid_only boolean")
+        found = PV.source_names(g)
+        assert found == sorted(found) and set(found) <= set(names)
+        masks = PV.provenance_masks(g, found)
+        assert len(masks.columns) == 1 + -(-len(found) // bits)
+        table = {r.br_uri: " ".join(r.sources) for r in PV.provenance_table(g).collect()}
+        assert {r.br_uri: r.label for r in masks.select("br_uri", PV.mask_label(found).alias("label")).collect()} == table
+        by_text = PV.provenance_counts(records, PV.provenance_table(g)).collect()
+        assert PV.provenance_counts_by_mask(records, masks, found).collect() == by_text  # the order, too
+        assert PV.source_names(g, most=len(found) - 1) is None
+        assert rows(PV.missing_provenance(records, masks)) == rows(PV.missing_provenance(records, PV.provenance_table(g)))
+
+
+def test_no_source_text_in_a_shuffle(spark):
+    g = graphs(spark)
+    names = PV.source_names(g)
+    records = spark.createDataFrame([("omid:br/1", "t", None)], "omid string, type string, omid_only boolean")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = PV.provenance_counts_by_mask(records, PV.provenance_masks(g, names), names)._jdf.queryExecution().executedPlan()
+        outputs, todo = [], [plan]
+        while todo:
+            node = todo.pop()
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+            if node.nodeName() == "Exchange":
+                outputs.append({node.output().apply(k).name() for k in range(node.output().size())})
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    before_counting = [o for o in outputs if "total" not in o and "type_total" not in o]
+    assert len(before_counting) >= 2 and not any(o & {"source", "sources"} for o in before_counting)
+    assert PV.source_names(g.where("false")) == [] and PV.provenance_masks(g.where("false"), []).count() == 0
+
+
+def test_job_with_very_many_sources(spark, monkeypatch):
+    from pidlink.plans import jobs as J
+
+    nodes = spark.createDataFrame([(META + "br/1", ["x"], [])], f"`@id` string, `@type` array<string>, `{K.DATACITE_HAS_IDENTIFIER}` array<struct<`@id`:string>>")
+    ents = spark.createDataFrame([], "omid string")
+    unmapped = spark.createDataFrame([("omid:br/3", "t"), ("omid:br/9", "t")], "omid string, type string")
+    usual = J.provenance_job(graphs(spark), nodes, ents, unmapped)
+    want = (usual.counts.collect(), rows(usual.missing))
+    monkeypatch.setattr(PV, "source_names", lambda g: None)
+    many = J.provenance_job(graphs(spark), nodes, ents, unmapped)
+    assert (many.counts.collect(), rows(many.missing)) == want and len(want[0]) == 2
