@@ -5,7 +5,8 @@ collected to the driver). The headline set runs once untimed first (JVM start-up
 compilation of each query shape are per-process costs, not data costs), then
 $BENCH_REPEATS (default 2) timed passes; each query reports its best (minimum) time, since
 run-to-run noise on a shared machine only ever adds time. The cold first-run total and the
-median-pass total are reported too.
+median-pass total are reported too, and the seconds of a fixed calibration job, by which totals
+of differently fast machines can be compared.
 """
 
 from __future__ import annotations
@@ -53,6 +54,15 @@ def timed(spark, sf_dir, name):
     return time.perf_counter() - t0
 
 
+def calibration(spark) -> float:
+    """Seconds of a fixed job (hash, shuffle, aggregate of generated rows) that no change of the
+    library touches: the ratio of two machines' values is their relative speed."""
+    t0 = time.perf_counter()
+    run(spark.range(20_000_000).selectExpr("id", "md5(cast(id as string)) AS h").selectExpr("substr(h, 1, 4) AS k", "length(h) + id AS n")
+        .groupBy("k").sum("n"))
+    return time.perf_counter() - t0
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -60,6 +70,8 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="pidlink-bench", shuffle_partitions=max(2 * cpus, 8),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
+    calibration(spark)
+    machine = min(calibration(spark) for _ in range(2))
     cold = {name: timed(spark, sf_dir, name) for name in names}  # warm-up pass, reported as "cold_total"
     repeats = max(int(os.environ.get("BENCH_REPEATS", "2")), 1)
     passes = []
@@ -80,6 +92,8 @@ def main() -> None:
         "median_pass_total": round(totals[len(totals) // 2], 3),
         "stat": f"min of {repeats} warm passes",
         "cpus": cpus,
+        "calibration_sec": round(machine, 3),
+        "value_per_calibration": round(sum(times[n] for n in ok) / machine, 2),
     }))
     spark.stop()
 

@@ -9,7 +9,7 @@ resource is a pre-aggregated (distinct) group by; everything else is joins and g
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pidlink.functions import constants as K
@@ -174,10 +174,12 @@ def _counters() -> list[Column]:
 
 
 def _with_totals(counts: DataFrame) -> DataFrame:
-    total = F.col("omid_only") + F.col("other_pids")
+    """Totals of a row and of its type, ordered. The totals of types are a partial aggregate that is
+    joined back, so no task holds all rows of a type; the order is a range-partitioned sort."""
+    counts = counts.withColumn("total", F.col("omid_only") + F.col("other_pids"))
+    types = counts.groupBy(F.col("type").alias("_type")).agg(F.sum("total").alias("type_total"))
     return (
-        counts.withColumn("total", total)
-        .withColumn("type_total", F.sum(total).over(Window.partitionBy("type")))
+        counts.join(types, counts["type"].eqNullSafe(types["_type"])).select(*counts.columns, "type_total")
         .orderBy(F.col("type_total").desc(), F.col("type"), F.col("total").desc(), F.col("source"))
     )
 

@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pidlink.functions import constants as K
@@ -49,24 +49,28 @@ def _quoted(c: str) -> "F.Column":
 def provenance_document(counts: DataFrame) -> DataFrame:
     """{type: {source: {omid_only, other_pids}}} as the ordered lines of one JSON text, a line
     per (type, source); sources by total (descending) inside a type, types by their total
-    (descending), as the keys are written in order."""
-    total = F.col("omid_only") + F.col("other_pids")
-    in_type = Window.partitionBy("type")
-    rows = counts.select("type", "source", "omid_only", "other_pids", total.alias("_n")).select(
-        "*", F.sum("_n").over(in_type).alias("_t"), F.count(F.lit(1)).over(in_type).alias("_size"),
-        F.row_number().over(in_type.orderBy(F.col("_n").desc(), "source")).alias("_i"))
-    # the order of the types, from one row per type
-    types = rows.where("_i = 1").select(
-        F.col("type").alias("_type"), F.row_number().over(Window.orderBy(F.col("_t").desc(), "type")).alias("_rank"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("_types"))
+    (descending), as the keys are written in order.
+
+    A row opens (closes) its type if its place in the order is the least (greatest) of the type,
+    and the document if its type's place is the least (greatest) of all. The places are partial
+    aggregates per type and one over the types, joined back; the lines are then sorted by
+    ranges. So no task holds a type, however many sources it has.
+    """
+    n = F.col("omid_only") + F.col("other_pids")
+    rows = counts.select("type", "source", "omid_only", "other_pids", n.alias("_n"), F.struct((-n).alias("n"), "source").alias("_at"))
+    types = rows.groupBy(F.col("type").alias("_type")).agg(
+        F.sum("_n").alias("_t"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    place = F.struct((-F.col("_t")).alias("t"), F.col("_type").alias("type"))
+    least, greatest = types.agg(F.min(place)).scalar(), types.agg(F.max(place)).scalar()
+    types = types.select("*", place.eqNullSafe(least).alias("_begins"), place.eqNullSafe(greatest).alias("_ends"))
     rows = rows.join(types, rows["type"].eqNullSafe(types["_type"]))
-    opens, closes = F.col("_i") == 1, F.col("_i") == F.col("_size")
+    opens, closes = F.col("_at").eqNullSafe(F.col("_first")), F.col("_at").eqNullSafe(F.col("_last"))
     line = F.concat(
-        F.when(opens & (F.col("_rank") == 1), "{").otherwise(""),
+        F.when(opens & F.col("_begins"), "{").otherwise(""),
         F.when(opens, F.concat(_quoted("type"), F.lit(": {"))).otherwise(""),
         _quoted("source"), F.lit(": "), F.to_json(F.struct("omid_only", "other_pids")),
-        F.when(~closes, ",").when(F.col("_rank") == F.col("_types"), "}}").otherwise("},"))
-    return rows.orderBy("_rank", "_i").select(line.alias("json"))
+        F.when(~closes, ",").when(F.col("_ends"), "}}").otherwise("},"))
+    return rows.orderBy(F.col("_t").desc(), "type", F.col("_n").desc(), "source").select(line.alias("json"))
 
 
 def flag_text(c: str) -> "F.Column":

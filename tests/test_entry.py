@@ -1,6 +1,7 @@
 """Driver contract: every query has an oracle and matches it on the smallest data set."""
 
 import os
+import shutil
 import subprocess
 import sys
 
@@ -27,19 +28,30 @@ def test_keys_match():
     assert set(queries.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_entry_without_the_optional_part():
+def copy_of_the_core(tmp_path):
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    ignored = shutil.ignore_patterns("llm", "__pycache__")
+    shutil.copytree(os.path.join(root, "pidlink"), tmp_path / "pidlink", ignore=ignored)
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    return tmp_path
+
+
+def test_entry_without_the_optional_part(tmp_path):
     code = """
-import sys
-class Block:
-    def find_spec(self, name, path=None, target=None):
-        if name in ("pidlink.llm", "corpus_pipeline"):
-            raise ModuleNotFoundError(name)
-sys.meta_path.insert(0, Block())
 import __spark_entry__ as E
 from pidlink.plans import queries
 assert set(E.queries()) == set(E.oracle_sql()) == set(queries.QUERIES)
 """
-    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.abspath(E.__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=copy_of_the_core(tmp_path))
+
+
+def test_a_broken_optional_part_is_an_error(tmp_path):
+    root = copy_of_the_core(tmp_path)
+    (root / "pidlink" / "llm").mkdir()
+    (root / "pidlink" / "llm" / "__init__.py").write_text("")
+    (root / "corpus_pipeline.py").write_text("import a_library_that_is_missing\n")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], capture_output=True, text=True, cwd=root)
+    assert done.returncode and "a_library_that_is_missing" in done.stderr
 
 
 def test_entry_runs(spark):

@@ -344,3 +344,22 @@ def test_provenance_document_is_ordered_by_totals(spark):
     doc = json.loads("".join(r[0] for r in W.provenance_document(tied).collect()))
     assert doc == {"": {'say "a"': {"omid_only": 1, "other_pids": 0}}, "x\\y": {"é": {"omid_only": 1, "other_pids": 0}},
                    "z": {"s": {"omid_only": 1, "other_pids": 0}}}
+
+
+def test_provenance_document_needs_no_window_of_a_type(spark, tmpdir_path):
+    """Many sources of few types, spread over tasks: the document of the plain nesting, and no task holds a type."""
+    import random
+
+    rng = random.Random(2)
+    data = [(t, f"s{i}", rng.randrange(5), rng.randrange(5)) for t in ("a", "b\"", "", "é") for i in range(rng.randint(1, 120))]
+    counts = spark.createDataFrame(data, "type string, source string, omid_only long, other_pids long").repartition(5)
+    doc = W.provenance_document(counts)
+    assert "Window" not in doc._jdf.queryExecution().executedPlan().toString()
+    W.write_document(doc, os.path.join(tmpdir_path, "doc"))
+    text = "".join(r.value + "\n" for r in spark.read.text(os.path.join(tmpdir_path, "doc")).coalesce(1).collect())
+    total = lambda t: sum(r[2] + r[3] for r in data if r[0] == t)
+    want = {t: {s: {"omid_only": a, "other_pids": b} for _, s, a, b in sorted((r for r in data if r[0] == t), key=lambda r: (-r[2] - r[3], r[1]))}
+            for t in sorted({r[0] for r in data}, key=lambda t: (-total(t), t))}
+    assert json.dumps(json.loads(text)) == json.dumps(want)
+    empty = W.provenance_document(counts.limit(0))
+    assert empty.count() == 0
