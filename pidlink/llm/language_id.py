@@ -1,13 +1,14 @@
 """Language id: a bidirectional gated recurrent network over bytes.
 
-Every byte of every text is read. Texts are cut into segments of SEGMENT bytes; a network
+Every byte of every text is read. Texts are cut into segments of SEGMENT bytes, at which the
+states start anew; a network
 with an update gate runs over each segment in both directions and labels every position with
 a distribution over the learned languages. A document's probabilities are the mean over all
 its positions.
 
 The network is trained in numpy by backpropagation through time, on at most SLOTS documents of
 each language (the least hash of each of SLOTS slots, pre-aggregated, so a frequent language
-is no hot task) and WINDOWS windows of each. Only text and lang of documents outside the
+is no hot task) and WINDOWS windows of SEGMENT characters of each, all bytes of them. Only text and lang of documents outside the
 held-out quarter are used for that. The trained weights, some tens of kilobytes, are the only
 thing broadcast besides the ids of the sample.
 
@@ -137,20 +138,23 @@ def loss_and_gradients(net: Network, x: np.ndarray, y: np.ndarray) -> tuple[floa
     return loss, [g_in, g_rec, g_out, flat.sum(axis=0)]
 
 
-def segments(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts of a byte buffer as segments (SEGMENT, N), padded at their ends, and the
-    number of segments of each text."""
-    sizes = np.diff(at)
-    count = -(-sizes // SEGMENT)
-    total = int(count.sum())
+def segment_bounds(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every segment of the texts of a byte buffer, and the number of segments of
+    each text."""
+    count = -(-np.diff(at) // SEGMENT)
+    text = np.repeat(np.arange(len(count)), count)
     first = np.cumsum(count) - count
-    text = np.repeat(np.arange(len(sizes)), count)
-    begin = at[:-1][text] + (np.arange(total) - first[text]) * SEGMENT
+    begin = at[:-1][text] + (np.arange(len(text)) - first[text]) * SEGMENT
+    return begin, np.minimum(begin + SEGMENT, at[1:][text]), count
+
+
+def padded(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Segments as (SEGMENT, N), padded at their ends."""
     place = begin[:, None] + np.arange(SEGMENT)
-    inside = place < at[1:][text][:, None]
-    x = np.full((total, SEGMENT), PAD, np.int16)
+    inside = place < end[:, None]
+    x = np.full(place.shape, PAD, np.int16)
     x[inside] = data[place[inside]]
-    return np.ascontiguousarray(x.T), count
+    return np.ascontiguousarray(x.T)
 
 
 def train(windows: list[tuple[str, str]], epochs: int = EPOCHS) -> Network | None:
@@ -159,9 +163,10 @@ def train(windows: list[tuple[str, str]], epochs: int = EPOCHS) -> Network | Non
     if not langs:
         return None
     net = Network.fresh(langs)
-    raw = [text.encode()[:SEGMENT] for _, text in windows]
-    x, _ = segments(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    y = np.array([langs.index(lang) for lang, _ in windows])
+    raw = [text.encode() for _, text in windows]  # up to four segments each, all of which train
+    begin, end, count = segment_bounds(np.cumsum([0, *map(len, raw)]))
+    x = padded(np.frombuffer(b"".join(raw), np.uint8), begin, end)
+    y = np.repeat([langs.index(lang) for lang, _ in windows], count)
     rng = np.random.default_rng(SEED)
     weights = net.parameters()
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
@@ -182,12 +187,13 @@ def pooled(net: Network, texts: pa.Array) -> np.ndarray:
     """Mean probability of each language over all positions of each text, (texts, K); zeros
     for an empty text."""
     data, at = G.buffer_of(texts)
-    x, count = segments(data, at)
-    sums = np.zeros((x.shape[1], len(net.langs)))
-    for a in range(0, x.shape[1], TOGETHER):
-        part = x[:, a:a + TOGETHER]
+    begin, end, count = segment_bounds(at)
+    sums = np.zeros((len(begin), len(net.langs)))
+    for a in range(0, len(begin), TOGETHER):  # what is held besides the text is bounded by TOGETHER segments
+        some = slice(a, a + TOGETHER)
+        part = padded(data, begin[some], end[some])
         p = _probabilities(net, _states(net, part))
-        sums[a:a + TOGETHER] = np.einsum("tbk,tb->bk", p, (part != PAD).astype(p.dtype))
+        sums[some] = np.einsum("tbk,tb->bk", p, (part != PAD).astype(p.dtype))
     out = np.zeros((len(texts), len(net.langs)))
     np.add.at(out, np.repeat(np.arange(len(texts)), count), sums)
     return out / np.maximum(np.diff(at), 1)[:, None]

@@ -37,6 +37,59 @@ def test_padding_changes_nothing():
     assert np.allclose(L.pooled(net, pa.array(texts, pa.string())), alone, atol=1e-6)
 
 
+def plain_pooled(net, text):
+    """The forward pass and the pooling, one byte and one direction at a time."""
+    data, hidden = (text or "").encode(), net.recurrent.shape[1]
+    total = np.zeros(len(net.langs))
+    for a in range(0, len(data), L.SEGMENT):
+        part = data[a:a + L.SEGMENT]
+        states = []
+        for side, read in enumerate((part, part[::-1])):
+            h, seen = np.zeros(hidden), []
+            for byte in read:
+                s = np.tanh(net.inputs[side][byte].astype(float) + h @ net.recurrent[side])
+                gate, new = (s[:hidden] + 1) / 2, s[hidden:]
+                h = (1 - gate) * h + gate * new
+                seen.append(h)
+            states.append(seen if side == 0 else seen[::-1])
+        for forward, backward in zip(*states):
+            z = forward @ net.output[0] + backward @ net.output[1] + net.bias
+            total += np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    return total / max(len(data), 1)
+
+
+def test_forward_pass_and_pooling_match_plain_loops(monkeypatch):
+    net = L.Network.fresh(["a", "b", "c"], hidden=5)
+    texts = ["", None, "a", "é" * 31, "x" * 64, "y" * 65, "the and of " * 40, "日本" * 100]
+    want = [plain_pooled(net, t) for t in texts]
+    for together in (1, 3, 1024):
+        monkeypatch.setattr(L, "TOGETHER", together)
+        assert np.allclose(L.pooled(net, pa.array(texts, pa.string())), want, atol=1e-5)
+
+
+def test_training_reads_whole_windows(monkeypatch):
+    """Windows of three-byte letters are three segments, the last ones included."""
+    seen = []
+    plain = L.loss_and_gradients
+    monkeypatch.setattr(L, "loss_and_gradients", lambda net, x, y: seen.append((x, y)) or plain(net, x, y))
+    L.train([("ja", "日" * 63 + "本"), ("en", "abc")], epochs=1)
+    x, y = seen[0]
+    assert x.shape == (L.SEGMENT, 4) and sorted(y.tolist()) == [0, 1, 1, 1]
+    assert (x != L.PAD).sum() == 3 * 64 + 3
+
+
+def test_memory_of_a_long_text_is_bounded():
+    import tracemalloc
+
+    net = L.Network.fresh(["a", "b"])
+    texts = pa.array(["abcdefgh" * (1 << 18)])
+    tracemalloc.start()
+    L.pooled(net, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20  # of 2 MB of text, most of it one block of segments
+
+
 def test_held_out_accuracy_and_contract(spark):
     docs = documents(spark, "/root/testdata/sf0.01")
     got = {r.doc_id: r for r in L.languages(docs).collect()}
