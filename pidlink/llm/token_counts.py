@@ -42,14 +42,15 @@ class LengthCounter:
     def _learn(self, parts: set[str]) -> None:
         batch: list[str] = []
         held = 0
-        for part in [*sorted(parts, key=len), None]:
-            if batch and (part is None or held + len(part) > BATCH_BYTES):
+        sized = sorted((len(part.encode("utf-8", "surrogatepass")), part) for part in parts)
+        for size, part in [*sized, (0, None)]:
+            if batch and (part is None or held + size > BATCH_BYTES):
                 found = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
                 self.known.update(zip(batch, map(len, found)))
                 batch, held = [], 0
             if part is not None:
                 batch.append(part)
-                held += len(part)
+                held += size
 
     def lengths(self, texts: list[str | None]) -> list[int]:
         """Number of tokens of each text."""
