@@ -232,10 +232,19 @@ def verdict(rules: list[Rule]) -> Column:
     return out.otherwise(F.lit(True))
 
 
+def fired(rules: list[Rule]) -> Column:
+    """What rejects a document: ``base``, or the conditions of the first rule that covers it; null
+    if it is kept."""
+    out = F.when(base_failed(), F.lit("base"))
+    for rule in rules:
+        out = out.when(covers(rule), F.lit(" and ".join(map(str, rule))))
+    return out
+
+
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept."""
+    n_repeat_words, base_failed, kept, rule (what rejects it)."""
     stats = stored(text_stats(docs), "stats")
     rules = learn_rules(stats, labels)
     return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                        base_failed().alias("base_failed"), verdict(rules).alias("kept"))
+                        base_failed().alias("base_failed"), verdict(rules).alias("kept"), fired(rules).alias("rule"))

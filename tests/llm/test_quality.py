@@ -261,3 +261,21 @@ def test_rules_need_labels_of_both_kinds(make_docs, spark, quality):
     got = quality_rules.judged(make_docs(rows), lab).collect()
     assert all(r.kept == (not r.base_failed) for r in got)
     assert quality_rules.judged(make_docs([]), lab).count() == 0
+
+
+def test_decision_list_verdicts_match_a_plain_reading_of_its_rules(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, lab = documents(spark, sf), labels_of(spark, sf)
+    stats = quality_rules.text_stats(docs)
+    rules = quality_rules.learn_rules(stats, lab)
+    assert rules
+    values = {r.doc_id: r for r in stats.select("doc_id", *(F.expr(e).cast("double").alias(f) for f, e in quality_rules.FEATURES.items())).collect()}
+    seen = set()
+    for r in quality_rules.judged(docs, lab).collect():
+        holds = lambda c, v=values[r.doc_id]: v[c.feature] is not None and (v[c.feature] > c.cut if c.above else v[c.feature] <= c.cut)
+        hit = next((rule for rule in rules if all(map(holds, rule))), None)
+        want = "base" if r.base_failed else " and ".join(map(str, hit)) if hit else None
+        assert (r.rule, r.kept) == (want, want is None)
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        seen.add(want)
+    assert None in seen and "base" in seen and len(seen) > 2
