@@ -256,6 +256,8 @@ FROM (SELECT table_name, split_part(supported_id, ':', 1) AS scheme, supported_i
 FROM (SELECT unnest(ids) AS u FROM o_mm) WHERE starts_with(u, 'W') OR starts_with(u, 'S')""",
     "full_metadata_semi_join": MM + f""" SELECT id, doi, type FROM fx_works
 WHERE {OA_ID} IN (SELECT u FROM (SELECT unnest(ids) AS u FROM o_mm) WHERE starts_with(u, 'W'))""",
+    "flat_sources_keep_first": """ SELECT id, CASE WHEN regexp_matches(id, '[369]$') THEN 'other-' || issn_l ELSE issn_l END AS issn_l,
+  to_json(list_filter([issn1, issn2], lambda x: x IS NOT NULL)) AS issn FROM fx_sources""",
     "flat_sources": f""" SELECT id, issn_l,
   to_json(list_filter([issn1, issn2], lambda x: x IS NOT NULL)) AS issn,
   {_flat_null(('display_name', 'VARCHAR'), ('publisher', 'VARCHAR'), ('works_count', 'BIGINT'),
@@ -306,6 +308,7 @@ WHERE referenced_work_id IS NOT NULL AND referenced_work_id <> ''""",
   FROM fx_authorships) WHERE rn = 1""",
     # ---------------------------------------------------------- categories
     "mm_categories_works": CATEGORIES + " SELECT omid, openalex_id, type, category FROM o_catw",
+    "mm_categories_keep_last": CATEGORIES + " SELECT omid, openalex_id, type, category FROM o_catw",
     "mm_categories_sources": CATEGORIES + " SELECT omid, openalex_id, type, category FROM o_cats",
     "mm_category_counts": CATEGORIES + " SELECT entity, type, category, n FROM o_ccount",
     "mm_category_pivot": CATEGORIES + " SELECT entity, type, " + ", ".join(

@@ -170,6 +170,15 @@ def flat_sources_ids(spark: SparkSession, sf: str) -> DataFrame:
     return FL.flatten_sources(A.ordered(A.source_records(spark, sf)))["sources_ids"]
 
 
+def flat_sources_keep_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources that stand twice, every third with other values first: the first in load order stays."""
+    s = A.source_records(spark, sf)
+    first = F.col("id").rlike("[369]$")
+    twice = s.withColumn("_ord", F.when(first, 2).otherwise(1)).unionByName(
+        s.withColumn("issn_l", F.concat(F.lit("other-"), F.col("issn_l"))).withColumn("_ord", F.when(first, 1).otherwise(2)))
+    return FL.flatten_sources(twice)["sources"].select("id", "issn_l", "issn")
+
+
 def flat_sources_counts(spark: SparkSession, sf: str) -> DataFrame:
     return FL.flatten_sources(A.ordered(A.source_count_records(spark, sf)))["sources_counts_by_year"].drop(FL.ORD)
 
@@ -246,6 +255,16 @@ def mm_category_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return C.category_pivot(_categories(spark, sf).counts())
 
 
+def mm_categories_keep_last(spark: SparkSession, sf: str) -> DataFrame:
+    """Works that stand twice, the earlier time with another type, DOI and version: the last in load
+    order decides, whatever the order of ids and rows."""
+    w = A.work_records(spark, sf)
+    earlier = w.withColumn("type", F.lit("erratum")).withColumn("ids", F.col("ids").withField("doi", F.lit("https://doi.org/10.1101/same.v1"))) \
+        .withColumn("primary_location", F.col("primary_location").withField("version", F.lit("submittedVersion")))
+    works = w.withColumn("_ord", F.lit(2)).unionByName(earlier.withColumn("_ord", F.lit(1)))
+    return J.categorisation_job(_multi(spark, sf), works, A.ordered(A.source_records(spark, sf))).works
+
+
 # ------------------------------------------------------------------ provenance
 
 
@@ -471,10 +490,10 @@ QUERIES: dict[str, Query] = {
         pid_index_by_scheme,
         map_all, map_one_to_one, map_multi, map_unmapped, map_new_only, map_venues_untyped, outcome_counts,
         mm_ids_distinct, full_metadata_semi_join,
-        flat_sources, flat_sources_ids, flat_sources_counts, flat_works, flat_primary_locations, flat_locations,
+        flat_sources, flat_sources_ids, flat_sources_keep_first, flat_sources_counts, flat_works, flat_primary_locations, flat_locations,
         flat_best_oa_locations, flat_authorships, flat_biblio, flat_concepts, flat_works_ids, flat_mesh,
         flat_open_access, flat_referenced, flat_related, upsert_keep_last,
-        mm_categories_works, mm_categories_sources, mm_category_counts, mm_category_pivot,
+        mm_categories_works, mm_categories_keep_last, mm_categories_sources, mm_category_counts, mm_category_pivot,
         prov_sources_per_br, prov_dropped_graphs, prov_extra_brs, prov_missing, prov_counts, prov_by_type, prov_pivot,
         prov_contribution,
         mm_composition, mm_filter, mm_distribution, mm_type_stats, mm_histogram, mm_api_urls,
