@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pidlink.session import checkpoint_dir
+from pidlink.session import checkpoint_dir, scratch_folder
 
 #: A word is a run of characters other than ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -25,13 +26,30 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+#: Folders that ``stored`` writes to, the innermost last; without any, the checkpoint folder.
+_folders: list[str] = []
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators store inside the block are deleted at its end: what the block returns
+    must not read them any more."""
+    with scratch_folder(spark, "llm") as folder:
+        _folders.append(folder)
+        try:
+            yield
+        finally:
+            _folders.pop()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, but compressed and column-wise, so that later
     readers prune columns. The files survive the loss of any executor.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    base = _folders[-1] if _folders else checkpoint_dir(df.sparkSession)
+    path = f"{base}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -50,6 +50,33 @@ def test_last_stage_decodes_its_ids(spark, monkeypatch):
         run()
 
 
+def test_stored_tables_are_released(spark, make_docs):
+    import os
+
+    from pidlink.session import checkpoint_dir
+
+    with common.released(spark):
+        path = make_docs([(1, "a")]).transform(lambda d: common.stored(d, "x")).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and f"{checkpoint_dir(spark)}/llm-" in path
+    assert not os.path.exists(path)
+    kept = common.stored(make_docs([(1, "a")]), "x")
+    with common.released(spark):
+        pass
+    assert kept.count() == 1
+
+
+def test_run_leaves_the_stages_alone(spark):
+    import os
+
+    from pidlink.session import checkpoint_dir
+
+    here = checkpoint_dir(spark)
+    before = set(os.listdir(here))
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    new = {f.split("-")[0] for f in set(os.listdir(here)) - before}
+    assert new == {"pipeline"}
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and rows.count() > 0

@@ -232,7 +232,7 @@ def test_text_stats_match_brute_force(make_docs):
     rng = random.Random(2)
     alphabet = ["a", "b", "c d", " ", "\n", "\t", "\x0b", "é", "#", "<x>", "A", "a b c d e ", "\na b\n"]
     rows = [(i, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))) for i in range(300)]
-    rows += [(1000, None), (1001, ""), (1002, "x " * 3000), (1003, "\n\n\n"), (1004, "a b a b")]
+    rows += [(1000, None), (1001, ""), (1002, "x " * 30_000), (1005, " ".join(f"w{i % 7000}" for i in range(25_000))), (1003, "\n\n\n"), (1004, "a b a b")]
     text = dict(rows)
     got = quality_rules.text_stats(make_docs(rows).withColumn("_n", F.lit("clash"))).collect()
     assert len(got) == len(rows)

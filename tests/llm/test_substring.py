@@ -38,7 +38,7 @@ def corpus(seed, window):
             words += ["same"] * rng.randint(1, 20 * window)
         rows.append((i, rng.choice(["", " "]) + rng.choice([" ", "\n", " \t"]).join(words)))
     rows += [(200, None), (201, ""), (202, " "), (None, " ".join(passages[0])), (3, rows[3][1]), (3, rows[3][1]), (5, rows[9][1]),
-             (300, "same " * 4000)]
+             (300, "same " * 4000), (301, " ".join(f"v{i}" for i in range(25_000))), (302, " ".join(f"v{i}" for i in range(20_000, 45_000)))]
     rng.shuffle(rows)
     return rows
 
