@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from pidlink.llm import bpe_trie, exact_dedup, mixing, near_dedup, quality_model
-from pidlink.llm.common import documents, labels
+from pidlink.llm.common import documents, labels, released
 from pidlink.llm.queries import vocabulary
 from pidlink.session import checkpoint_dir
 
@@ -52,10 +52,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written below the shared checkpoint
-    folder and read again as the next stage's input."""
+    folder and read again as the next stage's input. What a stage stores on its way is deleted
+    when its result is written."""
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with released(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs

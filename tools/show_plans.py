@@ -24,7 +24,7 @@ OPS = {
     "object agg": r"ObjectHashAggregate",
     "sort agg": r"SortAggregate",
     "window": r"\bWindow\b",
-    "python": r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF",
+    "python": r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|MapInArrow|PythonUDF",
 }
 
 
