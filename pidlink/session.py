@@ -63,7 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # core conf may be read-only at run time; the context setting below suffices
             pass
-    spark.sparkContext.setCheckpointDir(d)
+    current = re.sub(r"^\w+:(//[^/]*)?", "", spark.sparkContext.getCheckpointDir() or "")
+    if not current.startswith(re.sub(r"^\w+:(//[^/]*)?", "", d).rstrip("/") + "/"):
+        spark.sparkContext.setCheckpointDir(d)  # makes a folder of its own there each time, so once
     return d
 
 
