@@ -70,7 +70,7 @@ def test_run_leaves_the_stages_alone(spark):
 
     from pidlink.session import checkpoint_dir
 
-    here = checkpoint_dir(spark)
+    here = checkpoint_dir(spark).removeprefix("file:")
     before = set(os.listdir(here))
     assert corpus_pipeline.run(spark, SF).count() > 0
     new = {f.split("-")[0] for f in set(os.listdir(here)) - before}
