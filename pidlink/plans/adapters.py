@@ -8,6 +8,13 @@ jobs compute: no id is extracted, matched, de-duplicated or classified here.
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,6 +175,32 @@ def reference_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.collect_list("referenced_work_id").alias("related_works"))
 
 
+# ------------------------------------------------------------------ archives
+
+
+def write_archives(lines: DataFrame, folder: str, kind: str, header: str = "") -> None:
+    """One zip archive per partition of one column of text lines, as the dumps have them: ``csv`` with
+    a member of CSV lines below the header, ``prov`` and ``br`` with a nested archive that holds a
+    JSON list of the lines. A retried task writes the same file again."""
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = [t for b in batches for t in b.column(0).to_pylist()]
+        path = os.path.join(folder, f"{TaskContext.get().partitionId():05}.zip")
+        with zipfile.ZipFile(f"{path}.tmp", "w", zipfile.ZIP_DEFLATED) as z:
+            if kind == "csv":
+                z.writestr("csv/part.csv", "\n".join([header, *texts]) + "\n")
+            else:
+                inner = io.BytesIO()
+                with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as y:
+                    y.writestr("se.json" if kind == "prov" else "1000.json", "[" + ",\n".join(texts) + "]")
+                z.writestr("br/060/1000/prov/se.zip" if kind == "prov" else "br/060/1000.zip", inner.getvalue())
+        os.replace(f"{path}.tmp", path)
+        yield pa.RecordBatch.from_pydict({"n": [len(texts)]})
+
+    lines.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 # ------------------------------------------------------------------ JSON-LD graphs
 
 

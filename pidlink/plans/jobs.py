@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -195,6 +196,8 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
     paths = {k: f"{out_dir}/{k}" for k in ("primary_ents", "venues", "resp_ags", "pid_index", "mapped",
                                            "multi_mapped", "non_mapped", "venues_mapped", "venues_multi_mapped",
                                            "venues_non_mapped", "pid_lists")}
+    if not (rebuild_index or index_table) and R.is_folder(spark, paths["pid_index"]):
+        raise AnalysisException(f"there is an index already: {paths['pid_index']}")  # before the dumps are read
     with scratch_folder(spark, "mapping") as scratch:
         # one scan of each dump: ids, PIDs and rejected lines are stored, everything else reads those
         works = D.parse_dump(spark, works_dir, SC.work_schema(), with_order=False)

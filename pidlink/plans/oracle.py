@@ -356,6 +356,7 @@ SELECT id, doi, type, n_lines, n_malformed FROM fx_works, o_lines
 WHERE NOT ends_with(id, '7') AND {OA_ID} IN (SELECT u FROM (SELECT unnest(ids) AS u FROM o_mm) WHERE starts_with(u, 'W'))""",
     "pid_index_lookup": META + INDEX + f""" SELECT table_name, supported_id, openalex_id FROM o_idx
 WHERE supported_id IN (SELECT p FROM (SELECT unnest({_lookup('t2')}) AS p FROM (SELECT {_tokens('ids')} AS t2 FROM o_ents)) WHERE starts_with(p, 'issn:'))""",
+    "io_zipped_meta": " SELECT id, venue, author, publisher, editor, type FROM fx_meta",
     "io_create_once": " SELECT id, type, true AS refused FROM fx_works",
     # ---------------------------------------------------------- statistics
     "mm_composition": MMSTATS + """ SELECT omid, openalex_id,
@@ -419,6 +420,8 @@ _RW = f"""CASE WHEN starts_with(wikidata, 'http:') THEN 'wikidata:' || {_strip('
 _ROR_WIKIDATA = f""" SELECT supported_id, openalex_id FROM (
   SELECT 'ror:' || {_strip('ror', K.ROR_URI)} AS supported_id, {OA_ID} AS openalex_id FROM fx_agents WHERE ror IS NOT NULL
   UNION ALL SELECT {_RW}, {OA_ID} FROM fx_agents WHERE starts_with(wikidata, 'http:') OR starts_with(wikidata, 'https:'))"""
+SQL["io_zipped_graphs"] = SQL["prov_sources_per_br"]
+SQL["io_zipped_nodes"] = SQL["prov_extra_brs"]
 for _k in ("pids_institutions", "pids_publishers", "pids_funders"):
     SQL[_k] = _ROR_WIKIDATA
 

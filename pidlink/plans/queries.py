@@ -469,6 +469,38 @@ def pid_index_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return P.index_of_pids(spark, path, pids).select("table_name", "supported_id", "openalex_id")
 
 
+def _local(folder: str) -> str:
+    """The mounted path of a folder: archives are written and read as files."""
+    return folder.removeprefix("file://").removeprefix("file:")
+
+
+def io_zipped_meta(spark: SparkSession, sf: str) -> DataFrame:
+    """Zip archives of Meta CSV, half of the members with their columns in reverse, read by name."""
+    path, meta = _local(_folder(spark, "zip")), A.meta_rows(spark, sf).repartition(8, "id")
+    for half, names in ((0, meta.columns), (1, meta.columns[::-1])):
+        rows = meta.where(F.pmod(F.xxhash64("id"), F.lit(2)) == half)
+        line = F.to_csv(F.struct(*names), {"quoteAll": "true", "escape": '"', "emptyValue": ""}).alias("line")
+        A.write_archives(rows.select(line), f"{path}/{half}", "csv", header=",".join(names))
+    parts = [R.read_zipped_csv(spark, f"{path}/{half}", tuple(meta.columns)) for half in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
+def io_zipped_graphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Provenance graphs from lists in nested archives, as sources per resource."""
+    path, graphs = _local(_folder(spark, "zip")), A.provenance_graphs(spark, sf)
+    A.write_archives(graphs.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in graphs.columns))).alias("line")), path, "prov")
+    p = PV.provenance_table(R.read_provenance_graphs(spark, path))
+    return p.select("br_uri", F.array_join("sources", " ").alias("sources"), F.size("sources").cast("bigint").alias("n_sources"))
+
+
+def io_zipped_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Resource nodes from lists in nested archives, as the records that the mapping did not process."""
+    path, nodes = _local(_folder(spark, "zip")), A.br_nodes(spark, sf)
+    graph = F.struct(F.col("`@id`"), F.array(F.struct(*(F.col(f"`{c}`") for c in nodes.columns))).alias("@graph"))
+    A.write_archives(nodes.select(F.to_json(graph).alias("line")), path, "br")
+    return PV.extra_records(R.read_br_nodes(spark, path), PV.processed_omids(X.primary_entities(A.meta_rows(spark, sf))))
+
+
 def io_create_once(spark: SparkSession, sf: str) -> DataFrame:
     """A new table, and the refusal to write it again."""
     path, w = _folder(spark, "create"), A.work_records(spark, sf).select("id", "type")
@@ -500,6 +532,7 @@ QUERIES: dict[str, Query] = {
         inverted_multi_mapped, venue_row_overlap, coverage_meta, coverage_openalex,
         io_csv_tables, io_json_lines, io_openalex_dump, io_counts_document, io_append_upsert, io_create_once,
         io_partial_upsert, io_single_csv, io_inverted_pairs, io_matching_records, meta_reduced_tables, pid_index_lookup,
+        io_zipped_meta, io_zipped_graphs, io_zipped_nodes,
     ]
 }
 

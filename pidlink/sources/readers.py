@@ -23,7 +23,7 @@ from pidlink.sources.dumps import CORRUPT, parse_dump
 META_COLUMNS = ("id", "title", "author", "issue", "volume", "venue", "page", "pub_date", "type", "publisher", "editor")
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
+def is_folder(spark: SparkSession, path: str) -> bool:
     """Whether a path of any file system that Spark knows is an existing folder."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -36,7 +36,7 @@ def read_csv_tables(spark: SparkSession, *dirs: str, columns: tuple[str, ...] |
     Columns are matched by name, file by file: the files of one folder may have other column
     orders, and a column that a file lacks is NULL for its rows."""
     for d in dirs:
-        if not _is_folder(spark, d):
+        if not is_folder(spark, d):
             raise ValueError(f"no such folder: {d}")
     return read_csv_files(spark, dirs, columns)
 
@@ -44,8 +44,13 @@ def read_csv_tables(spark: SparkSession, *dirs: str, columns: tuple[str, ...] |
 def read_meta_dump(spark: SparkSession, path: str, columns: tuple[str, ...] = META_COLUMNS) -> DataFrame:
     """Meta CSV dump: a directory of CSV files on any file system, or a zip archive (``.csv``
     members only), which must be on a path that the driver and every executor have mounted."""
-    if _is_folder(spark, path):
+    if is_folder(spark, path):
         return read_csv_tables(spark, path, columns=columns)
+    return read_zipped_csv(spark, path, columns)
+
+
+def read_zipped_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
+    """The ``.csv`` members of a zip archive, or of all ``*.zip`` archives of a folder, by name."""
     zipsource.register(spark)
     schema = ", ".join(f"`{c}` string" for c in columns)
     return spark.read.format("pidlink_zipcsv").schema(schema).load(path)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import re
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -44,7 +45,11 @@ class MemberPartition(InputPartition):
 
 
 def packed(path: str, suffix: str, exclude: str | None, partition_bytes: int) -> list[MemberPartition]:
-    """Members of the archive, in file order, in groups of about ``partition_bytes`` compressed."""
+    """Members of an archive (of each ``*.zip`` of a folder), in file order, in groups of about
+    ``partition_bytes`` compressed."""
+    if os.path.isdir(path):
+        archives = sorted(os.path.join(path, f) for f in os.listdir(path) if f.endswith(".zip"))
+        return [part for a in archives for part in packed(a, suffix, exclude, partition_bytes)]
     with zipfile.ZipFile(path) as z:
         members = [m for m in z.infolist() if m.filename.endswith(suffix) and not (exclude and exclude in m.filename)]
     groups: list[list[str]] = []
@@ -96,7 +101,7 @@ def csv_rows(stream: BinaryIO, columns: list[str]) -> Iterator[tuple[str | None,
 
 class _ZipCsvReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
-        self.path = options["path"]
+        self.path = options["path"].removeprefix("file://").removeprefix("file:")
         self.suffix = options.get("memberSuffix", ".csv")
         self.partition_bytes = int(options.get("partitionBytes", PARTITION_BYTES))
         self.columns = schema.fieldNames()
@@ -192,7 +197,7 @@ def json_elements(stream: BinaryIO) -> Iterator[bytes]:
 
 class _ZipJsonReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path = options["path"]
+        self.path = options["path"].removeprefix("file://").removeprefix("file:")
         self.suffix = options.get("memberSuffix", ".json")
         self.exclude = options.get("memberExclude")
         self.inner_suffix = options.get("innerSuffix")  # set -> members are zips holding JSON
