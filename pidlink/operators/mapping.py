@@ -3,11 +3,11 @@
 Plan: choose the PIDs to look up (one tier) and sort them: records with the same PID set map to the
 same ids, so each distinct set is resolved once and the list joined back last.
 
-* One PID (nearly all records): the record joins the PID's row of ``pid_lists`` directly.
-* Several: the distinct sets are exploded, joined with ``pid_lists``, and their lists united per
-  set; the records join their set's row.
+* The key of a record with one PID (nearly all) is that PID, its list the PID's row of ``pid_lists``.
+* The distinct sets of several PIDs are exploded, joined with ``pid_lists``, and their lists united
+  per set; such a record's key is its set.
 
-A record crosses a shuffle once, on its key, without any id list; lists move once per PID and once
+Records then join the lists of PIDs and sets by their key. A record crosses a shuffle once, on its key, without any id list; lists move once per PID and once
 per distinct set. A PID shared by very many records is a hot key of the join's left side only:
 both sides are plain shuffles when ``pid_lists`` is stored (as ``run_mapping`` makes it), and AQE's
 skew join splits the hot partition at run time. Records without a PID get keys of their own, which
@@ -55,19 +55,23 @@ def pid_lists(index: DataFrame) -> DataFrame:
     return held.groupBy(F.col("supported_id").alias("pid")).agg(F.array_sort(F.collect_set("openalex_id")).alias("oaids"))
 
 
-def _keyed(entities: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Records with their lookup key: those with one PID or none (the PID, or a key that no PID
-    equals), and those with several (the sorted PIDs, joined by blanks, which no PID holds)."""
-    found = entities.select(*columns, F.array_sort(F.array_distinct(lookup_pids("ids"))).alias("_pids"))
-    few = found.where(F.size("_pids") <= 1).select(
-        *columns, F.coalesce(F.get("_pids", F.lit(0)), F.concat(F.lit("-"), F.col("omid"))).alias("_key"))
-    several = found.where(F.size("_pids") > 1).select(*columns, F.array_join("_pids", " ").alias("_key"))
-    return few, several
+def keyed_records(entities: DataFrame, columns: list[str]) -> DataFrame:
+    """Records with their lookup key: the one PID; several sorted PIDs, joined by blanks, which no PID
+    holds; or, without any, a key that no PID equals."""
+    if "_key" in entities.columns:
+        return entities.select(*columns, "_key")
+    pids = entities.select(*columns, F.array_sort(F.array_distinct(lookup_pids("ids"))).alias("_pids"))
+    none = F.concat(F.lit("-"), F.col("omid"))
+    return pids.select(*columns, F.when(F.size("_pids") == 0, none).otherwise(F.array_join("_pids", " ")).alias("_key"))
 
 
-def _exploded_sets(several: DataFrame) -> DataFrame:
+def _several() -> Column:
+    return F.col("_key").contains(" ")
+
+
+def _exploded_sets(records: DataFrame) -> DataFrame:
     """Each distinct set of several PIDs once: (_key, pid)."""
-    return several.select("_key").distinct().select("_key", F.explode(F.split("_key", " ")).alias("pid"))
+    return records.where(_several()).select("_key").distinct().select("_key", F.explode(F.split("_key", " ")).alias("pid"))
 
 
 def map_records(
@@ -76,29 +80,36 @@ def map_records(
     *,
     type_field: bool = True,
     all_rows: bool = True,
+    index_in_place: bool = False,
 ) -> DataFrame:
     """All records with their sorted distinct OpenAlex ids and outcome.
 
-    ``index`` is the PID index, or its stored ``pid_lists``. Input: (omid, ids[, type]). Output:
-    omid, [type,] openalex_ids (array, sorted), n_openalex (bigint), outcome ('mapped' |
-    'multi_mapped' | 'unmapped'), one row per input row.
+    ``index`` is the PID index, or its stored ``pid_lists``. Input: (omid, ids[, type]), or records
+    of ``keyed_records``. Output: omid, [type,] openalex_ids (array, sorted), n_openalex (bigint), outcome
+    ('mapped' | 'multi_mapped' | 'unmapped'), one row per input row. ``index_in_place`` is for an index
+    that is stored in buckets of its PIDs: records with one PID then join it by themselves, where it
+    lies, and the others join the sets; the records are read once more for that.
     """
     if not all_rows:
         entities = entities.where(~has_openalex_id("ids"))
     columns = ["omid"] + (["type"] if type_field else [])
     lists = index if "oaids" in index.columns else pid_lists(index)
-    few, several = _keyed(entities, columns)
-    of_sets = _exploded_sets(several).join(lists, "pid").groupBy("_key").agg(
+    records = keyed_records(entities, columns)
+    of_sets = _exploded_sets(records).join(lists, "pid").groupBy("_key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("oaids")))).alias("oaids"))
+    of_pids = lists.select(F.col("pid").alias("_key"), "oaids")
 
-    def matched(records: DataFrame, found: DataFrame) -> DataFrame:
+    def matched(some: DataFrame, found: DataFrame) -> DataFrame:
         # the number is taken on the side that holds each list once
         found = found.select("_key", "oaids", F.size("oaids").cast("bigint").alias("_n"))
-        return records.join(found, "_key", "left").select(*columns, "oaids", "_n")
+        return some.join(found, "_key", "left").select(*columns, "oaids", "_n")
 
-    both = matched(few, lists.withColumnRenamed("pid", "_key")).unionByName(matched(several, of_sets))
+    if index_in_place:
+        found = matched(records.where(~_several()), of_pids).unionByName(matched(records.where(_several()), of_sets))
+    else:
+        found = matched(records, of_pids.unionByName(of_sets))
     n = F.coalesce("_n", F.lit(0).cast("bigint"))
-    return both.select(
+    return found.select(
         *columns,
         F.coalesce("oaids", F.array().cast("array<string>")).alias("openalex_ids"),
         n.alias("n_openalex"),
@@ -107,16 +118,15 @@ def map_records(
 
 
 def unmapped_records(entities: DataFrame, index: DataFrame, *, type_field: bool = True, all_rows: bool = True) -> DataFrame:
-    """The unmapped records alone: omid[, type]. Like ``unmapped(map_records(...))``, by anti joins
-    with the PIDs of the index: no list of OpenAlex ids is made."""
+    """The unmapped records alone: omid[, type]. Like ``unmapped(map_records(...))``, by an anti join
+    with the PIDs of the index and the sets that hold one: no list of OpenAlex ids is made."""
     if not all_rows:
         entities = entities.where(~has_openalex_id("ids"))
     columns = ["omid"] + (["type"] if type_field else [])
     known = index.select(F.col("pid" if "oaids" in index.columns else "supported_id").alias("pid"))
-    few, several = _keyed(entities, columns)
-    of_sets = _exploded_sets(several).join(known, "pid", "left_semi").select("_key").distinct()
-    rest = few.join(known.withColumnRenamed("pid", "_key"), "_key", "left_anti").unionByName(several.join(of_sets, "_key", "left_anti"))
-    return rest.select(*columns)
+    records = keyed_records(entities, columns)
+    of_sets = _exploded_sets(records).join(known, "pid", "left_semi").select("_key").distinct()
+    return records.join(known.select(F.col("pid").alias("_key")).unionByName(of_sets), "_key", "left_anti").select(*columns)
 
 
 def openalex_id_text(df: DataFrame) -> Column:

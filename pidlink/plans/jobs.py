@@ -9,6 +9,7 @@ their lineage with a reliable checkpoint in the cluster's shared checkpoint fold
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
@@ -34,7 +35,15 @@ class MappingResult:
     all_rows: bool
     primary_entities: DataFrame
     index: DataFrame
-    result: DataFrame  # omid, type, openalex_ids, n_openalex, outcome
+    index_in_place: bool = False
+
+    @cached_property
+    def result(self) -> DataFrame:
+        """omid, type, openalex_ids, n_openalex, outcome. The records' keys are read by the join and by
+        the resolution of PID sets: they are stored once."""
+        entities = self.primary_entities if self.all_rows else self.primary_entities.where(~X.has_openalex_id("ids"))
+        keyed = cut_lineage(M.keyed_records(entities, ["omid", "type"]))
+        return M.map_records(keyed, self.index, index_in_place=self.index_in_place)
 
     @property
     def venues(self) -> DataFrame:
@@ -53,22 +62,23 @@ class MappingResult:
     def unmapped(self) -> DataFrame:
         return M.unmapped(self.result)
 
+
 def build_index(works: DataFrame, sources: DataFrame) -> DataFrame:
     return P.pid_index(P.work_pids(works), P.source_pids(sources))
 
 
 def mapping_job(meta: DataFrame, works: DataFrame, sources: DataFrame, *, all_rows: bool = True,
-                index: DataFrame | None = None) -> MappingResult:
+                index: DataFrame | None = None, index_in_place: bool = False) -> MappingResult:
     """Meta rows x OpenAlex Works/Sources -> reduced Meta tables, PID index, mapping."""
     entities = X.primary_entities(meta, all_rows=all_rows)
     idx = index if index is not None else build_index(works, sources)
-    result = M.map_records(entities, idx, type_field=True, all_rows=all_rows)
-    return MappingResult(meta, all_rows, entities, idx, result)
+    return MappingResult(meta, all_rows, entities, idx, index_in_place)
 
 
-def map_venues(venues: DataFrame, index: DataFrame) -> DataFrame:
+def map_venues(venues: DataFrame, index: DataFrame, index_in_place: bool = False) -> DataFrame:
     """Mapping of the venue table, which has no type column."""
-    return M.map_records(venues, index, type_field=False)
+    keyed = cut_lineage(M.keyed_records(venues, ["omid"]))
+    return M.map_records(keyed, index, type_field=False, index_in_place=index_in_place)
 
 
 # ------------------------------------------------------------------ E2 categorisation
@@ -215,7 +225,8 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
             index = spark.read.parquet(paths["pid_lists"])
         # one parse of the Meta dump, of the columns the tables read
         meta = cut_lineage(R.read_meta_dump(spark, meta_dump, ("id", "author", "venue", "type", "publisher", "editor")))
-        m = mapping_job(meta, works.records, sources.records, all_rows=all_rows, index=index)
+        m = mapping_job(meta, works.records, sources.records, all_rows=all_rows, index=index,
+                        index_in_place=bool(index_table))
         W.write_csv(m.primary_entities, paths["primary_ents"], rows_per_file)
         W.write_csv(m.venues, paths["venues"], rows_per_file)
         W.write_csv(m.responsible_agents, paths["resp_ags"], rows_per_file)
@@ -223,7 +234,7 @@ def run_mapping(spark, meta_dump: str, works_dir: str, sources_dir: str, out_dir
         W.write_csv(M.mapped(result), paths["mapped"], rows_per_file)
         write_multi(M.multi_mapped(result), paths["multi_mapped"])
         W.write_csv(M.unmapped(result), paths["non_mapped"], rows_per_file)
-        vres = cut_lineage(map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index))
+        vres = cut_lineage(map_venues(spark.read.options(**R.CSV_OPTIONS).csv(paths["venues"]), index, bool(index_table)))
         W.write_csv(M.mapped(vres), paths["venues_mapped"], rows_per_file)
         write_multi(M.multi_mapped(vres), paths["venues_multi_mapped"])
         W.write_csv(M.unmapped(vres), paths["venues_non_mapped"], rows_per_file)

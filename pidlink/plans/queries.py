@@ -56,9 +56,9 @@ def _categories(spark: SparkSession, sf: str) -> J.Categories:
 
 
 def _provenance(spark: SparkSession, sf: str) -> J.ProvenanceResult:
-    entities = X.primary_entities(A.meta_rows(spark, sf))
-    index = J.build_index(A.work_records(spark, sf), A.source_records(spark, sf))
-    unmapped = J.cut_lineage(M.unmapped_records(entities, index))  # read by counts and by the records without provenance
+    # read by the records to trace and by their PID sets, and as the set of processed records
+    entities = J.cut_lineage(M.keyed_records(X.primary_entities(A.meta_rows(spark, sf)), ["omid", "type"]))
+    unmapped = M.unmapped_records(entities, J.build_index(A.work_records(spark, sf), A.source_records(spark, sf)))
     return J.provenance_job(A.provenance_graphs(spark, sf), A.br_nodes(spark, sf), entities, unmapped)
 
 
@@ -133,7 +133,7 @@ def map_multi(spark: SparkSession, sf: str) -> DataFrame:
 
 def map_unmapped(spark: SparkSession, sf: str) -> DataFrame:
     m = _mapping(spark, sf)
-    return M.unmapped_records(m.primary_entities, m.index)
+    return M.unmapped_records(J.cut_lineage(M.keyed_records(m.primary_entities, ["omid", "type"])), m.index)
 
 
 def map_new_only(spark: SparkSession, sf: str) -> DataFrame:

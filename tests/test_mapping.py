@@ -94,8 +94,8 @@ def tier(ids):
 def test_sets_are_resolved_like_single_lookups(spark):
     ents, idx, e, i = random_input(spark)
     want = sorted((o, str(t), tuple(sorted({w for p in tier(ids) for q, w in idx if p == q}))) for o, ids, t in ents)
-    for index in (i, M.pid_lists(i)):
-        got = M.map_records(e, index).collect()
+    for index, in_place in ((i, False), (M.pid_lists(i), False), (i, True)):
+        got = M.map_records(e, index, index_in_place=in_place).collect()
         assert sorted((r.omid, str(r.type), tuple(r.openalex_ids)) for r in got) == want
         assert all(r.n_openalex == len(r.openalex_ids) for r in got)
         lacking = M.unmapped_records(e, index).collect()
@@ -122,7 +122,7 @@ def test_no_id_list_crosses_a_shuffle_per_record(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(exchanges) >= 4
     of_records = [x for x in exchanges if "omid" in x]
-    assert len(of_records) == 2 and all(set(x) == {"omid", "type", "_key"} for x in of_records)
+    assert len(of_records) == 1 and all(set(x) == {"omid", "type", "_key"} for x in of_records)
 
 
 def test_many_records_on_one_pid_of_many_ids(spark):
@@ -191,7 +191,7 @@ def test_bucketed_index_is_joined_without_shuffling_it(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        r = M.map_records(read_golden(spark, "primary_ents.csv"), spark.table(name))
+        r = M.map_records(read_golden(spark, "primary_ents.csv"), spark.table(name), index_in_place=True)
         assert rows(M.mapped(r), ["omid", "openalex_id", "type"]) == rows(read_golden(spark, "mapped.csv"),
                                                                            ["omid", "openalex_id", "type"])
         def index_shuffles(df):
