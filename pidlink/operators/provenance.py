@@ -50,6 +50,11 @@ def graph_provenance(graphs: DataFrame) -> DataFrame:
     )
 
 
+def _per_graph(graphs: DataFrame) -> DataFrame:
+    """``graph_provenance``, unless that is what is given."""
+    return graphs if "br_uri" in graphs.columns else graph_provenance(graphs)
+
+
 def dropped_graphs(graphs: DataFrame) -> DataFrame:
     """Exactly the graphs that ``graph_provenance`` leaves out: without a source id or without the
     id of a described resource, lists of objects without ids and graphs without snapshots included."""
@@ -63,7 +68,7 @@ def provenance_table(graphs: DataFrame) -> DataFrame:
     The (br, source) pairs are de-duplicated map-side before the shuffle, so a resource
     with very many graphs is combined per task and its final group holds distinct sources only.
     """
-    pairs = graph_provenance(graphs).select("br_uri", F.explode("sources").alias("source")).distinct()
+    pairs = _per_graph(graphs).select("br_uri", F.explode("sources").alias("source")).distinct()
     return pairs.groupBy("br_uri").agg(F.array_sort(F.collect_set("source")).alias("sources"))
 
 
@@ -74,7 +79,7 @@ MAX_MASK_SOURCES = 64 * WORD_BITS
 
 def source_names(graphs: DataFrame, most: int = MAX_MASK_SOURCES) -> list[str] | None:
     """The dictionary of sources, sorted; None if there are more than ``most``."""
-    names = graph_provenance(graphs).select(F.explode("sources").alias("source")).distinct().limit(most + 1).collect()
+    names = _per_graph(graphs).select(F.explode("sources").alias("source")).distinct().limit(most + 1).collect()
     return sorted(r.source for r in names) if len(names) <= most else None
 
 
@@ -96,7 +101,7 @@ def provenance_masks(graphs: DataFrame, names: list[str]) -> DataFrame:
         return F.aggregate("sources", F.lit(0).cast("long"), added)
 
     words = _words(names)
-    rows = graph_provenance(graphs).select("br_uri", *(word(i).alias(w) for i, w in enumerate(words)))
+    rows = _per_graph(graphs).select("br_uri", *(word(i).alias(w) for i, w in enumerate(words)))
     return rows.groupBy("br_uri").agg(*(F.bit_or(w).alias(w) for w in words))
 
 

@@ -147,7 +147,8 @@ class ProvenanceResult:
 
 def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: DataFrame,
                    unmapped: DataFrame) -> ProvenanceResult:
-    """``graphs`` are read for the dictionary of sources and for the masks: pass a stored table."""
+    """The provenance of each graph is stored once, for the dictionary of sources and for the masks."""
+    graphs = cut_lineage(PV.graph_provenance(graphs))
     prov = PV.provenance_table(graphs)
     extra = PV.extra_records(br_nodes, PV.processed_omids(primary_entities))
     records = PV.records_to_trace(extra, unmapped)
