@@ -8,10 +8,12 @@ jobs compute: no id is extracted, matched, de-duplicated or classified here.
 
 from __future__ import annotations
 
-import io
+import itertools
 import os
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -178,25 +180,51 @@ def reference_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ archives
 
 
-def write_archives(lines: DataFrame, folder: str, kind: str, header: str = "") -> None:
+#: A member of an archive ends after so many bytes of lines.
+MEMBER_BYTES = 32 << 20
+
+
+@contextmanager
+def _member(archive: zipfile.ZipFile, kind: str, number: int, header: str) -> Iterator[BinaryIO]:
+    """A member of an archive, open for its lines; ``prov`` and ``br`` members are archives, streamed too."""
+    block = 1000 * (number + 1)
+    if kind == "csv":
+        with archive.open(f"csv/part{block}.csv", "w") as out:
+            out.write(f"{header}\n".encode())
+            yield out
+        return
+    outer, inner = (f"br/060/{block}/prov/se.zip", "se.json") if kind == "prov" else (f"br/060/{block}.zip", f"{block}.json")
+    with archive.open(outer, "w") as member, zipfile.ZipFile(member, "w", zipfile.ZIP_DEFLATED) as nested, nested.open(inner, "w") as out:
+        out.write(b"[")
+        yield out
+        out.write(b"]")
+
+
+def write_archives(lines: DataFrame, folder: str, kind: str, header: str = "", member_bytes: int = MEMBER_BYTES) -> None:
     """One zip archive per partition of one column of text lines, as the dumps have them: ``csv`` with
-    a member of CSV lines below the header, ``prov`` and ``br`` with a nested archive that holds a
-    JSON list of the lines. A retried task writes the same file again."""
+    members of CSV lines below the header, ``prov`` and ``br`` with nested archives that hold a
+    JSON list of lines. Lines are streamed into members of about ``member_bytes``, so a task holds
+    one Arrow batch however many lines it has. A retried task writes the same file again."""
     os.makedirs(folder, exist_ok=True)
+    between = "\n" if kind == "csv" else ",\n"
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = [t for b in batches for t in b.column(0).to_pylist()]
+        texts = (t for b in batches for t in b.column(0).to_pylist())
         path = os.path.join(folder, f"{TaskContext.get().partitionId():05}.zip")
+        n, text = 0, next(texts, None)
         with zipfile.ZipFile(f"{path}.tmp", "w", zipfile.ZIP_DEFLATED) as z:
-            if kind == "csv":
-                z.writestr("csv/part.csv", "\n".join([header, *texts]) + "\n")
-            else:
-                inner = io.BytesIO()
-                with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as y:
-                    y.writestr("se.json" if kind == "prov" else "1000.json", "[" + ",\n".join(texts) + "]")
-                z.writestr("br/060/1000/prov/se.zip" if kind == "prov" else "br/060/1000.zip", inner.getvalue())
+            for number in itertools.count():
+                with _member(z, kind, number, header) as out:
+                    held = 0
+                    while text is not None and held < member_bytes:
+                        held += out.write((between * (held > 0) + text).encode())
+                        n, text = n + 1, next(texts, None)
+                    if kind == "csv":
+                        out.write(b"\n")
+                if text is None:
+                    break
         os.replace(f"{path}.tmp", path)
-        yield pa.RecordBatch.from_pydict({"n": [len(texts)]})
+        yield pa.RecordBatch.from_pydict({"n": [n]})
 
     lines.mapInArrow(write, "n long").agg(F.sum("n")).collect()
 

@@ -476,7 +476,7 @@ def _local(folder: str) -> str:
 
 def io_zipped_meta(spark: SparkSession, sf: str) -> DataFrame:
     """Zip archives of Meta CSV, half of the members with their columns in reverse, read by name."""
-    path, meta = _local(_folder(spark, "zip")), A.meta_rows(spark, sf).repartition(8, "id")
+    path, meta = _local(_folder(spark, "zip")), A.meta_rows(spark, sf)
     for half, names in ((0, meta.columns), (1, meta.columns[::-1])):
         rows = meta.where(F.pmod(F.xxhash64("id"), F.lit(2)) == half)
         line = F.to_csv(F.struct(*names), {"quoteAll": "true", "escape": '"', "emptyValue": ""}).alias("line")

@@ -147,3 +147,30 @@ def test_memory_does_not_grow_with_the_member(tmpdir_path, nested):
     out = subprocess.run([sys.executable, "-c", MEASURE.format(root=ROOT, options=options)], capture_output=True, check=True, text=True)
     n, size, grown = json.loads(out.stdout)
     assert n == rows and size > 180 << 20 and grown < 60
+
+
+def test_archives_are_streamed_in_members(spark, tmpdir_path):
+    """A partition's lines go to members of bounded size, whatever their number; none is lost."""
+    from pyspark.sql import functions as F
+
+    from pidlink.functions import constants as K
+    from pidlink.plans import adapters as A
+    from pidlink.sources import readers as R
+
+    ids = spark.range(0, 3000, 1, 2).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("@id"))
+    sent = sorted(r["@id"] for r in ids.collect())
+    node = F.struct(F.col("`@id`"), F.array(F.lit(K.FABIO_EXPRESSION)).alias("@type"))
+    lines = {"prov": F.to_json(F.struct("`@id`")), "br": F.to_json(F.struct("`@id`", F.array(node).alias("@graph"))), "csv": F.to_csv(F.struct("`@id`"))}
+    for kind, line in lines.items():
+        folder = os.path.join(tmpdir_path, kind)
+        A.write_archives(ids.select(line.alias("line")), folder, kind, header="@id", member_bytes=1500)
+        archives = sorted(os.listdir(folder))
+        assert len(archives) == 2
+        for a in archives:
+            with zipfile.ZipFile(os.path.join(folder, a)) as z:
+                sizes = [m.file_size for m in z.infolist()]
+                assert len(sizes) > 3 and (kind != "csv" or max(sizes) < 1600)
+        read = {"prov": R.read_provenance_graphs, "br": R.read_br_nodes, "csv": lambda s, p: R.read_zipped_csv(s, p, ("@id",))}[kind]
+        assert sorted(r["@id"] for r in read(spark, folder).select("`@id`").collect()) == sent
+    A.write_archives(ids.where("`@id` = 'none'").select(lines["prov"].alias("line")), os.path.join(tmpdir_path, "none"), "prov")
+    assert R.read_provenance_graphs(spark, os.path.join(tmpdir_path, "none")).count() == 0
