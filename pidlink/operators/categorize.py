@@ -11,10 +11,15 @@ the sorted id lists of the mapping.
 Shuffles: the one join of exploded positions with the Works' attributes (one row per Work) and
 the group by row. Every group is bounded by the size of one row's id list, which
 already exists as one row.
+
+Many rows may have one id list (the records of one ISSN). ``Listed`` holds each list once: lists are
+then exploded and classified once each, and a row meets its list only in the last join.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,22 +30,50 @@ ROW_KEY = ["omid", "openalex_id", "type"]
 NON_CLASSIFIED = "non classified"
 
 
-def _rows(mm: DataFrame) -> DataFrame:
-    """Distinct multi-mapped rows with their multiplicity, id list and entity case."""
-    rows = mm.select(*ROW_KEY).groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_n"))
-    entity = (
+@dataclass
+class Listed:
+    """Multi-mapped records with each id list once: ``rows`` (omid, type, _list; rows of other lists do
+    not count) and ``lists`` (_list, openalex_id; one row per _list)."""
+
+    rows: DataFrame
+    lists: DataFrame
+
+
+def listed(mm: DataFrame) -> Listed:
+    """A multi-mapped table with each id list once. A list's key is its text, or the SHA-256 of a long one."""
+    key = F.when(F.length("openalex_id") > 64, F.sha2("openalex_id", 256)).otherwise(F.col("openalex_id")).alias("_list")
+    return Listed(mm.select("omid", "type", key), mm.select(key, "openalex_id").distinct())
+
+
+def _to_classify(mm: DataFrame | Listed, entity: str) -> tuple[list[str], DataFrame]:
+    """What is classified once, of one entity case, with its id list: each list, or each distinct row
+    with its multiplicity; and the columns that name it."""
+    if isinstance(mm, Listed):
+        keys, rows = ["_list"], mm.lists
+    else:
+        keys, rows = [*ROW_KEY, "_n"], mm.select(*ROW_KEY).groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    found = (
         F.when(F.col("openalex_id").startswith("W"), "works").when(F.col("openalex_id").startswith("S"), "sources")
     )
-    return rows.withColumn("entity", entity).withColumn("_ids", tokens("openalex_id"))
+    return keys, rows.where(found == entity).select(*keys, tokens("openalex_id").alias("_ids"))
 
 
-def _positions(rows: DataFrame) -> DataFrame:
+def _positions(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(
-        *ROW_KEY, "_n", F.size("_ids").alias("n_ids"),
+        *keys, F.size("_ids").alias("n_ids"),
         F.posexplode("_ids").alias("pos", "oaid"),
     ).withColumn("oa_uri", F.concat(F.lit(K.OPENALEX_URI), F.col("oaid")))
 
 
+def _per_row(mm: DataFrame | Listed, categories: DataFrame) -> DataFrame:
+    """omid, openalex_id, type, category: one row per input row."""
+    if isinstance(mm, Listed):
+        return mm.rows.join(mm.lists.join(categories, "_list"), "_list").select(*ROW_KEY, "category")
+    return categories.select(
+        *ROW_KEY, "category", F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_copy"),
+    ).drop("_copy")
+
+
 def primary_location_version(primary_locations: DataFrame) -> DataFrame:
     """One version per Work: the first row in (work_id, source_id) key order."""
     return primary_locations.groupBy("work_id").agg(F.min_by("version", "source_id").alias("version"))
@@ -93,15 +126,15 @@ def categorize_works(mm: DataFrame, works_ids: DataFrame, works: DataFrame, prim
     return categorize_by_attributes(mm, joined_attributes(works_ids, works, primary_locations), split_clues)
 
 
-def categorize_by_attributes(mm: DataFrame, attributes: DataFrame, split_clues: bool = False) -> DataFrame:
+def categorize_by_attributes(mm: DataFrame | Listed, attributes: DataFrame, split_clues: bool = False) -> DataFrame:
     """As ``categorize_works``, from one row per Work (``flatten.work_attributes``): the positions
     of all id lists meet the Works in one join."""
-    rows = _rows(mm).where(F.col("entity") == "works")
-    pos = _positions(rows).join(attributes.withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
+    keys, rows = _to_classify(mm, "works")
+    pos = _positions(rows, keys).join(attributes.withColumnRenamed("work_id", "oa_uri"), "oa_uri", "left")
     _, prefix, code = doi_events(F.col("doi"), F.col("version"), split_clues)
     has_doi = non_blank(F.col("doi"))
     per_pos = pos.select(
-        *ROW_KEY, "_n", "n_ids", "pos",
+        *keys, "n_ids", "pos",
         F.array_distinct(F.filter(F.array("openalex", "doi", "pmid", "pmcid"), lambda v: non_blank(v))).alias("_vals"),
         has_doi.alias("has_doi"),
         F.when(has_doi, prefix).alias("doi_prefix"),
@@ -111,7 +144,7 @@ def categorize_by_attributes(mm: DataFrame, attributes: DataFrame, split_clues:
 
     # earliest D/B/E event as one long (position, then check order): no sort needed
     ev = F.when(F.col("code").isNotNull(), F.col("pos").cast("long") * 4 + _rank(F.col("code")))
-    summary = per_pos.groupBy(*ROW_KEY, "_n", "n_ids").agg(
+    summary = per_pos.groupBy(*keys, "n_ids").agg(
         F.min(ev).alias("_ev"),
         F.collect_list(F.struct("pos", "_vals")).alias("_pv"),
         F.max(F.when(F.col("pos") == F.col("n_ids") - 1, F.col("has_doi"))).alias("last_has_doi"),
@@ -139,10 +172,7 @@ def categorize_by_attributes(mm: DataFrame, attributes: DataFrame, split_clues:
         .when(same_issuer & (F.col("n_ids") == 2), "C")
         .otherwise(NON_CLASSIFIED)
     )
-    return summary.select(
-        *ROW_KEY, category.alias("category"),
-        F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_copy"),
-    ).drop("_copy")
+    return _per_row(mm, summary.select(*keys, category.alias("category")))
 
 
 def issn_list(issn: Column, is_text: bool) -> Column:
@@ -151,21 +181,18 @@ def issn_list(issn: Column, is_text: bool) -> Column:
     return F.coalesce(arr, F.array().cast("array<string>"))
 
 
-def categorize_sources(mm: DataFrame, sources_ids: DataFrame) -> DataFrame:
+def categorize_sources(mm: DataFrame | Listed, sources_ids: DataFrame) -> DataFrame:
     """Category of every multi-mapped row whose first id is a Source: 'A' when two of its
     Sources share an ISSN (Wikidata and ISSN-L ignored), else non classified."""
-    rows = _rows(mm).where(F.col("entity") == "sources")
+    keys, rows = _to_classify(mm, "sources")
     is_text = dict(sources_ids.dtypes).get("issn") == "string"
     sids = sources_ids.select(F.col("source_id").alias("oa_uri"), issn_list(F.col("issn"), is_text).alias("_issn"))
-    pos = _positions(rows).join(sids, "oa_uri", "left")
+    pos = _positions(rows, keys).join(sids, "oa_uri", "left")
     # the ISSNs of each position once; a value left over after removing repeats is shared
     own = F.array_distinct(F.filter("_issn", lambda v: non_blank(v)))
-    per_row = pos.groupBy(*ROW_KEY, "_n").agg(F.flatten(F.collect_list(F.coalesce(own, F.array().cast("array<string>")))).alias("_v"))
+    per_list = pos.groupBy(*keys).agg(F.flatten(F.collect_list(F.coalesce(own, F.array().cast("array<string>")))).alias("_v"))
     category = F.when(F.size("_v") > F.size(F.array_distinct("_v")), "A").otherwise(NON_CLASSIFIED)
-    return per_row.select(
-        *ROW_KEY, category.alias("category"),
-        F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_copy"),
-    ).drop("_copy")
+    return _per_row(mm, per_list.select(*keys, category.alias("category")))
 
 
 def category_counts(works_cats: DataFrame, sources_cats: DataFrame) -> DataFrame:

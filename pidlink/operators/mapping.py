@@ -74,6 +74,23 @@ def _exploded_sets(records: DataFrame) -> DataFrame:
     return records.where(_several()).select("_key").distinct().select("_key", F.explode(F.split("_key", " ")).alias("pid"))
 
 
+def _lists_of_pids(lists: DataFrame) -> DataFrame:
+    return lists.select(F.col("pid").alias("_key"), "oaids")
+
+
+def _lists_of_sets(records: DataFrame, lists: DataFrame) -> DataFrame:
+    return _exploded_sets(records).join(lists, "pid").groupBy("_key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("oaids")))).alias("oaids"))
+
+
+def multi_mapped_lists(records: DataFrame, index: DataFrame) -> DataFrame:
+    """The id lists of the multi-mapped records, each once: (_key, openalex_id text). ``records`` are those
+    of ``keyed_records``; the ones with such a key are the rows of ``multi_mapped(map_records(...))``."""
+    lists = index if "oaids" in index.columns else pid_lists(index)
+    several = _lists_of_pids(lists).unionByName(_lists_of_sets(records, lists)).where(F.size("oaids") > 1)
+    return several.join(records.select("_key"), "_key", "left_semi").select("_key", F.array_join("oaids", " ").alias("openalex_id"))
+
+
 def map_records(
     entities: DataFrame,
     index: DataFrame,
@@ -95,9 +112,7 @@ def map_records(
     columns = ["omid"] + (["type"] if type_field else [])
     lists = index if "oaids" in index.columns else pid_lists(index)
     records = keyed_records(entities, columns)
-    of_sets = _exploded_sets(records).join(lists, "pid").groupBy("_key").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("oaids")))).alias("oaids"))
-    of_pids = lists.select(F.col("pid").alias("_key"), "oaids")
+    of_sets, of_pids = _lists_of_sets(records, lists), _lists_of_pids(lists)
 
     def matched(some: DataFrame, found: DataFrame) -> DataFrame:
         # the number is taken on the side that holds each list once

@@ -38,12 +38,16 @@ class MappingResult:
     index_in_place: bool = False
 
     @cached_property
-    def result(self) -> DataFrame:
-        """omid, type, openalex_ids, n_openalex, outcome. The records' keys are read by the join and by
-        the resolution of PID sets: they are stored once."""
+    def keyed(self) -> DataFrame:
+        """The records with their keys, which are read by the join and by the resolution of PID sets:
+        they are stored once."""
         entities = self.primary_entities if self.all_rows else self.primary_entities.where(~X.has_openalex_id("ids"))
-        keyed = cut_lineage(M.keyed_records(entities, ["omid", "type"]))
-        return M.map_records(keyed, self.index, index_in_place=self.index_in_place)
+        return cut_lineage(M.keyed_records(entities, ["omid", "type"]))
+
+    @cached_property
+    def result(self) -> DataFrame:
+        """omid, type, openalex_ids, n_openalex, outcome."""
+        return M.map_records(self.keyed, self.index, index_in_place=self.index_in_place)
 
     @property
     def venues(self) -> DataFrame:
@@ -59,6 +63,11 @@ class MappingResult:
     def multi_mapped(self) -> DataFrame:
         return M.multi_mapped(self.result)
 
+    def multi_mapped_listed(self) -> C.Listed:
+        """``multi_mapped`` with each id list once: no list is written once per record."""
+        lists = M.multi_mapped_lists(self.keyed, self.index).withColumnRenamed("_key", "_list")
+        return C.Listed(self.keyed.withColumnRenamed("_key", "_list"), lists)
+
     def unmapped(self) -> DataFrame:
         return M.unmapped(self.result)
 
@@ -104,31 +113,34 @@ class Categories:
     """Categories of the multi-mapped records. Each side is built on first use, so asking
     for the Sources categories never selects Works."""
 
-    def __init__(self, multi_mapped: DataFrame, works: DataFrame, sources: DataFrame):
+    def __init__(self, multi_mapped: DataFrame | C.Listed, works: DataFrame, sources: DataFrame):
         self.multi_mapped, self._works_in, self._sources_in = multi_mapped, works, sources
+        self._id_lists = multi_mapped.lists if isinstance(multi_mapped, C.Listed) else multi_mapped
         self._works = self._sources = None
 
     @property
     def works(self) -> DataFrame:
         if self._works is None:
-            self._works = C.categorize_by_attributes(self.multi_mapped, work_attributes(self.multi_mapped, self._works_in))
+            self._works = C.categorize_by_attributes(self.multi_mapped, work_attributes(self._id_lists, self._works_in))
         return self._works
 
     @property
     def sources(self) -> DataFrame:
         if self._sources is None:
-            self._sources = C.categorize_sources(self.multi_mapped, source_ids_table(self.multi_mapped, self._sources_in))
+            self._sources = C.categorize_sources(self.multi_mapped, source_ids_table(self._id_lists, self._sources_in))
         return self._sources
 
     def counts(self) -> DataFrame:
         return C.category_counts(self.works, self.sources)
 
 
-def categorisation_job(multi_mapped: DataFrame, works: DataFrame, sources: DataFrame,
+def categorisation_job(multi_mapped: DataFrame | C.Listed, works: DataFrame, sources: DataFrame,
                        materialize: bool = True) -> Categories:
-    """``multi_mapped`` is read by the id selection and by both classifiers: it is
-    checkpointed once unless the caller passes an already stored table."""
-    if materialize:
+    """``multi_mapped`` is read by the id selection and by both classifiers: it (of a listed one, its
+    lists) is checkpointed once unless the caller passes an already stored table."""
+    if materialize and isinstance(multi_mapped, C.Listed):
+        multi_mapped = C.Listed(multi_mapped.rows, cut_lineage(multi_mapped.lists))
+    elif materialize:
         multi_mapped = cut_lineage(multi_mapped)
     return Categories(multi_mapped, works, sources)
 
@@ -266,7 +278,7 @@ def run_categorisation(spark, multi_mapped_dir: str, works_dir: str, sources_dir
                                 ids.where("entity = 'works'").select("openalex_id"), f"{scratch}/works")
         sources = D.keep_matching(spark, sources_dir, _only(SC.source_schema(), "id", "ids"),
                                   ids.where("entity = 'sources'").select("openalex_id"), f"{scratch}/sources")
-        cats = categorisation_job(mm, works.records, sources.records, materialize=False)
+        cats = categorisation_job(C.listed(mm), works.records, sources.records)
         W.write_csv(cats.works, paths["works_categories"])
         W.write_csv(cats.sources, paths["sources_categories"])
         counts = cut_lineage(cats.counts())

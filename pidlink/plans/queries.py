@@ -51,7 +51,7 @@ def _multi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _categories(spark: SparkSession, sf: str) -> J.Categories:
-    return J.categorisation_job(_multi(spark, sf), A.ordered(A.work_records(spark, sf)),
+    return J.categorisation_job(_mapping(spark, sf).multi_mapped_listed(), A.ordered(A.work_records(spark, sf)),
                                 A.ordered(A.source_records(spark, sf)))
 
 
@@ -262,7 +262,7 @@ def mm_categories_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     earlier = w.withColumn("type", F.lit("erratum")).withColumn("ids", F.col("ids").withField("doi", F.lit("https://doi.org/10.1101/same.v1"))) \
         .withColumn("primary_location", F.col("primary_location").withField("version", F.lit("submittedVersion")))
     works = w.withColumn("_ord", F.lit(2)).unionByName(earlier.withColumn("_ord", F.lit(1)))
-    return J.categorisation_job(_multi(spark, sf), works, A.ordered(A.source_records(spark, sf))).works
+    return J.categorisation_job(_mapping(spark, sf).multi_mapped_listed(), works, A.ordered(A.source_records(spark, sf))).works
 
 
 # ------------------------------------------------------------------ provenance

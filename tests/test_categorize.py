@@ -153,3 +153,43 @@ def test_sources_category_with_null_type(spark):
     got = sorted((r.omid, str(r.type), r.category) for r in C.categorize_sources(mm, sources).collect())
     assert got == [("a", "None", "A"), ("a", "None", "A"), ("a", "x", "A"), ("b", "None", "non classified"),
                    ("c", "x", "non classified")]
+
+
+def test_lists_classified_once_give_the_rows_of_the_table(spark):
+    """Rows that share an id list, rows that come twice, NULL types and lists: as row by row; and no
+    exploded position carries the text of its list."""
+    rng = random.Random(5)
+    uri = "https://openalex.org/"
+    lists = [" ".join(rng.sample([f"{e}{i}" for i in range(9)], rng.randint(2, 4))) for e in "WS" for _ in range(12)] + [" ".join(f"S{i}" for i in range(40)), "X1 X2", None]
+    rows = [(f"omid:br/{i % 90}", rng.choice(lists), rng.choice(["book", "", None])) for i in range(120)] * 2
+    mm = spark.createDataFrame(rows, "omid string, openalex_id string, type string")
+    attributes = spark.createDataFrame(
+        [(f"{uri}W{i}", f"{uri}W{i}", f"https://doi.org/10.{1101 + i % 2}/x{i // 3}.v{i % 2}"[: 99 if i % 3 else -3], None, None, "erratum" if i % 2 else "article", "submittedVersion")
+         for i in range(7)], "work_id string, openalex string, doi string, pmid string, pmcid string, work_type string, version string")
+    sources = spark.createDataFrame([(f"{uri}S{i}", [f"{i // 2}", None]) for i in range(8)], "source_id string, issn array<string>")
+    listed = C.listed(mm)
+    assert listed.lists.count() == len({r[1] for r in rows})
+    for classify, given in ((C.categorize_by_attributes, attributes), (C.categorize_sources, sources)):
+        want = sorted(map(str, classify(mm, given).collect()))
+        got = classify(listed, given)
+        assert want and sorted(map(str, got.collect())) == want and got.columns == classify(mm, given).columns
+        assert len({r.category for r in got.collect()}) > 1
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        generated = [line for line in plan.splitlines() if "Generate posexplode" in line]
+        assert generated and all("openalex_id" not in line for line in generated)
+
+
+def test_mapped_lists_are_those_of_the_mapping(spark):
+    """The multi-mapped records by list are the multi-mapped table: PIDs, sets of PIDs, repeated records."""
+    from pidlink.plans import jobs as J
+
+    meta = spark.createDataFrame(
+        [("omid:br/1 doi:a", ), ("omid:br/2 doi:a", ), ("omid:br/2 doi:a", ), ("omid:br/3 doi:a doi:b", ), ("omid:br/4 doi:b", ), ("omid:br/5 issn:1", ), ("omid:br/6 doi:c doi:d", ), ("omid:br/7 isbn:9", ), (None, )],
+        "id string").selectExpr("id", "'' venue", "'' author", "'' publisher", "'' editor", "IF(id LIKE '%5%', NULL, 'book') type")
+    index = spark.createDataFrame([("doi:a", "W1"), ("doi:a", "W2"), ("doi:b", "W3"), ("doi:c", "W4"), ("doi:d", "W5"), ("doi:z", "W8"), ("doi:z", "W9"), ("issn:1", "S1"), ("issn:1", "S2"), (None, "W7")],
+                                  "supported_id string, openalex_id string")
+    m = J.MappingResult(meta, True, J.X.primary_entities(meta), index)
+    listed = m.multi_mapped_listed()
+    rows = sorted(map(str, listed.rows.join(listed.lists, "_list").select("omid", "openalex_id", "type").collect()))
+    assert rows == sorted(map(str, m.multi_mapped().select("omid", "openalex_id", "type").collect())) and len(rows) >= 5
+    assert sorted(r.openalex_id for r in listed.lists.collect()) == ["S1 S2", "W1 W2", "W1 W2 W3", "W4 W5"]
