@@ -2,7 +2,8 @@
 
 Spark's CSV reader takes the columns of all files of one scan by position. Files of one folder
 may have their columns in different order, or lack some; so the header of every file is read
-first, in one distributed pass in which a task opens one file and stops after its first record.
+first, in one distributed pass in which a task opens one file and stops after its first record (of
+very many files, small ones share tasks).
 Files with the same header then form one scan, whose columns are picked by name, and the scans
 are united by name. Every scan stays a native one: only the asked-for columns are parsed.
 
@@ -21,6 +22,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,16 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "nullValue"
 
 #: A file counts as this large when files are dealt to tasks, so that each task gets one.
 _ONE_FILE_A_TASK = str(1 << 40)
+#: With more files a core than this, those up to so many bytes share tasks: reading one to its end
+#: costs less than a task.
+FILES_A_CORE, SHARED_BYTES = 32, 8 << 20
+
+
+def _header(held: str) -> list[str] | None:
+    """The header in the first lines of a file, if they hold a whole record."""
+    if held.strip() and held.count('"') % 2 == 0:
+        return next(csv.reader([held + "\n"], dialect="unix"))
+    return None
 
 
 def _first_records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,20 +50,62 @@ def _first_records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for line, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             held = f"{held}\n{line}" if held else line.removeprefix("﻿")
-            if held.strip() and held.count('"') % 2 == 0:
-                header = next(csv.reader([held + "\n"], dialect="unix"))
+            if (header := _header(held)) is not None:
                 yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
                 return  # the rest of the file is not read
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv") -> DataFrame:
-    """(path, header) of every CSV file with a record, in the given folders or files."""
+def _first_records_of_each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first record of each of the whole files that a task reads one after the other, as (path,
+    header). Only the lines up to a file's first record become Python texts."""
+    current, held, found = None, "", True
+    for batch in batches:
+        runs = pc.run_end_encode(batch.column(1))
+        start = 0
+        out: list[tuple[str, list[str]]] = []
+        for path, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+            if path != current:
+                current, held, found = path, "", False
+            while start < end and not found:
+                line = batch.column(0)[start].as_py()
+                held = f"{held}\n{line}" if held else line.removeprefix("﻿")
+                start += 1
+                if (header := _header(held)) is not None:
+                    out.append((path, header))
+                    held, found = "", True
+            start = end
+        yield pa.RecordBatch.from_pydict({"path": [p for p, _ in out], "header": [h for _, h in out]},
+                                         pa.schema([("path", pa.string()), ("header", pa.list_(pa.string()))]))
+
+
+_HEADERS = "path string, header array<string>"
+
+
+def all_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv") -> list[tuple[str, list[str]]]:
+    """(path, header) of every CSV file with a record, sorted. Of very many files, the small ones are
+    read several a task, to their ends; each larger one has a task that stops after its first record."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))  # none of the small files is split
+    session.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
+    lines = session.read.option("pathGlobFilter", glob).text(list(paths))
+    parts = [file_headers(spark, paths, glob)]
+    if len(lines.inputFiles()) > FILES_A_CORE * spark.sparkContext.defaultParallelism:
+        small = lines.where(F.col("_metadata.file_size") <= SHARED_BYTES).select("value", "_metadata.file_path")
+        parts = [file_headers(spark, paths, glob, SHARED_BYTES), small.mapInArrow(_first_records_of_each, _HEADERS)]
+    return sorted((r["path"], r["header"]) for part in parts for r in part.collect())
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv", above: int = -1) -> DataFrame:
+    """(path, header) of every CSV file with a record that has more than ``above`` bytes, in the given
+    folders or files."""
     session = spark.newSession()  # same context, settings of its own
     session.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE_A_TASK)
     session.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE_A_TASK)
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     lines = session.read.option("pathGlobFilter", glob).text(list(paths))
-    return lines.select("value", "_metadata.file_path").mapInArrow(_first_records, "path string, header array<string>")
+    if above >= 0:
+        lines = lines.where(F.col("_metadata.file_size") > above)
+    return lines.select("value", "_metadata.file_path").mapInArrow(_first_records, _HEADERS)
 
 
 def _literal_path(uri: str) -> str:
@@ -75,8 +129,8 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[
     """All CSV files in folders or under file names, as text columns matched by name: those of
     ``columns``, or all, in the order of their first file."""
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(file_headers(spark, paths, glob).collect()):
-        by_header.setdefault(tuple(r["header"]), []).append(_literal_path(r["path"]))
+    for path, header in all_headers(spark, paths, glob):
+        by_header.setdefault(tuple(header), []).append(_literal_path(path))
     names = list(columns or dict.fromkeys(n for header in by_header for n in header))
     if len(by_header) <= 1:  # one header: the folders themselves are the scan
         only = next(iter(by_header), tuple(names))

@@ -94,3 +94,24 @@ def test_stream_reads_files_by_name(spark, tmpdir_path):
     once = map_batch(read_golden(spark, "meta_sample.csv"), idx)
     cols = ["omid", "type", "openalex_id", "outcome"]
     assert rows(spark.read.parquet(out), cols) == sorted(2 * rows(once, cols))
+
+
+def test_many_small_files_share_tasks(spark, tmpdir_path, monkeypatch):
+    """The header pass over very many small files has few tasks, and finds the headers that one task a
+    file finds: headers of several lines, blank first lines, marks, files without a record."""
+    from pidlink.sources import csvheaders as H
+
+    texts = ["x,y\n1,2\n", '"a ""b""","two\nlines"\n"1","2"\n', "\n\nz\n1\n", "", "﻿x,y\n", "y,x\n" + "1,2\n" * 3_000]
+    d = put(os.path.join(tmpdir_path, "many"), **{f"f{i}": texts[i % len(texts)] for i in range(60)})
+    want = sorted((r["path"], r["header"]) for r in file_headers(spark, [d]).collect())
+    assert len(want) == 50 and file_headers(spark, [d]).rdd.getNumPartitions() > 40
+    tracker = spark.sparkContext.statusTracker()
+    for shared in (H.SHARED_BYTES, 5_000):  # then the largest files have a task each
+        monkeypatch.setattr(H, "SHARED_BYTES", shared)
+        monkeypatch.setattr(H, "FILES_A_CORE", 1)
+        spark.sparkContext.setJobGroup(f"headers-{shared}", "headers")
+        assert H.all_headers(spark, [d]) == want
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"headers-{shared}")]
+        tasks = sum(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert jobs and tasks < 40
