@@ -141,17 +141,26 @@ def with_fixtures(select_sql: str) -> str:
     return "WITH " + CTE.strip() + "\n" + body
 
 
-# Each driver table is one small parquet file (one split). It is spread over the cluster's
-# cores by a hash of its key (deterministic, so a retried task sees the same rows).
+# A driver table may be one parquet file (one split). It is spread over the cluster's cores, and over
+# more partitions the larger it is, by a hash of its key (deterministic, so a retried task sees the
+# same rows).
+PARTITION_BYTES = 4 << 20
 TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey", "supplier": "s_suppkey"}
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder of any file system that Spark knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
     key = TABLE_KEYS.get(name)
     if key is None:
         return df
-    return df.repartition(max(spark.sparkContext.defaultParallelism, 1), key)
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-stored_bytes(spark, path) // PARTITION_BYTES), 1), key)
 
 
 def register_base_tables(spark: SparkSession, sf_dir: str) -> None:

@@ -78,3 +78,15 @@ def test_query_matches_oracle(spark, duck, name):
     exp = sorted(tuple(norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == exp
 
+
+
+def test_tables_are_dealt_to_more_partitions_the_larger_they_are(spark, tmp_path, monkeypatch):
+    """The rows of a partition do not grow with the table; no row is lost or repeated."""
+    from pidlink import fixtures as FX
+
+    spark.range(20_000).selectExpr("id AS o_orderkey", "uuid() AS o_comment").write.parquet(str(tmp_path / "orders.parquet"))
+    assert FX.base_table(spark, str(tmp_path), "orders").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(FX, "PARTITION_BYTES", 50_000)
+    dealt = FX.base_table(spark, str(tmp_path), "orders")
+    assert dealt.rdd.getNumPartitions() >= FX.stored_bytes(spark, str(tmp_path / "orders.parquet")) / 50_000 > 8
+    assert sorted(r.o_orderkey for r in dealt.select("o_orderkey").collect()) == list(range(20_000))
