@@ -116,9 +116,11 @@ def mask_label(names: list[str]) -> Column:
     return F.array_join(F.filter(F.array(*map(F.lit, names)).cast("array<string>"), there), " ")
 
 
-def processed_omids(primary_entities: DataFrame) -> DataFrame:
-    """OMID set of the records the mapping processed."""
-    return primary_entities.select("omid").distinct()
+def processed_omids(primary_entities: DataFrame, parts: int | None = None) -> DataFrame:
+    """OMID set of the records the mapping processed; with ``parts``, dealt to so many partitions. A join with
+    it then has so many tasks, also where Spark joins each part of a union with the whole set."""
+    omids = primary_entities.select("omid")
+    return (omids if parts is None else omids.repartition(parts, "omid")).distinct()
 
 
 def type_label(types: Column) -> Column:

@@ -22,7 +22,7 @@ from pidlink.operators import flatten as FL
 from pidlink.operators import mapping as M
 from pidlink.operators import pids as P
 from pidlink.operators import provenance as PV
-from pidlink.session import cut_lineage, scratch_folder
+from pidlink.session import cut_lineage, parts_for, scratch_folder
 from pidlink.sources.dumps import Dump
 
 
@@ -159,10 +159,11 @@ class ProvenanceResult:
 
 def provenance_job(graphs: DataFrame, br_nodes: DataFrame, primary_entities: DataFrame,
                    unmapped: DataFrame) -> ProvenanceResult:
-    """The provenance of each graph is stored once, for the dictionary of sources and for the masks."""
+    """The provenance of each graph is stored once, for the dictionary of sources and for the masks. The
+    nodes are counted first: the set of processed records, which is about as large, is dealt by that."""
     graphs = cut_lineage(PV.graph_provenance(graphs))
     prov = PV.provenance_table(graphs)
-    extra = PV.extra_records(br_nodes, PV.processed_omids(primary_entities))
+    extra = PV.extra_records(br_nodes, PV.processed_omids(primary_entities, parts_for(br_nodes.count())))
     records = PV.records_to_trace(extra, unmapped)
     names = PV.source_names(graphs)
     if names is None:  # too many sources for masks: their texts, as in the provenance table

@@ -23,7 +23,7 @@ from pidlink.operators import provenance as PV
 from pidlink.operators import stats as S
 from pidlink.plans import adapters as A
 from pidlink.plans import jobs as J
-from pidlink.session import checkpoint_dir
+from pidlink.session import checkpoint_dir, parts_for
 from pidlink.sources import dumps as D
 from pidlink.sources import readers as R
 from pidlink.sources import schemas as SC
@@ -279,8 +279,9 @@ def prov_dropped_graphs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prov_extra_brs(spark: SparkSession, sf: str) -> DataFrame:
-    processed = PV.processed_omids(X.primary_entities(A.meta_rows(spark, sf)))  # needs no mapping
-    return PV.extra_records(A.br_nodes(spark, sf), processed)
+    nodes = A.br_nodes(spark, sf)
+    processed = PV.processed_omids(X.primary_entities(A.meta_rows(spark, sf)), parts_for(nodes.count()))  # needs no mapping
+    return PV.extra_records(nodes, processed)
 
 
 def prov_missing(spark: SparkSession, sf: str) -> DataFrame:
@@ -498,7 +499,8 @@ def io_zipped_nodes(spark: SparkSession, sf: str) -> DataFrame:
     path, nodes = _local(_folder(spark, "zip")), A.br_nodes(spark, sf)
     graph = F.struct(F.col("`@id`"), F.array(F.struct(*(F.col(f"`{c}`") for c in nodes.columns))).alias("@graph"))
     A.write_archives(nodes.select(F.to_json(graph).alias("line")), path, "br")
-    return PV.extra_records(R.read_br_nodes(spark, path), PV.processed_omids(X.primary_entities(A.meta_rows(spark, sf))))
+    processed = PV.processed_omids(X.primary_entities(A.meta_rows(spark, sf)), parts_for(nodes.count()))
+    return PV.extra_records(R.read_br_nodes(spark, path), processed)
 
 
 def io_create_once(spark: SparkSession, sf: str) -> DataFrame:

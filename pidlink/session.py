@@ -80,6 +80,16 @@ def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a key table that a task of a join takes.
+ROWS_A_TASK = 250_000
+
+
+def parts_for(rows: int) -> int:
+    """Partitions for so many rows. An adaptive plan sizes its tasks by compressed bytes and by the number
+    of cores: of short keys, which compress well, a task then takes millions."""
+    return max(1, -(-rows // ROWS_A_TASK))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

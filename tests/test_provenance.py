@@ -139,3 +139,32 @@ def test_job_with_very_many_sources(spark, monkeypatch):
     monkeypatch.setattr(PV, "source_names", lambda g: None)
     many = J.provenance_job(graphs(spark), nodes, ents, unmapped)
     assert (many.counts.collect(), rows(many.missing)) == want and len(want[0]) == 2
+
+
+def test_set_of_processed_records_is_dealt_by_the_number_of_nodes(spark, monkeypatch):
+    """An adaptive plan made one task of a small part of a union of nodes and the whole set."""
+    from pidlink import session
+    from pidlink.plans import jobs as J
+
+    monkeypatch.setattr(session, "ROWS_A_TASK", 100)
+    kind = f"`@id` string, `@type` array<string>, `{K.DATACITE_HAS_IDENTIFIER}` array<struct<`@id`:string>>"
+
+    def nodes(ids):
+        return spark.createDataFrame([(META + f"br/{i}", ["x"], []) for i in ids], kind)
+
+    few = nodes(range(5000, 5010)).unionByName(nodes([None, 7]))
+    ents = spark.createDataFrame([(f"omid:br/{i % 900}",) for i in range(1800)], "omid string")
+    unmapped = spark.createDataFrame([], "omid string, type string")
+    for some, want in ((nodes(range(1000)).unionByName(few), 111), (few, 11)):
+        extra = J.provenance_job(graphs(spark), some, ents, unmapped).extra
+        assert extra.count() == want
+    whole = nodes(range(1000)).unionByName(few)
+    processed = PV.processed_omids(ents, session.parts_for(whole.count()))
+    assert sorted(r.omid for r in processed.collect()) == sorted(f"omid:br/{i}" for i in range(900))
+    assert processed.rdd.getNumPartitions() == 11
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tasks = [PV.extra_records(whole, PV.processed_omids(ents, parts)).rdd.getNumPartitions() for parts in (11, None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tasks[0] == 3 * 11 > tasks[1]
