@@ -5,7 +5,9 @@ may have their columns in different order, or lack some; so the header of every
 first, in one distributed pass in which a task opens one file and stops after its first record (of
 very many files, small ones share tasks).
 Files with the same header then form one scan, whose columns are picked by name, and the scans
-are united by name. Every scan stays a native one: only the asked-for columns are parsed.
+are united by name. Every scan stays a native one: only the asked-for columns are parsed. A large
+file of which every line is a record, which one pass by lines finds out, is read by several tasks; one
+with line breaks in quotes is one task.
 
 What reaches the driver is one header per file, as the file list itself does.
 
@@ -17,7 +19,7 @@ without files gives an empty table of the asked-for columns.
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Collection, Iterable, Iterator, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -80,24 +82,43 @@ def _first_records_of_each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Rec
 
 _HEADERS = "path string, header array<string>"
 
+#: Above so many bytes, a file is read by several tasks if each of its lines is a record.
+SPLIT_BYTES = 64 << 20
+#: A line that is a record to both of Spark's CSV readers, the multi-line and the splitting one: fields are quoted as
+#: a whole, or have no quotes. (Possessive: a long line takes no deep stack.)
+_FIELD = r'(?:"(?:[^"\r\x00]++|"")*+"|[^",\r\x00]*+)'
+_RECORD = rf"^(?=[\s\S]*[^\x00-\x20]){_FIELD}(?:,{_FIELD})*+$"
 
-def all_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv") -> list[tuple[str, list[str]]]:
-    """(path, header) of every CSV file with a record, sorted. Of very many files, the small ones are
+
+def split_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv") -> dict[str, list[str]]:
+    """Header of each large file (more than SPLIT_BYTES) without any quoted line break, carriage return,
+    stray quote or blank line: every line is a record, so tasks may begin at any line."""
+    lines = spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(list(paths))
+    lines = lines.where(F.col("_metadata.file_size") > SPLIT_BYTES).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").rlike(_RECORD).alias("ok"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.col("value")).alias("line"))
+    found = lines.groupBy("path").agg(F.bool_and("ok").alias("ok"), F.first("line", ignorenulls=True).alias("line")).where("ok").collect()
+    headers = {r.path: _header(r.line.removeprefix("\ufeff")) for r in found}
+    return {path: header for path, header in headers.items() if header is not None}
+
+
+def all_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv", known: Collection[str] = ()) -> list[tuple[str, list[str]]]:
+    """(path, header) of every CSV file with a record, without the ``known`` ones, sorted. Of very many files, the small ones are
     read several a task, to their ends; each larger one has a task that stops after its first record."""
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))  # none of the small files is split
     session.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
     lines = session.read.option("pathGlobFilter", glob).text(list(paths))
-    parts = [file_headers(spark, paths, glob)]
+    parts = [file_headers(spark, paths, glob, known=known)]
     if len(lines.inputFiles()) > FILES_A_CORE * spark.sparkContext.defaultParallelism:
         small = lines.where(F.col("_metadata.file_size") <= SHARED_BYTES).select("value", "_metadata.file_path")
-        parts = [file_headers(spark, paths, glob, SHARED_BYTES), small.mapInArrow(_first_records_of_each, _HEADERS)]
+        parts = [file_headers(spark, paths, glob, SHARED_BYTES, known), small.mapInArrow(_first_records_of_each, _HEADERS)]
     return sorted((r["path"], r["header"]) for part in parts for r in part.collect())
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv", above: int = -1) -> DataFrame:
+def file_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv", above: int = -1, known: Collection[str] = ()) -> DataFrame:
     """(path, header) of every CSV file with a record that has more than ``above`` bytes, in the given
-    folders or files."""
+    folders or files, without the ``known`` ones: those are not opened."""
     session = spark.newSession()  # same context, settings of its own
     session.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE_A_TASK)
     session.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE_A_TASK)
@@ -105,6 +126,8 @@ def file_headers(spark: SparkSession, paths: Sequence[str], glob: str = "*.csv",
     lines = session.read.option("pathGlobFilter", glob).text(list(paths))
     if above >= 0:
         lines = lines.where(F.col("_metadata.file_size") > above)
+    if known:
+        lines = lines.where(~F.col("_metadata.file_path").isin(list(known)))
     return lines.select("value", "_metadata.file_path").mapInArrow(_first_records, _HEADERS)
 
 
@@ -118,24 +141,27 @@ def _column(header: tuple[str, ...], name: str) -> Column:
     return (F.col(f"_{at[-1]}") if at else F.lit(None).cast("string")).alias(name)
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], header: tuple[str, ...], names: Sequence[str], glob: str) -> DataFrame:
-    """Files of one header, by position, named."""
+def _scan(spark: SparkSession, paths: Sequence[str], header: tuple[str, ...], names: Sequence[str], glob: str, split: bool = False) -> DataFrame:
+    """Files of one header, by position, named; ``split`` if each line of them is a record."""
     schema = ", ".join(f"`_{i}` string" for i in range(len(header)))
-    rows = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", glob).schema(schema).csv(list(paths))
+    options = CSV_OPTIONS | ({"multiLine": "false", "lineSep": "\n"} if split else {})
+    rows = spark.read.options(**options).option("pathGlobFilter", glob).schema(schema).csv(list(paths))
     return rows.select(*(_column(header, n) for n in names))
 
 
 def read_csv_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, glob: str = "*.csv") -> DataFrame:
     """All CSV files in folders or under file names, as text columns matched by name: those of
     ``columns``, or all, in the order of their first file."""
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path, header in all_headers(spark, paths, glob):
-        by_header.setdefault(tuple(header), []).append(_literal_path(path))
-    names = list(columns or dict.fromkeys(n for header in by_header for n in header))
+    split = split_headers(spark, paths, glob)
+    headers = sorted([*all_headers(spark, paths, glob, known=split), *split.items()])
+    by_header: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for path, header in headers:
+        by_header.setdefault((tuple(header), path in split), []).append(_literal_path(path))
+    names = list(columns or dict.fromkeys(n for header, _ in by_header for n in header))
     if len(by_header) <= 1:  # one header: the folders themselves are the scan
-        only = next(iter(by_header), tuple(names))
-        by_header = {only: list(paths)} if only else {}
-    scans = [_scan(spark, files, header, names, glob) for header, files in by_header.items()]
+        only, whole = next(iter(by_header), (tuple(names), False))
+        by_header = {(only, whole): list(paths)} if only else {}
+    scans = [_scan(spark, files, header, names, glob, whole) for (header, whole), files in by_header.items()]
     if not scans:
         return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
     return reduce(DataFrame.unionByName, scans)

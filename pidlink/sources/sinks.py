@@ -2,13 +2,18 @@
 
 * CSV directories with a header, every field quoted, rolled every ``rows_per_file`` rows.
 * JSON-lines directories (non-ASCII kept), same rolling.
-* One CSV file, only on request (``coalesce(1)`` funnels the table through one task).
+* One CSV file, only on request. All tasks write it, each at its place, if the path is mounted.
 * Nested JSON result documents, built from small, already aggregated tables.
 * Appends, keyed upserts (keep-last), and refusal to overwrite an existing table.
 """
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +27,83 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = K.ROWS_PER_FILE, mo
      .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
+#: Bytes of a single file that a task copies to their place, and of one read.
+PLACED_BYTES, BLOCK_BYTES = 64 << 20, 1 << 20
+
+#: A stretch of a part: file, first byte, bytes, first byte in the single file.
+Stretch = tuple[str, int, int, int]
+
+
+def _stretches(parts: Sequence[tuple[str, int]], size: int) -> list[list[Stretch]]:
+    """The parts (file, bytes) end to end, cut at every multiple of ``size``."""
+    cut: list[list[Stretch]] = []
+    at = 0
+    for file, length in parts:
+        done = 0
+        while done < length:
+            n = min(length - done, size - at % size)
+            if at % size == 0:
+                cut.append([])
+            cut[-1].append((file, done, n, at))
+            done, at = done + n, at + n
+    return cut
+
+
+def _place(whole: str, stretches: list[Stretch]) -> None:
+    """Copy stretches to their places in a file that is there. Repeated, it writes the same bytes."""
+    with open(whole, "r+b") as out:
+        for file, start, length, at in stretches:
+            out.seek(at)
+            with open(file, "rb") as part:
+                part.seek(start)
+                while length:
+                    block = part.read(min(BLOCK_BYTES, length))
+                    if not block:
+                        raise OSError(f"{file} is shorter than it was")
+                    out.write(block)
+                    length -= len(block)
+
+
 def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One CSV file (for a small table such as the multi-mapped records)."""
-    write_csv(df.coalesce(1), path, rows_per_file=0, mode=mode)
+    """One CSV file, rows in the order of the partitions.
+
+    All tasks write parts beside the folder, then copy them to their places in the one file, at most
+    PLACED_BYTES a task; the finished folder is renamed last. Files are written at places only on
+    a path that the driver and every executor have mounted (as archives are); on another file system
+    one task writes the table, which it streams.
+    """
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    exists = fs.exists(folder)
+    if fs.getUri().getScheme() != "file" or (exists and mode.lower() != "overwrite"):  # an append, or Spark's refusal
+        write_csv(df.coalesce(1), path, rows_per_file=0, mode=mode)
+        return
+    name = uuid.uuid4().hex
+    staged = fs.makeQualified(folder).suffix(f"-{name}")
+    local = staged.toUri().getPath()
+    try:
+        rows = df.write.option("quoteAll", "true").option("escape", '"').option("header", "false")
+        rows.csv(f"{staged.toString()}/parts")
+        os.makedirs(f"{local}/one")
+        with open(f"{local}/header", "w", encoding="utf-8") as f:
+            f.write(",".join('"' + c.replace('"', '""') + '"' for c in df.columns) + "\n")
+        parts = [(int(m[1]), f.path) for f in os.scandir(f"{local}/parts") if (m := re.match(r"part-(\d+)-", f.name))]
+        files = [f"{local}/header", *(f for _, f in sorted(parts))]
+        whole = f"{local}/one/part-00000-{name}-c000.csv"
+        open(whole, "xb").close()
+        cut = _stretches([(f, os.path.getsize(f)) for f in files], PLACED_BYTES)
+        spark.sparkContext.parallelize(cut, len(cut)).foreach(lambda some: _place(whole, some))
+        open(f"{local}/one/_SUCCESS", "xb").close()
+        if exists:
+            fs.delete(folder, True)
+        elif (above := folder.getParent()) is not None:
+            fs.mkdirs(above)
+        one = spark._jvm.org.apache.hadoop.fs.Path(staged, "one")
+        if not fs.rename(one, folder):
+            raise OSError(f"cannot rename {one} to {path}")
+    finally:
+        fs.delete(staged, True)
 
 
 def write_json_lines(df: DataFrame, path: str, rows_per_file: int = K.ROWS_PER_FILE, mode: str = "overwrite") -> None:

@@ -115,3 +115,31 @@ def test_many_small_files_share_tasks(spark, tmpdir_path, monkeypatch):
         tasks = sum(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds)
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         assert jobs and tasks < 40
+
+
+def test_large_files_are_split_if_every_line_is_a_record(spark, tmpdir_path, monkeypatch):
+    """Files that may not be split give the rows of the multi-line reader."""
+    from pidlink.sources import csvheaders as H
+
+    plain = "".join(f'"{i}","a ""q"", {i}",x\n' for i in range(2000))
+    odd = {"broken": '"1","line\nbreak",x\n', "stray": '1,a"b,"x\ny"\n', "blank": "\n  , ,\n", "returned": '"1","a\r\nb",x\r\n', "zero": '"1","a\x00b",x\n'}
+    d = put(os.path.join(tmpdir_path, "plain"), a="a,b,c\n" + plain, b="a,b,c\n" + plain[:-1])
+    folders = {k: put(os.path.join(tmpdir_path, k), t="a,b,c\n" + plain + v + plain) for k, v in odd.items()}
+    before = {k: rows(R.read_csv_tables(spark, f)) for k, f in (folders | {"plain": d}).items()}
+    assert len(before["plain"]) == 4000
+    monkeypatch.setattr(H, "SPLIT_BYTES", 10_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = R.read_csv_tables(spark, d)
+        assert got.rdd.getNumPartitions() > 4 and rows(got) == before["plain"]
+        split = H.split_headers(spark, [d])
+        assert set(map(tuple, split.values())) == {("a", "b", "c")} and len(split) == 2
+        assert H.file_headers(spark, [d], known=split).count() == 0 and H.file_headers(spark, [d]).count() == 2
+        assert got.select("b").where("b like '%, 7'").count() == 2
+        for name, folder in folders.items():
+            assert not H.split_headers(spark, [folder])
+            assert rows(R.read_csv_tables(spark, folder)) == before[name], name
+        mixed = R.read_csv_tables(spark, d, folders["broken"])
+        assert rows(mixed) == sorted(before["plain"] + before["broken"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

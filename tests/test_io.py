@@ -363,3 +363,41 @@ def test_provenance_document_needs_no_window_of_a_type(spark, tmpdir_path):
     assert json.dumps(json.loads(text)) == json.dumps(want)
     empty = W.provenance_document(counts.limit(0))
     assert empty.count() == 0
+
+
+def test_single_csv_is_written_by_all_tasks(spark, tmpdir_path, monkeypatch):
+    """The same bytes as of one task, without one."""
+    texts = ['a"b', "c,d", "e\nf", "", None, "é\r\nü", "x" * 3000]
+    df = spark.createDataFrame([(i, texts[i % len(texts)]) for i in range(500)], 'n int, `the "text", all of it` string').repartition(7, "n")
+    W.write_csv(df.coalesce(1), os.path.join(tmpdir_path, "want"), rows_per_file=0)
+
+    def bytes_of(name):
+        files = [f for f in os.listdir(os.path.join(tmpdir_path, name)) if f.endswith(".csv")]
+        assert len(files) == 1
+        with open(os.path.join(tmpdir_path, name, files[0]), "rb") as f:
+            return f.read()
+
+    def refused(*_):
+        raise AssertionError("the table goes through one task")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "coalesce", refused)
+        for size in (64 << 20, 1000, 37):
+            m.setattr(W, "PLACED_BYTES", size)
+            W.write_single_csv(df, "file://" + os.path.join(tmpdir_path, "got"))  # the second and third over the first
+            assert bytes_of("got") == bytes_of("want")
+        W.write_single_csv(df.where("n < 0"), os.path.join(tmpdir_path, "none"))
+        assert bytes_of("none").count(b"\n") == 1
+    with pytest.raises(AnalysisException):
+        W.write_single_csv(df, os.path.join(tmpdir_path, "got"), mode="errorifexists")
+    W.write_single_csv(df, os.path.join(tmpdir_path, "got"), mode="ignore")
+    assert bytes_of("got") == bytes_of("want")
+    assert sorted(os.listdir(tmpdir_path)) == ["got", "none", "want"]  # nothing else is left
+
+
+def test_stretches_cover_the_parts():
+    parts = [("a", 5), ("b", 0), ("c", 12), ("d", 3)]
+    cut = W._stretches(parts, 4)
+    assert cut[1] == [("a", 4, 1, 4), ("c", 0, 3, 5)]
+    assert [sum(n for _, _, n, _ in some) for some in cut] == [4, 4, 4, 4, 4]
+    assert [at for some in cut for _, _, _, at in some][:3] == [0, 4, 5]
